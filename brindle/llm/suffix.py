@@ -5,17 +5,18 @@ a smaller id.  Documents are dealt into batches of consecutive ids, of about ``b
 
 * Each batch makes a suffix array.  It is sparse: of the suffixes in any stretch of ``length`` bytes, the one whose
   first ``KEY`` bytes hash lowest is taken (a minimiser), so equal strings always hold the same suffix at
-  the same place and none is missed, with about one suffix for 13 bytes.  Suffixes sort by the hash of
+  the same place and none is missed, with about one suffix for 10 bytes.  Suffixes sort by the hash of
   their first bytes, which brings equal ones together as byte order would.
 * The arrays are cut by key range.  For each range one task takes the batches in order of ids, scans each
   against the sorted levels of the family and then adds it; two levels of the same rank merge into one of the
   next (``LevelFamily``).  So a batch meets at most log2(batches) runs.
-* A batch gets back one bit a suffix: also in an earlier batch, or in a later one.  Only the strings that hold
-  a shared suffix then go through the same family at full length, as 64 bits of hash and a key range chosen by a
-  second hash, and one bit a string comes back.
+* A batch gets back one bit a suffix: also in an earlier batch, or in a later one.  Neighbouring strings with the same shared suffix
+  form a block, and the hashes of the blocks go the same way: a block that an earlier batch has is settled whole.
+  Where a suffix has blocks that differ, the strings of the first of each go through the family at full
+  length, as 64 bits of hash and a key range chosen by a second hash, and one bit a string comes back.
 
-What is shuffled: the texts once (all three passes reuse that exchange), four bytes a suffix, eight a shared string.
-A string counts once a batch, so copies cannot make a range hot, and no task holds more than a batch or a key range.
+What is shuffled: the texts once (all passes reuse that exchange), four bytes a suffix, twelve a shared block, eight a string at the edges of shared passages.
+A key counts once a batch, so copies cannot make a range hot, and no task holds more than a batch or a key range.
 Nothing is collected but the histogram of text sizes by id (at most ``BINS`` rows).
 
 Two strings that differ could be taken for equal only if both hashes agree (64 bits and the range): at 10^10 strings
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 
 from . import vec
 
-KEY = 26
+KEY = 32
 BINS = 1 << 16
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
@@ -144,11 +145,28 @@ class _Batch:
         """Key range and keys to send."""
         return (self.keys >> np.uint64(32)).astype(np.int64), self.keys.astype(np.uint32)
 
-    def strings(self, shared: np.ndarray):
-        """The strings that hold a shared suffix: key range, key, inside an earlier document of the batch, start; and the order in which they are sent."""
-        runs = np.flatnonzero((shared | self.inside)[self.of])
-        first, count = self.start[runs], self.count[runs]
-        at = np.repeat(first - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum()) if len(runs) else np.zeros(0, np.int64)
+    def blocks(self, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Choose the runs with a shared suffix; key range, suffix and block hash of each distinct pair to send."""
+        self.runs = np.flatnonzero((shared | self.inside)[self.of])
+        first, count = self.start[self.runs], self.count[self.runs]
+        block = np.empty(len(first), np.uint64)
+        for lo in range(0, len(self.data), vec.SEGMENT):
+            a, b = np.searchsorted(first, (lo, lo + vec.SEGMENT))
+            if a < b:
+                begin = first[a:b] - lo
+                block[a:b] = vec.span_hashes(self.data[lo : lo + vec.SEGMENT + self.length - 1], begin, begin + count[a:b] + self.length - 1)
+        suffix = self.of[self.runs]
+        order = np.lexsort((block, suffix))
+        new = np.r_[True, (suffix[order][1:] != suffix[order][:-1]) | (block[order][1:] != block[order][:-1])][: len(order)]
+        self.pair = np.empty(len(order), np.int64)
+        self.pair[order] = np.cumsum(new) - 1
+        keys = self.keys[suffix[order][new]]
+        return (keys >> np.uint64(32)).astype(np.int64), keys.astype(np.uint32), block[order][new]
+
+    def strings(self, earlier: np.ndarray, several: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Key range and key of the strings to send: those of blocks that no earlier batch has and whose suffix has other blocks too."""
+        first, count = self.start[self.runs], self.count[self.runs]
+        self.at = at = np.repeat(first - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum()) if len(first) else np.zeros(0, np.int64)
         h, g = np.empty(len(at), np.uint64), np.empty(len(at), np.uint64)
         for lo in range(0, len(self.data), vec.SEGMENT):
             a, b = np.searchsorted(at, (lo, lo + vec.SEGMENT))
@@ -156,50 +174,85 @@ class _Batch:
                 part = self.data[lo : lo + vec.SEGMENT + self.length - 1]
                 h[a:b] = vec.window_hashes(part, self.length)[at[a:b] - lo]
                 g[a:b] = vec.window_hashes(part, self.length, _OTHER)[at[a:b] - lo]
-        rank = self.rank[np.repeat(self.row[runs], count)] if len(runs) else np.zeros(0, np.int64)
-        keys, _, least, of = _several(h, rank)
+        rank = np.repeat(self.rank[self.row[self.runs]], count)
+        keys, _, least, self.string = _several(h, rank)
+        self.settled = (rank > least[self.string]) | np.repeat(earlier[self.pair], count)
+        sent = np.zeros(len(keys), bool)
+        sent[self.string[np.repeat((several & ~earlier)[self.pair], count)]] = True
         bucket = np.zeros(len(keys), np.int64)
-        bucket[of] = (((g >> np.uint64(32)) * np.uint64(self.ranges)) >> np.uint64(32)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        return bucket[order], keys[order], order, of, at, rank > least[of]
+        bucket[self.string] = (((g >> np.uint64(32)) * np.uint64(self.ranges)) >> np.uint64(32)).astype(np.int64)
+        self.sent = np.flatnonzero(sent)
+        self.sent = self.sent[np.argsort(bucket[self.sent], kind="stable")]
+        self.n_strings = len(keys)
+        return bucket[self.sent], keys[self.sent]
+
+    def hits(self, earlier: np.ndarray) -> np.ndarray:
+        """Starts of the strings that an earlier document has, from the bits for the strings sent."""
+        known = np.zeros(self.n_strings, bool)
+        known[self.sent] = earlier
+        return self.at[self.settled | known[self.string]]
 
 
 _OTHER = vec.series(77, 256)
 
 
-def _packets(batch: int, bucket: np.ndarray, keys: np.ndarray) -> list[tuple[int, int, bytes]]:
+def _packets(batch: int, bucket: np.ndarray, *keys: np.ndarray) -> list[tuple[int, int, bytes]]:
     begin, _ = _spread(bucket)
     ends = np.r_[begin[1:], len(bucket)]
-    return [(batch, int(bucket[a]), keys[a:b].tobytes()) for a, b in zip(begin, ends, strict=True)]
+    return [(batch, int(bucket[a]), b"".join(k[a:b].tobytes() for k in keys)) for a, b in zip(begin, ends, strict=True)]
 
 
-def _flags(rows, sizes_bucket: np.ndarray) -> np.ndarray:
-    """The bits that came back, in the order in which keys were sent (by range)."""
-    out = np.zeros(len(sizes_bucket), bool)
-    begin, _ = _spread(sizes_bucket)
-    ends = dict(zip(sizes_bucket[begin].tolist(), zip(begin.tolist(), np.r_[begin[1:], len(sizes_bucket)].tolist(), strict=True), strict=True))
-    for bucket, bits in rows:
-        a, b = ends[bucket]
-        out[a:b] = np.unpackbits(np.frombuffer(bits, np.uint8), count=b - a).astype(bool)
+def _flags(rows, bucket: np.ndarray, n: int = 1) -> list[np.ndarray]:
+    """The n series of bits that came back, in the order in which keys were sent (by range)."""
+    out = [np.zeros(len(bucket), bool) for _ in range(n)]
+    begin, _ = _spread(bucket)
+    ends = dict(zip(bucket[begin].tolist(), zip(begin.tolist(), np.r_[begin[1:], len(bucket)].tolist(), strict=True), strict=True))
+    for to, bits in rows:
+        a, b = ends[to]
+        size = -(-(b - a) // 8)
+        for k in range(n):
+            out[k][a:b] = np.unpackbits(np.frombuffer(bits, np.uint8, size, k * size), count=b - a).astype(bool)
     return out
 
 
-def _serve(kind: str, both: bool):
-    """For one key range: scan each batch against the family of the earlier ones (and of the later ones)."""
-    width = np.uint32 if both else np.uint64
+def _merge_scan(keys: list[np.ndarray], order) -> list[np.ndarray]:
+    """In this order of batches, which keys of each the family of those before holds."""
+    family, found = LevelFamily(), [None] * len(keys)
+    for k in order:
+        own = keys[k]
+        found[k] = family.scan(own)
+        family.add(own if not len(own) or (own[1:] > own[:-1]).all() else np.unique(own))
+    return found
+
+
+def _serve_suffixes(raw: list[bytes]):
+    keys = [np.frombuffer(x, np.uint32) for x in raw]
+    n = range(len(keys))
+    return [[a | b] for a, b in zip(_merge_scan(keys, n), _merge_scan(keys, n[::-1]), strict=True)]
+
+
+def _serve_blocks(raw: list[bytes]):
+    suffix = [np.frombuffer(x, np.uint32, len(x) // 12) for x in raw]
+    pair = [vec.mix(np.frombuffer(x[4 * len(s) :], np.uint64) + s * np.uint64(0x9E3779B97F4A7C15)) for x, s in zip(raw, suffix, strict=True)]
+    earlier = _merge_scan(pair, range(len(pair)))
+    new = np.concatenate([s[~e] for s, e in zip(suffix, earlier, strict=True)])  # each different block once
+    some, n = np.unique(new, return_counts=True)
+    several = some[n > 1]
+    at = [np.searchsorted(several, s) for s in suffix]
+    return [[e, several[np.minimum(a, len(several) - 1)] == s if len(several) else np.zeros(len(s), bool)] for e, a, s in zip(earlier, at, suffix, strict=True)]
+
+
+def _serve_strings(raw: list[bytes]):
+    return [[x] for x in _merge_scan([np.frombuffer(x, np.uint64) for x in raw], range(len(raw)))]
+
+
+def _serve(kind: str, judge):
+    """The task of one key range: the batches' packets in order of ids, and an answer to each."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("batch", "ascending")])
-        keys = [np.frombuffer(x.as_buffer(), width) for x in table.column("keys")]
-        hits = [None] * len(keys)
-        for order in (range(len(keys)), range(len(keys) - 1, -1, -1)) if both else (range(len(keys)),):
-            family = LevelFamily()
-            for k in order:
-                own = keys[k]
-                found = family.scan(own)
-                hits[k] = found if hits[k] is None else hits[k] | found
-                family.add(own if not len(own) or (own[1:] > own[:-1]).all() else np.unique(own))
-        return pa.table({"batch": table.column("batch"), "kind": pa.array([kind] * len(keys), pa.string()), "bucket": table.column("bucket"), "keys": pa.array([np.packbits(x).tobytes() for x in hits], pa.binary())})
+        bits = [b"".join(np.packbits(y).tobytes() for y in x) for x in judge([x.as_py() for x in table.column("keys")])]
+        return pa.table({"batch": table.column("batch"), "kind": pa.array([kind] * len(bits), pa.string()), "bucket": table.column("bucket"), "keys": pa.array(bits, pa.binary())})
 
     return run
 
@@ -236,26 +289,25 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         return [(r["bucket"], r["keys"]) for r in table.to_pylist() if r["kind"] == kind]
 
     def first(key, table):
-        b = _Batch(table, length, ranges)
-        return table_of(_packets(key[0].as_py(), *b.suffixes()))
+        return table_of(_packets(key[0].as_py(), *_Batch(table, length, ranges).suffixes()))
 
     def second(key, left, right):
         if not left.num_rows:
             return table_of([])
         b = _Batch(left, length, ranges)
-        shared = _flags(came_back(right, "suffix"), b.suffixes()[0])
-        bucket, keys, *_ = b.strings(shared)
-        return table_of(_packets(key[0].as_py(), bucket, keys))
+        return table_of(_packets(key[0].as_py(), *b.blocks(*_flags(came_back(right, "suffix"), b.suffixes()[0]))))
+
+    def with_blocks(left, right):
+        b = _Batch(left, length, ranges)
+        bucket, _, _ = b.blocks(*_flags(came_back(right, "suffix"), b.suffixes()[0]))
+        return b, b.strings(*_flags(came_back(right, "block"), bucket, 2))
 
     def third(key, left, right):
-        b = _Batch(left, length, ranges) if left.num_rows else None
-        if b is None:
-            return None
-        shared = _flags(came_back(right, "suffix"), b.suffixes()[0])
-        bucket, keys, order, of, at, inside = b.strings(shared)
-        earlier = np.empty(len(keys), bool)
-        earlier[order] = _flags(came_back(right, "string"), bucket)
-        hit = at[inside | earlier[of]]
+        return table_of(_packets(key[0].as_py(), *with_blocks(left, right)[1])) if left.num_rows else table_of([])
+
+    def last(left, right):
+        b, (bucket, _) = with_blocks(left, right)
+        hit = b.hits(*_flags(came_back(right, "string"), bucket))
         cover = np.zeros(len(b.data) + 1, np.int32)
         np.add.at(cover, hit, 1)
         np.add.at(cover, hit + length, -1)
@@ -283,19 +335,20 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
     out = ", ".join([f"_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary", *[f"_c{k} {types[f'_c{k}']}" for k in range(len(carried))]])
 
-    def third_or_empty(key, left, right):
-        made = third(key, left, right)
-        if made is None:
-            from pyspark.sql.pandas.types import to_arrow_schema
-            from pyspark.sql.types import _parse_datatype_string
+    def fourth(key, left, right):
+        if left.num_rows:
+            return last(left, right)
+        from pyspark.sql.pandas.types import to_arrow_schema
+        from pyspark.sql.types import _parse_datatype_string
 
-            return to_arrow_schema(_parse_datatype_string(out)).empty_table()
-        return made
+        return to_arrow_schema(_parse_datatype_string(out)).empty_table()
 
     by_batch = dealt.groupBy("batch")
-    suffixes = by_batch.applyInArrow(first, packets).groupBy("bucket").applyInArrow(_serve("suffix", True), answers)
-    strings = by_batch.cogroup(suffixes.groupBy("batch")).applyInArrow(second, packets).groupBy("bucket").applyInArrow(_serve("string", False), answers)
-    found = by_batch.cogroup(suffixes.unionByName(strings).groupBy("batch")).applyInArrow(third_or_empty, out)
+    suffixes = by_batch.applyInArrow(first, packets).groupBy("bucket").applyInArrow(_serve("suffix", _serve_suffixes), answers)
+    blocks = by_batch.cogroup(suffixes.groupBy("batch")).applyInArrow(second, packets).groupBy("bucket").applyInArrow(_serve("block", _serve_blocks), answers)
+    known = suffixes.unionByName(blocks)
+    strings = by_batch.cogroup(known.groupBy("batch")).applyInArrow(third, packets).groupBy("bucket").applyInArrow(_serve("string", _serve_strings), answers)
+    found = by_batch.cogroup(known.unionByName(strings).groupBy("batch")).applyInArrow(fourth, out)
     return found.withColumnsRenamed({"_id": id_col} | {f"_c{k}": c for k, c in enumerate(carried)})
 
 

@@ -139,6 +139,12 @@ def window_hashes(data: np.ndarray, n: int, values: np.ndarray = BYTES) -> np.nd
     return mix((sums[n:] - sums[:-n]) * _power(len(sums))[1][: len(sums) - n])
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each span; data should be a segment."""
+    sums = _prefix(BYTES[data])
+    return mix((sums[end] - sums[start]) * _power(len(sums))[1][start] + (end - start).astype(U))
+
+
 def sliding_min(x: np.ndarray, n: int) -> np.ndarray:
     """The least of each n consecutive values."""
     have = 1
