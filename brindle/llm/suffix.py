@@ -86,24 +86,28 @@ def _batches(sized: DataFrame, batch_mb: int) -> list:
 
 def _runs(data: np.ndarray, offsets: np.ndarray, length: int):
     """Runs of neighbouring strings with the same suffix in them: suffix hash, first start, count, row."""
-    values, starts, counts, rows = [], [], [], []
     total = len(data) - length + 1
-    row = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
+    breaks = np.unique(np.concatenate([offsets, np.maximum(offsets - length + 1, 0)]))  # strings from here on leave a row or begin one
+    values, starts, counts = [], [], []
     for lo in range(0, total, vec.SEGMENT):
         hi = min(total, lo + vec.SEGMENT)
-        least = vec.sliding_min(vec.window_hashes(data[lo : hi + length - 1], KEY), length - KEY + 1)
-        own, whole = row[lo:hi], row[lo:hi] == row[lo + length - 1 : hi + length - 1]
-        new = np.flatnonzero(np.r_[True, (least[1:] != least[:-1]) | (own[1:] != own[:-1]) | (whole[1:] != whole[:-1])])
-        size = np.diff(np.r_[new, hi - lo])
-        ok = whole[new]
-        values.append(least[new][ok])
-        starts.append(new[ok] + lo)
-        counts.append(size[ok])
-        rows.append(own[new][ok])
+        least = vec.sliding_min(vec.window_hashes(data[lo : hi + length - 1], KEY, spread=vec.stir), length - KEY + 1)
+        new = np.empty(hi - lo, bool)
+        new[0] = True
+        np.not_equal(least[1:], least[:-1], out=new[1:])
+        a, b = np.searchsorted(breaks, (lo, hi))
+        new[breaks[a:b] - lo] = True
+        new = np.flatnonzero(new)
+        values.append(least[new])
+        starts.append(new + lo)
+        counts.append(np.diff(np.r_[new, hi - lo]))
     if not values:
         z = np.zeros(0, np.int64)
         return np.zeros(0, np.uint64), z, z, z
-    return tuple(np.concatenate(x) for x in (values, starts, counts, rows))
+    value, start, count = (np.concatenate(x) for x in (values, starts, counts))
+    row = np.searchsorted(offsets, start, "right") - 1
+    ok = start + length <= offsets[row + 1]
+    return value[ok], start[ok], count[ok], row[ok]
 
 
 def _spread(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -164,33 +168,48 @@ class _Batch:
         return (keys >> np.uint64(32)).astype(np.int64), keys.astype(np.uint32), block[order][new]
 
     def strings(self, earlier: np.ndarray, several: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Key range and key of the strings to send: those of blocks that no earlier batch has and whose suffix has other blocks too."""
-        first, count = self.start[self.runs], self.count[self.runs]
-        self.at = at = np.repeat(first - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum()) if len(first) else np.zeros(0, np.int64)
+        """Key range and key of the strings to send: those of the first of each block that no earlier batch has and whose suffix has other blocks too.
+
+        The other blocks need no closer look: a copy of a block is settled whole, and a block that is alone with its suffix shares no string.
+        """
+        rank = self.rank[self.row[self.runs]]
+        first_rank = np.full(len(earlier), np.iinfo(np.int64).max)
+        np.minimum.at(first_rank, self.pair, rank)
+        self.copied = earlier[self.pair] | (rank > first_rank[self.pair])
+        close = np.flatnonzero(several[self.pair] & ~self.copied)
+        self.at = at = _expand(self.start[self.runs[close]], self.count[self.runs[close]])
         h, g = np.empty(len(at), np.uint64), np.empty(len(at), np.uint64)
         for lo in range(0, len(self.data), vec.SEGMENT):
             a, b = np.searchsorted(at, (lo, lo + vec.SEGMENT))
             if a < b:
-                part = self.data[lo : lo + vec.SEGMENT + self.length - 1]
-                h[a:b] = vec.window_hashes(part, self.length)[at[a:b] - lo]
-                g[a:b] = vec.window_hashes(part, self.length, _OTHER)[at[a:b] - lo]
-        rank = np.repeat(self.rank[self.row[self.runs]], count)
-        keys, _, least, self.string = _several(h, rank)
-        self.settled = (rank > least[self.string]) | np.repeat(earlier[self.pair], count)
-        sent = np.zeros(len(keys), bool)
-        sent[self.string[np.repeat((several & ~earlier)[self.pair], count)]] = True
+                part, begin = self.data[lo : lo + vec.SEGMENT + self.length - 1], at[a:b] - lo
+                h[a:b] = vec.span_hashes(part, begin, begin + self.length)
+                g[a:b] = vec.span_hashes(part, begin, begin + self.length, _OTHER)
+        of_string = np.repeat(rank[close], self.count[self.runs[close]])
+        keys, _, least, self.string = _several(h, of_string)
+        self.inside_batch = of_string > least[self.string]
         bucket = np.zeros(len(keys), np.int64)
         bucket[self.string] = (((g >> np.uint64(32)) * np.uint64(self.ranges)) >> np.uint64(32)).astype(np.int64)
-        self.sent = np.flatnonzero(sent)
-        self.sent = self.sent[np.argsort(bucket[self.sent], kind="stable")]
-        self.n_strings = len(keys)
+        self.sent = np.argsort(bucket, kind="stable")
         return bucket[self.sent], keys[self.sent]
 
-    def hits(self, earlier: np.ndarray) -> np.ndarray:
-        """Starts of the strings that an earlier document has, from the bits for the strings sent."""
-        known = np.zeros(self.n_strings, bool)
+    def covered(self, earlier: np.ndarray) -> np.ndarray:
+        """Which bytes go, from the bits for the strings sent."""
+        known = np.empty(len(earlier), bool)
         known[self.sent] = earlier
-        return self.at[self.settled | known[self.string]]
+        hit = self.at[self.inside_batch | known[self.string]]
+        runs = self.runs[self.copied]
+        cover = np.zeros(len(self.data) + 1, np.int32)
+        np.add.at(cover, np.r_[hit, self.start[runs]], 1)
+        np.add.at(cover, np.r_[hit + self.length, self.start[runs] + self.count[runs] + self.length - 1], -1)
+        return np.cumsum(cover)[:-1] > 0
+
+
+def _expand(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... for each count."""
+    if not len(first):
+        return np.zeros(0, np.int64)
+    return np.repeat(first - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
 
 
 _OTHER = vec.series(77, 256)
@@ -266,8 +285,7 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     types = dict(source.dtypes)
     bounds = _batches(docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long").alias("_n")), batch_mb)
     spark = docs.sparkSession
-    # about as many key ranges as there are batches of 16 MB, since a range gets as much of the keys
-    ranges = max(8, min(4096, len(bounds) + 1))
+    ranges = max(32, min(4096, 4 * (len(bounds) + 1)))  # a range gets a few megabytes of keys
     edges = spark.sparkContext.broadcast(bounds)
 
     def deal(batches):
@@ -307,11 +325,7 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
     def last(left, right):
         b, (bucket, _) = with_blocks(left, right)
-        hit = b.hits(*_flags(came_back(right, "string"), bucket))
-        cover = np.zeros(len(b.data) + 1, np.int32)
-        np.add.at(cover, hit, 1)
-        np.add.at(cover, hit + length, -1)
-        gone = np.cumsum(cover)[:-1] > 0
+        gone = b.covered(*_flags(came_back(right, "string"), bucket))
         n = b.table.num_rows
         row = np.repeat(np.arange(n), np.diff(b.offsets))
         edge = np.r_[True, (gone[1:] != gone[:-1]) | (row[1:] != row[:-1])] if len(gone) else np.zeros(0, bool)

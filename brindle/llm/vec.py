@@ -131,17 +131,27 @@ def grams(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix(g)
 
 
-def window_hashes(data: np.ndarray, n: int, values: np.ndarray = BYTES) -> np.ndarray:
+def stir(x: np.ndarray) -> np.ndarray:
+    """A lighter mix, enough to order hashes."""
+    x ^= x >> U(29)
+    x *= U(0xBF58476D1CE4E5B9)
+    x ^= x >> U(32)
+    return x
+
+
+def window_hashes(data: np.ndarray, n: int, values: np.ndarray = BYTES, spread=mix) -> np.ndarray:
     """A hash of each n consecutive bytes; data should be a segment, not a whole corpus."""
     if len(data) < n:
         return np.zeros(0, U)
     sums = _prefix(values[data])
-    return mix((sums[n:] - sums[:-n]) * _power(len(sums))[1][: len(sums) - n])
+    x = sums[n:] - sums[:-n]
+    x *= _power(len(sums))[1][: len(sums) - n]
+    return spread(x)
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, values: np.ndarray = BYTES) -> np.ndarray:
     """A hash of the bytes of each span; data should be a segment."""
-    sums = _prefix(BYTES[data])
+    sums = _prefix(values[data])
     return mix((sums[end] - sums[start]) * _power(len(sums))[1][start] + (end - start).astype(U))
 
 
