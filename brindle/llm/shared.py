@@ -32,8 +32,8 @@ def bit_of(column: str) -> F.Column:
 
 def bitmap(df: DataFrame, column: str) -> bytearray:
     """One bit for each hash of a value: 4 MB however many rows there are.  With more values more bits are set, which lets more rows through, never fewer."""
-    bit = bit_of(column)
-    rows = df.select(bit.alias("b")).groupBy(F.bitmap_bucket_number("b").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("m"))
+    # Spark numbers bitmap positions from 1
+    rows = df.select((bit_of(column) + 1).alias("b")).groupBy(F.bitmap_bucket_number("b").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("m"))
     out = bytearray(BITS // 8 + 8192)
     for k, m in rows.toLocalIterator():  # at most BITS / 32768 rows of 4 KB
         out[(k - 1) * 4096 : (k - 1) * 4096 + len(m)] = m
