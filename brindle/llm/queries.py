@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, ngramjoin, shards, suffix, toxicity, urlfilter
+from . import chat, decontam, ngramjoin, shards, sketch, suffix, toxicity, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,11 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per.select("conv_id", "n_turns", "turns_sha256", F.char_length(text).cast("long").alias("loss_chars"), F.sha2(text.cast("binary"), 256).alias("loss_sha256"), "formatted_chars")
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's fingerprint and its likeness to that of an edited text and of the next document."""
+    return sketch.against_next(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's class of documents linked at a Jaccard similarity of 0.8 or more of 5-word shingles, and its number of links."""
     return ngramjoin.join(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id", "n_links")
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_url_filter": op5_url_filter,
     "op6_sharding": op6_sharding,
     "op7_chat_format": op7_chat_format,
+    "op8_fingerprints": op8_fingerprints,
     "op9_ngram_join": op9_ngram_join,
 }
 
