@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, ngramjoin, shards, sketch, suffix, toxicity, urlfilter
+from . import chat, decontam, ngramjoin, pieces, shards, sketch, suffix, toxicity, urlfilter, warc
+from .shared import shared_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +30,18 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length(kept)).cast("long").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2(kept, 256).alias("kept_sha256"))
 
 
+PIECES = os.environ.get("BRINDLE_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str, model_file: str = PIECES) -> DataFrame:
+    """Each document's ids, and whether they decode to its text."""
+    vocabulary = pieces.load(model_file)
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
+    same = F.col("decoded").eqNullSafe(F.translate("text", pieces.MARK, " "))
+    return coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), same.alias("exact"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's chance to be toxic, from a model that the held-out fifth had no part in."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -78,15 +93,24 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.join(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id", "n_links")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the archives of the pages say when they are read back."""
+    folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write(_table(spark, sf_dir, "pages").select("page_id", "url", "html"), folder)
+    return warc.read(spark, folder, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_toxicity": op4_toxicity,
     "op5_url_filter": op5_url_filter,
     "op6_sharding": op6_sharding,
     "op7_chat_format": op7_chat_format,
     "op8_fingerprints": op8_fingerprints,
     "op9_ngram_join": op9_ngram_join,
+    "op10_warc": op10_warc,
 }
 
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -106,6 +130,16 @@ found AS (SELECT doc_id, list_sort(list(DISTINCT item)) AS its FROM hits GROUP B
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(len(its), 0) AS BIGINT) AS n_items,
   sha256(coalesce(array_to_string(its, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN per USING (doc_id) LEFT JOIN found USING (doc_id)""",
+    "op10_warc": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body, sha1(coalesce(html, '')) AS h FROM pages),
+digits AS (SELECT h, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+    ((CAST('0x' || substr(h, 2 * ((5 * k) // 8) + 1, 2) AS INTEGER) * 256 + CASE WHEN (5 * k) // 8 < 19 THEN CAST('0x' || substr(h, 2 * ((5 * k) // 8) + 3, 2) AS INTEGER) ELSE 0 END)
+      >> (11 - (5 * k) % 8)) & 31 AS INTEGER) + 1, 1), '' ORDER BY k) AS d
+  FROM (SELECT DISTINCT h FROM p), unnest(range(0, 32)) AS r(k) GROUP BY h),
+firsts AS (SELECT h, min(page_id) AS f FROM p GROUP BY h)
+SELECT page_id, CAST(octet_length(body) AS BIGINT) AS payload_bytes, d AS payload_digest, CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> f THEN f END AS refers_to
+FROM p JOIN firsts USING (h) JOIN digits USING (h)""",
     "op5_url_filter": """
 WITH src AS (SELECT page_id, url, CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 p AS (SELECT page_id, coalesce(translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS low,
