@@ -32,7 +32,7 @@ class Settings:
     l1: float = 8.0
     l2: float = 0.1
     epochs: int = 4
-    max_rows: int = 16_000
+    max_rows: int = 12_000
     max_doc_bytes: int = 1 << 18
     skip: int = 2
 
@@ -73,9 +73,9 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, s: Settings) -> tuple[np.nda
         zi, qi = z[at], q[at]
         return np.where(np.abs(zi) <= s.l1, 0.0, -(zi - np.sign(zi) * s.l1) / ((s.beta + np.sqrt(qi)) / s.alpha + s.l2))
 
-    rows = [np.r_[n, r] for r in rows]
     for _ in range(s.epochs):
-        for at, y in zip(rows, labels, strict=True):
+        for row, y in zip(rows, labels, strict=True):
+            at = np.r_[n, row]
             w = weights(at)
             g = _sigmoid(w.sum()) - y
             sigma = (np.sqrt(q[at] + g * g) - np.sqrt(q[at])) / s.alpha
@@ -107,7 +107,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
         for b in batches:
             at += b.column("_at").to_pylist()
             y += b.column("_y").to_pylist()
-            f += [np.frombuffer(x.as_buffer(), np.int32).astype(np.int64) for x in b.column("_f")]
+            f += [np.frombuffer(x.as_buffer(), np.int32) for x in b.column("_f")]  # views, so the sample is held once
         order = sorted(range(len(at)), key=lambda k: (at[k], y[k], f[k].tobytes()))
         slots, w = fit([f[k] for k in order], np.array([y[k] for k in order], float), s)
         yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int32()), pa.array(w, pa.float64())], ["slot", "weight"])
