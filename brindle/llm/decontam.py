@@ -128,8 +128,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, mode: str = "documen
     """The documents' own columns; mode ``documents`` drops each document with a hit, ``spans`` cuts the hit words out."""
     if mode not in ("documents", "spans"):
         raise ValueError(f"mode is documents or spans, not {mode!r}")
-    names = {c: f"k{k}" for k, c in enumerate(docs.columns)}
-    plain = docs.withColumnsRenamed(names)
+    names = {c: f"brindle in {k}" for k, c in enumerate(docs.columns)}
+    plain = docs.toDF(*names.values())
     found = scan(plain, benchmark, id_col=names[id_col], text_col=names[text_col], carry=tuple(v for c, v in names.items() if c not in (id_col, text_col)), **options)
     if mode == "documents":
         found = found.where("n_hit = 0")

@@ -7,8 +7,8 @@ of scores is read off the back pointers.  A character that no piece covers costs
 Where no piece crosses from another character to the space mark, or holds a newline, the best segmentation falls apart
 at those places; the parts repeat much, and each worker keeps the ids of up to ``MEMO`` of them.
 
-A model of kind BPE is scored in the same way, by the greatest sum; that is what the library gives for the
-same pieces as a unigram model, and not the order of merges that the library's own BPE takes.
+A model of kind BPE is scored in the same way, by the greatest sum of its scores; the order of merges that the library's
+own BPE takes may give other ids, with a sum that is never greater.
 
 Spaces become the mark U+2581, of which one more comes first.  Decoding gives the text back exactly, but that a mark in the text itself comes back as a space.
 

@@ -368,8 +368,8 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents' own columns with the repeated strings cut out; a document of which nothing is left goes.  A character that a cut leaves incomplete goes too."""
-    names = {c: f"k{k}" for k, c in enumerate(docs.columns)}
-    found = repeats(docs.withColumnsRenamed(names), id_col=names[id_col], text_col=names[text_col], carry=tuple(v for c, v in names.items() if c not in (id_col, text_col)), **options)
+    names = {c: f"brindle in {k}" for k, c in enumerate(docs.columns)}
+    found = repeats(docs.toDF(*names.values()), id_col=names[id_col], text_col=names[text_col], carry=tuple(v for c, v in names.items() if c not in (id_col, text_col)), **options)
     found = found.where("size(spans) = 0 or length(kept) > 0")
     text = F.expr("case when size(spans) = 0 then cast(kept as string) else replace(make_valid_utf8(cast(kept as string)), '�', '') end")
     return found.select(*[(text if c == text_col else F.col(v)).alias(c) for c, v in names.items()])
