@@ -18,33 +18,46 @@ Defined cases: a null text has null ids and decodes to null; an empty text has n
 from __future__ import annotations
 
 import re
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MEMO = 300_000
+MEMO = 100_000
+ROWS = 512
 SLICE = 1 << 20
 MARK = "▁"
 _built: dict[tuple, PieceModel] = {}
 
 
+class _Memo(dict):
+    """Ids of parts that came before."""
+
+    def __init__(self, model: PieceModel) -> None:
+        self.model = model
+
+    def __missing__(self, part: str) -> bytes:
+        ids = np.array(self.model.segment(part), np.int32).tobytes()
+        if len(part) <= 64:
+            if len(self) >= MEMO:
+                self.clear()
+            self[part] = ids
+        return ids
+
+
 class PieceModel:
     """pieces: (text, score, kind) by id, kind one of normal, byte, unknown, control."""
 
     def __init__(self, pieces: list[tuple[str, float, str]]) -> None:
-        import ahocorasick
-
-        self.machine = ahocorasick.Automaton()
         self.bytes: dict[int, int] = {}
         self.raw: list[bytes] = []
         self.unknown = 0
-        normal = []
+        self.normal = []
         for k, (text, score, kind) in enumerate(pieces):
             if kind == "normal":
-                self.machine.add_word(text, (k, len(text), score))
-                normal.append((text, score))
+                self.normal.append((text, k, score))
                 self.raw.append(text.replace(MARK, " ").encode())
             elif kind == "byte":
                 self.bytes[int(text[3:5], 16)] = k
@@ -53,13 +66,23 @@ class PieceModel:
                 self.raw.append(" ⁇ ".encode() if kind == "unknown" else b"")
                 if kind == "unknown":
                     self.unknown = k
-        self.machine.make_automaton()
-        self.single = {t for t, _ in normal if len(t) == 1}
-        self.penalty = min((s for _, s in normal), default=0.0) - 10.0
-        crosses = any(MARK in t.lstrip(MARK) for t, _ in normal)
-        newline = any("\n" in t for t, _ in normal)
+        self.single = {t for t, _, _ in self.normal if len(t) == 1}
+        self.penalty = min((s for _, _, s in self.normal), default=0.0) - 10.0
+        crosses = any(MARK in t.lstrip(MARK) for t, _, _ in self.normal)
+        newline = any("\n" in t for t, _, _ in self.normal)
         self.parts = None if crosses else re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if newline else f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
-        self.memo: dict[str, bytes] = {}
+        self.memo = _Memo(self)
+
+    @cached_property
+    def machine(self):
+        """The automaton; decoding never needs it."""
+        import ahocorasick
+
+        machine = ahocorasick.Automaton()
+        for text, k, score in self.normal:
+            machine.add_word(text, (k, len(text), score))
+        machine.make_automaton()
+        return machine
 
     def segment(self, text: str) -> list[int]:
         """Ids of the best segmentation of a text whose spaces are marks."""
@@ -100,15 +123,7 @@ class PieceModel:
             hi = min(len(text), lo + SLICE)
             while 0 < hi < len(text) and not (text[hi] == MARK and text[hi - 1] != MARK):
                 hi += 1  # to the next place where the text falls apart
-            for part in self.parts.findall(text[lo:hi]):
-                ids = memo.get(part)
-                if ids is None:
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    ids = np.array(self.segment(part), np.int32).tobytes()
-                    if len(part) <= 64:
-                        memo[part] = ids
-                out.append(ids)
+            out += [memo[part] for part in self.parts.findall(text[lo:hi])]
             lo = hi
         return np.frombuffer(b"".join(out), np.int32)
 
@@ -145,7 +160,9 @@ def _apply(docs: DataFrame, pieces, source: F.Column, out: str, kind: str, work)
     def run(batches):
         model = _model(sent, key)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], work(model, b.columns[-1])], [*b.schema.names[:-1], "_y"])
+            for lo in range(0, b.num_rows, ROWS):
+                part = b.slice(lo, ROWS)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], work(model, part.columns[-1])], [*b.schema.names[:-1], "_y"])
 
     return plain.mapInArrow(run, f"{types}_y {kind}").select(*[F.col(f"_c{k}").alias(c) for k, c in enumerate(names)], F.col("_y").alias(out))
 
