@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import vec
+
 MEMO = 100_000
 ROWS = 512
 SLICE = 1 << 20
@@ -163,6 +165,7 @@ def _apply(docs: DataFrame, pieces, source: F.Column, out: str, kind: str, work)
             for lo in range(0, b.num_rows, ROWS):
                 part = b.slice(lo, ROWS)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], work(model, part.columns[-1])], [*b.schema.names[:-1], "_y"])
+            vec.trim()
 
     return plain.mapInArrow(run, f"{types}_y {kind}").select(*[F.col(f"_c{k}").alias(c) for k, c in enumerate(names)], F.col("_y").alias(out))
 

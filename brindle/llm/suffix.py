@@ -307,15 +307,18 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         return [(r["bucket"], r["keys"]) for r in table.to_pylist() if r["kind"] == kind]
 
     def first(key, table):
+        vec.trim()
         return table_of(_packets(key[0].as_py(), *_Batch(table, length, ranges).suffixes()))
 
     def second(key, left, right):
+        vec.trim()
         if not left.num_rows:
             return table_of([])
         b = _Batch(left, length, ranges)
         return table_of(_packets(key[0].as_py(), *b.blocks(*_flags(came_back(right, "suffix"), b.suffixes()[0]))))
 
     def with_blocks(left, right):
+        vec.trim()
         b = _Batch(left, length, ranges)
         bucket, _, _ = b.blocks(*_flags(came_back(right, "suffix"), b.suffixes()[0]))
         return b, b.strings(*_flags(came_back(right, "block"), bucket, 2))
@@ -344,6 +347,7 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         else:
             ends = np.cumsum(size)
             kept = pa.array([left_over[y - x : y].tobytes() for x, y in zip(size, ends, strict=True)], pa.binary())
+        vec.trim()
         cols = {"_id": b.table.column("_id"), "n_bytes": pa.array(np.diff(b.offsets), pa.int64()), "spans": pa.array(spans, _SPANS), "kept": kept}
         return pa.table(cols | {f"_c{k}": b.table.column(f"_c{k}") for k in range(len(carried))})
 

@@ -9,13 +9,15 @@ except for eight to twenty bytes a word.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 U = np.uint64
 SEGMENT = 1 << 20
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 
 _BYTE = np.arange(256)
 WORD = ((_BYTE >= 0x30) & (_BYTE <= 0x39)) | ((_BYTE >= 0x41) & (_BYTE <= 0x5A)) | ((_BYTE >= 0x61) & (_BYTE <= 0x7A)) | (_BYTE >= 0x80)
@@ -76,13 +78,23 @@ def text_buffer(column) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
+def trim() -> None:
+    """Give freed memory back to the system, as workers stay alive between tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def slices(offsets: np.ndarray, limit: int = CHUNK):
-    """Row ranges of at most limit bytes, or of one row."""
+    """Row ranges of at most limit bytes, or of one row; memory goes back after the last."""
     lo, n = 0, len(offsets) - 1
     while lo < n:
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + limit, "right")) - 1)
         yield lo, hi
         lo = hi
+    trim()
 
 
 def words(data: np.ndarray, offsets: np.ndarray):
