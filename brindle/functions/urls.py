@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from urllib.parse import urljoin
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -121,10 +124,6 @@ def filing_type(title: Column) -> Column:
 
 def resolve(base: Column, target: Column) -> Column:
     """RFC 3986 resolution of a reference, which no built-in function does; Arrow batches."""
-    from urllib.parse import urljoin
-
-    import pandas as pd
-
     @F.pandas_udf("string")
     def join(b: pd.Series, t: pd.Series) -> pd.Series:
         return pd.Series([None if x is None or y is None else urljoin(x, y) for x, y in zip(b, t, strict=True)], dtype=object)

@@ -17,7 +17,8 @@ def cleanup_items(items: DataFrame, as_of: Column) -> DataFrame:
     """Trim texts, lower urls, drop placeholder authors, fill dates, count words: one projection."""
     have = set(items.columns)
     if "url" in have:
-        items = items.withColumn("base_url", F.coalesce(F.nullif(F.col("base_url"), F.lit("")), urls.base_url(F.col("url"))) if "base_url" in have else urls.base_url(F.col("url")))
+        base = urls.base_url(texts.trimmed(F.col("url")))
+        items = items.withColumn("base_url", F.coalesce(F.nullif(F.col("base_url"), F.lit("")), base) if "base_url" in have else base)
         have.add("base_url")
     changes = {c: texts.cleanup_text(F.col(c)) for c in TEXT_FIELDS if c in have}
     changes |= {c: urls.clean(texts.trimmed(F.col(c))) for c in URL_FIELDS if c in have}
