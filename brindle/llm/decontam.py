@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import vec
+from .shared import small_batches
 
 _OWN = "n_words long, spans array<struct<start:long,end:long>>, n_hit long, items array<string>, cleaned string"
 
@@ -55,6 +56,7 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, blo
 
 def scan(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 10, block_mb: int = 32, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row a document: its number of words, hit spans (in bytes of the UTF-8 text), words hit, items found, the text without the spans, and the columns in ``carry`` that have other names."""
+    small_batches(docs.sparkSession)
     blocks = _blocks(benchmark, item_col, item_text_col, window, block_mb)
     carried = [c for c in carry if c not in (id_col, "n_words", "spans", "n_hit", "items", "cleaned")]
     source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"), *[F.col(c).alias(f"_c{k}") for k, c in enumerate(carried)])

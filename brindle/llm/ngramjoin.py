@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from . import vec
 from .components import components
-from .shared import bitmap, cut, maybe_in
+from .shared import bitmap, cut, maybe_in, small_batches
 
 BLOCK = 512
 PACK = 1024
@@ -163,6 +163,7 @@ def _verify(threshold: float):
 
 def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, n: int = 5, recall: float = 0.9995, hashes: int = 240) -> DataFrame:
     """One row a document: id, class_id (the least id linked to it, over any number of links), n_links, class key ``node``."""
+    small_batches(docs.sparkSession)
     bands, rows = choose_bands(threshold, recall, hashes)
     source = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_t"))
     keyed = cut(_keyed(source, bands, rows, n))
@@ -173,7 +174,6 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", thr
     comps = components(candidates).withColumnsRenamed({"root": "comp"})
     sizes = comps.groupBy("comp").agg(F.count(F.lit(1)).alias("members"))
     members = cut(comps.join(sizes, "comp").join(classes, "node").select("node", "comp", "members", "first", "n"))
-    wanted = maybe_in(source.where("_id is not null"), "_id", bitmap(members, "first"))
 
     def sets_of(batches):
         for b in batches:
@@ -186,7 +186,7 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", thr
                 keys = [int.from_bytes(hashlib.blake2b(x.tobytes(), digest_size=8).digest(), "little", signed=True) for x in made]
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), b.column("_id").slice(lo, hi - lo), vec.packed(made)], ["node", "_id", "set"])
 
-    sets = wanted.mapInArrow(sets_of, "node long, _id long, set binary")
+    sets = maybe_in(source.where("_id is not null"), "_id", bitmap(members, "first"), then=sets_of, schema="node long, _id long, set binary")
     full = sets.join(members, (sets["node"] == members["node"]) & (sets["_id"] == members["first"])).select(members["node"], "comp", "members", "n", "set")
     total = members.count()
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")

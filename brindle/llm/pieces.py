@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import vec
+from .shared import small_batches
 
 MEMO = 100_000
 ROWS = 512
@@ -153,6 +154,7 @@ def _model(sent, key) -> PieceModel:
 
 
 def _apply(docs: DataFrame, pieces, source: F.Column, out: str, kind: str, work) -> DataFrame:
+    small_batches(docs.sparkSession)
     names = [c for c in docs.columns if c != out]
     plain = docs.select(*[F.col(c).alias(f"_c{k}") for k, c in enumerate(names)], source.alias("_x"))
     types = "".join(f"{c} {t}, " for c, t in plain.dtypes[:-1])

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BITS = 1 << 25
+ARROW_BYTES = 4 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,6 +32,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Have Spark send texts to Python in batches of 4 MB rather than of 10,000 rows; a smaller setting of the session stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(str(spark.conf.get(key, "67108864")).rstrip("b") or 0) > ARROW_BYTES:
+        spark.conf.set(key, str(ARROW_BYTES))
+
+
 def bit_of(column: str) -> F.Column:
     return F.pmod(F.xxhash64(F.col(column)), F.lit(BITS))
 
@@ -45,15 +53,19 @@ def bitmap(df: DataFrame, column: str) -> bytearray:
     return out
 
 
-def maybe_in(df: DataFrame, column: str, bits: bytearray, keep: bool = True) -> DataFrame:
-    """Rows whose value may be (or with keep=False is surely not) among those of the bitmap; no shuffle."""
+def maybe_in(df: DataFrame, column: str, bits: bytearray, keep: bool = True, then=None, schema=None) -> DataFrame:
+    """Rows whose value may be (or with keep=False is surely not) among those of the bitmap; no shuffle.
+
+    ``then`` (batches -> batches, with its schema) works on what is left, in the same pass.
+    """
     import numpy as np
     import pyarrow as pa
 
+    small_batches(df.sparkSession)
     sent = df.sparkSession.sparkContext.broadcast(bytes(bits))
     marked = df.withColumn("_bit", bit_of(column))
 
-    def run(batches):
+    def left(batches):
         table = np.frombuffer(sent.value, np.uint8)
         for b in batches:
             at = b.column(len(b.columns) - 1).to_numpy(zero_copy_only=False)
@@ -61,4 +73,7 @@ def maybe_in(df: DataFrame, column: str, bits: bytearray, keep: bool = True) ->
             kept = b.filter(pa.array(hit.astype(bool) if keep else ~hit.astype(bool)))
             yield pa.RecordBatch.from_arrays(kept.columns[:-1], kept.schema.names[:-1])
 
-    return marked.mapInArrow(run, df.schema)
+    def run(batches):
+        yield from then(left(batches)) if then else left(batches)
+
+    return marked.mapInArrow(run, schema or df.schema)

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import vec
+from .shared import small_batches
 
 K = 128
 _BITS = 48
@@ -92,6 +93,7 @@ def containment(a, b, k: int = K) -> float:
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = K, n: int = 5) -> DataFrame:
     """id, fingerprint, n_shingles (estimated number of distinct shingles) of each document; no shuffle."""
+    small_batches(docs.sparkSession)
     plain = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_t"))
 
     def run(batches):
@@ -155,6 +157,7 @@ def against_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     Documents go to parts by ranges of ids, once; the first document of each part also goes, as a guest, to the part before, where it is the last one's next.
     A repeated id goes by text; a null id counts as the least.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_t"))
     size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
     cuts = np.array(_cuts(rows.select("_id"), min(20_000, max(1, -(-size // (part_mb << 20))))), np.int64)

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import vec
+from .shared import small_batches
 
 KEY = 32
 BINS = 1 << 16
@@ -280,6 +281,7 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     """One row a document: id, n_bytes, the removed spans (in bytes), the bytes that are kept, and the columns in ``carry`` that have other names."""
     if length < KEY + 4:
         raise ValueError(f"length is at least {KEY + 4}")
+    small_batches(docs.sparkSession)
     carried = [c for c in carry if c not in (id_col, "n_bytes", "spans", "kept")]
     source = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").cast("binary").alias("_bytes"), *[F.col(c).alias(f"_c{k}") for k, c in enumerate(carried)])
     types = dict(source.dtypes)
