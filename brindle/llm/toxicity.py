@@ -1,5 +1,8 @@
 """Toxicity scores: logistic regression trained by FTRL-proximal over hashed word n-grams and skip-grams.
 
+Besides words, pairs and skip-grams, the first four and five bytes of longer words are features (stems), as inflected forms of one
+word share them.
+
 ``train`` fits on a bounded sample: the ``max_rows`` labelled documents that hash lowest by id, of each of
 which all words are used (a document larger than ``max_doc_bytes`` is not drawn).  One task learns them in a fixed order; each coordinate has its own
 learning rate and the L1 term leaves most weights at exactly 0, so the model is a short list of
@@ -20,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import vec
+from .shared import small_batches
 
 _BIAS = 0
 
@@ -29,31 +33,39 @@ class Settings:
     bits: int = 20
     alpha: float = 1.5
     beta: float = 1.0
-    l1: float = 8.0
+    l1: float = 5.0
     l2: float = 0.1
     epochs: int = 4
     max_rows: int = 12_000
     max_doc_bytes: int = 1 << 18
     skip: int = 2
+    stems: tuple[int, ...] = (4, 5)
 
 
-def _slots(hashes: np.ndarray, row: np.ndarray, bits: int, skip: int):
-    """Slot and row of each word, bigram and skip-gram (two words with 1 to ``skip`` between them)."""
-    shift = np.uint64(64 - bits)
+def _slots(data: np.ndarray, offsets: np.ndarray, s: Settings):
+    """Slot and row of each word, stem, bigram and skip-gram (two words with 1 to ``skip`` between them)."""
+    start, end, hashes, row = vec.words(data, offsets)
+    shift = np.uint64(64 - s.bits)
     out, rows = [hashes >> shift], [row]
-    for gap in range(1, skip + 2):
+    for gap in range(1, s.skip + 2):
         if len(hashes) > gap:
             same = row[:-gap] == row[gap:]
             pair = vec.mix(hashes[:-gap] * np.uint64(0x9E3779B97F4A7C15) + hashes[gap:] + np.uint64(gap))
             out.append((pair >> shift)[same])
             rows.append(row[:-gap][same])
+    for n in s.stems:
+        long = np.flatnonzero(end - start > n)
+        stem = np.full(len(long), n, np.uint64)
+        for j in range(n):
+            stem = stem * np.uint64(0x100000001B3) + vec.LOWER_BYTES[data[start[long] + j]]
+        out.append(vec.mix(stem) >> shift)
+        rows.append(row[long])
     return np.concatenate(out).astype(np.int64), np.concatenate(rows)
 
 
 def _features(data: np.ndarray, offsets: np.ndarray, s: Settings) -> list[np.ndarray]:
     """The distinct slots of each row."""
-    _, _, h, row = vec.words(data, offsets)
-    slot, at = _slots(h, row, s.bits, s.skip)
+    slot, at = _slots(data, offsets, s)
     key = np.unique(at * (1 << s.bits) + slot)
     cut = np.searchsorted(key, np.arange(len(offsets)) << s.bits)
     key &= (1 << s.bits) - 1
@@ -89,6 +101,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, s: Settings) -> tuple[np.nda
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", settings: Settings = Settings()) -> DataFrame:
     """The model as a DataFrame (slot int, weight double)."""
+    small_batches(docs.sparkSession)
     s = settings
     drawn = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("_y"))
     drawn = drawn.withColumn("_at", F.xxhash64(F.col("_id").cast("string"))).orderBy("_at", "_id").limit(s.max_rows)  # bounded: max_rows ids
@@ -117,6 +130,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
 
 def score(docs: DataFrame, model: DataFrame, *, text_col: str = "text", score_col: str = "score", settings: Settings = Settings()) -> DataFrame:
     """The documents with one more column, the chance that a text is toxic; a column of that name is replaced."""
+    small_batches(docs.sparkSession)
     s = settings
     table = np.zeros(1 << s.bits, np.float32)
     bias = 0.0
@@ -139,8 +153,7 @@ def score(docs: DataFrame, model: DataFrame, *, text_col: str = "text", score_co
             data, offsets = vec.text_buffer(b.column("_t"))
             total = np.full(len(offsets) - 1, b0)
             for lo, hi in vec.slices(offsets):
-                _, _, h, row = vec.words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-                slot, at = _slots(h, row, s.bits, s.skip)
+                slot, at = _slots(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], s)
                 hit = full[slot] != 0
                 key = np.unique(at[hit] * (1 << s.bits) + slot[hit])
                 total[lo:hi] += np.bincount(key >> s.bits, full[key & ((1 << s.bits) - 1)], minlength=hi - lo)
