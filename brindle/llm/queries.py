@@ -130,6 +130,17 @@ found AS (SELECT doc_id, list_sort(list(DISTINCT item)) AS its FROM hits GROUP B
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(len(its), 0) AS BIGINT) AS n_items,
   sha256(coalesce(array_to_string(its, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN per USING (doc_id) LEFT JOIN found USING (doc_id)""",
+    "op9_ngram_join": f"""
+WITH RECURSIVE w AS (SELECT doc_id, coalesce({_WORDS}, []) AS ws, coalesce(text, '') AS t FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(ws[k:k + 4], ' ') AS s FROM w, unnest(range(1, greatest(len(ws) - 3, 2))) AS r(k) WHERE len(ws) > 0 UNION ALL SELECT doc_id, chr(10) || t FROM w WHERE len(ws) = 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh AS a JOIN sh AS b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+linked AS (SELECT x, y FROM pairs JOIN sizes AS p ON p.doc_id = x JOIN sizes AS q ON q.doc_id = y WHERE c >= 0.8 * (p.n + q.n - c) - 1e-9),
+both_ways AS (SELECT x, y FROM linked UNION ALL SELECT y, x FROM linked),
+reach(x, root) AS (SELECT DISTINCT x, x FROM both_ways UNION SELECT b.y, r.root FROM reach AS r JOIN both_ways AS b ON b.x = r.x),
+classes AS (SELECT x, min(root) AS class_id FROM reach GROUP BY x),
+counts AS (SELECT x, count(*) AS n FROM both_ways GROUP BY x)
+SELECT w.doc_id, coalesce(class_id, w.doc_id) AS class_id, coalesce(n, 0) AS n_links FROM w LEFT JOIN classes ON classes.x = w.doc_id LEFT JOIN counts ON counts.x = w.doc_id""",
     "op10_warc": """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body, sha1(coalesce(html, '')) AS h FROM pages),
 digits AS (SELECT h, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
@@ -160,15 +171,16 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   CAST(coalesce(sum(upto) FILTER (WHERE role = 'assistant'), 0) + CASE WHEN coalesce(max(last), 0) < max(n) THEN max(upto) ELSE 0 END AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id""",
     "op2_suffix_dedup": """
-WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, hex(encode(coalesce(text, ''))) AS h FROM documents),
-pos AS (SELECT doc_id, k, substr(h, 2 * k + 1, 100) AS w FROM docs, unnest(range(0, len(h) // 2 - 49)) AS r(k)),
-firsts AS (SELECT w, min(doc_id) AS d FROM pos GROUP BY w HAVING count(*) > 1),
-cut AS (SELECT DISTINCT doc_id, k + j AS b FROM (SELECT pos.doc_id, k FROM pos JOIN firsts USING (w) WHERE firsts.d < pos.doc_id), unnest(range(0, 50)) AS r(j)),
-per AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE b <> before + 1 OR before IS NULL) AS n_spans
-  FROM (SELECT doc_id, b, lag(b) OVER (PARTITION BY doc_id ORDER BY b) AS before FROM cut) GROUP BY doc_id),
-bytes AS (SELECT doc_id, b, substr(h, 2 * b + 1, 2) AS x FROM docs, unnest(range(0, len(h) // 2)) AS r(b) WHERE doc_id IN (SELECT doc_id FROM per)),
-kept AS (SELECT doc_id, string_agg(x, '' ORDER BY b) AS hx FROM bytes ANTI JOIN cut USING (doc_id, b) GROUP BY doc_id)
-SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
-  CASE WHEN n_removed IS NULL THEN sha256(t) ELSE sha256(unhex(coalesce(hx, ''))) END AS kept_sha256
-FROM docs LEFT JOIN per USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+WITH docs AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+pos AS (SELECT doc_id, k, b[k + 1:k + 50] AS w FROM docs, unnest(range(0, octet_length(b) - 49)) AS r(k)),
+firsts AS (SELECT w, min(doc_id) AS d FROM pos GROUP BY w HAVING min(doc_id) < max(doc_id)),
+hits AS (SELECT doc_id, k FROM pos JOIN firsts USING (w) WHERE d < doc_id),
+runs AS (SELECT doc_id, k, sum(CASE WHEN k <= before + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY k) AS run
+  FROM (SELECT doc_id, k, lag(k) OVER (PARTITION BY doc_id ORDER BY k) AS before FROM hits)),
+spans AS (SELECT doc_id, run, min(k) AS s, max(k) + 50 AS e FROM runs GROUP BY doc_id, run),
+gaps AS (SELECT doc_id, s, e, lag(e, 1, 0) OVER (PARTITION BY doc_id ORDER BY s) AS before FROM spans),
+per AS (SELECT doc_id, sum(e - s) AS n_removed, count(*) AS n_spans, max(e) AS last, string_agg(hex(b[before + 1:s]), '' ORDER BY s) AS head FROM gaps JOIN docs USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(head, '') || hex(b[coalesce(last, 0) + 1:octet_length(b)]))) AS kept_sha256
+FROM docs LEFT JOIN per USING (doc_id)""",
 }
