@@ -408,5 +408,73 @@ def prompt_render(spark, d):
     return b.select("url", port.render(b, ["url", "created", "regions", "missing"]).alias("prompt"))
 
 
+@_query(f"WITH {_BEANS} SELECT url, list_sort(list_distinct(list_concat(list_concat(regions, entities), categories))) AS tags, array_to_string(list_concat(list_concat(regions, entities), categories), ' ') AS words FROM beans")
+def tags_merged(spark, d):
+    b = a.beans(spark, d, content=False)
+    three = [F.col(c) for c in ("regions", "entities", "categories")]
+    return b.select("url", F.array_sort(texts.merge_lists(*three)).alias("tags"), texts.tags_to_text(*three).alias("words"))
+
+
+@_query(f"WITH {_BEANS} SELECT kind, source, count(*) AS n, list_sort(list(DISTINCT categories[1])) AS langs FROM beans GROUP BY kind, source")
+def tags_per_source(spark, d):
+    return a.beans(spark, d, content=False).groupBy("kind", "source").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_set(F.col("categories")[0])).alias("langs"))
+
+
+@_query(f"WITH {_VECTORS}, q AS (SELECT v FROM vectors WHERE id = 7), near AS (SELECT b.url, b.created, list_cosine_distance(CAST(b.embedding AS DOUBLE[]), q.v) AS d FROM ({{beans}}) b, q WHERE b.kind = 'news' AND b.embedding IS NOT NULL ORDER BY 3, 1 LIMIT 25) SELECT url, created, round(CASE WHEN max(d) OVER () > min(d) OVER () THEN (max(d) OVER () - d) / (max(d) OVER () - min(d) OVER ()) ELSE 1 END, 6) AS relevance FROM near".replace("{beans}", "SELECT 'doc://' || CAST(doc_id AS VARCHAR) AS url, CASE WHEN doc_id % 3 = 0 THEN 'blog' ELSE 'news' END AS kind, TIMESTAMP '2024-01-01' + to_days(CAST(doc_id % 30 AS INTEGER)) AS created, embedding FROM documents LEFT JOIN embeddings ON vec_id = doc_id"))
+def vec_filter_rerank(spark, d):
+    near = query.select(a.beans(spark, d, content=False).where("embedding is not null"), query.QuerySpec(kind="news", embedding=_probe(spark, d), limit=25, order=[F.col("url")]))
+    return query.reranked(near).select("url", "created", F.round("relevance", 6).alias("relevance"))
+
+
+@_query(f"WITH {_BEANS}, {_VECTORS} SELECT url, created FROM beans, (SELECT v AS q FROM vectors WHERE id = 7) WHERE embedding IS NOT NULL AND list_cosine_distance(CAST(embedding AS DOUBLE[]), q) <= 0.9 AND kind IN ('news', 'blog') ORDER BY created DESC, url LIMIT 40")
+def sips_in_radius(spark, d):
+    b = a.beans(spark, d, content=False).withColumn("id", F.col("url"))
+    return query.sips(b, query.QuerySpec(kind=["news", "blog"], embedding=_probe(spark, d), distance=0.9, limit=40, columns=["url", "created"])).drop("distance")
+
+
+@_query("SELECT page_id, CASE WHEN regexp_matches(url, '//www\\.') THEN NULL ELSE regexp_replace(url, '^([a-z]+://)', '\\1www.') END AS www, regexp_replace(url, '^.*/', '') AS last FROM (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS url FROM pages)".replace("\\\\", "\\"))
+def url_forms(spark, d):
+    u = urls.without_query(F.col("url"))
+    return a.table(spark, d, "pages").select("page_id", urls.with_www(u).alias("www"), F.substring_index(u, "/", -1).alias("last"))
+
+
+@_query("SELECT page_id, url IS NULL OR url = '' OR regexp_matches(url, '\\.(png|jpeg|jpg|gif|webp|mp4|avi|mkv|mp3|wav)$') OR regexp_matches(url, '/video(s)?/') OR regexp_matches(url, '/image(s)?/') OR regexp_matches(url, '://[^/?#]+\\.(ru|su)([:/?#]|$)') AS excluded FROM pages")
+def url_excluded(spark, d):
+    return a.table(spark, d, "pages").select("page_id", urls.excluded(F.col("url")).alias("excluded"))
+
+
+@_query("SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1, 2 HAVING count(*) > 20")
+def events_per_day(spark, d):
+    e = a.table(spark, d, "events")
+    return e.groupBy("event_type", F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("users")).where("n > 20")
+
+
+@_query("WITH r AS (SELECT o_custkey, o_orderkey, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders) SELECT o_custkey, o_orderkey, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 2")
+def top_per_group(spark, d):
+    o = a.table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    return trend.top_per_group(o, "o_custkey", [F.col("o_totalprice").desc(), F.col("o_orderkey")], 2).select("o_custkey", "o_orderkey", "rank")
+
+
+@_query(f"WITH {_BEANS} SELECT url, sha1(url) AS h, '2024_02_01_' || sha1(content) AS composite_id FROM beans")
+def dated_ids(spark, d):
+    return a.beans(spark, d).select("url", F.sha1(F.col("url").cast("binary")).alias("h"), urls.dated_id(F.col("content"), a.as_of()).alias("composite_id"))
+
+
+@_query(f"WITH {_STATE} SELECT state, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts FROM state GROUP BY state")
+def state_summary(spark, d):
+    return a.state(spark, d).groupBy("state").agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+
+
+@_query(f"WITH {_STATE}, ids AS (SELECT DISTINCT id FROM state WHERE id LIKE '1%'), want AS (SELECT id, s AS state FROM ids, (VALUES ('view'), ('done')) AS v(s)) SELECT id, want.state, TIMESTAMP '2024-02-01' AS ts, '{{{{}}}}' AS data FROM want ANTI JOIN state USING (id, state)".replace("{{}}", "{}"))
+def state_mark_done(spark, d):
+    s = a.state(spark, d)
+    return state.mark_done(s, s.where("id like '1%'").select("id").distinct(), ["view", "done"], a.as_of()).select("id", "state", "ts", "data")
+
+
+@_query(f"WITH {_BEANS} SELECT url, created, kind FROM beans WHERE kind = 'blog' AND created BETWEEN TIMESTAMP '2024-01-04' AND TIMESTAMP '2024-01-07' ORDER BY created DESC, url")
+def filter_created_range(spark, d):
+    return query.latest(a.beans(spark, d, content=False), query.QuerySpec(created=("2024-01-04 00:00:00", "2024-01-07 00:00:00"), equals={"kind": "blog"}, columns=["url", "created", "kind"]))
+
+
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     return trending_topk(spark, d)
