@@ -15,7 +15,7 @@ from ..schemas import DIGEST
 
 # The states of an item.
 COLLECTED, EMBEDDED, EXTRACTED, DIGESTED, CLUSTERED, CONSOLIDATED = "collected", "embedded", "extracted", "digested", "clustered", "consolidated"
-BEANSACKED, CUPBOARDED = "beansacked", "cupboarded"
+STORED, SERVED = "stored", "served"
 BEAN_FIELDS = {"url": "string", "title": "string", "content": "string", "summary": "string", "source": "string", "base_url": "string", "kind": "string", "author": "string", "created": "timestamp", "collected": "timestamp"}
 
 
@@ -100,12 +100,12 @@ def consolidate(state_table: DataFrame, as_of: Column, *, number: Callable[[Data
 def port_beans(state_table: DataFrame, beans: DataFrame, as_of: Column, settings: Settings = DEFAULTS) -> dict[str, DataFrame]:
     """Rows to append to the serving store, and marks; trends are refreshed after by refresh_trends."""
     fields = BEAN_FIELDS | {"embedding": "array<float>", "categories": "array<string>", "sentiments": "array<string>", "regions": "array<string>", "people": "array<string>", "companies": "array<string>", "products": "array<string>", "stock_tickers": "array<string>"}
-    merged = state.get_many(state_table, [COLLECTED, EMBEDDED, EXTRACTED], BEANSACKED, fields=fields, object_type="beans", window_days=settings.processing_window_days, as_of=as_of, limit=settings.processing_limit)
+    merged = state.get_many(state_table, [COLLECTED, EMBEDDED, EXTRACTED], STORED, fields=fields, object_type="beans", window_days=settings.processing_window_days, as_of=as_of, limit=settings.processing_limit)
     rows = port.beans(merged).where(search.valid(F.col("embedding"), settings.vector_len))
     from ..operators import store
 
     new = store.insert_ignore(beans, rows.select(*[c for c in beans.columns if c in rows.columns]), ["url"])
-    return {"beans": new, "marks": state.mark_done(state_table, merged.select("id"), [BEANSACKED], as_of)}
+    return {"beans": new, "marks": state.mark_done(state_table, merged.select("id"), [STORED], as_of)}
 
 
 def refresh_trends(beans: DataFrame, chatters: DataFrame, related: DataFrame, as_of: Column) -> DataFrame:
@@ -115,9 +115,9 @@ def refresh_trends(beans: DataFrame, chatters: DataFrame, related: DataFrame, as
 def port_sips(state_table: DataFrame, sips: DataFrame, as_of: Column, settings: Settings = DEFAULTS) -> dict[str, DataFrame]:
     """Events of digested items, and marks."""
     fields = BEAN_FIELDS | {"embedding": "array<float>", "categories": "array<string>", "regions": "array<string>", "people": "array<string>", "companies": "array<string>", "products": "array<string>", "stock_tickers": "array<string>", "briefing": "string", "events": "array<string>", "event_type": "string", "impact_level": "string"}
-    merged = state.get_many(state_table, [COLLECTED, EMBEDDED, EXTRACTED, DIGESTED], CUPBOARDED, fields=fields, object_type="beans", window_days=settings.processing_window_days, as_of=as_of, limit=settings.processing_limit)
+    merged = state.get_many(state_table, [COLLECTED, EMBEDDED, EXTRACTED, DIGESTED], SERVED, fields=fields, object_type="beans", window_days=settings.processing_window_days, as_of=as_of, limit=settings.processing_limit)
     made = port.events(merged, digest_fields=["briefing", "events", "event_type", "impact_level", "people", "companies", "products", "regions"], tag_fields=["regions", "people", "companies", "products", "categories"], max_tags=settings.max_tags)
-    return {"sips": port.storable_sips(sips, made, settings.vector_len), "marks": state.mark_done(state_table, merged.select("id"), [CUPBOARDED], as_of)}
+    return {"sips": port.storable_sips(sips, made, settings.vector_len), "marks": state.mark_done(state_table, merged.select("id"), [SERVED], as_of)}
 
 
 def backfill_ids(df: DataFrame, url_col: str = "url", id_col: str = "id") -> DataFrame:
