@@ -17,7 +17,7 @@ a smaller id.  Documents are dealt into batches of consecutive ids, of about ``b
 
 What is shuffled: the texts once (all passes reuse that exchange), four bytes a suffix, twelve a shared block, eight a string at the edges of shared passages.
 A key counts once a batch, so copies cannot make a range hot, and no task holds more than a batch or a key range.
-Nothing is collected but the histogram of text sizes by id (at most ``BINS`` rows).
+Nothing is collected but the first id of each batch.
 
 Two strings that differ could be taken for equal only if both hashes agree (64 bits and the range): at 10^10 strings
 the chance that it happens anywhere is about 1 in 500.
@@ -37,7 +37,6 @@ from . import vec
 from .shared import small_batches
 
 KEY = 32
-BINS = 1 << 16
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
@@ -70,16 +69,30 @@ class LevelFamily:
 
 
 def _batches(sized: DataFrame, batch_mb: int) -> list:
-    """Upper bounds (exclusive) of the id ranges, from a histogram of bytes by id with at most BINS bins."""
-    low, high, total = sized.agg(F.min("_id"), F.max("_id"), F.sum("_n")).first()
-    if low is None:
-        return []
-    step = max(1, -(-(high - low + 1) // BINS))
-    bins = sized.where("_id is not null").groupBy(F.expr(f"cast((cast(_id as decimal(20)) - {low}) div {step} as bigint)").alias("b")).agg(F.sum("_n").alias("n")).orderBy("b").collect()
-    bounds, size = [], 0
-    for b, n in bins:
-        if size and size + n > batch_mb << 20:
-            bounds.append(low + b * step)
+    """First ids of the batches but the first.  Ids and sizes alone are sorted by ranges; each range gives its stretches of about batch_mb, one row each, and small neighbours merge here."""
+    limit = batch_mb << 20
+    parts = int(sized.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def stretches(batches):
+        first, last, size, out = None, None, 0, []
+        for b in batches:
+            for i, n in zip(b.column("_id").to_pylist(), b.column("_n").to_pylist(), strict=True):
+                if first is None:
+                    first = i
+                elif i != last and size + n > limit:
+                    out.append((first, size))
+                    first, size = i, 0
+                last, size = i, size + n
+        if first is not None:
+            out.append((first, size))
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([n for _, n in out], pa.int64())], ["first", "size"])
+
+    rows = sized.where("_id is not null").repartitionByRange(parts, "_id").sortWithinPartitions("_id").mapInArrow(stretches, "first long, size long")
+    bounds, size = [], None
+    for first, n in sorted((r["first"], r["size"]) for r in rows.toLocalIterator()):  # one row a batch
+        if size is None or size + n > limit:
+            if size is not None:
+                bounds.append(first)
             size = 0
         size += n
     return bounds
