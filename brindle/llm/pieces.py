@@ -5,7 +5,7 @@ that ends at a position relaxes the best score there (longest first, and a tie k
 of scores is read off the back pointers.  A character that no piece covers costs the least score minus 10 and becomes its bytes' pieces.
 
 Where no piece crosses from another character to the space mark, or holds a newline, the best segmentation falls apart
-at those places; the parts repeat much, and each worker keeps the ids of up to ``MEMO`` of them.
+at those places; the parts repeat much, and each worker keeps the ids of those it met last, at most twice ``MEMO`` of them.
 
 A model of kind BPE is scored in the same way, by the greatest sum of its scores; the order of merges that the library's
 own BPE takes may give other ids, with a sum that is never greater.
@@ -18,6 +18,7 @@ Defined cases: a null text has null ids and decodes to null; an empty text has n
 from __future__ import annotations
 
 import re
+from array import array
 from functools import cached_property
 
 import numpy as np
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from . import vec
 from .shared import small_batches
 
-MEMO = 100_000
+MEMO = 150_000
 ROWS = 512
 SLICE = 1 << 20
 MARK = "▁"
@@ -36,15 +37,19 @@ _built: dict[tuple, PieceModel] = {}
 
 
 class _Memo(dict):
-    """Ids of parts that came before."""
+    """Ids of parts that came before, in two generations: what is still used moves on when the younger one is full."""
 
     def __init__(self, model: PieceModel) -> None:
         self.model = model
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, part: str) -> bytes:
-        ids = np.array(self.model.segment(part), np.int32).tobytes()
+        ids = self.old.get(part)
+        if ids is None:
+            ids = array("i", self.model.segment(part)).tobytes()
         if len(part) <= 64:
             if len(self) >= MEMO:
+                self.old = dict(self)
                 self.clear()
             self[part] = ids
         return ids
@@ -91,6 +96,24 @@ class PieceModel:
         """Ids of the best segmentation of a text whose spaces are marks."""
         n = len(text)
         best, start, piece = [0.0] + [-float("inf")] * n, [0] * (n + 1), [-1] * (n + 1)
+        if self.single.issuperset(text):  # every character is a piece, so every place is reached
+            for end, (pid, size, score) in self.machine.iter(text):
+                end += 1
+                v = best[end - size] + score
+                if v > best[end]:
+                    best[end], start[end], piece[end] = v, end - size, pid
+        else:
+            self._with_unknown(text, best, start, piece)
+        out: list[int] = []
+        while n:
+            if piece[n] >= 0:
+                out.append(piece[n])
+            else:
+                out += [self.bytes.get(x, self.unknown) for x in reversed(text[start[n] : n].encode("utf-8", "replace"))]
+            n = start[n]
+        return out[::-1]
+
+    def _with_unknown(self, text: str, best: list[float], start: list[int], piece: list[int]) -> None:
         done = 0
 
         def rest(upto: int) -> None:  # characters that are no piece
@@ -105,15 +128,7 @@ class PieceModel:
             v = best[end + 1 - size] + score
             if v > best[end + 1]:
                 best[end + 1], start[end + 1], piece[end + 1] = v, end + 1 - size, pid
-        rest(n)
-        out: list[int] = []
-        while n:
-            if piece[n] >= 0:
-                out.append(piece[n])
-            else:
-                out += [self.bytes.get(x, self.unknown) for x in reversed(text[start[n] : n].encode("utf-8", "replace"))]
-            n = start[n]
-        return out[::-1]
+        rest(len(text))
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
