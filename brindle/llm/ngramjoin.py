@@ -66,7 +66,7 @@ def _signatures(g: np.ndarray, begin: np.ndarray, n: int) -> np.ndarray:
 
 
 def _keyed(docs: DataFrame, bands: int, rows: int, n: int) -> DataFrame:
-    """_id, node (64-bit set key), size of the set, band hashes."""
+    """_id, node (64-bit set key), band hashes."""
 
     def run(batches):
         for b in batches:
@@ -95,9 +95,9 @@ def _keyed(docs: DataFrame, bands: int, rows: int, n: int) -> DataFrame:
                 counts = np.zeros(m + 1, np.int32)
                 counts[full + 1] = bands
                 lists = pa.ListArray.from_arrays(pa.array(np.cumsum(counts, dtype=np.int32)), pa.array(keys.T.reshape(-1).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([b.column("_id").slice(lo, m), pa.array(node), pa.array(size, pa.int32()), lists], ["_id", "node", "size", "bands"])
+                yield pa.RecordBatch.from_arrays([b.column("_id").slice(lo, m), pa.array(node), lists], ["_id", "node", "bands"])
 
-    return docs.mapInArrow(run, "_id long, node long, size int, bands array<long>")
+    return docs.mapInArrow(run, "_id long, node long, bands array<long>")
 
 
 def _linked(sets: list[np.ndarray], split: int, threshold: float) -> np.ndarray:
@@ -167,8 +167,10 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", thr
     bands, rows = choose_bands(threshold, recall, hashes)
     source = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_t"))
     keyed = cut(_keyed(source, bands, rows, n))
-    classes = cut(keyed.groupBy("node").agg(F.min("_id").alias("first"), F.count(F.lit(1)).alias("n"), F.max("size").alias("size")))
-    reps = keyed.join(classes.select("node", "first"), "node").where(F.col("_id") == F.col("first")).select("node", F.explode("bands").alias("band"))
+    # copies combine before the shuffle; their bands are the same
+    classes = cut(keyed.groupBy("node").agg(F.min("_id").alias("first"), F.count(F.lit(1)).alias("n"), F.min_by("bands", "_id").alias("bands")))
+    reps = classes.select("node", F.explode("bands").alias("band"))
+    classes = classes.drop("bands")
     least = reps.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("band", "low")
     candidates = reps.join(least, "band").where("node <> low").select(F.col("node").alias("src"), F.col("low").alias("dst"))
     comps = components(candidates).withColumnsRenamed({"root": "comp"})
@@ -204,7 +206,9 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", thr
     known = final.join(classes, "node")
     least_id = known.groupBy("root").agg(F.min("first").alias("class_id"))
     told = cut(final.join(least_id, "root").join(links, "node", "left").select("node", "class_id", "links"))
+    # cut, so that the last join has two plain shuffles and Spark can split a class with very many copies
     per_class = classes.join(told, "node", "left").select("node", F.coalesce("class_id", "first").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"))
+    per_class = cut(per_class)
     return keyed.select("_id", "node").join(per_class, "node").select(F.col("_id").alias(id_col), "class_id", "n_links", "node")
 
 
