@@ -35,10 +35,13 @@ def _not_done(queue: DataFrame, state: DataFrame, exclude) -> DataFrame:
     return queue
 
 
-def get_one(state: DataFrame, include: str, exclude=None, *, object_type: str | None = None, ids=None, window_days: int = 0, as_of: Column | None = None, limit: int = 0, offset: int = 0) -> DataFrame:
-    """Rows in one state that are in none of the excluded ones."""
+def get_one(state: DataFrame, include: str, exclude=None, *, object_type: str | None = None, ids=None, window_days: int = 0, as_of: Column | None = None, conditions: dict | None = None, limit: int = 0, offset: int = 0) -> DataFrame:
+    """Rows in one state that are in none of the excluded ones; conditions are values, or lists of values, of payload fields."""
     everything = state if object_type is None else _scope(state, object_type, None, 0, None)
     rows = _scope(everything, None, ids, window_days, as_of).where((F.col("state") == include) & F.col("data").isNotNull())
+    for name, value in (conditions or {}).items():
+        found = field(name, "string")
+        rows = rows.where(found.isin([str(v) for v in value]) if isinstance(value, (list, tuple, set)) else found == str(value))
     return _paged(_not_done(rows, everything, exclude), limit, offset).select("id", "ts", "data")
 
 

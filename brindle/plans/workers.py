@@ -139,3 +139,22 @@ def reembed(df: DataFrame, categories: DataFrame, *, build: Callable = providers
     """Vectors and labels for rows that lack a vector."""
     made = providers.embed(df.where("embedding is null").drop("embedding", "categories"), build)
     return made.join(search.nearest_labels(made.select("id", "embedding"), categories, k=settings.classification_limit).withColumnRenamed("labels", "categories"), "id", "left")
+
+
+def hydrate_vectors(collection: DataFrame, beans: DataFrame, as_of: Column, *, days: int = 90) -> DataFrame:
+    """Rows to append to a vector collection (id, ts, embedding): recent beans that it lacks."""
+    from ..operators import store
+
+    recent = beans.where((F.col("created") >= as_of - F.expr(f"INTERVAL {days} DAYS")) & F.col("embedding").isNotNull())
+    return store.insert_ignore(collection, recent.select(F.col("url").alias("id"), F.col("created").alias("ts"), "embedding"), ["id"])
+
+
+def update_embeddings(beans: DataFrame, updates: DataFrame, categories: DataFrame, sentiments: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """The beans with new vectors (url, embedding) and the labels nearest to them."""
+    from ..operators import store
+
+    new = updates.where(search.valid(F.col("embedding"), settings.vector_len)).dropDuplicates(["url"])
+    for name, labels in (("categories", categories), ("sentiments", sentiments)):
+        found = search.nearest_labels(new.select("url", "embedding"), labels, k=settings.classification_limit, id_col="url", label_col="id").withColumnRenamed("labels", name)
+        new = new.join(found, "url", "left")
+    return store.merge_partial(beans, new, ["url"])

@@ -170,6 +170,26 @@ def analyse(df: DataFrame, schema: str, build: Callable[[], Analyst] = LeadAnaly
     return raw.withColumn(out, F.from_json(F.regexp_replace(F.col(out), r"^\s*```(?:json)?\s*|\s*```\s*$", ""), schema))
 
 
+def json_schema(schema: str) -> dict:
+    """The JSON schema of a DDL schema, for models that answer by schema."""
+    from pyspark.sql import types as T
+
+    plain = {"string": "string", "boolean": "boolean", "double": "number", "float": "number"}
+
+    def of(t) -> dict:
+        if isinstance(t, T.StructType):
+            return {"type": "object", "properties": {f.name: of(f.dataType) for f in t.fields}, "required": [f.name for f in t.fields if not f.nullable]}
+        if isinstance(t, T.ArrayType):
+            return {"type": "array", "items": of(t.elementType)}
+        if isinstance(t, T.MapType):
+            return {"type": "object", "additionalProperties": of(t.valueType)}
+        if isinstance(t, (T.DateType, T.TimestampType)):
+            return {"type": "string", "format": "date" if isinstance(t, T.DateType) else "date-time"}
+        return {"type": plain.get(t.typeName(), "integer")}
+
+    return of(T._parse_datatype_string(schema))
+
+
 #: Providers by URI prefix.
 EMBEDDERS: dict[str, Callable[[str], Callable[[], Embedder]]] = {"hash://": lambda rest: lambda: HashEmbedder(int(rest or 320))}
 

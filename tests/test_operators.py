@@ -51,6 +51,7 @@ def test_state_queue_invariants(states):
     done = state.mark_done(states, states.select("id"), ["embedded"], AS_OF)
     assert state.get_one(states.select("id", "state", "ts", "data").unionByName(done), "collected", "embedded").count() == 0
     assert [r.id for r in state.get_one(states, "collected", limit=2, offset=3).collect()] == ["u3", "u4"]
+    assert ids(state.get_one(states, "collected", conditions={"n": [2, 5], "s": "old"})) == ["u2", "u5"]
 
 
 def test_state_merge_keeps_truthy_values(states):
@@ -248,6 +249,21 @@ def test_providers(spark):
     assert len(providers.embed_query("q")) == 320 and providers.embedder("hash://16")().size == 16
 
 
+def test_backfills(spark):
+    cfg = Settings(vector_len=2)
+    beans = spark.createDataFrame([("a", NOW, [1.0, 0.0], ["old"], None), ("b", ago(200), [0.0, 1.0], None, None), ("c", NOW, None, None, None)], "url string, created timestamp, embedding array<float>, categories array<string>, sentiments array<string>")
+    have = spark.createDataFrame([], "id string, ts timestamp, embedding array<float>")
+    assert ids(workers.hydrate_vectors(have, beans, AS_OF)) == ["a"]
+    labels = spark.createDataFrame([("Up Side", [0.0, 1.0]), ("x", [1.0, 0.0])], "id string, embedding array<float>")
+    got = {r.url: r for r in workers.update_embeddings(beans, spark.createDataFrame([("c", [0.1, 1.0]), ("a", [1.0])], "url string, embedding array<float>"), labels, labels, cfg).collect()}
+    assert got["c"].categories == ["up_side", "x"] and got["a"].categories == ["old"] and len(got) == 3
+    assert workers.backfill_ids(beans).where("length(id) = 36").count() == 3
+    tags = spark.createDataFrame([(["!a!", "a", "..", "b c"],)], "regions array<string>")
+    assert workers.clean_tag_columns(tags).first().regions == ["a", "b c"]
+    assert workers.promote_column(beans.withColumn("v2", F.lit(1)), "v2", "embedding").columns[-1] == "embedding"
+    assert providers.json_schema("a string, b array<int>, c date")["properties"]["b"] == {"type": "array", "items": {"type": "integer"}}
+
+
 def test_workers_end_to_end(spark):
     text = "Jane of ACME met the board in Paris. The plan was set. Profit grew. " * 20
     items = spark.createDataFrame([(f"https://s{k % 2}.com/{k}", f"Story {k}", text + f" variant {k}", "s", "news", ago(1)) for k in range(6)], "url string, title string, content string, source string, kind string, created timestamp")
