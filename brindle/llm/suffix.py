@@ -37,7 +37,6 @@ from . import vec
 from .shared import small_batches
 
 KEY = 32
-_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
 class LevelFamily:
@@ -132,7 +131,7 @@ def _spread(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _several(keys: np.ndarray, rank: np.ndarray):
     """Distinct keys, whether a key is in several documents, the least document of each, and the key of each item."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     begin, group = _spread(keys[order])
     if not len(begin):
         return keys[:0], np.zeros(0, bool), rank[:0], np.zeros(0, np.int64)
@@ -207,16 +206,19 @@ class _Batch:
         self.sent = np.argsort(bucket, kind="stable")
         return bucket[self.sent], keys[self.sent]
 
-    def covered(self, earlier: np.ndarray) -> np.ndarray:
-        """Which bytes go, from the bits for the strings sent."""
+    def spans(self, earlier: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, end and row of each maximal stretch of bytes that goes, from the bits for the strings sent."""
         known = np.empty(len(earlier), bool)
         known[self.sent] = earlier
         hit = self.at[self.inside_batch | known[self.string]]
         runs = self.runs[self.copied]
-        cover = np.zeros(len(self.data) + 1, np.int32)
-        np.add.at(cover, np.r_[hit, self.start[runs]], 1)
-        np.add.at(cover, np.r_[hit + self.length, self.start[runs] + self.count[runs] + self.length - 1], -1)
-        return np.cumsum(cover)[:-1] > 0
+        s = np.r_[hit, self.start[runs]]
+        order = np.argsort(s, kind="stable")
+        s = s[order]
+        e = np.maximum.accumulate(np.r_[hit + self.length, self.start[runs] + self.count[runs] + self.length - 1][order])
+        row = np.searchsorted(self.offsets, s, "right") - 1
+        new = np.r_[True, (s[1:] > e[:-1]) | (row[1:] != row[:-1])][: len(s)]
+        return s[new], e[np.r_[new[1:], True]] if len(s) else e, row[new]
 
 
 def _expand(first: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -343,27 +345,20 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
     def last(left, right):
         b, (bucket, _) = with_blocks(left, right)
-        gone = b.covered(*_flags(came_back(right, "string"), bucket))
+        begin, end, owner = b.spans(*_flags(came_back(right, "string"), bucket))
         n = b.table.num_rows
-        row = np.repeat(np.arange(n), np.diff(b.offsets))
-        edge = np.r_[True, (gone[1:] != gone[:-1]) | (row[1:] != row[:-1])] if len(gone) else np.zeros(0, bool)
-        begin = np.flatnonzero(edge)
-        end = np.r_[begin[1:], len(gone)]
-        cut = gone[begin]
-        begin, end = begin[cut], end[cut]
-        owner = row[begin]
-        spans: list[list] = [[] for _ in range(n)]
-        for d, x, y in zip(owner.tolist(), (begin - b.offsets[owner]).tolist(), (end - b.offsets[owner]).tolist(), strict=True):
-            spans[d].append({"start": x, "end": y})
-        left_over = b.data[~gone]
-        size = np.diff(b.offsets) - np.bincount(row[gone], minlength=n)
+        stays = np.tile([True, False], len(begin) + 1)[:-1]
+        left_over = b.data[np.repeat(stays, np.diff(np.r_[0, np.column_stack([begin, end]).reshape(-1), len(b.data)]))]
+        size = np.diff(b.offsets) - np.bincount(owner, end - begin, minlength=n).astype(np.int64)
+        at = np.r_[0, np.cumsum(np.bincount(owner, minlength=n))]
+        spans = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.StructArray.from_arrays([pa.array(begin - b.offsets[owner], pa.int64()), pa.array(end - b.offsets[owner], pa.int64())], ["start", "end"]))
         if size.sum() < 1 << 31:
             kept = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.r_[0, np.cumsum(size)].astype(np.int32)), pa.py_buffer(left_over)])
         else:
             ends = np.cumsum(size)
             kept = pa.array([left_over[y - x : y].tobytes() for x, y in zip(size, ends, strict=True)], pa.binary())
         vec.trim()
-        cols = {"_id": b.table.column("_id"), "n_bytes": pa.array(np.diff(b.offsets), pa.int64()), "spans": pa.array(spans, _SPANS), "kept": kept}
+        cols = {"_id": b.table.column("_id"), "n_bytes": pa.array(np.diff(b.offsets), pa.int64()), "spans": spans, "kept": kept}
         return pa.table(cols | {f"_c{k}": b.table.column(f"_c{k}") for k in range(len(carried))})
 
     out = ", ".join([f"_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary", *[f"_c{k} {types[f'_c{k}']}" for k in range(len(carried))]])
