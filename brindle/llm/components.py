@@ -1,39 +1,5 @@
-"""Connected components of an edge table by contraction.
+"""Connected components, as the n-gram join uses them."""
 
-In each round every node goes to the least of itself and its neighbours, and edges follow their ends; loops and repeats go.  The first
-round orders nodes by id (which ends stars at once), the later ones by a hash that changes, so long paths shrink
-by a constant factor a round too.  Nodes with many neighbours cost one combining aggregate, never a list.  Each round's
-edges and the map so far are cut into the shared folder, and only a count comes to the driver.
-"""
+from ..operators.graph import connected_components as components
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from .shared import cut
-
-
-def components(edges: DataFrame, *, rounds: int = 60) -> DataFrame:
-    """edges (src long, dst long) -> (node, root) of every node that has an edge to another; equal roots: connected."""
-    edges = cut(edges.where("src <> dst").select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct())
-    found = None
-    for k in range(rounds):
-        if edges.isEmpty():
-            break
-        order = F.col("b") if k == 0 else F.xxhash64("b", F.lit(k))
-        both = edges.select(F.col("src").alias("a"), F.col("dst").alias("b")).unionByName(edges.select(F.col("dst").alias("a"), F.col("src").alias("b")))
-        both = both.unionByName(both.select("a", F.col("a").alias("b")).distinct())
-        step = cut(both.groupBy("a").agg(F.min(F.struct(order.alias("o"), "b")).alias("m")).select(F.col("a").alias("node"), F.col("m.b").alias("root")))
-        if found is None:
-            found = step
-        else:
-            moved = step.withColumnsRenamed({"node": "at", "root": "to"})
-            found = cut(found.join(moved, found.root == moved["at"], "left").select("node", F.coalesce("to", "root").alias("root")))
-        left = step.select(F.col("node").alias("src"), F.col("root").alias("a"))
-        right = step.select(F.col("node").alias("dst"), F.col("root").alias("b"))
-        edges = edges.join(left, "src").join(right, "dst").where("a <> b").select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct()
-        edges = cut(edges)
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
-    return found if found is not None else edges.select(F.col("src").alias("node"), F.col("dst").alias("root"))
+__all__ = ["components"]

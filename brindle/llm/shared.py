@@ -1,35 +1,16 @@
-"""Cutting lineage in a folder that all executors share, and small set filters of fixed size."""
+"""What the operators share: cut lineage, small Arrow batches, and set filters of fixed size."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BITS = 1 << 25
-ARROW_BYTES = 4 << 20
+from ..operators.durable import cut, shared_folder
 
+__all__ = ["bitmap", "cut", "maybe_in", "shared_folder", "small_batches"]
 
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder, which ``spark.checkpoint.dir`` names; only a local session without one gets a folder of its own."""
-    sc = spark.sparkContext
-    have = sc._jsc.sc().getCheckpointDir()
-    if have.isDefined():
-        return have.get()
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="brindle-")
-    sc.setCheckpointDir(folder)
-    return sc._jsc.sc().getCheckpointDir().get()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows, written to the shared folder, so that a lost executor loses nothing of them."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+BITS = 1 << 25
+ARROW_BYTES = 4 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
