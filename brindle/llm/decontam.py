@@ -54,7 +54,7 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, blo
     return out
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 10, block_mb: int = 32, carry: tuple[str, ...] = ()) -> DataFrame:
+def scan(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 10, block_mb: int = 4, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row a document: its number of words, hit spans (in bytes of the UTF-8 text), words hit, items found, the text without the spans, and the columns in ``carry`` that have other names."""
     small_batches(docs.sparkSession)
     blocks = _blocks(benchmark, item_col, item_text_col, window, block_mb)
