@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Formats in the order in which they are tried.
 FORMATS = (
-    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "EEE, d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm:ss Z",
+    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "d MMM yyyy HH:mm:ss Z",
     "MMM d yyyy", "MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "d MMMM yyyy", "yyyy/MM/dd", "MM/dd/yyyy", "yyyy-MM-dd",
 )
 MAX_AGE_DAYS = 5 * 365
@@ -20,7 +20,7 @@ def usable(created: Column, as_of: Column) -> Column:
 def parse(text: Column, as_of: Column) -> Column:
     """Free-form date, null if no format fits or it is too old.  A weekday name is not checked."""
     plain = F.regexp_replace(F.regexp_replace(F.trim(text), r"^(Mon|Tue|Wed|Thu|Fri|Sat|Sun)[a-z]*,\s*", ""), r"\s*(GMT|UTC)$", " +0000")
-    t = F.coalesce(*[F.try_to_timestamp(plain, F.lit(f)) for f in FORMATS if not f.startswith("EEE")])
+    t = F.coalesce(*[F.try_to_timestamp(plain, F.lit(f)) for f in FORMATS])
     return F.when(usable(t, as_of), t)
 
 

@@ -60,9 +60,6 @@ def batch_topk(df: DataFrame, queries: DataFrame, *, k: int = 10, distance: floa
     step = max(1, BLOCK_VALUES // 8192)
 
     def run(batches):
-        from pyspark.sql.pandas.types import to_arrow_type
-
-        del to_arrow_type
         q = sent.value
         for b in batches:
             if not b.num_rows or not len(q):
@@ -130,7 +127,7 @@ def radius_pairs(df: DataFrame, eps: float, *, id_col: str = "id", vec_col: str
             d = distances(_matrix(b.column(1)), centres, "l2")
             home = d.argmin(1)
             visit = d <= d.min(1)[:, None] + 2 * eps + 1e-9
-            visit[np.arange(len(d))[:, None] * 0 + np.arange(d.shape[1])[None, :] < home[:, None]] = False
+            visit &= np.arange(d.shape[1])[None, :] >= home[:, None]
             row, cell = np.nonzero(visit)
             yield pa.RecordBatch.from_arrays([*(c.take(pa.array(row)) for c in b.columns), pa.array(cell, pa.int32()), pa.array(home[row] == cell)], ["id", "v", "cell", "home"])
 
@@ -145,7 +142,7 @@ def radius_pairs(df: DataFrame, eps: float, *, id_col: str = "id", vec_col: str
         mine, other = table.column("mine").to_numpy(), table.column("with").to_numpy()
         d = distances(m, m, "l2")
         ok = (d <= eps) & (home[:, None] | home[None, :])
-        ok &= np.where(mine == other, True, False)[:, None] | (mine[:, None] != mine[None, :])
+        ok &= (mine == other)[:, None] | (mine[:, None] != mine[None, :])  # inside a block only where it meets itself
         i, j = np.nonzero(np.triu(ok, 1))
         ids = table.column("id").combine_chunks()
         ids = ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids
