@@ -174,7 +174,7 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", thr
     least = reps.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("band", "low")
     candidates = reps.join(least, "band").where("node <> low").select(F.col("node").alias("src"), F.col("low").alias("dst"))
     comps = components(candidates).withColumnsRenamed({"root": "comp"})
-    sizes = comps.groupBy("comp").agg(F.count(F.lit(1)).alias("members"))
+    sizes = cut(comps.groupBy("comp").agg(F.count(F.lit(1)).alias("members")))  # cut, like what else joins on a key with very many rows, so that Spark can split it
     members = cut(comps.join(sizes, "comp").join(classes, "node").select("node", "comp", "members", "first", "n"))
 
     def sets_of(batches):
@@ -204,9 +204,8 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", thr
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
     final = components(verified.select(F.col("node").alias("src"), F.col("root").alias("dst")))
     known = final.join(classes, "node")
-    least_id = known.groupBy("root").agg(F.min("first").alias("class_id"))
+    least_id = cut(known.groupBy("root").agg(F.min("first").alias("class_id")))
     told = cut(final.join(least_id, "root").join(links, "node", "left").select("node", "class_id", "links"))
-    # cut, so that the last join has two plain shuffles and Spark can split a class with very many copies
     per_class = classes.join(told, "node", "left").select("node", F.coalesce("class_id", "first").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"))
     per_class = cut(per_class)
     return keyed.select("_id", "node").join(per_class, "node").select(F.col("_id").alias(id_col), "class_id", "n_links", "node")
