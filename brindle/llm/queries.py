@@ -94,10 +94,13 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the archives of the pages say when they are read back."""
+    """What the archives say of each page when its record is found in the capture index and read by its range."""
     folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
-    warc.write(_table(spark, sf_dir, "pages").select("page_id", "url", "html"), folder)
-    return warc.read(spark, folder, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    pages = _table(spark, sf_dir, "pages")
+    warc.write(pages.select("page_id", "url", "html"), folder)
+    warc.index(warc.read(spark, folder, payloads=False), f"{folder}-index")
+    found = warc.captures(pages.select("page_id", "url"), f"{folder}-index")
+    return warc.fetch_all(found, folder, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -5,9 +5,10 @@ Spark's text writer (one row a file; the byte after the last member is a zero, w
 that Spark can write, under its commit protocol.  A payload that an earlier page has becomes a revisit record: of the pages with equal SHA-1 digests,
 that with the least id is the response.  ``read`` parses archives record by record and checks each response's digest.
 
-``index`` sorts capture lines (reversed-host url key, timestamp, page, archive, offset, length) by key into compressed blocks of ``lines`` lines; the
-directory has the first key of each block.  ``lookup`` finds a key's blocks by binary search in the directory, opens only those and gives archive, offset and
-length; ``fetch`` reads just that range.
+``index`` sorts capture lines (reversed-host url key, page, archive, offset, length) by key and page into compressed blocks of ``lines`` lines; the
+directory has the first and last of each block.  ``lookup`` finds a key's blocks by binary search in the directory, opens only those and gives archive, offset and
+length; ``fetch`` reads just that range.  ``captures`` and ``fetch_all`` do the same for a table of pages: workers search the directory, each wanted block
+is opened once, and the ranges are read in batches by archive.
 
 Defined cases: a null payload is empty (and empty ones are equal); rows that share the least id of a payload are all responses; a null url is stored as empty; a null id is stored without one
 and takes part as larger than all others.
@@ -23,6 +24,7 @@ import uuid
 import zlib
 
 import pyarrow as pa
+import pyarrow.fs as fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,7 @@ from .shared import cut, small_batches
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _DATE = "2024-01-01T00:00:00Z"
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
+_BLOCK = "first_key string, first_page string, last_key string, last_page string, block string, n int, body binary"
 RECORD = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary, archive string, offset long, length long, intact boolean"
 
 
@@ -77,6 +80,29 @@ def parse(content: bytes) -> tuple[dict[str, str], bytes]:
     return fields, rest[: int(fields["Content-Length"])]
 
 
+_ROW = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary()), ("archive", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("intact", pa.bool_())])
+
+
+def _told(records, payloads: bool):
+    """(archive, offset, length, content) of records -> batches of RECORD."""
+    out, size = [], 0
+    batch = lambda: pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _ROW, strict=True)], schema=_ROW)
+    for name, offset, length, content in records:
+        h, body = parse(content)
+        digest = h["WARC-Payload-Digest"].removeprefix("sha1:")
+        reply = h["WARC-Type"] == "response"
+        if reply:
+            own = base64.b32encode(hashlib.sha1(body).digest()).decode()
+        number = lambda k: int(h[k]) if k in h else None  # noqa: B023, E731
+        out.append((number("X-Page"), h["WARC-Target-URI"], h["WARC-Type"], len(body) if reply else number("X-Payload-Length"), own if reply else digest, number("X-Refers-To-Page"), body if reply and payloads else None, name, offset, length, own == digest if reply else None))
+        size += len(body)
+        if size > 4 << 20:
+            yield batch()
+            out, size = [], 0
+    if out:
+        yield batch()
+
+
 def write(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", archive_mb: int = 16) -> None:
     """Write the archives below path, which must not exist."""
     small_batches(pages.sparkSession)
@@ -106,26 +132,11 @@ def write(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str
 def read(spark: SparkSession, path: str, *, payloads: bool = True) -> DataFrame:
     """One row a record; payload is null for revisits and where payloads is False; intact: a response's digest is right."""
     files = spark.read.format("binaryFile").load(path).where("length > 0").select("path", "content")
-    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary()), ("archive", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("intact", pa.bool_())])
 
     def run(batches):
         for b in batches:
             for name, raw in zip(b.column("path").to_pylist(), b.column("content"), strict=True):
-                out, size = [], 0
-                for offset, length, content in members(raw.as_py()):
-                    h, body = parse(content)
-                    digest = h["WARC-Payload-Digest"].removeprefix("sha1:")
-                    reply = h["WARC-Type"] == "response"
-                    if reply:
-                        own = base64.b32encode(hashlib.sha1(body).digest()).decode()
-                    number = lambda k: int(h[k]) if k in h else None  # noqa: B023, E731
-                    out.append((number("X-Page"), h["WARC-Target-URI"], h["WARC-Type"], len(body) if reply else number("X-Payload-Length"), own if reply else digest, number("X-Refers-To-Page"), body if reply and payloads else None, name, offset, length, own == digest if reply else None))
-                    size += len(body)
-                    if size > 4 << 20:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
-                        out, size = [], 0
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+                yield from _told(((name, *m) for m in members(raw.as_py())), payloads)
 
     return files.mapInArrow(run, RECORD)
 
@@ -137,32 +148,46 @@ def surt(url: F.Column) -> F.Column:
     return F.concat(F.array_join(F.reverse(F.split(host, "\\.")), ","), F.lit(")"), F.when(tail == "", "/").otherwise(tail))
 
 
+def _stored(url: F.Column) -> F.Column:
+    """The url as a record has it."""
+    return F.replace(F.replace(F.coalesce(url.cast("string"), F.lit("")), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+
+
+def _key(url: F.Column) -> F.Column:
+    """The key of a stored url as a capture line has it."""
+    return F.replace(surt(url), F.lit("\t"), F.lit("%09"))
+
+
+def _page(page: F.Column) -> F.Column:
+    return F.coalesce(page.cast("long").cast("string"), F.lit(""))
+
+
 def index(records: DataFrame, path: str, *, lines: int = 3000, files: int | None = None) -> DataFrame:
-    """Write the index of read()'s records below path as blocks; the directory (first_key, last_key, block) comes back."""
-    keyed = records.select(surt(F.col("url")).alias("key"), F.col("page_id").cast("string").alias("page"), "archive", "offset", "length")
+    """Write the index of read()'s records below path as blocks; the directory (first and last key and page, block) comes back."""
+    keyed = cut(records.select(_key(F.col("url")).alias("key"), _page(F.col("page_id")).alias("page"), "archive", "offset", "length"))  # cut, as the sort samples it first
     files = files or int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_lines = keyed.repartitionByRange(files, "key", "page").sortWithinPartitions("key", "page")
 
     def pack(batches):
-        held: list[tuple[str, str]] = []
+        held: list[tuple[str, str, str]] = []
 
         def block():
-            body = gzip.compress("\n".join(x for _, x in held).encode(), mtime=0)
+            body = gzip.compress("\n".join(x for _, _, x in held).encode(), mtime=0)
             key = hashlib.sha1(body).hexdigest()
-            return pa.RecordBatch.from_arrays([pa.array([held[0][0]]), pa.array([held[-1][0]]), pa.array([key]), pa.array([len(held)], pa.int32()), pa.array([body], pa.binary())], ["first_key", "last_key", "block", "n", "body"])
+            return pa.RecordBatch.from_arrays([*(pa.array([x]) for x in (held[0][0], held[0][1], held[-1][0], held[-1][1], key)), pa.array([len(held)], pa.int32()), pa.array([body], pa.binary())], _BLOCK.replace(" string", "").replace(" int", "").replace(" binary", "").split(", "))
 
         for b in batches:
             for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                held.append((row[0], "\t".join("" if x is None else str(x).replace("\t", "%09").replace("\n", "%0A") for x in row)))
+                held.append((row[0], row[1], "\t".join("" if x is None else str(x).replace("\t", "%09").replace("\n", "%0A") for x in row)))
                 if len(held) == lines:
                     yield block()
                     held = []
         if held:
             yield block()
 
-    blocks = sorted_lines.mapInArrow(pack, "first_key string, last_key string, block string, n int, body binary")
+    blocks = sorted_lines.mapInArrow(pack, _BLOCK)
     blocks.write.parquet(f"{path}/blocks")
-    directory = records.sparkSession.read.parquet(f"{path}/blocks").select("first_key", "last_key", "block")
+    directory = records.sparkSession.read.parquet(f"{path}/blocks").drop("n", "body")
     directory.write.parquet(f"{path}/directory")
     return records.sparkSession.read.parquet(f"{path}/directory")
 
@@ -172,7 +197,7 @@ def lookup(spark: SparkSession, path: str, urls: list[str]) -> DataFrame:
 
     The directory has a row for each block of thousands of captures; it is searched on the driver.
     """
-    keys = spark.createDataFrame([(u,) for u in urls], "url string").select("url", surt(F.col("url")).alias("key")).collect()
+    keys = spark.createDataFrame([(u,) for u in urls], "url string").select("url", _key(_stored(F.col("url"))).alias("key")).collect()
     entries = sorted(spark.read.parquet(f"{path}/directory").toLocalIterator(), key=lambda r: (r["first_key"], r["last_key"]))
     firsts = [r["first_key"] for r in entries]
     wanted = set()
@@ -209,3 +234,86 @@ def fetch(spark: SparkSession, archive: str, offset: int, length: int) -> tuple[
     finally:
         stream.close()
     return parse(next(members(raw))[2])
+
+
+def captures(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+    """archive, offset, length of all captures of these pages (by url and id) in the index below path.
+
+    Workers search the directory, of which each has a copy: one row for each block.  A block goes to one row with all
+    that is wanted of it, of which there is no more than it has lines where all pages are in the index.
+    """
+    spark = pages.sparkSession
+    entries = sorted(((r["first_key"], r["first_page"]), (r["last_key"], r["last_page"]), r["block"]) for r in spark.read.parquet(f"{path}/directory").toLocalIterator())
+    sent = spark.sparkContext.broadcast(entries)
+    wanted = pages.select(_key(_stored(F.col(url_col))).alias("key"), _page(F.col(id_col)).alias("page")).distinct()
+
+    def search(batches):
+        firsts = [e[0] for e in sent.value]
+        for b in batches:
+            out = []
+            for want in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                k = bisect.bisect_right(firsts, want) - 1
+                while k >= 0 and sent.value[k][1] >= want:  # equal lines may go over several blocks
+                    out.append((sent.value[k][2], "\t".join(want)))
+                    k -= 1
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.string()) for k in range(2)], ["block", "want"])
+
+    per_block = wanted.mapInArrow(search, "block string, want string").groupBy("block").agg(F.collect_list("want").alias("wants"))
+    opened = per_block.join(spark.read.parquet(f"{path}/blocks").select("block", "body"), "block").select("wants", "body")
+
+    def run(batches):
+        for b in batches:
+            for wants, body in zip(b.column("wants"), b.column("body"), strict=True):
+                want, out = set(wants.as_py()), []
+                for line in gzip.decompress(body.as_py()).decode().split("\n"):
+                    name, archive, offset, length = line.rsplit("\t", 3)
+                    if name in want:
+                        out.append((archive, int(offset), int(length)))
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64()))], ["archive", "offset", "length"])
+
+    return opened.mapInArrow(run, "archive string, offset long, length long")
+
+
+def _store(path: str):
+    """The file system and path with which a worker reads ranges, or None where only Spark reaches the store."""
+    scheme, _, rest = path.partition(":")
+    try:
+        return (fs.LocalFileSystem(), "/" + rest.lstrip("/")) if scheme == "file" else fs.FileSystem.from_uri(path)
+    except (OSError, ValueError, ImportError):
+        return None
+
+
+def fetch_all(found: DataFrame, path: str, *, payloads: bool = True) -> DataFrame:
+    """read()'s row of each of these captures (archive, offset, length) of the archives below path, by range reads in order of archive and offset.
+
+    Where only Spark reaches the store, it hands over whole archives, and the ranges are taken from those.
+    """
+    spark = found.sparkSession
+    if _store(path) is None:
+        ranges = found.groupBy("archive").agg(F.collect_list(F.struct("offset", "length")).alias("ranges"))
+        files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("archive"), "content").join(ranges, "archive")
+
+        def cut_out(batches):
+            for b in batches:
+                for name, raw, own in zip(b.column("archive").to_pylist(), b.column("content"), b.column("ranges").to_pylist(), strict=True):
+                    raw = raw.as_py()
+                    yield from _told(((name, r["offset"], r["length"], gzip.decompress(raw[r["offset"] : r["offset"] + r["length"]])) for r in own), payloads)
+
+        return files.mapInArrow(cut_out, RECORD)
+
+    def ranged(batches):
+        name, file = None, None
+        for b in batches:
+            for archive, offset, length in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if archive != name:
+                    if file:
+                        file.close()
+                    store, at = _store(archive)
+                    name, file = archive, store.open_input_file(at)
+                yield archive, offset, length, gzip.decompress(file.read_at(length, offset))
+        if file:
+            file.close()
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = cut(found).repartitionByRange(parts, "archive", "offset").sortWithinPartitions("archive", "offset")
+    return ordered.mapInArrow(lambda batches: _told(ranged(batches), payloads), RECORD)

@@ -267,6 +267,32 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.read(spark, empty).count() == 0
 
 
+@pytest.mark.parametrize("ranged", [True, False])
+def test_warc_index_finds_every_page(spark, monkeypatch, ranged):
+    rows = [(k, f"http://b{k % 3}.Example.org/p?{k}", f"<p>{k % 7}</p>") for k in range(40)]
+    rows += [(7, "http://b1.example.org/p?7", "again"), (None, None, "solo"), *[(None, "u\r\nX:\ty", "many")] * 5, (99, "http://b0.example.org/p?0", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    folder = f"{shared_folder(spark)}/test-warc-all-{ranged}"
+    warc.write(df.repartition(3), folder)
+    records = warc.read(spark, folder)
+    warc.index(records, f"{folder}-index", lines=2, files=3)
+    if not ranged:
+        monkeypatch.setattr(warc, "_store", lambda path: None)
+    tell = lambda d: sorted((tuple(r) for r in d.collect()), key=repr)
+    assert tell(warc.fetch_all(warc.captures(df, f"{folder}-index"), folder)) == tell(records) and records.count() == len(rows)
+    some = warc.captures(df.where("page_id in (7, 99)"), f"{folder}-index")
+    assert sorted(r.page_id for r in warc.fetch_all(some, folder).collect()) == [7, 7, 99]
+    assert warc.captures(spark.createDataFrame([(8, "http://b1.example.org/p?7")], "page_id long, url string"), f"{folder}-index").count() == 0
+
+
+def test_warc_query_goes_through_the_index(spark, monkeypatch):
+    """Without the index's lines the query has no rows."""
+    made = []
+    real = warc.index
+    monkeypatch.setattr(warc, "index", lambda records, path, **options: made.append(path) or real(records.limit(0), path, **options))
+    assert queries.op10_warc(spark, "/root/testdata/sf0.001").count() == 0 and made
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as p
 
