@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from . import vec
 from .components import components
@@ -65,6 +66,19 @@ def _signatures(g: np.ndarray, begin: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def _sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The texts' distinct n-grams one after another, where each text's begin, and the texts' set keys."""
+    _, _, h, row = vec.words(data, offsets)
+    g, r = vec.distinct_per_row(*vec.row_shingles(h, row, n))
+    m = len(offsets) - 1
+    at = np.r_[0, np.cumsum(np.bincount(r, minlength=m))]
+    node = np.empty(m, np.int64)
+    for d in range(m):
+        raw = g[at[d] : at[d + 1]].tobytes() if at[d] < at[d + 1] else b"no words" + data[offsets[d] : offsets[d + 1]].tobytes()
+        node[d] = int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
+    return g, at, node
+
+
 def _keyed(docs: DataFrame, bands: int, rows: int, n: int) -> DataFrame:
     """_id, node (64-bit set key), band hashes."""
 
@@ -72,17 +86,9 @@ def _keyed(docs: DataFrame, bands: int, rows: int, n: int) -> DataFrame:
         for b in batches:
             data, offsets = vec.text_buffer(b.column("_t"))
             for lo, hi in vec.slices(offsets):
-                own, part = offsets[lo : hi + 1] - offsets[lo], data[offsets[lo] : offsets[hi]]
-                _, _, h, row = vec.words(part, own)
-                g, r = vec.distinct_per_row(*vec.row_shingles(h, row, n))
+                g, at, node = _sets(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], n)
                 m = hi - lo
-                size = np.bincount(r, minlength=m)
-                at = np.r_[0, np.cumsum(size)]
-                node = np.empty(m, np.int64)
-                for d in range(m):
-                    raw = g[at[d] : at[d + 1]].tobytes() if size[d] else b"no words" + part[own[d] : own[d + 1]].tobytes()
-                    node[d] = int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
-                full = np.flatnonzero(size)
+                full = np.flatnonzero(np.diff(at))
                 keys = np.zeros((bands, len(full)), np.uint64)
                 if len(full):
                     sig = _signatures(g, at[full], bands * rows).reshape(bands, rows, len(full))
@@ -162,7 +168,8 @@ def _verify(threshold: float):
 
 
 def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, n: int = 5, recall: float = 0.9995, hashes: int = 240) -> DataFrame:
-    """One row a document: id, class_id (the least id linked to it, over any number of links), n_links, class key ``node``."""
+    """One row a document: id, class_id (the least id linked to it, over any number of links), n_links, set key ``node``, and whether the class
+    stands for itself in this row (``leads``: of the rows with the class's least id, those with its least set key)."""
     small_batches(docs.sparkSession)
     bands, rows = choose_bands(threshold, recall, hashes)
     source = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_t"))
@@ -204,19 +211,42 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", thr
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
     final = components(verified.select(F.col("node").alias("src"), F.col("root").alias("dst")))
     known = final.join(classes, "node")
-    least_id = cut(known.groupBy("root").agg(F.min("first").alias("class_id")))
-    told = cut(final.join(least_id, "root").join(links, "node", "left").select("node", "class_id", "links"))
-    per_class = classes.join(told, "node", "left").select("node", F.coalesce("class_id", "first").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"))
+    least_id = cut(known.groupBy("root").agg(F.min("first").alias("class_id"), F.min(F.struct(F.col("first").isNull(), "first", "node"))["node"].alias("lead")))
+    told = cut(final.join(least_id, "root").join(links, "node", "left").select("node", "class_id", "lead", "links"))
+    per_class = classes.join(told, "node", "left").select("node", F.coalesce("class_id", "first").alias("class_id"), F.coalesce("lead", "node").alias("lead"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"))
     per_class = cut(per_class)
-    return keyed.select("_id", "node").join(per_class, "node").select(F.col("_id").alias(id_col), "class_id", "n_links", "node")
+    leads = (F.col("node") == F.col("lead")) & F.col("_id").eqNullSafe(F.col("class_id"))
+    return keyed.select("_id", "node").join(per_class, "node").select(F.col("_id").alias(id_col), "class_id", "n_links", "node", leads.alias("leads"))
+
+
+def _with_node(docs: DataFrame, text_col: str, n: int) -> DataFrame:
+    """The documents with their set key as ``_node``."""
+
+    def run(batches):
+        for b in batches:
+            data, offsets = vec.text_buffer(b.column(len(b.columns) - 1))
+            for lo, hi in vec.slices(offsets):
+                _, _, node = _sets(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], n)
+                yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in b.columns[:-1]), pa.array(node)], [*b.schema.names[:-1], "_node"])
+
+    return docs.withColumn("_text", F.col(text_col).cast("string")).mapInArrow(run, StructType([*docs.schema.fields, StructField("_node", LongType())]))
+
 
+def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 5, **options) -> DataFrame:
+    """The documents' own columns, one document of each class: that with the least id (of rows with that id and equal sets of n-grams, each stays).
 
-def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents' own columns, one document of each class: that with the least id (of rows with that id and equal texts, each stays)."""
-    found = join(docs, id_col=id_col, text_col=text_col, **options)
-    dropped = cut(found.where(F.col(id_col) != F.col("class_id")).select(F.col(id_col).alias("_gone")).distinct())
-    bits = bitmap(dropped, "_gone")
+    A row goes by its id alone where all rows with that id go; where rows with one id fare differently, by id and set key.
+    """
+    found = join(docs, id_col=id_col, text_col=text_col, n=n, **options).select(F.col(id_col).alias("_out"), "node", (~F.col("leads")).alias("goes"))
+    dropped = cut(found.groupBy("_out").agg(F.max("goes").alias("some"), F.min("goes").alias("all")).where("some").select("_out", "all"))
     marked = docs.withColumn("_gone", F.col(id_col).cast("long"))
-    safe = maybe_in(marked, "_gone", bits, keep=False)
-    unsure = maybe_in(marked, "_gone", bits).join(dropped, "_gone", "left_anti")
-    return safe.unionByName(unsure).select(*docs.columns)
+    same = F.col("_gone").eqNullSafe(F.col("_out"))
+    bits = bitmap(dropped, "_out")
+    kept = maybe_in(marked, "_gone", bits, keep=False).unionByName(maybe_in(marked, "_gone", bits).join(dropped, same, "left_anti"))
+    mixed = dropped.where("not all").select("_out")
+    if not mixed.isEmpty():
+        pairs = cut(found.where("goes").join(mixed.select(F.col("_out").alias("_gone")), same, "left_semi").select("_out", "node").distinct())
+        unsure = maybe_in(marked, "_gone", bitmap(mixed, "_out")).join(mixed, same, "left_semi")
+        pairs = pairs.withColumnRenamed("node", "_pair")
+        kept = kept.unionByName(_with_node(unsure, text_col, n).join(pairs, same & (F.col("_node") == F.col("_pair")), "left_anti").drop("_node"))
+    return kept.select(*docs.columns)

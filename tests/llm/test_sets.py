@@ -225,6 +225,18 @@ def test_ngram_join_with_odd_rows(odd_docs, no_docs):
     assert ngramjoin.join(no_docs).count() == 0 and ngramjoin.keep_first(no_docs).count() == 0
 
 
+def test_keep_first_decides_by_row(spark):
+    """Where one id is on rows with different texts, each class keeps a document and only one."""
+    text = lambda c: [f"{c}{k}" for k in range(200)]
+    near = lambda c: [*text(c)[:-1], "other"]
+    rows = [(3, near("a")), (5, text("a")), (5, text("b")), (6, near("b")), (7, text("c")), (7, near("c")), (8, text("c")), (9, text("d")), (9, text("d")), (10, text("e"))]
+    rows = [(i, " ".join(w)) for i, w in rows]
+    kept = sorted((r.doc_id, r.text) for r in ngramjoin.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    one_of = [x for x in kept if x[0] == 7]
+    assert len(one_of) == 1 and one_of[0] in rows
+    assert [x for x in kept if x[0] != 7] == sorted([rows[0], rows[2], rows[7], rows[8], rows[9]])
+
+
 def test_components_of_long_paths_and_stars(spark):
     edges = [(k, k + 1) for k in range(60)] + [(100, k) for k in range(101, 140)] + [(200, 200), (300, 301), (301, 300)]
     rows = components.components(spark.createDataFrame(edges, "src long, dst long")).collect()
