@@ -16,7 +16,8 @@ The result has for each document the least id of its class and its number of lin
 Similarity is that of the full sets; the hashes of n-grams have 64 bits.  A pair at the threshold is missed with a chance of 1 - recall.
 
 Defined cases: a text of fewer than n words, but not none, has one n-gram of them all; texts without words are linked only to equal texts;
-null counts as empty; repeated rows get equal results, and count as links of each other; an empty table gives no rows.
+null counts as empty; repeated rows get equal results, and count as links of each other; an empty table gives no rows.  Rows without an id
+take part, and their id counts as larger than all others: a class of only such rows has a null class_id, and keep_first keeps one row of it.
 """
 
 from __future__ import annotations
@@ -175,7 +176,7 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", thr
     source = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_t"))
     keyed = cut(_keyed(source, bands, rows, n))
     # copies combine before the shuffle; their bands are the same
-    classes = cut(keyed.groupBy("node").agg(F.min("_id").alias("first"), F.count(F.lit(1)).alias("n"), F.min_by("bands", "_id").alias("bands")))
+    classes = cut(keyed.groupBy("node").agg(F.min("_id").alias("first"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands")))
     reps = classes.select("node", F.explode("bands").alias("band"))
     classes = classes.drop("bands")
     least = reps.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("band", "low")
@@ -185,6 +186,7 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", thr
     members = cut(comps.join(sizes, "comp").join(classes, "node").select("node", "comp", "members", "first", "n"))
 
     def sets_of(batches):
+        seen = set()  # of texts that only rows without an id have, each once a task
         for b in batches:
             data, offsets = vec.text_buffer(b.column("_t"))
             for lo, hi in vec.slices(offsets):
@@ -193,10 +195,12 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", thr
                 at = np.searchsorted(r, np.arange(hi - lo + 1))
                 made = [g[x:y] for x, y in zip(at[:-1], at[1:], strict=True)]
                 keys = [int.from_bytes(hashlib.blake2b(x.tobytes(), digest_size=8).digest(), "little", signed=True) for x in made]
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), b.column("_id").slice(lo, hi - lo), vec.packed(made)], ["node", "_id", "set"])
+                ids = b.column("_id").slice(lo, hi - lo)
+                new = [i is not None or not (k in seen or seen.add(k)) for i, k in zip(ids.to_pylist(), keys, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), ids, vec.packed(made)], ["node", "_id", "set"]).filter(pa.array(new, pa.bool_()))
 
-    sets = maybe_in(source.where("_id is not null"), "_id", bitmap(members, "first"), then=sets_of, schema="node long, _id long, set binary")
-    full = sets.join(members, (sets["node"] == members["node"]) & (sets["_id"] == members["first"])).select(members["node"], "comp", "members", "n", "set")
+    sets = maybe_in(source, "_id", bitmap(members, "first"), then=sets_of, schema="node long, _id long, set binary")
+    full = sets.join(members, (sets["node"] == members["node"]) & sets["_id"].eqNullSafe(members["first"])).select(members["node"], "comp", "members", "n", "set")
     total = members.count()
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
@@ -233,14 +237,15 @@ def _with_node(docs: DataFrame, text_col: str, n: int) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 5, **options) -> DataFrame:
-    """The documents' own columns, one document of each class: that with the least id (of rows with that id and equal sets of n-grams, each stays).
+    """The documents' own columns, one document of each class: that with the least id (of rows with that id and equal sets of n-grams, each stays; of rows without an id, one).
 
     A row goes by its id alone where all rows with that id go; where rows with one id fare differently, by id and set key.
     """
     found = join(docs, id_col=id_col, text_col=text_col, n=n, **options).select(F.col(id_col).alias("_out"), "node", (~F.col("leads")).alias("goes"))
-    dropped = cut(found.groupBy("_out").agg(F.max("goes").alias("some"), F.min("goes").alias("all")).where("some").select("_out", "all"))
-    marked = docs.withColumn("_gone", F.col(id_col).cast("long"))
-    same = F.col("_gone").eqNullSafe(F.col("_out"))
+    dropped = cut(found.groupBy("_out").agg(F.max("goes").alias("some"), F.min("goes").alias("all")).where("some and _out is not null").select("_out", "all"))
+    everything = docs.withColumn("_gone", F.col(id_col).cast("long"))
+    marked = everything.where("_gone is not null")
+    same = F.col("_gone") == F.col("_out")
     bits = bitmap(dropped, "_out")
     kept = maybe_in(marked, "_gone", bits, keep=False).unionByName(maybe_in(marked, "_gone", bits).join(dropped, same, "left_anti"))
     mixed = dropped.where("not all").select("_out")
@@ -249,4 +254,8 @@ def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
         unsure = maybe_in(marked, "_gone", bitmap(mixed, "_out")).join(mixed, same, "left_semi")
         pairs = pairs.withColumnRenamed("node", "_pair")
         kept = kept.unionByName(_with_node(unsure, text_col, n).join(pairs, same & (F.col("_node") == F.col("_pair")), "left_anti").drop("_node"))
+    single = cut(found.where("_out is null and not goes").select(F.col("node").alias("_lead")).distinct())
+    if not single.isEmpty():
+        own = _with_node(everything.where("_gone is null"), text_col, n)
+        kept = kept.unionByName(own.join(single, F.col("_node") == F.col("_lead"), "left_semi").dropDuplicates(["_node"]).drop("_node"))
     return kept.select(*docs.columns)

@@ -237,6 +237,22 @@ def test_keep_first_decides_by_row(spark):
     assert [x for x in kept if x[0] != 7] == sorted([rows[0], rows[2], rows[7], rows[8], rows[9]])
 
 
+def test_rows_without_an_id_take_part(spark):
+    base = [f"w{k}" for k in range(200)]
+    text = lambda lo, hi: " ".join(["new" + w if lo <= k < hi else w for k, w in enumerate(base)])
+    alone = " ".join(f"x{k}" for k in range(60))
+    # the middle one links the ends: 1 ~ null ~ 2
+    rows = [(1, text(0, 13)), (None, text(0, 0)), (2, text(187, 200)), (None, alone), (None, alone), (None, alone + " more"), (None, text(0, 0)), (4, "one"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(1)
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or 0, r[2])
+    got = sorted(((r.doc_id, r.class_id, r.n_links) for r in ngramjoin.join(df).collect()), key=key)
+    want = [(i, None if c == 99 else c, n) for i, c, n in ((None if i == 99 else i, c, n) for i, c, n in brute_classes([(99 if i is None else i, t) for i, t in rows]))]
+    assert got == sorted(want, key=key) and (2, 1, 2) in got
+    kept = [(r.doc_id, r.text) for r in ngramjoin.keep_first(df).collect()]
+    assert sorted(i for i, _ in kept if i is not None) == [1, 4]
+    assert len([t for i, t in kept if i is None and t]) == 1 and (None, None) in kept and len(kept) == 4
+
+
 def test_components_of_long_paths_and_stars(spark):
     edges = [(k, k + 1) for k in range(60)] + [(100, k) for k in range(101, 140)] + [(200, 200), (300, 301), (301, 300)]
     rows = components.components(spark.createDataFrame(edges, "src long, dst long")).collect()
