@@ -44,7 +44,7 @@ def site_rule(verdict: str, name: str) -> Rule:
     host, slash, path = name.partition("/")
     path = slash + path
     tokens = [t for t in re.split("[^a-z0-9]+", host.lower()) if t]
-    whole = re.split("[^a-z0-9]+", path)  # the last piece of a prefix may go on
+    whole = re.split("[^a-z0-9]+", path.translate(str.maketrans(_UPPER, _LOWER)))  # as urls' tokens are; the expression minds case; the last piece of a prefix may go on
     tokens += [t for t in whole[:-1] if t]
     quote = lambda s: re.sub(r"([^A-Za-z0-9])", r"\\\1", s)
     return Rule(name, verdict, f"^(?:[^/]*\\.)?{quote(host)}{quote(path)}", tuple(tokens), 1, True)

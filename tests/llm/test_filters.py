@@ -209,6 +209,14 @@ def test_url_rules(spark, inline):
     assert urlfilter.judge(df.limit(0), [], inline=inline).count() == 0
 
 
+@pytest.mark.parametrize("inline", [200, 0])
+def test_rules_with_capitals_are_fetched(spark, inline):
+    names = [f"example.org/dir{k}/" for k in range(12)] + ["example.org/Private/"]
+    df = spark.createDataFrame([(1, "http://example.org/Private/x"), (2, "http://example.org/private/x"), (3, "http://example.org/dir3/")], "page_id long, url string")
+    got = urlfilter.judge(df, [urlfilter.site_rule("block", n) for n in names], inline=inline)
+    assert {r.page_id: r.rule for r in got.collect()} == {1: "example.org/Private/", 2: None, 3: "example.org/dir3/"}
+
+
 def test_rules_are_keyed_by_their_rarest_token():
     index, always = urlfilter._indexed([urlfilter.site_rule("block", n) for n in ("a.example.org/", "b.example.org/", "example.org/en/1")] + [urlfilter.PATTERNS[-1]])
     assert set(index) == {"a", "b", "en"} and len(always) == 1
