@@ -17,13 +17,14 @@ BLOCK_VALUES = 4 << 20
 MAX_QUERIES = 100_000
 
 
-def topk(df: DataFrame, vector, *, k: int = 10, distance: float | None = None, metric: str = "cosine", id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
-    """The nearest rows to one vector: id, distance."""
+def topk(df: DataFrame, vector, *, k: int | None = 10, distance: float | None = None, metric: str = "cosine", id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
+    """The nearest rows to one vector: id, distance; with k=None all within the distance."""
     d = vectors.METRICS[metric](F.col(vec_col), vectors.literal(vector))
     near = df.select(id_col, d.alias("distance")).where("distance is not null")
     if distance:
         near = near.where(F.col("distance") <= distance)
-    return near.orderBy("distance", id_col).limit(k)
+    near = near.orderBy("distance", id_col)
+    return near if k is None else near.limit(k)
 
 
 def _matrix(column) -> np.ndarray:

@@ -150,6 +150,11 @@ def test_search(spark):
     assert [(r.radius, r.max_hits) for r in prof] == [(100.0, 5)]
 
 
+def test_radius_without_a_limit(spark):
+    df = spark.range(1500).select("id", F.array(F.col("id") / 1500, F.lit(0.0)).alias("embedding"))
+    assert search.topk(df, [0.0, 0.0], k=None, distance=0.9, metric="l2").count() == 1351
+
+
 def test_groups(spark):
     members = spark.createDataFrame([(1, k) for k in range(10)] + [(2, 20), (2, 21), (3, 30)], "cluster int, id int")
     chunks = cluster.chunk_groups(members, most=4, least=2).collect()
