@@ -1,6 +1,6 @@
 """Exact vector search and joins.
 
-Queries and labels are collected behind a count (``MAX_QUERIES``) and worked off in blocks: each batch of vectors meets a block in one matrix product and keeps the best of
+Queries and labels are collected behind a count (more than ``MAX_QUERIES`` queries are split by hash) and worked off in blocks: each batch of vectors meets a block in one matrix product and keeps the best of
 its own, so what is shuffled is at most k rows a query and task.  Distances are double.
 """
 
@@ -48,9 +48,18 @@ def distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
 
 def batch_topk(df: DataFrame, queries: DataFrame, *, k: int = 10, distance: float | None = None, metric: str = "cosine", id_col: str = "id", vec_col: str = "embedding", query_col: str = "query") -> DataFrame:
     """The k nearest rows to each query (columns query and the vector's): query, id, distance, rank."""
-    n = queries.limit(MAX_QUERIES + 1).count()
+    n = queries.count()
     if n > MAX_QUERIES:
-        raise ValueError(f"at most {MAX_QUERIES} queries at a time; split them")
+        parts = 2 * -(-n // MAX_QUERIES)
+        part = F.pmod(F.xxhash64(query_col, vec_col, F.lit(n)), F.lit(parts))
+        found = None
+        for p in range(parts):
+            own = queries.where(part == p)
+            if own.count() == n:
+                raise ValueError(f"more than {MAX_QUERIES} equal queries")
+            near = batch_topk(df, own, k=k, distance=distance, metric=metric, id_col=id_col, vec_col=vec_col, query_col=query_col)
+            found = near if found is None else found.unionByName(near)
+        return found
     rows = queries.where(F.col(vec_col).isNotNull()).select(query_col, vec_col).collect()
     kinds = dict(df.dtypes)
     query_kind = dict(queries.dtypes)[query_col]

@@ -155,6 +155,15 @@ def test_radius_without_a_limit(spark):
     assert search.topk(df, [0.0, 0.0], k=None, distance=0.9, metric="l2").count() == 1351
 
 
+def test_batch_topk_of_many_queries(spark, monkeypatch):
+    df = spark.range(30).select("id", F.array(F.cos(F.col("id")), F.sin(F.col("id"))).alias("embedding"))
+    queries = df.where("id < 9").withColumnRenamed("id", "query")
+    tell = lambda: sorted((r.query, r.id, r["rank"]) for r in search.batch_topk(df, queries, k=2).collect())
+    whole = tell()
+    monkeypatch.setattr(search, "MAX_QUERIES", 4)
+    assert tell() == whole and len(whole) == 18
+
+
 def test_groups(spark):
     members = spark.createDataFrame([(1, k) for k in range(10)] + [(2, 20), (2, 21), (3, 30)], "cluster int, id int")
     chunks = cluster.chunk_groups(members, most=4, least=2).collect()
