@@ -49,5 +49,10 @@ class Tables:
         df.write.parquet(f"{self.folder}/{self.n}")
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{self.n}")
 
+    def last_bytes(self) -> int:
+        """The size of the last table."""
+        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{self.n}")
+        return place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+
     def close(self) -> None:
         remove(self.spark, self.folder)

@@ -1,11 +1,12 @@
 """Connected components of an edge table by contraction.
 
-A round has two steps.  Each task first joins up the edges it holds (union-find in memory, which follows the size of its input
-partition), so that of any number of edges a star for each of its parts is left.  Then every node goes to the least of itself and its
+A round has two steps.  Tasks of ``TASK_BYTES`` of edges each first join up what they hold (union-find in memory), so that of any
+number of edges a star for each of a task's parts is left.  Then every node goes to the least of itself and its
 neighbours, and edges follow their ends; loops go.  The first round orders nodes by id (which ends stars at once), the later
 ones by a hash that changes, so long paths shrink by a constant factor a round even where no task holds two of their edges.
+It ends when one task holds all that is left.
 Nodes with many neighbours cost one combining aggregate, never a list.  The rounds' maps, each much smaller than the one before, are
-composed from the last to the first.  All intermediate tables lie in the shared folder and go at the end; only a count comes to the driver.
+composed from the last to the first.  All intermediate tables lie in the shared folder and go at the end; no rows come to the driver.
 """
 
 from __future__ import annotations
@@ -15,69 +16,77 @@ from pyspark.sql import functions as F
 
 from .durable import Tables, cut
 
+TASK_BYTES = 4 << 20
 
-def _joined_up(batches):
-    """Edges of one task -> (src, dst) where dst is the least node of src's part."""
+
+def _settled(a, b):
+    """Nodes of these edges, and the least node of each one's part."""
     import numpy as np
-    import pyarrow as pa
-
-    none = np.zeros(0, np.int64)
-    held: list[tuple] = []
-    waiting, size = [], 0
-
-    def settled(a, b):
-        """A star for each part of these edges."""
-        nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
-        x, y = ends[: len(a)], ends[len(a) :]
-        root = np.arange(len(nodes))
-        while len(x):
-            low = np.minimum(x, y)
-            np.minimum.at(root, x, low)
-            np.minimum.at(root, y, low)
-            while True:  # pointers lead to ever lesser nodes
-                up = root[root]
-                if (up == root).all():
-                    break
-                root = up
-            x, y = root[x], root[y]
-            apart = x != y
-            x, y = x[apart], y[apart]
-        moved = root != np.arange(len(nodes))
-        return nodes[moved], nodes[root[moved]]
-
-    for batch in batches:
-        waiting.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
-        size += batch.num_rows
-        if size > 1 << 20:
-            held = [settled(*(np.concatenate(c) for c in zip(*held, *waiting, strict=True)))]
-            waiting, size = [], 0
-    a, b = settled(*(np.concatenate([none, *c]) for c in zip(*held, *waiting, (none, none), strict=True)))
-    for lo in range(0, len(a), 1 << 16):
-        yield pa.RecordBatch.from_arrays([pa.array(a[lo : lo + (1 << 16)]), pa.array(b[lo : lo + (1 << 16)])], ["src", "dst"])
+
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = ends[: len(a)], ends[len(a) :]
+    root = np.arange(len(nodes))
+    while len(x):
+        low = np.minimum(x, y)
+        np.minimum.at(root, x, low)
+        np.minimum.at(root, y, low)
+        while True:  # pointers lead to ever lesser nodes
+            up = root[root]
+            if (up == root).all():
+                break
+            root = up
+        x, y = root[x], root[y]
+        apart = x != y
+        x, y = x[apart], y[apart]
+    return nodes, nodes[root]
+
+
+def _joined_up(itself: bool):
+    """The edges of a task -> (node, the least node of its part), for those least ones too or not."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        none = np.zeros(0, np.int64)
+        held, waiting, size = (none, none), [], 0
+        for batch in batches:
+            waiting.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+            size += batch.num_rows
+            if size > 1 << 20:
+                held = _settled(*(np.concatenate(c) for c in zip(held, *waiting, strict=True)))
+                waiting, size = [], 0
+        a, b = _settled(*(np.concatenate(c) for c in zip(held, *waiting, strict=True)))
+        if not itself:
+            a, b = a[a != b], b[a != b]
+        for lo in range(0, len(a), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(a[lo : lo + (1 << 16)]), pa.array(b[lo : lo + (1 << 16)])], ["src", "dst"])
+
+    return run
 
 
 def connected_components(edges: DataFrame, *, rounds: int = 60) -> DataFrame:
     """edges (src long, dst long) -> (node, root) of every node that has an edge to another; equal roots: connected."""
-    spark = edges.sparkSession
-    tables = Tables(spark, "components")
-    ends = "src long, dst long"
-    edges = tables.cut(edges.where("src <> dst").select(F.col("src").cast("long"), F.col("dst").cast("long")).mapInArrow(_joined_up, ends))
+    tables = Tables(edges.sparkSession, "components")
+    edges = tables.cut(edges.where("src <> dst").select(F.col("src").cast("long"), F.col("dst").cast("long")))
     steps: list[DataFrame] = []
     for k in range(rounds):
-        if edges.isEmpty():
+        tasks = max(1, -(-tables.last_bytes() // TASK_BYTES))
+        stars = tables.cut(edges.coalesce(tasks).mapInArrow(_joined_up(tasks == 1), "src long, dst long"))
+        if tasks == 1:
+            steps.append(stars.toDF("node", "root"))
             break
         order = F.col("b") if k == 0 else F.xxhash64("b", F.lit(k))
-        both = F.explode(F.array(F.struct(F.col("src").alias("a"), F.col("dst").alias("b")), F.struct(F.col("dst").alias("a"), F.col("src").alias("b")), *(F.struct(F.col(c).alias("a"), F.col(c).alias("b")) for c in ("src", "dst"))))
-        near = edges.select(both.alias("e")).select("e.a", "e.b")
+        both = F.explode(F.array(*(F.struct(F.col(a).alias("a"), F.col(b).alias("b")) for a in ("src", "dst") for b in ("src", "dst"))))
+        near = stars.select(both.alias("e")).select("e.a", "e.b")
         step = tables.cut(near.groupBy("a").agg(F.min(F.struct(order.alias("o"), "b")).alias("m")).select(F.col("a").alias("node"), F.col("m.b").alias("root")))
         steps.append(step)
         left = step.select(F.col("node").alias("src"), F.col("root").alias("a"))
         right = step.select(F.col("node").alias("dst"), F.col("root").alias("b"))
-        moved = edges.join(left, "src").join(right, "dst").where("a <> b").select(F.col("a").alias("src"), F.col("b").alias("dst"))
-        edges = tables.cut(moved.mapInArrow(_joined_up, ends))
+        edges = tables.cut(stars.join(left, "src").join(right, "dst").where("a <> b").select(F.col("a").alias("src"), F.col("b").alias("dst")))
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
-    found = steps.pop() if steps else edges.select(F.col("src").alias("node"), F.col("dst").alias("root"))
+    found = steps.pop()
     while steps:
         moved = found.withColumnsRenamed({"node": "at", "root": "to"})
         found = steps.pop().join(moved, F.col("root") == F.col("at"), "left").select("node", F.coalesce("to", "root").alias("root"))
