@@ -6,7 +6,7 @@
 2. Band hashes are shuffled.  Classes that share one point to the least class there; components of these
    pointers hold every candidate pair.
 3. The classes of a component (found in the texts through a bitmap of fixed size) are verified against each other on
-   their full sets.  Small components are packed together; a large one is cut into blocks of ``BLOCK`` classes and each
+   their full sets.  Small components are packed together; one of over ``BLOCK`` classes or ``BLOCK_GRAMS`` n-grams is cut into blocks, and each
    pair of blocks is a task of its own, so neither a task's memory nor its time follows the component's size.  A task
    counts links and keeps, for each class, one pointer inside its own linked part; pairs are never written.
 4. Components of the verified pointers are the result's classes.
@@ -31,12 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from ..operators.durable import Tables
+from ..operators.graph import connected_components as components
 from . import vec
-from .components import components
 from .shared import bitmap, cut, maybe_in, small_batches
 
-BLOCK = 512
-PACK = 1024
+BLOCK, BLOCK_GRAMS = 512, 1 << 20  # 8 MB of n-grams
+PACK, PACK_GRAMS = 1024, 1 << 21
 WITHIN = 2  # the side of a block that is verified against itself; a pair of blocks has sides 0 and 1
 
 
@@ -81,7 +82,7 @@ def _sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np
 
 
 def _keyed(docs: DataFrame, bands: int, rows: int, n: int) -> DataFrame:
-    """_id, node (64-bit set key), band hashes."""
+    """_id, node (64-bit set key), number of n-grams, band hashes."""
 
     def run(batches):
         for b in batches:
@@ -102,9 +103,9 @@ def _keyed(docs: DataFrame, bands: int, rows: int, n: int) -> DataFrame:
                 counts = np.zeros(m + 1, np.int32)
                 counts[full + 1] = bands
                 lists = pa.ListArray.from_arrays(pa.array(np.cumsum(counts, dtype=np.int32)), pa.array(keys.T.reshape(-1).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([b.column("_id").slice(lo, m), pa.array(node), lists], ["_id", "node", "bands"])
+                yield pa.RecordBatch.from_arrays([b.column("_id").slice(lo, m), pa.array(node), pa.array(np.diff(at)), lists], ["_id", "node", "grams", "bands"])
 
-    return docs.mapInArrow(run, "_id long, node long, bands array<long>")
+    return docs.mapInArrow(run, "_id long, node long, grams long, bands array<long>")
 
 
 def _linked(sets: list[np.ndarray], split: int, threshold: float) -> np.ndarray:
@@ -174,16 +175,18 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", thr
     small_batches(docs.sparkSession)
     bands, rows = choose_bands(threshold, recall, hashes)
     source = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_t"))
+    tables = Tables(docs.sparkSession, "ngram-join")
     keyed = cut(_keyed(source, bands, rows, n))
     # copies combine before the shuffle; their bands are the same
-    classes = cut(keyed.groupBy("node").agg(F.min("_id").alias("first"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands")))
+    classes = tables.cut(keyed.groupBy("node").agg(F.min("_id").alias("first"), F.count(F.lit(1)).alias("n"), F.max("grams").alias("grams"), F.first("bands").alias("bands")))
     reps = classes.select("node", F.explode("bands").alias("band"))
-    classes = classes.drop("bands")
     least = reps.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("band", "low")
     candidates = reps.join(least, "band").where("node <> low").select(F.col("node").alias("src"), F.col("low").alias("dst"))
-    comps = components(candidates).withColumnsRenamed({"root": "comp"})
-    sizes = cut(comps.groupBy("comp").agg(F.count(F.lit(1)).alias("members")))  # cut, like what else joins on a key with very many rows, so that Spark can split it
-    members = cut(comps.join(sizes, "comp").join(classes, "node").select("node", "comp", "members", "first", "n"))
+    classes = classes.drop("bands")
+    members = tables.cut(components(candidates).withColumnRenamed("root", "comp").join(classes, "node").select("node", "comp", "first", "n", "grams"))
+    # only the sizes of components that need blocks are joined back: at most one row for each BLOCK classes
+    sizes = members.groupBy("comp").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("grams") / BLOCK_GRAMS)).cast("int").alias("blocks"))
+    large = tables.cut(sizes.where("blocks > 1"))
 
     def sets_of(batches):
         seen = set()  # of texts that only rows without an id have, each once a task
@@ -200,25 +203,25 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", thr
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), ids, vec.packed(made)], ["node", "_id", "set"]).filter(pa.array(new, pa.bool_()))
 
     sets = maybe_in(source, "_id", bitmap(members, "first"), then=sets_of, schema="node long, _id long, set binary")
-    full = sets.join(members, (sets["node"] == members["node"]) & sets["_id"].eqNullSafe(members["first"])).select(members["node"], "comp", "members", "n", "set")
-    total = members.count()
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    full = full.withColumns({"blocks": blocks, "mine": mine})
+    total, grams = members.agg(F.count(F.lit(1)), F.coalesce(F.sum("grams"), F.lit(0))).first()
+    placed = members.join(large, "comp", "left").select("node", "comp", "first", "n", F.coalesce("blocks", F.lit(1)).alias("blocks"))
+    full = sets.join(placed, (sets["node"] == placed["node"]) & sets["_id"].eqNullSafe(placed["first"])).select(placed["node"], "comp", "blocks", "n", "set")
+    full = full.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     small = F.col("blocks") == 1
     other = F.explode(F.when(small, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1)))
     paired = full.select("node", "comp", "n", "set", "blocks", "mine", other.alias("with"))
-    pack = F.when(small, F.pmod(F.xxhash64("comp"), F.lit(max(1, total // PACK)))).otherwise(F.xxhash64("comp", F.least("mine", "with"), F.greatest("mine", "with")))
+    pack = F.when(small, F.pmod(F.xxhash64("comp"), F.lit(max(1, total // PACK, grams // PACK_GRAMS)))).otherwise(F.xxhash64("comp", F.least("mine", "with"), F.greatest("mine", "with")))
     side = F.when(F.col("mine") == F.col("with"), WITHIN).when(F.col("mine") > F.col("with"), 1).otherwise(0).cast("int")
     side = F.when(small, WITHIN).otherwise(side)
-    verified = cut(paired.select(small.alias("small"), pack.alias("pack"), "comp", side.alias("side"), "node", "n", "set").groupBy("small", "pack").applyInArrow(_verify(threshold), "node long, links long, root long"))
-    links = verified.groupBy("node").agg(F.sum("links").alias("links"))
+    packed = paired.select(small.alias("small"), pack.alias("pack"), "comp", side.alias("side"), "node", "n", "set").groupBy("small", "pack")
+    verified = tables.cut(packed.applyInArrow(_verify(threshold), "node long, links long, root long"))
     final = components(verified.select(F.col("node").alias("src"), F.col("root").alias("dst")))
-    known = final.join(classes, "node")
-    least_id = cut(known.groupBy("root").agg(F.min("first").alias("class_id"), F.min(F.struct(F.col("first").isNull(), "first", "node"))["node"].alias("lead")))
-    told = cut(final.join(least_id, "root").join(links, "node", "left").select("node", "class_id", "lead", "links"))
+    known = tables.cut(final.join(verified.groupBy("node").agg(F.sum("links").alias("links")), "node", "left").join(classes.select("node", "first"), "node"))
+    leading = known.groupBy("root").agg(F.min("first").alias("class_id"), F.min(F.struct(F.col("first").isNull(), "first", "node"))["node"].alias("lead"))
+    told = known.join(leading, "root").select("node", "class_id", "lead", "links")
     per_class = classes.join(told, "node", "left").select("node", F.coalesce("class_id", "first").alias("class_id"), F.coalesce("lead", "node").alias("lead"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"))
     per_class = cut(per_class)
+    tables.close()
     leads = (F.col("node") == F.col("lead")) & F.col("_id").eqNullSafe(F.col("class_id"))
     return keyed.select("_id", "node").join(per_class, "node").select(F.col("_id").alias(id_col), "class_id", "n_links", "node", leads.alias("leads"))
 

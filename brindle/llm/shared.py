@@ -29,7 +29,7 @@ def bitmap(df: DataFrame, column: str) -> bytearray:
     # Spark numbers bitmap positions from 1
     rows = df.select((bit_of(column) + 1).alias("b")).groupBy(F.bitmap_bucket_number("b").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("m"))
     out = bytearray(BITS // 8 + 8192)
-    for k, m in rows.toLocalIterator():  # at most BITS / 32768 rows of 4 KB
+    for k, m in rows.collect():  # at most BITS / 32768 rows of 4 KB
         out[(k - 1) * 4096 : (k - 1) * 4096 + len(m)] = m
     return out
 

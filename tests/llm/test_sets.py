@@ -13,8 +13,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from brindle.llm import components, ngramjoin, pieces, queries, shards, sketch, warc
+from brindle.llm import ngramjoin, pieces, queries, shards, sketch, warc
 from brindle.llm.shared import shared_folder
+from brindle.operators import graph
 
 from .test_filters import words
 
@@ -255,7 +256,7 @@ def test_rows_without_an_id_take_part(spark):
 
 def test_components_of_long_paths_and_stars(spark):
     edges = [(k, k + 1) for k in range(60)] + [(100, k) for k in range(101, 140)] + [(200, 200), (300, 301), (301, 300)]
-    rows = components.components(spark.createDataFrame(edges, "src long, dst long")).collect()
+    rows = graph.connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()
     by = {}
     for r in rows:
         by.setdefault(r.root, set()).add(r.node)
