@@ -4,7 +4,8 @@ Besides words, pairs and skip-grams, the first four and five bytes of longer wor
 word share them.
 
 ``train`` fits on a bounded sample: the ``max_rows`` labelled documents that hash lowest by id, of each of
-which all words are used (a document larger than ``max_doc_bytes`` is not drawn).  One task learns them in a fixed order; each coordinate has its own
+which all words are used.  A document's features lie in a list or, where that is shorter, in a bitmap, so none takes more than ``2**bits`` / 8 bytes
+however long it is.  One task learns them in a fixed order; each coordinate has its own
 learning rate and the L1 term leaves most weights at exactly 0, so the model is a short list of
 (slot, weight) of at most ``2**bits`` entries.  ``score`` broadcasts it, hashes each whole document once and
 adds the weights of the distinct features that it has; rows are never shuffled.
@@ -37,7 +38,6 @@ class Settings:
     l2: float = 0.1
     epochs: int = 4
     max_rows: int = 12_000
-    max_doc_bytes: int = 1 << 18
     skip: int = 2
     stems: tuple[int, ...] = (4, 5)
 
@@ -72,12 +72,27 @@ def _features(data: np.ndarray, offsets: np.ndarray, s: Settings) -> list[np.nda
     return [key[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
 
+def _pack(slots: np.ndarray, bits: int) -> bytes:
+    """A sorted list of slots as 32-bit numbers, or as a bitmap where that is shorter."""
+    if len(slots) < 1 << (bits - 5):
+        return slots.astype(np.int32).tobytes()
+    flags = np.zeros(1 << bits, bool)
+    flags[slots] = True
+    return np.packbits(flags).tobytes()
+
+
+def _unpack(raw, bits: int) -> np.ndarray:
+    if memoryview(raw).nbytes < 1 << (bits - 3):
+        return np.frombuffer(raw, np.int32)
+    return np.flatnonzero(np.unpackbits(np.frombuffer(raw, np.uint8)))
+
+
 def _sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -35.0, 35.0)))
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Slots and weights that are not 0; slot -1 is the bias."""
+def fit(rows, labels, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """rows: for each document its distinct slots (or their packed form).  Slots and weights that are not 0; slot -1 is the bias."""
     n = 1 << s.bits
     z, q = np.zeros(n + 1), np.zeros(n + 1)
 
@@ -87,7 +102,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, s: Settings) -> tuple[np.nda
 
     for _ in range(s.epochs):
         for row, y in zip(rows, labels, strict=True):
-            at = np.r_[n, row]
+            at = np.r_[n, row if isinstance(row, np.ndarray) else _unpack(row, s.bits)]
             w = weights(at)
             g = _sigmoid(w.sum()) - y
             sigma = (np.sqrt(q[at] + g * g) - np.sqrt(q[at])) / s.alpha
@@ -105,7 +120,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     s = settings
     drawn = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("_y"))
     drawn = drawn.withColumn("_at", F.xxhash64(F.col("_id").cast("string"))).orderBy("_at", "_id").limit(s.max_rows)  # bounded: max_rows ids
-    texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_t")).where(F.octet_length("_t") <= s.max_doc_bytes)
+    texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_t"))
     rows = texts.join(F.broadcast(drawn), "_id").select("_at", "_id", "_y", "_t")
 
     def features(batches):
@@ -113,15 +128,15 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
             data, offsets = vec.text_buffer(b.column("_t"))
             for lo, hi in vec.slices(offsets):
                 made = _features(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], s)
-                yield pa.RecordBatch.from_arrays([b.column("_at").slice(lo, hi - lo), b.column("_y").slice(lo, hi - lo), vec.packed([x.astype(np.int32) for x in made])], ["_at", "_y", "_f"])
+                yield pa.RecordBatch.from_arrays([b.column("_at").slice(lo, hi - lo), b.column("_y").slice(lo, hi - lo), vec.packed([_pack(x, s.bits) for x in made])], ["_at", "_y", "_f"])
 
     def learn(batches):
         at, y, f = [], [], []
         for b in batches:
             at += b.column("_at").to_pylist()
             y += b.column("_y").to_pylist()
-            f += [np.frombuffer(x.as_buffer(), np.int32) for x in b.column("_f")]  # views, so the sample is held once
-        order = sorted(range(len(at)), key=lambda k: (at[k], y[k], f[k].tobytes()))
+            f += [x.as_buffer() for x in b.column("_f")]  # views, so the sample is held once
+        order = sorted(range(len(at)), key=lambda k: (at[k], y[k], f[k].to_pybytes()))
         slots, w = fit([f[k] for k in order], np.array([y[k] for k in order], float), s)
         yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int32()), pa.array(w, pa.float64())], ["slot", "weight"])
 
