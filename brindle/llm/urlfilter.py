@@ -8,7 +8,8 @@ With up to ``INLINE`` rules the index is a constant map inside the plan, so urls
 With more, it is a table: the tokens of the distinct urls join it, the best rule of each url is kept by a
 combining aggregate, and the urls' rows join that.  Spark decides from the table's size whether to broadcast it.
 
-Defined cases: a null url, and one without ``://``, has an empty host and path and gets the default verdict; repeated rows get equal results;
+Defined cases: a null url, and one without ``://``, has an empty host and path and gets the default verdict unless a pattern fits it; a very long url is judged
+whole; repeated rows get equal results; an empty table gives no rows;
 input columns named like a result column are replaced.
 """
 
@@ -29,7 +30,7 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 @dataclass(frozen=True)
 class Rule:
-    """rank: rules of a higher rank win, then the longer name, then the greater name."""
+    """rank: rules of a higher rank win (2: of a site, 1: allowing, 0: blocking patterns), then the longer name, then the greater name."""
 
     name: str
     verdict: str
@@ -46,18 +47,46 @@ def site_rule(verdict: str, name: str) -> Rule:
     tokens = [t for t in re.split("[^a-z0-9]+", host.lower()) if t]
     whole = re.split("[^a-z0-9]+", path.translate(str.maketrans(_UPPER, _LOWER)))  # as urls' tokens are; the expression minds case; the last piece of a prefix may go on
     tokens += [t for t in whole[:-1] if t]
-    quote = lambda s: re.sub(r"([^A-Za-z0-9])", r"\\\1", s)
-    return Rule(name, verdict, f"^(?:[^/]*\\.)?{quote(host)}{quote(path)}", tuple(tokens), 1, True)
+    return Rule(name, verdict, f"^(?:[^/]*\\.)?{_quote(host)}{_quote(path) if path else '(?:/|$)'}", tuple(tokens), 2, True)
 
 
-#: Hosts that the method itself rejects, where no site rule fits.
-PATTERNS = (
-    Rule("spam host", "block", r"^[a-z]+://([^/?#]*[.-])?spam[.-]", ("spam",)),
-    Rule("casino host", "block", r"^[a-z]+://([^/?#]*[.-])?casino[.-]", ("casino",)),
-    Rule("malware host", "block", r"^[a-z]+://([^/?#]*[.-])?malware[.-]", ("malware",)),
-    Rule("phishing host", "block", r"^[a-z]+://([^/?#]*[.-])?phishing[.-]", ("phishing",)),
-    Rule("adult host", "block", r"^[a-z]+://([^/?#]*[.-])?(porn|xxx)[.-]", ()),
-)
+def _quote(text: str) -> str:
+    return re.sub(r"([^A-Za-z0-9])", r"\\\1", text)
+
+
+def host_word(word: str, verdict: str = "block") -> Rule:
+    """Hosts with this word between dots or hyphens, but not as the last one."""
+    return Rule(f"host word {word}", verdict, f"^[a-z][a-z0-9+.-]*://(?:[^/?#]*[.-])?{_quote(word)}[.-]", (word,))
+
+
+def filters(lines) -> list[Rule]:
+    """Rules of the common blocking syntax: ``||`` (start of the host or of a part of it), ``|`` (start or end), ``*``, ``^`` (a separator or the end),
+    ``/expression/``, ``@@`` (allow, over all that block) and comments after ``!``.  Case does not matter.  A filter with ``$`` options is refused."""
+    out = []
+    for line in lines:
+        name = line.strip()
+        if not name or name.startswith(("!", "[")):
+            continue
+        body = name.removeprefix("@@").lower()
+        verdict, rank = ("allow", 1) if name.startswith("@@") else ("block", 0)
+        if len(body) > 2 and body.startswith("/") and body.endswith("/"):
+            out.append(Rule(name, verdict, "(?i)" + name.removeprefix("@@")[1:-1], (), rank))
+            continue
+        if "$" in body:
+            raise ValueError(f"options are not supported: {name}")
+        left = "||" if body.startswith("||") else "|" if body.startswith("|") else ""
+        right = "|" if body.endswith("|") and len(body) > len(left) else ""
+        body = body[len(left) : len(body) - len(right)]
+        made = {"*": ".*", "^": "(?:[^a-z0-9_.%-]|$)"}
+        regex = {"||": r"^[a-z][a-z0-9+.-]*://(?:[^/?#]*\.)?", "|": "^", "": ""}[left] + "".join(made.get(c) or _quote(c) for c in body) + ("$" if right else "")
+        whole = [m for m in re.finditer("[a-z0-9]+", body) if (left if m.start() == 0 else body[m.start() - 1] != "*") and (right if m.end() == len(body) else body[m.end()] != "*")]
+        out.append(Rule(name, verdict, regex, tuple(m[0] for m in whole), rank))
+    return out
+
+
+#: Fixed words of hosts that the method itself rejects where no site rule fits.
+HOST_WORDS = ("adult", "bets", "betting", "casino", "malware", "phishing", "pills", "poker", "porn", "sex", "slots", "spam", "viagra", "warez", "xxx")
+PATTERNS = tuple(host_word(w) for w in HOST_WORDS)
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -114,4 +143,4 @@ def judge(pages: DataFrame, rules, *, url_col: str = "url", default: str = "allo
         best = some.groupBy("_url").agg(F.max("rule").alias("_best"))
         judged = pages.join(best, F.col(url_col) == F.col("_url"), "left").drop("_url")
     best = F.col("_best")
-    return judged.withColumns({"rule": F.when(best["rank"] > 0, best["name"]), "pattern": F.when(best["rank"] == 0, best["name"]), "verdict": F.coalesce(best["verdict"], F.lit(default))}).drop("_best", "_low", "_site")
+    return judged.withColumns({"rule": F.when(best["site"], best["name"]), "pattern": F.when(~best["site"], best["name"]), "verdict": F.coalesce(best["verdict"], F.lit(default))}).drop("_best", "_low", "_site")

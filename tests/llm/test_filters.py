@@ -183,6 +183,39 @@ def test_toxicity_learns_and_handles_odd_rows(spark, odd_docs, no_docs):
     assert kept.columns == docs.columns and kept.where(F.col("text").contains("vileword")).count() < 20
 
 
+def test_ftrl_against_a_plain_loop():
+    """Per coordinate: z, n and the closed form of the weight, one example at a time."""
+    rng = np.random.default_rng(7)
+    s = toxicity.Settings(bits=8, l1=0.3, epochs=3)
+    rows = [np.unique(rng.integers(0, 256, rng.integers(0, 200))) for _ in range(60)]
+    labels = rng.integers(0, 2, 60)
+    z, q = [0.0] * 257, [0.0] * 257
+    weight = lambda k: 0.0 if abs(z[k]) <= s.l1 else -(z[k] - np.sign(z[k]) * s.l1) / ((s.beta + q[k] ** 0.5) / s.alpha + s.l2)
+    for _ in range(s.epochs):
+        for row, y in zip(rows, labels, strict=True):
+            at = [256, *row.tolist()]
+            w = {k: weight(k) for k in at}
+            g = 1 / (1 + np.exp(-sum(w.values()))) - y
+            for k in at:
+                sigma = ((q[k] + g * g) ** 0.5 - q[k] ** 0.5) / s.alpha
+                z[k] += g - sigma * w[k]
+                q[k] += g * g
+    want = {(-1 if k == 256 else k): weight(k) for k in range(257) if weight(k)}
+    for form in (rows, [toxicity._pack(r, s.bits) for r in rows]):
+        got = dict(zip(*(x.tolist() for x in toxicity.fit(form, labels, s)), strict=True))
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_very_long_labelled_documents_are_learnt_from(spark):
+    filler = " ".join(f"f{k}" for k in range(60_000))
+    assert len(filler) > 1 << 18
+    rows = [(k, f"{filler} {'vileword' if k % 2 else 'kind'} t{k}", k % 2) for k in range(24)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int"), settings=toxicity.Settings(l1=0.5))
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert all((got[i] >= 0.5) == bool(y) for i, _, y in rows)
+
+
 def brute_verdict(url, rules):
     rest = url.split("://", 1)[1] if url and "://" in url else ""
     host = re.match("[^/?#]*", rest)[0].translate(LOW)
@@ -198,13 +231,13 @@ def brute_verdict(url, rules):
 @pytest.mark.parametrize("inline", [200, 0])
 def test_url_rules(spark, inline):
     rules = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"), ("block", "a-b.net/x.y/")]
-    urls = [None, "", "nothing", "http://", "http://Example.ORG/es/1?q#f", "https://m.example.org/en/12", "http://example.org", "http://notexample.org/es/", "http://org/", "http://x.com/de/", "http://x.com/DE/", "x://y://z.org/a", "http://spam-farm.example.net/", "http://a-b.net/x.y/z", "http://a-b.net/xzy/z", "http://porn.example.net/q", "http://x.com/fr/?a=/de/"]
+    urls = [None, "", "nothing", "http://", "http://Example.ORG/es/1?q#f", "https://m.example.org/en/12", "http://example.org", "http://notexample.org/es/", "http://org/", "http://x.com/de/", "http://x.com/DE/", "x://y://z.org/a", "http://spam-farm.example.net/", "http://a-b.net/x.y/z", "http://a-b.net/xzy/z", "http://porn.example.net/q", "http://m.free-bets.example.net/q", "http://example.net/a-bets.html", "http://example.net/" + "long/" * 50_000, "http://x.com/fr/?a=/de/"]
     df = spark.createDataFrame([(k, u, "own") for k, u in enumerate(urls)] + [(4, urls[4], "own")], "page_id long, url string, host string")
     got = urlfilter.judge(df, [*(urlfilter.site_rule(*r) for r in rules), *urlfilter.PATTERNS], inline=inline).collect()
     assert len(got) == len(urls) + 1
     for r in got:
         host, path, best = brute_verdict(r.url, rules)
-        want = best[0] if best else "block" if r.url and ("spam-" in r.url or "//porn." in r.url) else "allow"
+        want = best[0] if best else "block" if r.url and ("spam-" in r.url or "//porn." in r.url or "free-bets" in r.url) else "allow"
         assert (r.host, r.path, r.rule, r.verdict) == (host, path, best and best[1], want), r
     assert urlfilter.judge(df.limit(0), [], inline=inline).count() == 0
 
@@ -217,9 +250,38 @@ def test_rules_with_capitals_are_fetched(spark, inline):
     assert {r.page_id: r.rule for r in got.collect()} == {1: "example.org/Private/", 2: None, 3: "example.org/dir3/"}
 
 
+@pytest.mark.parametrize("inline", [200, 0])
+def test_rules_of_both_kinds_against_brute_force(spark, inline):
+    rng = np.random.default_rng(2)
+    pick = lambda *x: str(rng.choice(x))
+    urls = [f"{pick('http', 'HTTPS')}://{pick('', 'www.', 'ads.', 'a-b.')}{pick('example', 'Org', 'site')}.{pick('org', 'com', 'organic.com')}{pick('', '/', '/Ads/', '/ads/x', '/p.gif', '/adsx?u=1', '?ads', '/org')}" for _ in range(300)]
+    sites = [("block", "org"), ("allow", "example.org/ads/"), ("block", "site.com/Ads/"), ("block", "com/p"), ("allow", "example.com")]
+    lines = ["! comment", "", "||ads.", "/ads/", "||site.org^", "|https://www.*gif|", "@@||www.site.", "^u=", "ads", "*.gif", r"/^http:\/\/a-b\.[a-z]+\.ORG/", "|http://org.com|"]
+    brute = [  # written out by hand, in the order of lines
+        r"://([^/?#]*\.)?ads\.", "ads", r"://([^/?#]*\.)?site\.org([^a-z0-9_.%-]|$)", r"^https://www\..*gif$", None, r"[^a-z0-9_.%-]u=", "ads", r"\.gif", r"^http://a-b\.[a-z]+\.org", r"^http://org\.com$",
+    ]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rules = [*(urlfilter.site_rule(*r) for r in sites), *urlfilter.filters(lines)]
+    for r in urlfilter.judge(df, rules, inline=inline).collect():
+        low = r.url.lower()
+        host, path = re.match("[^/?#]*", low.split("://")[1])[0], ""
+        path = re.match("[^?#]*", r.url.split("://")[1][len(host) :])[0]
+        fit = [(len(n), n, v) for v, n in sites if (h := n.partition("/")) and (host == h[0] or host.endswith("." + h[0])) and path.startswith(h[1] + h[2])]
+        if fit:
+            assert (r.rule, r.verdict) == max(fit)[1:], r
+            continue
+        allowed = re.search(r"://([^/?#]*\.)?www\.site\.", low)
+        blocked = any(re.search(x, low) for x in brute if x)
+        assert (r.rule, r.verdict) == (None, "allow" if allowed or not blocked else "block"), r
+    with pytest.raises(ValueError):
+        urlfilter.filters(["||x.org^$script"])
+
+
 def test_rules_are_keyed_by_their_rarest_token():
-    index, always = urlfilter._indexed([urlfilter.site_rule("block", n) for n in ("a.example.org/", "b.example.org/", "example.org/en/1")] + [urlfilter.PATTERNS[-1]])
+    index, always = urlfilter._indexed([urlfilter.site_rule("block", n) for n in ("a.example.org/", "b.example.org/", "example.org/en/1")] + urlfilter.filters(["ads*"]))
     assert set(index) == {"a", "b", "en"} and len(always) == 1
+    assert all(r.tokens for r in urlfilter.PATTERNS)
+    assert [r.tokens for r in urlfilter.filters(["||ads.x^", "|http://b*c/d|", "e.f"])] == [("ads", "x"), ("http", "d"), ()]
 
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"
