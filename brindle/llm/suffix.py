@@ -23,7 +23,9 @@ Two strings that differ could be taken for equal only if both hashes agree (64 b
 the chance that it happens anywhere is about 1 in 500.
 
 Defined cases: a null text is empty; documents with equal ids never serve each other as the earlier one;
-a null id counts as larger than all others; texts under ``length`` bytes stay whole.
+a null id counts as larger than all others; texts under ``length`` bytes stay whole; a document of any length is worked off whole, in
+segments, by one task, which holds its bytes and about twenty for each suffix; an empty table gives no rows; input columns named like those of a result are left out
+by ``repeats`` (``carry``), and come back whole from ``remove_repeats``.
 """
 
 from __future__ import annotations
@@ -221,6 +223,17 @@ class _Batch:
         return s[new], e[np.r_[new[1:], True]] if len(s) else e, row[new]
 
 
+def _whole_characters(data: np.ndarray, offsets: np.ndarray, begin: np.ndarray, end: np.ndarray, owner: np.ndarray):
+    """The spans, grown to the borders of characters; those that then meet are one."""
+    inner = lambda at: (at < len(data)) & ((data[np.minimum(at, len(data) - 1)] & 0xC0) == 0x80)
+    begin, end = begin.copy(), end.copy()
+    for _ in range(3):  # a character has four bytes at most
+        begin -= (begin > offsets[owner]) & inner(begin)
+        end += (end < offsets[owner + 1]) & inner(end)
+    new = np.r_[True, (begin[1:] > end[:-1]) | (owner[1:] != owner[:-1])][: len(begin)]
+    return begin[new], end[np.r_[new[1:], True]] if len(begin) else end, owner[new]
+
+
 def _expand(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     """first, first + 1, ... for each count."""
     if not len(first):
@@ -292,8 +305,8 @@ def _serve(kind: str, judge):
     return run
 
 
-def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 50, batch_mb: int = 8, carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row a document: id, n_bytes, the removed spans (in bytes), the bytes that are kept, and the columns in ``carry`` that have other names."""
+def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 50, batch_mb: int = 8, carry: tuple[str, ...] = (), characters: bool = False) -> DataFrame:
+    """One row a document: id, n_bytes, the removed spans (in bytes), the bytes that are kept, and the columns in ``carry`` that have other names.  With ``characters`` spans grow to the borders of the characters they touch."""
     if length < KEY + 4:
         raise ValueError(f"length is at least {KEY + 4}")
     small_batches(docs.sparkSession)
@@ -302,7 +315,7 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     types = dict(source.dtypes)
     bounds = _batches(docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long").alias("_n")), batch_mb)
     spark = docs.sparkSession
-    ranges = max(32, min(4096, 4 * (len(bounds) + 1)))  # a range gets a few megabytes of keys
+    ranges = max(32, 2 * (len(bounds) + 1))  # a range gets about 2 MB of keys at any size
     edges = spark.sparkContext.broadcast(bounds)
 
     def deal(batches):
@@ -346,6 +359,8 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     def last(left, right):
         b, (bucket, _) = with_blocks(left, right)
         begin, end, owner = b.spans(*_flags(came_back(right, "string"), bucket))
+        if characters:
+            begin, end, owner = _whole_characters(b.data, b.offsets, begin, end, owner)
         n = b.table.num_rows
         stays = np.tile([True, False], len(begin) + 1)[:-1]
         left_over = b.data[np.repeat(stays, np.diff(np.r_[0, np.column_stack([begin, end]).reshape(-1), len(b.data)]))]
@@ -381,9 +396,8 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents' own columns with the repeated strings cut out; a document of which nothing is left goes.  A character that a cut leaves incomplete goes too."""
+    """The documents' own columns with the repeated strings cut out; a document of which nothing is left goes.  A character of which a cut touches a part goes whole."""
     names = {c: f"brindle in {k}" for k, c in enumerate(docs.columns)}
-    found = repeats(docs.toDF(*names.values()), id_col=names[id_col], text_col=names[text_col], carry=tuple(v for c, v in names.items() if c not in (id_col, text_col)), **options)
+    found = repeats(docs.toDF(*names.values()), id_col=names[id_col], text_col=names[text_col], carry=tuple(v for c, v in names.items() if c not in (id_col, text_col)), characters=True, **options)
     found = found.where("size(spans) = 0 or length(kept) > 0")
-    text = F.expr("case when size(spans) = 0 then cast(kept as string) else replace(make_valid_utf8(cast(kept as string)), '�', '') end")
-    return found.select(*[(text if c == text_col else F.col(v)).alias(c) for c, v in names.items()])
+    return found.select(*[(F.col("kept").cast("string") if c == text_col else F.col(v)).alias(c) for c, v in names.items()])

@@ -115,6 +115,20 @@ def brute_repeats(rows, length=50):
     return sorted(out, key=repr)
 
 
+def whole_characters(rows):
+    """What is left of each text where cuts take whole characters."""
+    out = []
+    for (i, t), (_, _, spans, _) in zip(sorted(rows, key=lambda r: repr((r[0], len((r[1] or "").encode())))), sorted(brute_repeats(rows), key=lambda x: repr((x[0], x[1]))), strict=True):
+        left, at = [], 0
+        for c in t or "":
+            n = len(c.encode())
+            if not any(a < at + n and at < b for a, b in spans):
+                left.append(c)
+            at += n
+        out.append((i, "".join(left)))
+    return out
+
+
 def told(df):
     return sorted([(r.doc_id, r.n_bytes, [(s.start, s.end) for s in r.spans], bytes(r.kept)) for r in df.collect()], key=repr)
 
@@ -144,6 +158,28 @@ def test_suffix_dedup_against_brute_force(spark, monkeypatch, batches):
     assert told(suffix.repeats(df)) == brute_repeats(docs)
 
 
+def test_cuts_keep_replacement_characters(spark):
+    """Genuine U+FFFD stay, and characters at the edges of a cut go whole."""
+    passage = "".join(chr(0x4E00 + k) for k in range(40))
+    rows = [(1, "é" + passage + "ü"), (2, "keeps � here " + passage + " and � there"), (3, "\x00� alone"), (4, "𐀀" + passage[1:] + "𐀀�"), (5, passage[3:30] + "é" * 60), (6, "é" * 60 + "�")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in suffix.remove_repeats(df).collect()}
+    assert got == {i: t for i, t in whole_characters(rows) if t}
+    assert "keeps � here" in got[2] and got[3] == rows[2][1]
+
+
+def test_suffix_dedup_deals_its_own_batches(spark):
+    """Several batches of one megabyte, as their sizes make them."""
+    rng = np.random.default_rng(9)
+    letters = np.frombuffer(b"abcdefgh ", np.uint8)
+    texts = [rng.choice(letters, 40_000).tobytes().decode() for _ in range(70)]
+    rows = [(k, t[:30_000] + texts[(k * 7 + 3) % 70][5_000:9_000] + t[30_000:]) for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    sized = df.select(F.col("doc_id").alias("_id"), F.octet_length("text").cast("long").alias("_n"))
+    assert len(suffix._batches(sized, 1)) >= 2
+    assert told(suffix.repeats(df, batch_mb=1)) == brute_repeats(rows)
+
+
 def test_level_family_keeps_few_runs():
     family, seen = suffix.LevelFamily(), set()
     rng = np.random.default_rng(1)
