@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.durable import cut, shared_folder
 
-__all__ = ["bitmap", "cut", "maybe_in", "shared_folder", "small_batches"]
+__all__ = ["bitmap", "cut", "maybe_in", "shared_folder", "size_cuts", "small_batches"]
 
 BITS = 1 << 25
 ARROW_BYTES = 4 << 20
@@ -58,3 +58,35 @@ def maybe_in(df: DataFrame, column: str, bits: bytearray, keep: bool = True, the
         yield from then(left(batches)) if then else left(batches)
 
     return marked.mapInArrow(run, schema or df.schema)
+
+
+def size_cuts(sized: DataFrame, batch_mb: int) -> list[int]:
+    """(_id long, _n long, bytes) -> the ids at which stretches of about batch_mb begin, but the first.  Ids and sizes alone are sorted by ranges; each range gives its stretches of about batch_mb, one row each, and small neighbours merge here."""
+    limit = batch_mb << 20
+    import pyarrow as pa
+
+    parts = int(sized.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def stretches(batches):
+        first, last, size, out = None, None, 0, []
+        for b in batches:
+            for i, n in zip(b.column("_id").to_pylist(), b.column("_n").to_pylist(), strict=True):
+                if first is None:
+                    first = i
+                elif i != last and size + n > limit:
+                    out.append((first, size))
+                    first, size = i, 0
+                last, size = i, size + n
+        if first is not None:
+            out.append((first, size))
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([n for _, n in out], pa.int64())], ["first", "size"])
+
+    rows = sized.where("_id is not null").repartitionByRange(parts, "_id").sortWithinPartitions("_id").mapInArrow(stretches, "first long, size long")
+    bounds, size = [], None
+    for first, n in sorted((r["first"], r["size"]) for r in rows.toLocalIterator()):  # one row a batch
+        if size is None or size + n > limit:
+            if size is not None:
+                bounds.append(first)
+            size = 0
+        size += n
+    return bounds

@@ -6,7 +6,8 @@ From two sketches follow estimates of resemblance, containment and of the number
 while the union has at most k shingles.
 
 Defined cases: a null or empty text, or one without words, has the empty sketch ``=``; two empty sketches are alike (1), an empty and another are not (0);
-a text of fewer than five words has one shingle of them all.
+a text of fewer than five words has one shingle of them all; a very long text is worked off in segments; an empty table gives no rows; only the id and the text
+are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import vec
-from .shared import small_batches
+from .shared import size_cuts, small_batches
 
 K = 128
 _BITS = 48
@@ -108,7 +109,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
 
 def merged(prints: DataFrame, key_col: str | None = None, *, fingerprint_col: str = "fingerprint", k: int = K, fan_in: int = 4096) -> DataFrame:
-    """The merged fingerprint of each key (of all rows without one): every partition merges its own first, then parts of at most about ``fan_in`` sketches merge in rounds, so no task gets more."""
+    """The merged fingerprint of each key (of all rows without one): every partition merges its own first, so a key has one sketch a partition, or one for ``fan_in`` keys that came between; salted groups of a key's sketches merge next, and then what is left of it."""
     key = F.col(key_col) if key_col else F.lit(0)
     rows = prints.select(key.alias("_k"), F.col(fingerprint_col).alias("_f"))
     kind = rows.dtypes[0][1]
@@ -131,19 +132,11 @@ def merged(prints: DataFrame, key_col: str | None = None, *, fingerprint_col: st
     from pyspark.sql.pandas.types import to_arrow_type
 
     types = to_arrow_type(rows.schema[0].dataType)
-    for _ in range(2):
-        rows = rows.mapInArrow(local, f"_k {kind}, _f string").repartition("_k")
+    rows = rows.mapInArrow(local, f"_k {kind}, _f string").repartition(F.col("_k"), F.pmod(F.xxhash64("_f"), F.lit(64)))
     rows = rows.mapInArrow(local, f"_k {kind}, _f string").groupBy("_k").applyInArrow(lambda t: pa.Table.from_batches(list(local(t.to_batches()))), f"_k {kind}, _f string")
     return rows.select(*([F.col("_k").alias(key_col)] if key_col else []), F.col("_f").alias(fingerprint_col))
 
 
-def _cuts(ids: DataFrame, parts: int) -> list[int]:
-    if parts < 2:
-        return []
-    q = ids.where("_id is not null").agg(F.percentile_approx("_id", [x / parts for x in range(1, parts)], max(10_000, 4 * parts))).first()[0]
-    return sorted({int(x) for x in q or []})
-
-
 def _part(ids: pa.Array, cuts: np.ndarray) -> np.ndarray:
     """Part 0 has the greatest ids, the last one the least and null."""
     at = np.searchsorted(cuts, ids.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False), "right")
@@ -155,12 +148,11 @@ def against_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     after the last, the first), and the likeness of its fingerprint to the edited text's and to the next document's.
 
     Documents go to parts by ranges of ids, once; the first document of each part also goes, as a guest, to the part before, where it is the last one's next.
-    A repeated id goes by text; a null id counts as the least.
+    Ranges hold about ``part_mb`` of text each, and each is a task's own.  A repeated id goes by text (rows of one id are one part, which Spark sorts on disk); a null id counts as the least.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_t"))
-    size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
-    cuts = np.array(_cuts(rows.select("_id"), min(20_000, max(1, -(-size // (part_mb << 20))))), np.int64)
+    cuts = np.array(size_cuts(rows.select("_id", F.octet_length("_t").cast("long").alias("_n")), part_mb), np.int64)
 
     def parts(batches):
         for b in batches:
@@ -229,5 +221,5 @@ def against_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         if ids:
             yield close(first)
 
-    dealt = rows.repartition(max(1, -(-len(heads) // 3)), "p").sortWithinPartitions("p", "g", F.col("_id").desc_nulls_last(), "_t")
+    dealt = rows.repartitionById(len(cuts) + 1, "p").sortWithinPartitions("p", "g", F.col("_id").desc_nulls_last(), "_t")
     return dealt.mapInArrow(run, schema).withColumnRenamed("_id", id_col)

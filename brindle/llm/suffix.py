@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import vec
-from .shared import small_batches
+from .shared import size_cuts, small_batches
 
 KEY = 32
 
@@ -69,36 +69,6 @@ class LevelFamily:
         self.levels.append((rank, run))
 
 
-def _batches(sized: DataFrame, batch_mb: int) -> list:
-    """First ids of the batches but the first.  Ids and sizes alone are sorted by ranges; each range gives its stretches of about batch_mb, one row each, and small neighbours merge here."""
-    limit = batch_mb << 20
-    parts = int(sized.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def stretches(batches):
-        first, last, size, out = None, None, 0, []
-        for b in batches:
-            for i, n in zip(b.column("_id").to_pylist(), b.column("_n").to_pylist(), strict=True):
-                if first is None:
-                    first = i
-                elif i != last and size + n > limit:
-                    out.append((first, size))
-                    first, size = i, 0
-                last, size = i, size + n
-        if first is not None:
-            out.append((first, size))
-        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([n for _, n in out], pa.int64())], ["first", "size"])
-
-    rows = sized.where("_id is not null").repartitionByRange(parts, "_id").sortWithinPartitions("_id").mapInArrow(stretches, "first long, size long")
-    bounds, size = [], None
-    for first, n in sorted((r["first"], r["size"]) for r in rows.toLocalIterator()):  # one row a batch
-        if size is None or size + n > limit:
-            if size is not None:
-                bounds.append(first)
-            size = 0
-        size += n
-    return bounds
-
-
 def _runs(data: np.ndarray, offsets: np.ndarray, length: int):
     """Runs of neighbouring strings with the same suffix in them: suffix hash, first start, count, row."""
     total = len(data) - length + 1
@@ -313,7 +283,7 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     carried = [c for c in carry if c not in (id_col, "n_bytes", "spans", "kept")]
     source = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").cast("binary").alias("_bytes"), *[F.col(c).alias(f"_c{k}") for k, c in enumerate(carried)])
     types = dict(source.dtypes)
-    bounds = _batches(docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long").alias("_n")), batch_mb)
+    bounds = size_cuts(docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long").alias("_n")), batch_mb)
     spark = docs.sparkSession
     ranges = max(32, 2 * (len(bounds) + 1))  # a range gets about 2 MB of keys at any size
     edges = spark.sparkContext.broadcast(bounds)

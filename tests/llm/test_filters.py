@@ -153,7 +153,7 @@ def test_suffix_dedup_against_brute_force(spark, monkeypatch, batches):
         own = "".join(rng.choice(list("ab c"), rng.integers(0, 200)))
         docs.append((int(rng.integers(0, 50)), own[:60] + str(rng.choice(passage))[rng.integers(0, 60) :] + own[60:] + ("aaaa" * 40 if k % 9 == 0 else "")))
     docs += [(None, passage[0]), (None, passage[0])]
-    monkeypatch.setattr(suffix, "_batches", lambda sized, mb: [int(x) for x in np.linspace(0, 50, batches + 1)[1:-1]])
+    monkeypatch.setattr(suffix, "size_cuts", lambda sized, mb: [int(x) for x in np.linspace(0, 50, batches + 1)[1:-1]])
     df = spark.createDataFrame(docs, "doc_id long, text string")
     assert told(suffix.repeats(df)) == brute_repeats(docs)
 
@@ -176,7 +176,7 @@ def test_suffix_dedup_deals_its_own_batches(spark):
     rows = [(k, t[:30_000] + texts[(k * 7 + 3) % 70][5_000:9_000] + t[30_000:]) for k, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     sized = df.select(F.col("doc_id").alias("_id"), F.octet_length("text").cast("long").alias("_n"))
-    assert len(suffix._batches(sized, 1)) >= 2
+    assert len(suffix.size_cuts(sized, 1)) >= 2
     assert told(suffix.repeats(df, batch_mb=1)) == brute_repeats(rows)
 
 

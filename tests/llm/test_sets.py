@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from brindle.llm import ngramjoin, pieces, queries, shards, sketch, warc
+from brindle.llm import ngramjoin, pieces, queries, shards, sketch, vec, warc
 from brindle.llm.shared import shared_folder
 from brindle.operators import graph
 
@@ -92,36 +92,46 @@ def test_pieces_round_trip_with_odd_rows(odd_docs, no_docs):
     assert pieces.encode(no_docs, vocabulary).count() == 0
 
 
-def test_schedule_is_the_heap_rule():
+def heap_rule(sizes, shards):
+    """The shard of each of these sizes, largest first, one by one."""
     import heapq
 
-    rng = random.Random(2)
-    sizes = sorted((rng.choice([3, 5, 8, 100, 1000]) for _ in range(500)), reverse=True)
-    heap = [(0, k) for k in range(8)]
-    for s in sizes:
+    heap, out = [(0, k) for k in range(shards)], []
+    for s in sorted(sizes, reverse=True):
         load, k = heapq.heappop(heap)
+        out.append((s, k))
         heapq.heappush(heap, (load + s, k))
-    plan = shards.schedule([(s, n, float(s)) for s, n in Counter(sizes).items()], 8)
-    loads = sorted(sum(plan[s][k] * s for s in plan) for k in range(8))
-    assert max(loads) - min(loads) <= max(x for x, _ in heap) - min(x for x, _ in heap) + 3
-    assert all(sum(plan[s]) == n for s, n in Counter(sizes).items())
+    return out
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_schedule_is_the_heap_rule(seed):
+    rng = random.Random(seed)
+    sizes = [rng.choice([3, 5, 8, 100, 1000, rng.randrange(1, 1 << 20)]) for _ in range(rng.choice([1, 7, 500, 3000]))]
+    want = Counter(heap_rule(sizes, 8))
+    plan = list(shards.schedule(sorted(Counter(sizes).items(), reverse=True), 8))
+    assert {(s, k): n for s, take in plan for k, n in enumerate(take) if n} == dict(want)
 
 
 def test_sharding_with_odd_rows(spark, odd_docs, no_docs):
-    docs = odd_docs.select("doc_id", "text", "shard", "slot").unionByName(spark.range(300).select((F.col("id") + 100).alias("doc_id"), F.concat(F.lit("t"), (F.col("id") % 120).cast("string"), F.repeat(F.lit("x"), (F.col("id") % 120).cast("int"))).alias("text"), F.lit("own").alias("shard"), F.lit("own").alias("slot")))
+    """Sizes from 1 byte to a megabyte go where the heap puts them, groups stay together, slots have no gaps."""
+    made = spark.range(300).select((F.col("id") + 100).alias("doc_id"), F.concat(F.lit("t"), (F.col("id") % 120).cast("string"), F.repeat(F.lit("x"), F.pow(F.lit(1.122), F.col("id") % 120).cast("int"))).alias("text"), F.lit("own").alias("shard"), F.lit("own").alias("slot"))
+    again = spark.range(40).select(F.lit(7777).cast("long").alias("doc_id"), F.lit("one row many times").alias("text"), F.lit("own").alias("shard"), F.lit("own").alias("slot"))
+    docs = odd_docs.select("doc_id", "text", "shard", "slot").unionByName(made).unionByName(again).unionByName(spark.createDataFrame([(None, "no id", "own", "own")], "doc_id long, text string, shard string, slot string"))
     rows = shards.assign(docs, 8).collect()
     texts = {r.doc_id: (r.text or "") for r in docs.collect()}
     assert len(rows) == docs.count()
-    where = {}
+    where, bytes_of = {}, Counter()
     for r in rows:
         t = texts[r.doc_id].encode()
         assert (r.size, r.text_crc32) == (len(t) + 1, zlib.crc32(t))
         assert where.setdefault(t, r.shard) == r.shard
+        bytes_of[t] += r.size
+    assert max(bytes_of.values()) > 1 << 20
+    assert Counter((bytes_of[t], k) for t, k in where.items()) == Counter(heap_rule(bytes_of.values(), 8))
     for k in {r.shard for r in rows}:
         own = sorted(r.slot for r in rows if r.shard == k)
         assert own == list(range(len(own)))
-    loads = [sum(r.size for r in rows if r.shard == k and r.size < 5000) for k in range(8)]
-    assert sum(loads) and len({r.shard for r in rows}) == 8
     assert shards.assign(no_docs, 8).count() == 0
 
 
@@ -151,24 +161,62 @@ def test_sketches_estimate_and_merge(spark):
     assert sketch.decode(whole)[0].tolist() == sketch.merge(s[1], s[2])[0].tolist()
 
 
+def plain_fingerprint(text, k=128):
+    """The least hashes of the distinct shingles, by the hash of one shingle alone."""
+    made = []
+    for s in shingles(text):
+        raw = " ".join(s).encode()
+        _, _, h, row = vec.words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        g, _ = vec.row_shingles(h, row, 5)
+        assert len(g) == 1
+        made.append(int(g[0]) >> 16)
+    made = sorted(set(made))
+    raw = b"".join(x.to_bytes(6, "little") for x in made[:k])
+    return ("=" if len(made) <= k else "+") + base64.b64encode(raw).decode()
+
+
+def plain_likeness(a, b, k=128):
+    """Of the k least hashes of both together the share that both have."""
+    x, y = (([int.from_bytes(raw[j : j + 6], "little") for j in range(0, len(raw), 6)]) for raw in (base64.b64decode(f[1:]) for f in (a, b)))
+    if not x or not y:
+        return float(len(x) == len(y))
+    both = sorted(set(x) | set(y))
+    if "+" in (a[0], b[0]):
+        both = both[: min(k, *(len(v) for v, f in ((x, a), (y, b)) if f[0] == "+"))]
+    return len(set(x) & set(y) & set(both)) / len(both)
+
+
 @pytest.mark.parametrize("parts", [1, 5])
 def test_next_documents(spark, odd_docs, no_docs, monkeypatch, parts):
+    """Every column against a plain version, with one part and with several."""
     docs = odd_docs.select("doc_id", "text", "node").unionByName(spark.createDataFrame([(None, "null id", "own")], "doc_id long, text string, node string"))
-    real = sketch._cuts
-    monkeypatch.setattr(sketch, "_cuts", lambda ids, _: real(ids, parts))
+    monkeypatch.setattr(sketch, "size_cuts", lambda sized, mb: [2, 5, 6, 9][: parts - 1])
     rows = sketch.against_next(docs).collect()
     low = -1
     order = sorted(((low if r.doc_id is None else r.doc_id, r.text or "") for r in docs.collect()), key=lambda x: (-x[0], x[1]))
     want = Counter()
     for k, (i, t) in enumerate(order):
         after = order[(k + 1) % len(order)][1]
-        want[(i, len(t), hashlib.sha256((t[: len(t) - len(t) // 2] + after[: len(t) // 2]).encode()).hexdigest())] += 1
-    assert Counter((low if r.doc_id is None else r.doc_id, r.n_chars, r.edited_sha256) for r in rows) == want
+        edited = t[: len(t) - len(t) // 2] + after[: len(t) // 2]
+        f, e, g = plain_fingerprint(t), plain_fingerprint(edited), plain_fingerprint(after)
+        want[(i, len(t), hashlib.sha256(edited.encode()).hexdigest(), f, e, plain_likeness(f, e), plain_likeness(f, g))] += 1
+    assert Counter((low if r.doc_id is None else r.doc_id, r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, r.near_edited, r.near_next) for r in rows) == want
     assert sketch.against_next(no_docs).count() == 0
     one = sketch.against_next(docs.where("doc_id = 5").limit(1)).first()
     assert one.near_next == 1.0
 
 
+def test_next_documents_over_parts_of_their_own(spark):
+    """Parts of a megabyte, as sizes make them: every document meets its next one."""
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(1500)), lambda k: F.sha1((k * 1000 + F.col("id")).cast("string").cast("binary")).substr(1, 6))).alias("text"))
+    texts = [r.text for r in docs.orderBy(F.col("doc_id").desc()).collect()]
+    rows = {r.doc_id: r for r in sketch.against_next(docs, part_mb=1).collect()}
+    assert len(rows) == 300
+    for k, t in enumerate(texts):
+        after = texts[(k + 1) % 300]
+        assert rows[299 - k].edited_sha256 == hashlib.sha256((t[: len(t) - len(t) // 2] + after[: len(t) // 2]).encode()).hexdigest()
+
+
 def brute_classes(rows, threshold=0.8):
     sets = [shingles(t) or {("no words", t or "")} for _, t in rows]
     links, root = [0] * len(rows), list(range(len(rows)))
