@@ -85,15 +85,20 @@ def test_decontamination_with_odd_rows(spark, odd_docs, no_docs):
     assert decontam.scan(odd_docs, bench.limit(0)).where("n_hit > 0").count() == 0
 
 
-def test_decontamination_in_blocks(spark, monkeypatch):
-    items = [(k, f"alpha{k} beta{k} gamma{k}") for k in range(30)]
-    docs = [(k, f"x alpha{k} beta{k} gamma{k} y alpha1 beta1 gamma1") for k in range(40)]
+def test_decontamination_in_blocks(spark, odd_docs):
+    """A benchmark of several blocks, as its size makes them; items share windows over blocks."""
+    items = [(k, f"alpha{k} beta{k} gamma{k}") for k in range(30)] + [(100 + k, "alpha1 beta1 gamma1") for k in range(5)]
+    docs = [(k, f"x alpha{k} beta{k} gamma{k} y alpha1 beta1 gamma1") for k in range(40)] + [(3, "alpha4 beta4 gamma4 other"), (3, "alpha4 beta4 gamma4 other"), (None, "alpha4 beta4 gamma4"), (5, None)]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    df = spark.createDataFrame(docs, "doc_id long, text string")
-    blocks = [spark.sparkContext.broadcast(decontam._index([(str(i), t.encode()) for i, t in items[k::3]], 10)) for k in range(3)]
-    monkeypatch.setattr(decontam, "_blocks", lambda *a: blocks)
-    rows = decontam.scan(df, bench).collect()
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("_key", F.lit("own"))
+    assert decontam._blocks(bench, "item_id", "text", 10, 0.0002)[0] >= 3
+    rows = decontam.scan(df, bench, block_mb=0.0002).collect()
     assert sorted([(r.doc_id, r.n_words, r.n_hit, r["items"]) for r in rows], key=repr) == brute_contamination(docs, items)
+    whole = {(r.doc_id, r.cleaned) for r in decontam.scan(df, bench).collect()}
+    assert {(r.doc_id, r.cleaned) for r in rows} == whole
+    odd = spark.createDataFrame([(1, " ".join(f"WORD{k}x1" for k in range(20, 32))), (2, "short"), (10, "t5 t6, t7")], "item_id long, text string")
+    kept = decontam.decontaminate(odd_docs, odd, block_mb=0.00002)
+    assert kept.columns == odd_docs.columns and {r.doc_id for r in kept.collect()} == {r.doc_id for r in decontam.decontaminate(odd_docs, odd).collect()}
 
 
 def brute_repeats(rows, length=50):
