@@ -1,17 +1,18 @@
 """WARC archives with deduplicated payloads, and a two-level capture index.
 
-``write`` packs records into archives of about ``archive_mb``, each record a gzip member of its own, and hands each archive as one value to
-Spark's text writer (one row a file; the byte after the last member is a zero, which gzip takes as padding).  So archives go to any store
-that Spark can write, under its commit protocol.  A payload that an earlier page has becomes a revisit record: of the pages with equal SHA-1 digests,
-that with the least id is the response.  ``read`` parses archives record by record and checks each response's digest.
+``write`` packs records into archives of about ``archive_mb``: a warcinfo record, then the HTTP message of each page, each record a gzip member of its own.
+Each archive is one value for Spark's text writer (one row a file, whose name Spark gives; the byte after the last member is a zero, which gzip takes as padding).
+So archives go to any store that Spark can write, under its commit protocol.  A payload that an earlier page has becomes a revisit record: of the pages with equal SHA-1
+digests, that with the least id is the response.  ``read`` parses archives record by record and checks each response's digest.
 
-``index`` sorts capture lines (reversed-host url key, page, archive, offset, length) by key and page into compressed blocks of ``lines`` lines; the
-directory has the first and last of each block.  ``lookup`` finds a key's blocks by binary search in the directory, opens only those and gives archive, offset and
-length; ``fetch`` reads just that range.  ``captures`` and ``fetch_all`` do the same for a table of pages: workers search the directory, each wanted block
-is opened once, and the ranges are read in batches by archive.
+``index`` sorts capture lines (reversed-host url key, page, archive, offset, length) by key and page into compressed blocks of ``lines`` lines, many to a file; the
+sparse directory has the first and last of each block and its file, offset and length.  ``lookup`` (some urls) and ``captures`` (a table of pages) find blocks by binary search in the
+directory, read only those ranges, each once, and give archive, offset and length of each capture; ``fetch`` and ``fetch_all`` read just these ranges, in order of archive and offset.
+Workers get the directory in pieces of at most ``DIRECTORY_ROWS`` blocks, one after the other.
 
 Defined cases: a null payload is empty (and empty ones are equal); rows that share the least id of a payload are all responses; a null url is stored as empty; a null id is stored without one
-and takes part as larger than all others.
+and takes part as larger than all others; a very long payload is one record, which one task holds; an empty table gives no archives, or such without records; only the three
+columns named are read, so others may have any name.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import base64
 import bisect
 import gzip
 import hashlib
+import itertools
 import uuid
 import zlib
 
@@ -31,9 +33,12 @@ from pyspark.sql import functions as F
 from .shared import cut, small_batches
 
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-_DATE = "2024-01-01T00:00:00Z"
+_HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
+#: Blocks whose places a worker holds at a time, some tens of MB.
+DIRECTORY_ROWS = 200_000
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
-_BLOCK = "first_key string, first_page string, last_key string, last_page string, block string, n int, body binary"
+_PLACE = pa.schema([("first_key", pa.string()), ("first_page", pa.string()), ("last_key", pa.string()), ("last_page", pa.string()), ("file", pa.string()), ("at", pa.int64()), ("size", pa.int64())])
+_PLACES = "first_key string, first_page string, last_key string, last_page string, file string, at long, size long"
 RECORD = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary, archive string, offset long, length long, intact boolean"
 
 
@@ -41,18 +46,25 @@ def _id(page_id) -> str:
     return f"<urn:uuid:{uuid.uuid5(_SPACE, f'page {page_id}')}>"
 
 
-def _record(page_id, url: str, payload: bytes, sha1: bytes, refers_to) -> bytes:
-    digest = base64.b32encode(sha1).decode()
+def _member(head: list[bytes], body: bytes) -> bytes:
+    head = [b"WARC/1.1", *head, b"Content-Length: %d" % len(body)]
+    return gzip.compress(b"\r\n".join(head) + b"\r\n\r\n" + body + b"\r\n\r\n", 6, mtime=0)
+
+
+def _info(date: str, first: bytes) -> bytes:
+    """The record at the head of an archive; ``first`` (the record after it) gives it an id of its own."""
+    own = uuid.uuid5(_SPACE, hashlib.sha1(first).hexdigest())
+    return _member([b"WARC-Type: warcinfo", b"WARC-Date: " + date.encode(), f"WARC-Record-ID: <urn:uuid:{own}>".encode(), b"Content-Type: application/warc-fields"], b"software: brindle\r\nformat: WARC File Format 1.1\r\n")
+
+
+def _record(page_id, url: str, payload: bytes, sha1: bytes, refers_to, date: str) -> bytes:
     clean = (url or "").replace("\r", "%0D").replace("\n", "%0A")
-    head = [b"WARC/1.1", b"WARC-Type: " + (b"response" if refers_to is None else b"revisit"), b"WARC-Date: " + _DATE.encode(), b"WARC-Record-ID: " + _id(page_id).encode()]
-    head += [b"WARC-Target-URI: " + clean.encode(), b"WARC-Payload-Digest: sha1:" + digest.encode(), b"Content-Type: text/html"]
+    head = [b"WARC-Type: " + (b"response" if refers_to is None else b"revisit"), b"WARC-Date: " + date.encode(), b"WARC-Record-ID: " + _id(page_id).encode()]
+    head += [b"WARC-Target-URI: " + clean.encode(), b"WARC-Payload-Digest: sha1:" + base64.b32encode(sha1), b"Content-Type: application/http;msgtype=response"]
     head += [] if page_id is None else [f"X-Page: {page_id}".encode()]
-    body = payload
     if refers_to is not None:
-        body = b""
-        head += [b"WARC-Profile: " + _PROFILE.encode(), b"WARC-Refers-To: " + _id(refers_to).encode(), f"X-Refers-To-Page: {refers_to}".encode(), f"X-Payload-Length: {len(payload)}".encode()]
-    head.append(f"Content-Length: {len(body)}".encode())
-    return gzip.compress(b"\r\n".join(head) + b"\r\n\r\n" + body + b"\r\n\r\n", 6, mtime=0)
+        head += [b"WARC-Profile: " + _PROFILE.encode(), b"WARC-Refers-To: " + _id(refers_to).encode(), f"X-Refers-To-Page: {refers_to}".encode()]
+    return _member(head, _HTTP % len(payload) + (payload if refers_to is None else b""))
 
 
 def members(raw: bytes):
@@ -80,6 +92,12 @@ def parse(content: bytes) -> tuple[dict[str, str], bytes]:
     return fields, rest[: int(fields["Content-Length"])]
 
 
+def http(body: bytes) -> tuple[int, bytes]:
+    """The length that an HTTP message gives, and the payload that is there."""
+    head, _, payload = body.partition(b"\r\n\r\n")
+    return int(head.rpartition(b"Content-Length: ")[2]), payload
+
+
 _ROW = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary()), ("archive", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("intact", pa.bool_())])
 
 
@@ -89,12 +107,15 @@ def _told(records, payloads: bool):
     batch = lambda: pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _ROW, strict=True)], schema=_ROW)
     for name, offset, length, content in records:
         h, body = parse(content)
+        if h["WARC-Type"] not in ("response", "revisit"):
+            continue
+        said, body = http(body)
         digest = h["WARC-Payload-Digest"].removeprefix("sha1:")
         reply = h["WARC-Type"] == "response"
         if reply:
             own = base64.b32encode(hashlib.sha1(body).digest()).decode()
         number = lambda k: int(h[k]) if k in h else None  # noqa: B023, E731
-        out.append((number("X-Page"), h["WARC-Target-URI"], h["WARC-Type"], len(body) if reply else number("X-Payload-Length"), own if reply else digest, number("X-Refers-To-Page"), body if reply and payloads else None, name, offset, length, own == digest if reply else None))
+        out.append((number("X-Page"), h["WARC-Target-URI"], h["WARC-Type"], len(body) if reply else said, own if reply else digest, number("X-Refers-To-Page"), body if reply and payloads else None, name, offset, length, own == digest if reply else None))
         size += len(body)
         if size > 4 << 20:
             yield batch()
@@ -103,8 +124,8 @@ def _told(records, payloads: bool):
         yield batch()
 
 
-def write(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", archive_mb: int = 16) -> None:
-    """Write the archives below path, which must not exist."""
+def write(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", archive_mb: int = 16, date: str = "2024-01-01T00:00:00Z") -> None:
+    """Write the archives below path, which must not exist; date: of the capture."""
     small_batches(pages.sparkSession)
     rows = pages.select(F.col(id_col).cast("long").alias("_id"), F.col(url_col).cast("string").alias("_url"), F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("_body"))
     rows = rows.withColumn("_sha", F.unhex(F.sha1("_body")))
@@ -115,15 +136,16 @@ def write(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str
 
     def pack(batches):
         held, size = [], 0
+        archive = lambda: pa.RecordBatch.from_arrays([pa.array([b"".join([_info(date, held[0]), *held])], pa.binary())], ["_w"])
         for b in batches:
             for i, u, body, sha, to in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                held.append(_record(i, u, body, sha, to))
+                held.append(_record(i, u, body, sha, to, date))
                 size += len(held[-1])
                 if size >= limit:
-                    yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], ["_w"])
+                    yield archive()
                     held, size = [], 0
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], ["_w"])
+            yield archive()
 
     archives = rows.mapInArrow(pack, "_w binary").select(F.col("_w").cast("string").alias("value"))
     archives.write.option("maxRecordsPerFile", 1).option("lineSep", "\0").text(path)
@@ -162,69 +184,154 @@ def _page(page: F.Column) -> F.Column:
     return F.coalesce(page.cast("long").cast("string"), F.lit(""))
 
 
-def index(records: DataFrame, path: str, *, lines: int = 3000, files: int | None = None) -> DataFrame:
-    """Write the index of read()'s records below path as blocks; the directory (first and last key and page, block) comes back."""
+def index(records: DataFrame, path: str, *, lines: int = 3000, files: int | None = None, file_mb: int = 16) -> DataFrame:
+    """Write the index of read()'s records below path: files of about file_mb of compressed blocks, and the directory, which comes back."""
+    spark = records.sparkSession
     keyed = cut(records.select(_key(F.col("url")).alias("key"), _page(F.col("page_id")).alias("page"), "archive", "offset", "length"))  # cut, as the sort samples it first
-    files = files or int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sorted_lines = keyed.repartitionByRange(files, "key", "page").sortWithinPartitions("key", "page")
 
     def pack(batches):
-        held: list[tuple[str, str, str]] = []
-
-        def block():
-            body = gzip.compress("\n".join(x for _, _, x in held).encode(), mtime=0)
-            key = hashlib.sha1(body).hexdigest()
-            return pa.RecordBatch.from_arrays([*(pa.array([x]) for x in (held[0][0], held[0][1], held[-1][0], held[-1][1], key)), pa.array([len(held)], pa.int32()), pa.array([body], pa.binary())], _BLOCK.replace(" string", "").replace(" int", "").replace(" binary", "").split(", "))
-
+        held: list[str] = []
+        blocks, size = [], 0
+        file = lambda: pa.RecordBatch.from_arrays([pa.array([b"".join(blocks)], pa.binary())], ["_w"])
         for b in batches:
             for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                held.append((row[0], row[1], "\t".join("" if x is None else str(x).replace("\t", "%09").replace("\n", "%0A") for x in row)))
+                held.append("\t".join("" if x is None else str(x).replace("\t", "%09").replace("\n", "%0A") for x in row))
                 if len(held) == lines:
-                    yield block()
+                    blocks.append(gzip.compress("\n".join(held).encode(), 6, mtime=0))
+                    size += len(blocks[-1])
                     held = []
+                    if size >= file_mb << 20:
+                        yield file()
+                        blocks, size = [], 0
         if held:
-            yield block()
+            blocks.append(gzip.compress("\n".join(held).encode(), 6, mtime=0))
+        if blocks:
+            yield file()
+
+    sorted_lines.mapInArrow(pack, "_w binary").select(F.col("_w").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).option("lineSep", "\0").text(f"{path}/blocks")
 
-    blocks = sorted_lines.mapInArrow(pack, _BLOCK)
-    blocks.write.parquet(f"{path}/blocks")
-    directory = records.sparkSession.read.parquet(f"{path}/blocks").drop("n", "body")
-    directory.write.parquet(f"{path}/directory")
-    return records.sparkSession.read.parquet(f"{path}/directory")
+    def places(batches):
+        for b in batches:
+            out = []
+            for name, raw in zip(b.column("path").to_pylist(), b.column("content"), strict=True):
+                for at, size, content in members(raw.as_py()):
+                    first, last = content[: content.find(b"\n")] if b"\n" in content else content, content[content.rfind(b"\n") + 1 :]
+                    out.append((*first.decode().split("\t")[:2], *last.decode().split("\t")[:2], name, at, size))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], f.type) for k, f in enumerate(_PLACE)], schema=_PLACE)
+
+    made = spark.read.format("binaryFile").load(f"{path}/blocks").where("length > 0").select("path", "content").mapInArrow(places, _PLACES)
+    made.write.parquet(f"{path}/directory")
+    return spark.read.schema(_PLACES).parquet(f"{path}/directory")
+
+
+_CAPTURE = pa.schema([("want", pa.string()), ("archive", pa.string()), ("offset", pa.int64()), ("length", pa.int64())])
+_CAPTURES = "want string, archive string, offset long, length long"
+
+
+def _placed(wanted: DataFrame, path: str) -> DataFrame:
+    """wanted (key, page; without a page: all of the key) -> file, at, size of each block that may have it, and the wanted as ``want``."""
+    spark = wanted.sparkSession
+    directory = spark.read.schema(_PLACES).parquet(f"{path}/directory")
+    rows = directory.count()
+    if rows > DIRECTORY_ROWS:
+        directory = directory.orderBy("first_key", "first_page", "last_key", "last_page")
+        wanted = cut(wanted)
+    source = directory.toLocalIterator()
+    found = None
+    for _ in range(max(1, -(-rows // DIRECTORY_ROWS))):
+        piece = [((r["first_key"], r["first_page"]), (r["last_key"], r["last_page"]), r["file"], r["at"], r["size"]) for r in itertools.islice(source, DIRECTORY_ROWS)]
+        sent = spark.sparkContext.broadcast(sorted(piece))
+
+        def search(batches, sent=sent):
+            entries = sent.value
+            firsts = [e[0] for e in entries]
+            for b in batches:
+                out = []
+                for key, page in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                    low, high = (key, page or ""), (key, page) if page is not None else (key, "\U0010ffff")
+                    k = bisect.bisect_right(firsts, high) - 1
+                    while k >= 0 and entries[k][1] >= low:  # equal lines may go over several blocks
+                        out.append((*entries[k][2:], key if page is None else f"{key}\t{page}"))
+                        k -= 1
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64(), pa.string()))], ["file", "at", "size", "want"])
+
+        mine = wanted.mapInArrow(search, "file string, at long, size long, want string")
+        if rows > DIRECTORY_ROWS:
+            mine = cut(mine)
+            sent.destroy()
+        found = mine if found is None else found.unionByName(mine)
+    return found
+
+
+def _opened(placed: DataFrame, path: str, whole: bool) -> DataFrame:
+    """The captures of what is wanted, from the blocks that may have it; whole: ``want`` has key and page, not the key alone."""
+    spark = placed.sparkSession
+
+    def lines_of(raw: bytes) -> dict[str, list[tuple[str, int, int]]]:
+        held: dict[str, list[tuple[str, int, int]]] = {}
+        for line in gzip.decompress(raw).decode().split("\n"):
+            name, archive, offset, length = line.rsplit("\t", 3)
+            held.setdefault(name if whole else name.rpartition("\t")[0], []).append((archive, int(offset), int(length)))
+        return held
+
+    def batch(out):
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], f.type) for k, f in enumerate(_CAPTURE)], schema=_CAPTURE)
 
+    if _store(path) is None:
+        per_file = placed.groupBy("file").agg(F.collect_list(F.struct("at", "size", "want")).alias("wants"))  # at most the lines of a file of file_mb, where what is wanted is there
+        files = spark.read.format("binaryFile").load(f"{path}/blocks").select(F.col("path").alias("file"), "content").join(per_file, "file")
 
-def lookup(spark: SparkSession, path: str, urls: list[str]) -> DataFrame:
-    """url, page, archive, offset, length of the captures of these urls; only blocks that can hold them are opened.
+        def cut_out(batches):
+            for b in batches:
+                for raw, wants in zip(b.column("content"), b.column("wants").to_pylist(), strict=True):
+                    raw, held, out = raw.as_py(), {}, []
+                    for w in sorted(wants, key=lambda w: w["at"]):
+                        if w["at"] not in held:
+                            held = {w["at"]: lines_of(raw[w["at"] : w["at"] + w["size"]])}
+                        out += [(w["want"], *x) for x in held[w["at"]].get(w["want"], ())]
+                    yield batch(out)
 
-    The directory has a row for each block of thousands of captures; it is searched on the driver.
-    """
-    keys = spark.createDataFrame([(u,) for u in urls], "url string").select("url", _key(_stored(F.col("url"))).alias("key")).collect()
-    entries = sorted(spark.read.parquet(f"{path}/directory").toLocalIterator(), key=lambda r: (r["first_key"], r["last_key"]))
-    firsts = [r["first_key"] for r in entries]
-    wanted = set()
-    for r in keys:
-        k = bisect.bisect_right(firsts, r["key"]) - 1
-        while k >= 0 and entries[k]["last_key"] >= r["key"]:
-            wanted.add(entries[k]["block"])
-            k -= 1
-    found = spark.read.parquet(f"{path}/blocks").where(F.col("block").isin(sorted(wanted))).select("body")
+        return files.mapInArrow(cut_out, _CAPTURES)
 
-    def run(batches):
-        want = {}
-        for r in keys:
-            want.setdefault(r["key"], []).append(r["url"])
+    def ranged(batches):
+        name, file, at, held = None, None, None, {}
         for b in batches:
             out = []
-            for body in b.column("body").to_pylist():
-                for line in gzip.decompress(body).decode().split("\n"):
-                    key, page, archive, offset, length = line.split("\t")
-                    out += [(u, int(page) if page else None, archive, int(offset), int(length)) for u in want.get(key, ())]
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()))], ["url", "page", "archive", "offset", "length"])
+            for own, start, size, want in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if own != name:
+                    if file:
+                        file.close()
+                    store, place = _store(own)
+                    name, file, at = own, store.open_input_file(place), None
+                if start != at:
+                    at, held = start, lines_of(file.read_at(size, start))
+                out += [(want, *x) for x in held.get(want, ())]
+            yield batch(out)
+        if file:
+            file.close()
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = cut(placed).repartitionByRange(parts, "file", "at", "want").sortWithinPartitions("file", "at")
+    return ordered.select("file", "at", "size", "want").mapInArrow(ranged, _CAPTURES)
+
+
+def captures(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+    """archive, offset, length of all captures of these pages (by url and id) in the index below path."""
+    wanted = pages.select(_key(_stored(F.col(url_col))).alias("key"), _page(F.col(id_col)).alias("page")).distinct()
+    return _opened(_placed(wanted, path), path, True).drop("want")
 
-    return found.mapInArrow(run, "url string, page long, archive string, offset long, length long").distinct()
+
+def lookup(spark: SparkSession, path: str, urls: list[str]) -> DataFrame:
+    """url, archive, offset, length of the captures of these urls."""
+    asked = spark.createDataFrame([(u,) for u in urls], "url string").select("url", _key(_stored(F.col("url"))).alias("key"))
+    wanted = asked.select("key", F.lit(None).cast("string").alias("page")).distinct()
+    return _opened(_placed(wanted, path), path, False).join(asked, F.col("want") == F.col("key")).select("url", "archive", "offset", "length")
 
 
 def fetch(spark: SparkSession, archive: str, offset: int, length: int) -> tuple[dict[str, str], bytes]:
-    """One record by a range read through Spark's file system."""
+    """Head and payload of one record, by a range read through Spark's file system."""
     jvm = spark.sparkContext._jvm
     place = jvm.org.apache.hadoop.fs.Path(archive)
     stream = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(place)
@@ -233,45 +340,8 @@ def fetch(spark: SparkSession, archive: str, offset: int, length: int) -> tuple[
         raw = bytes(stream.readNBytes(length))
     finally:
         stream.close()
-    return parse(next(members(raw))[2])
-
-
-def captures(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
-    """archive, offset, length of all captures of these pages (by url and id) in the index below path.
-
-    Workers search the directory, of which each has a copy: one row for each block.  A block goes to one row with all
-    that is wanted of it, of which there is no more than it has lines where all pages are in the index.
-    """
-    spark = pages.sparkSession
-    entries = sorted(((r["first_key"], r["first_page"]), (r["last_key"], r["last_page"]), r["block"]) for r in spark.read.parquet(f"{path}/directory").toLocalIterator())
-    sent = spark.sparkContext.broadcast(entries)
-    wanted = pages.select(_key(_stored(F.col(url_col))).alias("key"), _page(F.col(id_col)).alias("page")).distinct()
-
-    def search(batches):
-        firsts = [e[0] for e in sent.value]
-        for b in batches:
-            out = []
-            for want in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                k = bisect.bisect_right(firsts, want) - 1
-                while k >= 0 and sent.value[k][1] >= want:  # equal lines may go over several blocks
-                    out.append((sent.value[k][2], "\t".join(want)))
-                    k -= 1
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.string()) for k in range(2)], ["block", "want"])
-
-    per_block = wanted.mapInArrow(search, "block string, want string").groupBy("block").agg(F.collect_list("want").alias("wants"))
-    opened = per_block.join(spark.read.parquet(f"{path}/blocks").select("block", "body"), "block").select("wants", "body")
-
-    def run(batches):
-        for b in batches:
-            for wants, body in zip(b.column("wants"), b.column("body"), strict=True):
-                want, out = set(wants.as_py()), []
-                for line in gzip.decompress(body.as_py()).decode().split("\n"):
-                    name, archive, offset, length = line.rsplit("\t", 3)
-                    if name in want:
-                        out.append((archive, int(offset), int(length)))
-                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64()))], ["archive", "offset", "length"])
-
-    return opened.mapInArrow(run, "archive string, offset long, length long")
+    head, body = parse(next(members(raw))[2])
+    return head, http(body)[1]
 
 
 def _store(path: str):

@@ -332,24 +332,27 @@ def test_warc_round_trip(spark, tmp_path):
         assert (r.record_type, r.refers_to) == (("response", None) if reply else ("revisit", first[body]))
         assert (r.intact, None if r.payload is None else bytes(r.payload)) == ((True, body) if reply else (None, None))
     for f in Path(folder.removeprefix("file:")).glob("part-*"):
-        assert gzip.decompress(f.read_bytes()).startswith(b"WARC/1.1\r\n")
+        content = gzip.decompress(f.read_bytes())
+        assert content.startswith(b"WARC/1.1\r\nWARC-Type: warcinfo\r\n") and content.count(b"HTTP/1.1 200 OK\r\n") == content.count(b"msgtype=response")
     directory = warc.index(warc.read(spark, folder), f"{folder}-index", lines=2)
     assert directory.count() >= 4
     hits = warc.lookup(spark, f"{folder}-index", ["HTTP://B1.example.org/p?4", "http://none.org/"]).collect()
-    assert [(r.url, r.page) for r in hits] == [("HTTP://B1.example.org/p?4", 4)]
+    assert [r.url for r in hits] == ["HTTP://B1.example.org/p?4"]
     head, body = warc.fetch(spark, hits[0].archive, hits[0].offset, hits[0].length)
-    assert body == b"x" * 300_000 and head["WARC-Target-URI"] == "http://b1.example.org/p?4"
+    assert body == b"x" * 300_000 and head["WARC-Target-URI"] == "http://b1.example.org/p?4" and head["X-Page"] == "4"
     empty = f"{folder}-empty"
     warc.write(df.limit(0), empty)
     assert warc.read(spark, empty).count() == 0
 
 
 @pytest.mark.parametrize("ranged", [True, False])
-def test_warc_index_finds_every_page(spark, monkeypatch, ranged):
+@pytest.mark.parametrize("piece", [200_000, 4])
+def test_warc_index_finds_every_page(spark, monkeypatch, ranged, piece):
+    monkeypatch.setattr(warc, "DIRECTORY_ROWS", piece)
     rows = [(k, f"http://b{k % 3}.Example.org/p?{k}", f"<p>{k % 7}</p>") for k in range(40)]
     rows += [(7, "http://b1.example.org/p?7", "again"), (None, None, "solo"), *[(None, "u\r\nX:\ty", "many")] * 5, (99, "http://b0.example.org/p?0", None)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
-    folder = f"{shared_folder(spark)}/test-warc-all-{ranged}"
+    folder = f"{shared_folder(spark)}/test-warc-all-{ranged}-{piece}"
     warc.write(df.repartition(3), folder)
     records = warc.read(spark, folder)
     warc.index(records, f"{folder}-index", lines=2, files=3)
@@ -359,6 +362,7 @@ def test_warc_index_finds_every_page(spark, monkeypatch, ranged):
     assert tell(warc.fetch_all(warc.captures(df, f"{folder}-index"), folder)) == tell(records) and records.count() == len(rows)
     some = warc.captures(df.where("page_id in (7, 99)"), f"{folder}-index")
     assert sorted(r.page_id for r in warc.fetch_all(some, folder).collect()) == [7, 7, 99]
+    assert sorted(r.url for r in warc.lookup(spark, f"{folder}-index", ["http://b1.example.org/p?7", "http://b0.Example.org/p?0", "http://b0.example.org/none"]).collect()) == ["http://b0.Example.org/p?0"] * 2 + ["http://b1.example.org/p?7"] * 2
     assert warc.captures(spark.createDataFrame([(8, "http://b1.example.org/p?7")], "page_id long, url string"), f"{folder}-index").count() == 0
 
 
