@@ -12,7 +12,8 @@ own BPE takes may give other ids, with a sum that is never greater.
 
 Spaces become the mark U+2581, of which one more comes first.  Decoding gives the text back exactly, but that a mark in the text itself comes back as a space.
 
-Defined cases: a null text has null ids and decodes to null; an empty text has none; rows never affect each other.
+Defined cases: a null text has null ids and decodes to null; an empty text has none; a very long text is worked off in parts of a megabyte where the vocabulary lets it fall apart; rows never affect
+each other; an empty table gives no rows; a column named like a result's is replaced, all others come back.
 """
 
 from __future__ import annotations
@@ -151,12 +152,59 @@ class PieceModel:
         return text[1:] if text[:1] == " " else text
 
 
+def _fields(raw: bytes):
+    """(number, value) of the fields of a serialised message."""
+    at = 0
+
+    def number() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte = raw[at]
+            at += 1
+            value |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                return value
+
+    while at < len(raw):
+        key = number()
+        if key & 7 == 0:
+            yield key >> 3, number()
+        else:
+            size = number() if key & 7 == 2 else 8 if key & 7 == 1 else 4
+            yield key >> 3, raw[at : at + size]
+            at += size
+
+
+#: Fixed field numbers of the public model format.
+_TRAINER, _NORMALIZER, _PIECE, _KIND, _SUFFIX = 2, 3, 1, 3, 24
+_CHARSMAP, _PREFIX, _SQUEEZE, _ESCAPE, _USER_DEFINED = 2, 3, 4, 5, 4
+
+
+def _refused(raw: bytes) -> str | None:
+    """What of a model's settings encode does not follow, if anything."""
+    norm, train, user = {}, {}, False
+    for number, value in _fields(raw):
+        if number == _NORMALIZER:
+            norm = dict(_fields(value))
+        elif number == _TRAINER:
+            train = dict(_fields(value))
+        elif number == _PIECE:
+            user = user or any(f == (_KIND, _USER_DEFINED) for f in _fields(value))
+    found = {"a normaliser": norm.get(_CHARSMAP), "white space that is squeezed": norm.get(_SQUEEZE, 1), "no mark before the text": not norm.get(_PREFIX, 1), "spaces that stay": not norm.get(_ESCAPE, 1), "marks as suffixes": train.get(_SUFFIX), "user-defined pieces": user}
+    return ", ".join(k for k, v in found.items() if v) or None
+
+
 def load(path: str) -> list[tuple[str, float, str]]:
-    """The pieces of a SentencePiece model file."""
+    """The pieces of a SentencePiece model file; one with settings that ``encode`` does not follow is refused."""
     import sentencepiece
 
     with open(path, "rb") as f:
-        p = sentencepiece.SentencePieceProcessor(model_proto=f.read())
+        raw = f.read()
+    if what := _refused(raw):
+        raise ValueError(f"the model has {what}")
+    p = sentencepiece.SentencePieceProcessor(model_proto=raw)
     kind = lambda k: "byte" if p.is_byte(k) else "unknown" if p.is_unknown(k) else "control" if p.is_control(k) or p.is_unused(k) else "normal"
     return [(p.id_to_piece(k), float(p.get_score(k)), kind(k)) for k in range(p.vocab_size())]
 

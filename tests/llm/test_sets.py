@@ -81,6 +81,43 @@ def test_scores_on_the_vocabulary_file(spark):
     assert lines > 1000
 
 
+@pytest.mark.skipif(not MODEL.exists(), reason="no vocabulary file")
+def test_whole_texts_have_the_best_sum(spark):
+    """A plain dynamic programme over whole texts, with every piece of the vocabulary tried at every place and bytes where none fits."""
+    vocabulary = pieces.load(str(MODEL))
+    model = pieces.PieceModel(vocabulary)
+    score = {t: s for t, s, kind in vocabulary if kind == "normal"}
+    longest = max(map(len, score))
+    texts = [r.text[:4000] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("length(text) > 500").orderBy("doc_id").limit(5).collect()]
+    texts += ["a  b\n\n c\t😀x ", "   ", "naïve ﬁ ▁ mark", "\x00"]
+    byte = {k for k, (_, _, kind) in enumerate(vocabulary) if kind == "byte"}
+    for text in texts:
+        marked = "▁" + text.replace(" ", "▁")
+        best = [0.0] + [-float("inf")] * len(marked)
+        for k in range(len(marked)):
+            for m in range(k + 1, min(len(marked), k + longest) + 1):
+                s = score.get(marked[k:m])
+                if s is None and m == k + 1:
+                    s = model.penalty
+                if s is not None:
+                    best[m] = max(best[m], best[k] + s)
+        ids = model.encode(text).tolist()
+        runs = [vocabulary[k][1] for k in ids if k not in byte]
+        raw = b"".join(model.raw[k] for k in ids if k in byte)
+        total = sum(runs) + model.penalty * len(raw.decode())
+        assert total == pytest.approx(best[-1], abs=1e-6), text[:40]
+
+
+@pytest.mark.skipif(not MODEL.exists(), reason="no vocabulary file")
+def test_models_with_other_settings_are_refused():
+    raw = MODEL.read_bytes()
+    norm = bytes([0x0A, 8]) + b"identity" + bytes([0x12, 0, 0x18, 1, 0x20, 0])
+    at = raw.rindex(norm)
+    assert pieces._refused(raw) is None
+    assert pieces._refused(raw[:at] + norm[:-1] + b"\x01" + raw[at + len(norm) :]) == "white space that is squeezed"
+    assert pieces._refused(raw[:at] + norm[:-3] + b"\x00\x20\x00" + raw[at + len(norm) :]) == "no mark before the text"
+
+
 @pytest.mark.skipif(not MODEL.exists(), reason="no vocabulary file")
 def test_pieces_round_trip_with_odd_rows(odd_docs, no_docs):
     vocabulary = pieces.load(str(MODEL))
