@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from brindle.llm import ngramjoin, pieces, queries, shards, sketch, vec, warc
+from brindle.llm import ngramjoin, pieces, queries, shards, sketch, suffix, vec, warc
 from brindle.llm.shared import shared_folder
 from brindle.operators import graph
 
@@ -436,3 +436,38 @@ def test_pipeline_stages(spark):
             bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{d}/benchmark.parquet").collect()]
             assert set(after) == {i for i, _, hit, _ in brute_contamination([(r.doc_id, r.text) for r in before.values()], bench) if not hit}
     assert docs.columns == ["doc_id", "n_tokens", "ids"] and docs.where("n_tokens <> size(ids)").count() == 0
+
+
+def test_pipeline_stages_with_odd_rows(spark, odd_docs, no_docs):
+    """Null, empty and long texts, repeated rows, rows without an id, an empty table, and columns named as operators name theirs."""
+    import corpus_pipeline as p
+
+    d = "/root/testdata/sf0.001"
+    lost = odd_docs.where("doc_id = 8").withColumn("doc_id", F.lit(None).cast("long"))
+    for k, (_, stage) in enumerate(p.STAGES):
+        docs = odd_docs.unionByName(lost)
+        rows = stage(spark, docs, d).collect()
+        empty = stage(spark, no_docs, d)
+        assert empty.count() == 0
+        if k == 4:
+            assert empty.columns == ["doc_id", "n_tokens", "ids"] and len(rows) == docs.count()
+            assert {r.doc_id: r.n_tokens for r in rows}[0] == 0
+            continue
+        assert empty.columns == no_docs.columns and stage(spark, docs, d).columns == docs.columns
+        assert all(r[c] == "own" for r in rows for c in docs.columns if c not in no_docs.columns)
+        if k != 1:
+            assert {0, 1} <= {r.doc_id for r in rows} and len([r for r in rows if r.doc_id == 5]) == 2
+        else:
+            assert [r.doc_id for r in rows if not r.text] == [0] and 7 not in {r.doc_id for r in rows}
+        if k == 2:
+            assert all((r.n_chars or 0) == len(r.text or "") for r in rows) and len([r for r in rows if r.text and "t29999" in r.text]) == 1
+
+
+def test_ids_that_are_no_whole_numbers(spark):
+    """Operators that order by id say so loudly."""
+    from pyspark.errors import PySparkException
+
+    docs = spark.createDataFrame([("one", "some text"), ("2", "other")], "doc_id string, text string")
+    for made in (lambda: ngramjoin.join(docs), lambda: suffix.repeats(docs), lambda: sketch.against_next(docs), lambda: warc.write(docs, f"{shared_folder(spark)}/no", id_col="doc_id", url_col="text", payload_col="text")):
+        with pytest.raises(PySparkException):
+            made().count()
