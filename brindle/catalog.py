@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import providers
+from . import catalog_items, providers
 from .functions import dates, html, kinds, texts, urls, vectors
 from .operators import cluster, graph, ingest, port, query, search, state, store, trend
 from .sources import adapters as a
@@ -197,9 +197,9 @@ def insert_ignore_count(spark, d):
     return store.insert_ignore(target, a.table(spark, d, "lineitem").select("l_partkey"), ["l_partkey"]).agg(F.count(F.lit(1)).alias("n"))
 
 
-@_query("SELECT c_custkey, coalesce(u.name, c_name) AS c_name, coalesce(u.bal, c_acctbal) AS c_acctbal FROM customer LEFT JOIN (SELECT o_custkey, CASE WHEN o_custkey % 2 = 0 THEN '[UPDATED]' END AS name, max(o_totalprice) AS bal FROM orders WHERE o_custkey % 3 = 0 GROUP BY 1) u ON o_custkey = c_custkey")
+@_query("SELECT c_custkey, coalesce(u.name, c_name) AS c_name, coalesce(u.bal, c_acctbal) AS c_acctbal FROM customer LEFT JOIN (SELECT o_custkey, CASE WHEN o_custkey % 2 = 0 THEN '[UPDATED]' END AS name, max(o_totalprice) AS bal FROM orders GROUP BY 1) u ON o_custkey = c_custkey")
 def merge_partial(spark, d):
-    u = a.table(spark, d, "orders").where("o_custkey % 3 = 0").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_totalprice").alias("c_acctbal"))
+    u = a.table(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_totalprice").alias("c_acctbal"))
     u = u.withColumn("c_name", F.when(F.col("c_custkey") % 2 == 0, "[UPDATED]"))
     return store.merge_partial(a.table(spark, d, "customer"), u, ["c_custkey"]).select("c_custkey", "c_name", "c_acctbal")
 
@@ -227,7 +227,7 @@ def set_except(spark, d):
 
 @_query("SELECT c_nationkey AS nation FROM customer UNION SELECT s_nationkey FROM supplier")
 def set_union(spark, d):
-    return a.table(spark, d, "customer").select(F.col("c_nationkey").alias("nation")).union(a.table(spark, d, "supplier").select("s_nationkey")).distinct()
+    return store.union_distinct(a.table(spark, d, "customer").select(F.col("c_nationkey").alias("nation")), a.table(spark, d, "supplier").select(F.col("s_nationkey").alias("nation")))
 
 
 @_query("SELECT event_id FROM events WHERE NOT (event_type = 'view' AND value < 50)")
@@ -245,9 +245,9 @@ def vec_topk_cosine(spark, d):
     return _rounded(search.topk(a.vectors(spark, d), _probe(spark, d)), "distance")
 
 
-@_query(f"WITH {_VECTORS} SELECT y.id, round(list_distance(x.v, y.v), 6) AS distance FROM vectors x, vectors y WHERE x.id = 7 AND list_distance(x.v, y.v) <= 1.3 ORDER BY list_distance(x.v, y.v), 1 LIMIT 1000")
+@_query(f"WITH {_VECTORS} SELECT y.id, round(list_distance(x.v, y.v), 6) AS distance FROM vectors x, vectors y WHERE x.id = 7 AND list_distance(x.v, y.v) <= 1.3")
 def vec_radius_l2(spark, d):
-    return _rounded(search.topk(a.vectors(spark, d), _probe(spark, d), k=1000, distance=1.3, metric="l2"), "distance")
+    return _rounded(search.topk(a.vectors(spark, d), _probe(spark, d), k=None, distance=1.3, metric="l2"), "distance")
 
 
 @_query(f"WITH {_VECTORS} SELECT query, id, rank, round(distance, 5) AS distance FROM (SELECT x.id AS query, y.id, list_cosine_distance(x.v, y.v) AS distance, row_number() OVER (PARTITION BY x.id ORDER BY list_cosine_distance(x.v, y.v), y.id) AS rank FROM vectors x, vectors y WHERE x.id % 20 = 0) WHERE rank <= 5")
@@ -415,11 +415,6 @@ def tags_merged(spark, d):
     return b.select("url", F.array_sort(texts.merge_lists(*three)).alias("tags"), texts.tags_to_text(*three).alias("words"))
 
 
-@_query(f"WITH {_BEANS} SELECT kind, source, count(*) AS n, list_sort(list(DISTINCT categories[1])) AS langs FROM beans GROUP BY kind, source")
-def tags_per_source(spark, d):
-    return a.beans(spark, d, content=False).groupBy("kind", "source").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_set(F.col("categories")[0])).alias("langs"))
-
-
 @_query(f"WITH {_VECTORS}, q AS (SELECT v FROM vectors WHERE id = 7), near AS (SELECT b.url, b.created, list_cosine_distance(CAST(b.embedding AS DOUBLE[]), q.v) AS d FROM ({{beans}}) b, q WHERE b.kind = 'news' AND b.embedding IS NOT NULL ORDER BY 3, 1 LIMIT 25) SELECT url, created, round(CASE WHEN max(d) OVER () > min(d) OVER () THEN (max(d) OVER () - d) / (max(d) OVER () - min(d) OVER ()) ELSE 1 END, 6) AS relevance FROM near".replace("{beans}", "SELECT 'doc://' || CAST(doc_id AS VARCHAR) AS url, CASE WHEN doc_id % 3 = 0 THEN 'blog' ELSE 'news' END AS kind, TIMESTAMP '2024-01-01' + to_days(CAST(doc_id % 30 AS INTEGER)) AS created, embedding FROM documents LEFT JOIN embeddings ON vec_id = doc_id"))
 def vec_filter_rerank(spark, d):
     near = query.select(a.beans(spark, d, content=False).where("embedding is not null"), query.QuerySpec(kind="news", embedding=_probe(spark, d), limit=25, order=[F.col("url")]))
@@ -443,12 +438,6 @@ def url_excluded(spark, d):
     return a.table(spark, d, "pages").select("page_id", urls.excluded(F.col("url")).alias("excluded"))
 
 
-@_query("SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1, 2 HAVING count(*) > 20")
-def events_per_day(spark, d):
-    e = a.table(spark, d, "events")
-    return e.groupBy("event_type", F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("users")).where("n > 20")
-
-
 @_query("WITH r AS (SELECT o_custkey, o_orderkey, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders) SELECT o_custkey, o_orderkey, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 2")
 def top_per_group(spark, d):
     o = a.table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
@@ -460,15 +449,10 @@ def dated_ids(spark, d):
     return a.beans(spark, d).select("url", F.sha1(F.col("url").cast("binary")).alias("h"), urls.dated_id(F.col("content"), a.as_of()).alias("composite_id"))
 
 
-@_query(f"WITH {_STATE} SELECT state, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts FROM state GROUP BY state")
-def state_summary(spark, d):
-    return a.state(spark, d).groupBy("state").agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
-
-
-@_query(f"WITH {_STATE}, ids AS (SELECT DISTINCT id FROM state WHERE id LIKE '1%'), want AS (SELECT id, s AS state FROM ids, (VALUES ('view'), ('done')) AS v(s)) SELECT id, want.state, TIMESTAMP '2024-02-01' AS ts, '{{{{}}}}' AS data FROM want ANTI JOIN state USING (id, state)".replace("{{}}", "{}"))
+@_query(f"WITH {_STATE}, ids AS (SELECT DISTINCT id FROM state), want AS (SELECT id, s AS state FROM ids, (VALUES ('view'), ('done')) AS v(s)) SELECT id, want.state, TIMESTAMP '2024-02-01' AS ts, '{{{{}}}}' AS data FROM want ANTI JOIN state USING (id, state)".replace("{{}}", "{}"))
 def state_mark_done(spark, d):
     s = a.state(spark, d)
-    return state.mark_done(s, s.where("id like '1%'").select("id").distinct(), ["view", "done"], a.as_of()).select("id", "state", "ts", "data")
+    return state.mark_done(s, s.select("id").distinct(), ["view", "done"], a.as_of()).select("id", "state", "ts", "data")
 
 
 @_query(f"WITH {_BEANS} SELECT url, created, kind FROM beans WHERE kind = 'blog' AND created BETWEEN TIMESTAMP '2024-01-04' AND TIMESTAMP '2024-01-07' ORDER BY created DESC, url")
@@ -476,5 +460,9 @@ def filter_created_range(spark, d):
     return query.latest(a.beans(spark, d, content=False), query.QuerySpec(created=("2024-01-04 00:00:00", "2024-01-07 00:00:00"), equals={"kind": "blog"}, columns=["url", "created", "kind"]))
 
 
+QUERIES |= catalog_items.QUERIES
+ORACLES |= catalog_items.ORACLES
+
+
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     return trending_topk(spark, d)

@@ -24,6 +24,13 @@ def parse(text: Column, as_of: Column) -> Column:
     return F.when(usable(t, as_of), t)
 
 
+def ensure_utc(text: Column) -> Column:
+    """ISO date and time as an instant: by its own offset, or as UTC where it has none; null if it is neither."""
+    plain = F.trim(text)
+    zoned = F.rlike(plain, F.lit(r"(Z|[+-]\d\d:?\d\d)$")) & F.contains(plain, F.lit(":"))
+    return F.try_to_timestamp(F.when(zoned, plain).otherwise(F.concat(plain, F.when(F.length(plain) <= 10, F.lit("T00:00:00Z")).otherwise(F.lit("Z")))))
+
+
 def from_epoch(seconds: Column, as_of: Column) -> Column:
     """Seconds since 1970, not later than now."""
     return F.least(F.timestamp_seconds(seconds), as_of)

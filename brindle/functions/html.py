@@ -256,9 +256,12 @@ def title(html: Column) -> Column:
 
 
 def text_native(html: Column) -> Column:
-    """Tags, scripts and styles off by regular expressions, entities kept; no Python."""
+    """Tags, scripts and styles off by regular expressions, the common entities decoded; no Python."""
     bare = F.regexp_replace(html, r"(?is)<(script|style|head|noscript|template)\b.*?</\1>|<!--.*?-->", " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(bare, r"<[^>]+>", " "), r"\s+", " "))
+    bare = F.regexp_replace(bare, r"<[^>]+>", " ")
+    for entity, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
+        bare = F.replace(bare, F.lit(entity), F.lit(sign))
+    return F.trim(F.regexp_replace(bare, r"\s+", " "))
 
 
 def link_target(html: Column, label: str) -> Column:

@@ -1,7 +1,7 @@
 """Exact vector search and joins.
 
-Queries and labels are collected behind a count (more than ``MAX_QUERIES`` queries are split by hash) and worked off in blocks: each batch of vectors meets a block in one matrix product and keeps the best of
-its own, so what is shuffled is at most k rows a query and task.  Distances are double.
+Queries and labels are collected behind a count (more than ``MAX_QUERIES`` queries are split by hash) and worked off in blocks: each batch of vectors meets a block in one matrix product; a task
+keeps the best so far of each query, so what is shuffled is at most k rows a query and task.  Distances are double.  Queries and vectors of different lengths never meet: each length is a search of its own.
 """
 
 from __future__ import annotations
@@ -63,14 +63,22 @@ def batch_topk(df: DataFrame, queries: DataFrame, *, k: int = 10, distance: floa
     rows = queries.where(F.col(vec_col).isNotNull()).select(query_col, vec_col).collect()
     kinds = dict(df.dtypes)
     query_kind = dict(queries.dtypes)[query_col]
-    size = max((len(r[1]) for r in rows), default=1)
-    rows = [r for r in rows if len(r[1]) == size]
+    found = None
+    for size in sorted({len(r[1]) for r in rows}) or [0]:
+        near = _batch_topk(df, [r for r in rows if len(r[1]) == size], size, k, distance, metric, id_col, vec_col, query_col, kinds, query_kind)
+        found = near if found is None else found.unionByName(near)
+    return found
+
+
+def _batch_topk(df, rows, size, k, distance, metric, id_col, vec_col, query_col, kinds, query_kind) -> DataFrame:
+    """The search for queries of one length."""
     names = [r[0] for r in rows]
     sent = df.sparkSession.sparkContext.broadcast(np.array([r[1] for r in rows], np.float32).reshape(len(rows), size))
     step = max(1, BLOCK_VALUES // 8192)
 
     def run(batches):
         q = sent.value
+        held: list[pa.Table] = [None] * -(-len(q) // step)
         for b in batches:
             if not b.num_rows or not len(q):
                 continue
@@ -81,7 +89,18 @@ def batch_topk(df: DataFrame, queries: DataFrame, *, k: int = 10, distance: floa
                 best = np.argpartition(d, min(k, d.shape[1]) - 1, axis=1)[:, : min(k, d.shape[1])]
                 edge = np.take_along_axis(d, best, 1).max(1)
                 at, row = np.nonzero((d <= edge[:, None]) & np.isfinite(d) & (d <= (distance or np.inf)))
-                yield pa.RecordBatch.from_arrays([pa.array(at + lo, pa.int32()), b.column(0).take(pa.array(row)), pa.array(d[at, row])], ["_q", "id", "distance"])
+                new = pa.table({"_q": pa.array(at + lo, pa.int32()), "id": b.column(0).take(pa.array(row)), "distance": pa.array(d[at, row])})
+                have = held[lo // step]
+                if have is not None:
+                    new = pa.concat_tables([have, new]).sort_by([("_q", "ascending"), ("distance", "ascending"), ("id", "ascending")])
+                    who = new.column("_q").to_numpy()
+                    begin = np.flatnonzero(np.r_[True, who[1:] != who[:-1]]) if len(who) else np.zeros(0, int)
+                    rank = np.arange(len(who)) - np.repeat(begin, np.diff(np.r_[begin, len(who)]))
+                    new = new.filter(pa.array(rank < k))
+                held[lo // step] = new
+        for t in held:
+            if t is not None:
+                yield from t.to_batches()
 
     part = df.where(F.size(vec_col) == size).select(F.col(id_col).alias("id"), vec_col)
     near = part.mapInArrow(run, f"_q int, id {kinds[id_col]}, distance double")
@@ -125,8 +144,17 @@ def radius_pairs(df: DataFrame, eps: float, *, id_col: str = "id", vec_col: str
     A pivot's members are cut into blocks and each pair of blocks is a task of its own, so a dense region spreads.  Pivots are a bounded sample by hash; they decide speed only.
     """
     plain = df.where(F.col(vec_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"))
+    sizes = [r["n"] for r in plain.groupBy(F.size("v").alias("n")).count().orderBy("n").collect()]  # a row a length
+    if len(sizes) > 1:
+        found = None
+        for n in sizes:  # vectors of different lengths have no distance
+            own = radius_pairs(plain.where(F.size("v") == n), eps, id_col="id", vec_col="v", pivots=pivots, block=block)
+            found = own if found is None else found.unionByName(own)
+        return found
     kind = dict(plain.dtypes)["id"]
     centres = np.array([r["v"] for r in plain.orderBy(F.xxhash64("id"), "id").limit(pivots).collect()], np.float64)
+    if len(centres) and 2 * eps >= distances(centres, centres, "l2").max():
+        centres = centres[:1]  # pivots so near to each other tell nothing apart: blocks alone, without guests
     if not len(centres):
         return df.sparkSession.createDataFrame([], f"a {kind}, b {kind}, distance double")
 

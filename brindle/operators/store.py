@@ -1,7 +1,8 @@
 """Mutations on immutable tables: each takes a table and returns what is to be written.
 
 Insert-ignore is an anti-join, so a batch costs one shuffle of both sides' keys (none, where the target is bucketed by the key).
-Merges rewrite the target.  ``write_table`` writes beside the old files and then swaps, so a plan never reads what it overwrites.
+Merges rewrite the target.  ``write_table`` writes beside the old files, moves those aside and then swaps, so a plan never reads what it overwrites and a failure between
+loses nothing (the old table lies beside under ``...-old``).  On object stores, where a move is a copy, keep versioned folders instead.
 """
 
 from __future__ import annotations
@@ -61,6 +62,25 @@ def missing(keys: DataFrame, table: DataFrame, key: str) -> DataFrame:
     return keys.select(key).subtract(table.select(key))
 
 
+def union_distinct(*tables: DataFrame) -> DataFrame:
+    """Rows of any of the tables, each once; columns by name."""
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t)
+    return out.distinct()
+
+
+def lookup_first(rows: DataFrame, table: DataFrame, key: str, order: list[Column]) -> DataFrame:
+    """The rows with the first match (in this order) of their key in the table, whose columns are null where there is none."""
+    return rows.join(first_of_batch(table, [key], order), key, "left")
+
+
+def delete_count(table: DataFrame, condition: str) -> DataFrame:
+    """How many rows ``delete_where`` takes away, and how many it leaves: n_deleted, n_left."""
+    goes = F.coalesce(F.expr(condition), F.lit(False))
+    return table.agg(F.count_if(goes).alias("n_deleted"), F.count_if(~goes).alias("n_left"))
+
+
 def write_table(df: DataFrame, path: str, *, partition_by: list[str] | None = None) -> None:
     """Replace the Parquet table at path, whose files the plan may still read."""
     spark = df.sparkSession
@@ -72,10 +92,16 @@ def write_table(df: DataFrame, path: str, *, partition_by: list[str] | None = No
     jvm = spark.sparkContext._jvm
     old, new = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(staged)
     fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(old):
-        fs.delete(old, True)
+    aside = jvm.org.apache.hadoop.fs.Path(f"{staged}-old")
+    had = fs.exists(old)
+    if had and not fs.rename(old, aside):  # at every moment the old or the new table is there whole
+        raise OSError(f"could not move {path} aside")
     if not fs.rename(new, old):
+        if had:
+            fs.rename(aside, old)
         raise OSError(f"could not move {staged} to {path}")
+    if had:
+        fs.delete(aside, True)
 
 
 def append(df: DataFrame, path: str, *, partition_by: list[str] | None = None) -> None:

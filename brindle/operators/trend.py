@@ -7,10 +7,15 @@ from pyspark.sql import functions as F
 
 
 def peak_snapshots(chatters: DataFrame) -> DataFrame:
-    """Snapshots at the first time that both maxima of a chatter stand in one snapshot; a chatter where they never do drops out."""
-    top = chatters.groupBy("chatter_url").agg(F.max("likes").alias("likes"), F.max("comments").alias("comments"))
-    first = chatters.join(top, ["chatter_url", "likes", "comments"]).groupBy("chatter_url").agg(F.min("collected").alias("collected"))
-    return chatters.join(first, ["chatter_url", "collected"])
+    """Snapshots at the first time that both maxima of a chatter stand in one snapshot; a chatter where they never do drops out.
+
+    One combining aggregate finds the maxima and the first of the best snapshots; snapshots then meet only the chatters' peaks.
+    """
+    back = -F.unix_micros(F.col("collected").cast("timestamp"))
+    some = chatters.where("likes is not null and comments is not null").groupBy("chatter_url")
+    top = some.agg(F.max_by("collected", F.struct("likes", "comments", back)).alias("collected"), F.max(F.struct("likes", "comments")).alias("best"), F.max("likes").alias("likes"), F.max("comments").alias("comments"))
+    peaks = top.where((F.col("best.likes") == F.col("likes")) & (F.col("best.comments") == F.col("comments"))).select("chatter_url", "collected")
+    return chatters.join(peaks, ["chatter_url", "collected"])
 
 
 def chatter_stats(chatters: DataFrame, key: str = "url", count_shares: bool = False) -> DataFrame:

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from .. import providers
 from ..config import DEFAULTS, Settings
 from ..functions import kinds, texts, urls
-from ..operators import cluster, ingest, port, search, state, trend
+from ..operators import cluster, graph, ingest, port, search, state, store, trend
+from ..operators.durable import cut
 from ..schemas import DIGEST
 
 # The states of an item.
 COLLECTED, EMBEDDED, EXTRACTED, DIGESTED, CLUSTERED, CONSOLIDATED = "collected", "embedded", "extracted", "digested", "clustered", "consolidated"
-STORED, SERVED = "stored", "served"
+STORED, SERVED, SERVED_LINKS = "stored", "served", "linked"
 BEAN_FIELDS = {"url": "string", "title": "string", "content": "string", "summary": "string", "source": "string", "base_url": "string", "kind": "string", "author": "string", "created": "timestamp", "collected": "timestamp"}
 
 
@@ -68,14 +69,20 @@ def digest(state_table: DataFrame, as_of: Column, *, build: Callable = providers
 
 
 def cluster_related(state_table: DataFrame, as_of: Column, *, settings: Settings = DEFAULTS) -> DataFrame:
-    """Related items of embedded ones, over all that are embedded."""
+    """Related items of those newly embedded, among all that are embedded: a search for the new ones, not all pairs again."""
     fields = {"embedding": "array<float>"}
     everything = state_table.where((F.col("state") == EMBEDDED) & F.col("data").isNotNull()).select("id", F.from_json("data", "embedding array<float>").alias("d")).select("id", "d.embedding").where("embedding is not null")
-    queue = _queue(state_table, CLUSTERED, fields, settings, as_of, EMBEDDED)
-    found = cluster.related(everything, settings.cluster_eps, limit=settings.cluster_limit).join(queue.select("id"), "id", "left_semi")
+    queue = _queue(state_table, CLUSTERED, fields, settings, as_of, EMBEDDED).where("embedding is not null")
+    found = cluster.related_to(everything, queue, settings.cluster_eps, limit=settings.cluster_limit)
     return state.put(state_table, found, CLUSTERED, object_type="beans", as_of=as_of)
 
 
+def group_facts(members: DataFrame, by: str, date_col: str) -> DataFrame:
+    """Of each (bounded) group: its newest date, its members' ids and the union of their tags."""
+    tags = F.array_distinct(F.flatten(F.collect_list(texts.merge_lists(F.col("regions"), F.col("entities")))))
+    return members.groupBy(by).agg(F.max(date_col).alias("newest"), F.array_sort(F.collect_set("id")).alias("related"), tags.alias("tags"))
+
+
 def consolidate(state_table: DataFrame, as_of: Column, *, number: Callable[[DataFrame], DataFrame] | None = None, build: Callable = providers.LeadAnalyst, settings: Settings = DEFAULTS, ignored_tags: tuple[str, ...] = ()) -> dict[str, DataFrame]:
     """Composites of dense groups of digested items, and the marks of their members."""
     fields = {"embedding": "array<float>", "briefing": "string", "created": "timestamp", "related": "array<string>", "regions": "array<string>", "entities": "array<string>"}
@@ -84,28 +91,45 @@ def consolidate(state_table: DataFrame, as_of: Column, *, number: Callable[[Data
     fit = merged.where(search.valid(F.col("embedding"), settings.vector_len) & F.col("briefing").isNotNull())
     if ignored_tags:
         fit = fit.where(~F.coalesce(F.arrays_overlap(tags, F.array(*[F.lit(t) for t in ignored_tags])), F.lit(False)))
-    keyed = fit.withColumn("n", F.xxhash64("id"))
+    # numbers for the ids, written once so that every use sees the same
+    keyed = cut(fit.select("id", "embedding").withColumn("n", F.monotonically_increasing_id()))
     groups = cluster.dbscan(keyed.select("n", "embedding"), settings.consolidation_eps, settings.consolidation_min_size, id_col="n").join(keyed.select("n", "id"), "n").select("cluster", "id")
-    grown = cluster.expand_groups(groups, merged.select("id", "related"), fit.select("id"), most=settings.consolidation_max_size, least=settings.consolidation_min_size)
+    recent = fit.where(F.col("created") >= as_of - F.expr(f"INTERVAL {settings.consolidation_related_days} DAYS"))
+    grown = cluster.expand_groups(groups, merged.select("id", "related"), recent.select("id"), most=settings.consolidation_max_size, least=settings.consolidation_min_size)
     chunks = cluster.chunk_groups(grown, most=settings.consolidation_max_size, least=settings.consolidation_min_size).withColumn("group", F.concat_ws("-", F.col("cluster").cast("string"), F.col("chunk").cast("string")))
     full = chunks.join(fit, "id")
     prompt = port.render_groups(full, "group", ["created", "briefing", "regions", "entities"], ["created", "id"])
     told = providers.analyse(prompt, DIGEST, build, text_col="text", out="digest").where("digest is not null").select("group", "digest.*")
-    about = full.groupBy("group").agg(F.max("created").alias("created"), F.array_sort(F.collect_set("id")).alias("related"), F.array_distinct(F.flatten(F.collect_list(texts.merge_lists(F.col("regions"), F.col("entities"))))).alias("tags"))
+    about = group_facts(full, "group", "created").withColumnRenamed("newest", "created")
     composites = told.join(about, "group").join(search.median_vector(full, "group"), "group")
     composites = composites.withColumn("id", urls.dated_id(F.col("briefing"), as_of)).drop("group")
     return {"composites": state.put(state_table, composites, COLLECTED, object_type="composites", as_of=as_of), "marks": state.mark_done(state_table, full.select("id").distinct(), [CONSOLIDATED], as_of)}
 
 
 def port_beans(state_table: DataFrame, beans: DataFrame, as_of: Column, settings: Settings = DEFAULTS) -> dict[str, DataFrame]:
-    """Rows to append to the serving store, and marks; trends are refreshed after by refresh_trends."""
+    """Rows to append to the serving store (beans, and what is related to them), and marks; trends are refreshed after by refresh_trends."""
     fields = BEAN_FIELDS | {"embedding": "array<float>", "categories": "array<string>", "sentiments": "array<string>", "regions": "array<string>", "people": "array<string>", "companies": "array<string>", "products": "array<string>", "stock_tickers": "array<string>"}
     merged = state.get_many(state_table, [COLLECTED, EMBEDDED, EXTRACTED], STORED, fields=fields, object_type="beans", window_days=settings.processing_window_days, as_of=as_of, limit=settings.processing_limit)
     rows = port.beans(merged).where(search.valid(F.col("embedding"), settings.vector_len))
-    from ..operators import store
-
     new = store.insert_ignore(beans, rows.select(*[c for c in beans.columns if c in rows.columns]), ["url"])
-    return {"beans": new, "marks": state.mark_done(state_table, merged.select("id"), [STORED], as_of)}
+    near = state.get_one(state_table, CLUSTERED, STORED, object_type="beans", window_days=settings.processing_window_days, as_of=as_of).select("id", F.from_json("data", "related array<string>")["related"].alias("related"))
+    return {"beans": new, "related": graph.symmetric(graph.explode_edges(near, "id", "related")), "marks": state.mark_done(state_table, merged.select("id"), [STORED], as_of)}
+
+
+def port_publishers(state_table: DataFrame, publishers: DataFrame, as_of: Column, settings: Settings = DEFAULTS) -> dict[str, DataFrame]:
+    """Collected publishers that the serving store lacks, and marks."""
+    fields = {"source": "string", "base_url": "string", "site_name": "string", "description": "string", "favicon": "string", "rss_feed": "string"}
+    merged = state.get_many(state_table, [COLLECTED], STORED, fields=fields, object_type="publishers", window_days=settings.processing_window_days, as_of=as_of, limit=settings.processing_limit)
+    rows = ingest.valid_publishers(merged.drop("id", "ts"))
+    new = store.insert_ignore(publishers, rows.select(*[c for c in publishers.columns if c in rows.columns]), ["base_url"])
+    return {"publishers": new, "marks": state.mark_done(state_table, merged.select("id"), [STORED], as_of)}
+
+
+def port_chatters(state_table: DataFrame, as_of: Column, settings: Settings = DEFAULTS) -> dict[str, DataFrame]:
+    """Packed snapshots {chatters: [...]} as rows to append, and marks."""
+    kind = "array<struct<chatter_url:string,url:string,source:string,forum:string,collected:timestamp,likes:long,comments:long,subscribers:long>>"
+    packed = state.get_one(state_table, COLLECTED, STORED, object_type="chatters", window_days=settings.processing_window_days, as_of=as_of).select("id", F.from_json("data", f"chatters {kind}")["chatters"].alias("chatters"))
+    return {"chatters": ingest.valid_chatters(port.chatters(packed)), "marks": state.mark_done(state_table, packed.select("id"), [STORED], as_of)}
 
 
 def refresh_trends(beans: DataFrame, chatters: DataFrame, related: DataFrame, as_of: Column) -> DataFrame:
@@ -120,6 +144,31 @@ def port_sips(state_table: DataFrame, sips: DataFrame, as_of: Column, settings:
     return {"sips": port.storable_sips(sips, made, settings.vector_len), "marks": state.mark_done(state_table, merged.select("id"), [SERVED], as_of)}
 
 
+def port_signals(state_table: DataFrame, sips: DataFrame, as_of: Column, *, prefix: str = "signal://", settings: Settings = DEFAULTS) -> dict[str, DataFrame]:
+    """Signals of composites, the events that they derive from as typed edges, and marks."""
+    fields = {"created": "timestamp", "embedding": "array<float>", "briefing": "string", "regions": "array<string>", "entities": "array<string>", "tags": "array<string>", "related": "array<string>"}
+    merged = state.get_many(state_table, [COLLECTED], SERVED, fields=fields, object_type="composites", window_days=settings.processing_window_days, as_of=as_of, limit=settings.processing_limit)
+    made = port.signals(merged, prefix=prefix, digest_fields=["briefing", "regions", "entities"], tag_fields=["regions", "entities", "tags"], max_tags=settings.max_tags)
+    edges = graph.explode_edges(merged.select(urls.uuid5(F.concat(F.lit(prefix), F.col("id"))).alias("signal"), F.transform("related", lambda u: urls.uuid5(u)).alias("events")), "signal", "events", from_name="from_id", to_name="to_id")
+    return {"sips": port.storable_sips(sips, made, settings.vector_len), "relations": graph.relations(edges, "DERIVED_FROM", as_of), "marks": state.mark_done(state_table, merged.select("id"), [SERVED], as_of)}
+
+
+def port_sources(state_table: DataFrame, sources: DataFrame, events: DataFrame, as_of: Column, settings: Settings = DEFAULTS) -> dict[str, DataFrame]:
+    """Publishers as sources of the serving store, the PUBLISHED edges to the events at hand, and marks."""
+    fields = {"source": "string", "base_url": "string", "site_name": "string", "description": "string", "favicon": "string", "rss_feed": "string"}
+    merged = state.get_many(state_table, [COLLECTED], SERVED, fields=fields, object_type="publishers", window_days=settings.processing_window_days, as_of=as_of, limit=settings.processing_limit)
+    made = port.sources(ingest.valid_publishers(merged), as_of)
+    new = store.insert_ignore(sources, made.select(*[c for c in sources.columns if c in made.columns]), ["id"])
+    return {"sources": new, "relations": graph.published(made, events, as_of), "marks": state.mark_done(state_table, merged.select("id"), [SERVED], as_of)}
+
+
+def port_relations(state_table: DataFrame, nodes: DataFrame, as_of: Column, settings: Settings = DEFAULTS) -> dict[str, DataFrame]:
+    """SAME_AS edges of clustered items whose two ends are served, and marks."""
+    near = state.get_one(state_table, CLUSTERED, SERVED_LINKS, object_type="beans", window_days=settings.processing_window_days, as_of=as_of).select("id", F.from_json("data", "related array<string>")["related"].alias("related"))
+    edges = graph.explode_edges(near.select(urls.uuid5(F.col("id")).alias("a"), F.transform("related", lambda u: urls.uuid5(u)).alias("b")), "a", "b", from_name="from_id", to_name="to_id").where("from_id <> to_id")
+    return {"relations": graph.relations(graph.resolved(edges, nodes, "id"), "SAME_AS", as_of), "marks": state.mark_done(state_table, near.select("id"), [SERVED_LINKS], as_of)}
+
+
 def backfill_ids(df: DataFrame, url_col: str = "url", id_col: str = "id") -> DataFrame:
     return df.withColumn(id_col, F.coalesce(F.col(id_col), urls.uuid5(F.col(url_col))) if id_col in df.columns else urls.uuid5(F.col(url_col)))
 
@@ -143,16 +192,12 @@ def reembed(df: DataFrame, categories: DataFrame, *, build: Callable = providers
 
 def hydrate_vectors(collection: DataFrame, beans: DataFrame, as_of: Column, *, days: int = 90) -> DataFrame:
     """Rows to append to a vector collection (id, ts, embedding): recent beans that it lacks."""
-    from ..operators import store
-
     recent = beans.where((F.col("created") >= as_of - F.expr(f"INTERVAL {days} DAYS")) & F.col("embedding").isNotNull())
     return store.insert_ignore(collection, recent.select(F.col("url").alias("id"), F.col("created").alias("ts"), "embedding"), ["id"])
 
 
 def update_embeddings(beans: DataFrame, updates: DataFrame, categories: DataFrame, sentiments: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """The beans with new vectors (url, embedding) and the labels nearest to them."""
-    from ..operators import store
-
     new = updates.where(search.valid(F.col("embedding"), settings.vector_len)).dropDuplicates(["url"])
     for name, labels in (("categories", categories), ("sentiments", sentiments)):
         found = search.nearest_labels(new.select("url", "embedding"), labels, k=settings.classification_limit, id_col="url", label_col="id").withColumnRenamed("labels", name)

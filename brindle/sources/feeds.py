@@ -109,6 +109,11 @@ def hackernews_items(raw: DataFrame, body_col: str, as_of: Column) -> DataFrame:
     return p.select(url.alias("url"), urls.source(url).alias("source"), "title", html.text_native(F.col("text")).alias("content"), F.col("by").alias("author"), dates.from_epoch(F.col("time"), as_of).alias("created"), as_of.alias("collected"), F.when(F.coalesce(F.col("url"), F.lit("")) == "", "post").alias("kind"), talk.alias("chatter_url"), F.lit("hackernews").alias("platform"), F.lit("hackernews").alias("forum"), F.col("score").alias("likes"), F.coalesce(F.size("kids"), F.lit(0)).cast("long").alias("comments"))
 
 
+def hackernews_ids(raw: DataFrame, body_col: str) -> DataFrame:
+    """Id lists (JSON arrays) of several listings -> each id once, newest first."""
+    return raw.select(F.explode(F.from_json(body_col, "array<long>")).alias("id")).where("id is not null").distinct().orderBy(F.desc("id"))
+
+
 def first_html_of_zip(files: DataFrame) -> DataFrame:
     """(path, content of a ZIP) -> path, member, html: the first HTML member; bad archives give null."""
 

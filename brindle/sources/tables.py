@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 READERS: dict[str, Callable[..., DataFrame]] = {}
 WRITERS: dict[str, Callable[..., None]] = {}
 #: Other names of a format.
-ALIASES = {"pq": "parquet", "duck": "parquet", "lake": "parquet", "dl": "parquet", "lance": "parquet", "pg": "jdbc", "postgres": "jdbc", "postgresql": "jdbc"}
+ALIASES = {"pq": "parquet", "pg": "jdbc", "postgres": "jdbc", "postgresql": "jdbc"}
 
 
 def _plain(fmt: str) -> None:
