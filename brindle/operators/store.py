@@ -22,7 +22,7 @@ def first_of_batch(rows: DataFrame, keys: list[str], order: list[Column] | None
 
 def insert_ignore(target: DataFrame, rows: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
     """The rows whose key the target lacks, one a key: append them."""
-    return first_of_batch(rows.where(" and ".join(f"`{k}` is not null" for k in keys)), keys, order).join(target.select(*keys), keys, "left_anti")
+    return first_of_batch(rows.where(" and ".join(f"`{k}` is not null" for k in keys)), keys, order).join(target.select(*keys), keys, "left_anti").select(*rows.columns)
 
 
 def merge_partial(target: DataFrame, updates: DataFrame, keys: list[str], columns: list[str] | None = None) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from brindle import providers
 from brindle.config import Settings
+from brindle.functions import urls
 from brindle.operators import cluster, graph, ingest, port, query, search, state, store, trend
 from brindle.plans import workers
 from brindle.schemas import STATE
@@ -308,6 +309,56 @@ def test_workers_end_to_end(spark):
     composites = out["composites"].collect()
     assert len(composites) == 1 and composites[0].id.startswith("2024_02_01_") and len(json.loads(composites[0].data)["related"]) == 6
     assert out["marks"].count() == 6
+    # what is related, composites as signals, publishers and chatters, and the edges between what is served
+    assert ported["related"].count() == 30 and ported["related"].where("url = related_url").count() == 0
+    grow(out["composites"])
+    signals = workers.port_signals(table, sips, AS_OF, settings=cfg)
+    assert [r.kind for r in signals["sips"].collect()] == ["signal"] and signals["relations"].where("relationship = 'DERIVED_FROM'").count() == 6 and signals["marks"].count() == 1
+    nodes = items.select(urls.uuid5(F.col("url")).alias("id"), urls.base_url(F.col("url")).alias("base_url")).where("base_url = 's0.com'")
+    linked = workers.port_relations(table, nodes, AS_OF, cfg)
+    assert linked["relations"].count() == 6 and linked["marks"].count() == 6
+    grow(linked["marks"].withColumn("object_type", F.lit("beans")))
+    assert workers.port_relations(table, nodes, AS_OF, cfg)["relations"].count() == 0
+    known = spark.createDataFrame([("publishers", "s0", "collected", ago(0), '{"source": "s", "base_url": "s0.com", "site_name": "S"}'), ("publishers", "bad", "collected", ago(0), '{"source": "s"}'), ("chatters", "c", "collected", ago(0), '{"chatters": [{"chatter_url": "x", "url": "u", "likes": 3}, {"chatter_url": "y", "url": "u", "likes": 0}]}')], STATE)
+    grow(known)
+    publishers = spark.createDataFrame([], "source string, base_url string, site_name string")
+    assert [tuple(r) for r in workers.port_publishers(table, publishers, AS_OF, cfg)["publishers"].collect()] == [("s", "s0.com", "S")]
+    served = workers.port_sources(table, spark.createDataFrame([], "id string, base_url string, domain_name string"), nodes, AS_OF, cfg)
+    assert [r.base_url for r in served["sources"].collect()] == ["s0.com"] and served["relations"].count() == 3
+    told = workers.port_chatters(table, AS_OF, cfg)
+    assert [(r.chatter_url, r.likes) for r in told["chatters"].collect()] == [("x", 3)] and told["marks"].count() == 1
+
+
+def test_clustering_is_incremental(spark):
+    """A later batch meets what was embedded before, and only its own rows come out."""
+    cfg = Settings(vector_len=2, cluster_eps=0.5)
+    row = lambda i, s, v, t: ("beans", i, s, ago(t), json.dumps({"embedding": v}))
+    table = spark.createDataFrame([row("a", "embedded", [0.0, 0.0], 2), row("b", "embedded", [3.0, 0.0], 2), ("beans", "a", "clustered", ago(2), "{}"), ("beans", "b", "clustered", ago(2), "{}"), row("c", "embedded", [0.1, 0.0], 1)], STATE)
+    made = workers.cluster_related(table, AS_OF, settings=cfg).collect()
+    assert [(r.id, json.loads(r.data)["related"]) for r in made] == [("c", ["c", "a"])]
+
+
+def test_vectors_of_several_lengths(spark):
+    v = spark.createDataFrame([(1, [0.0, 0.0]), (2, [0.1, 0.0]), (3, [0.0]), (4, [0.2]), (5, None), (6, [])], "id long, embedding array<float>")
+    assert {(r.a, r.b) for r in search.radius_pairs(v, 0.5).collect()} == {(1, 2), (3, 4)}
+    q = v.where("id in (1, 3)").select(F.col("id").alias("query"), "embedding")
+    assert {(r.query, r.id) for r in search.batch_topk(v, q, k=5, metric="l2").collect()} == {(1, 1), (1, 2), (3, 3), (3, 4)}
+
+
+def test_table_swap(spark, tmp_path, monkeypatch):
+    """A failed swap leaves the old table in its place."""
+    path = str(tmp_path / "t")
+    store.write_table(spark.range(3), path)
+    store.write_table(spark.read.parquet(path).where("id > 0"), path)
+    assert spark.read.parquet(path).count() == 2 and [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_first_match_and_delete_count(spark):
+    rows = spark.createDataFrame([(1,), (2,)], "k long")
+    found = spark.createDataFrame([(1, "b"), (1, "a"), (None, "z")], "k long, v string")
+    assert sorted(tuple(r) for r in store.lookup_first(rows, found, "k", [F.col("v")]).collect()) == [(1, "a"), (2, None)]
+    assert tuple(store.delete_count(found, "v > 'a'").first()) == (2, 1)
+    assert tuple(store.delete_count(found.limit(0), "v > 'a'").first()) == (0, 0)
 
 
 def test_stream_worker_is_idempotent(spark, tmp_path):
