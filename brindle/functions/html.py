@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 _SKIP = {"script", "style", "noscript", "template", "head"}
 _BLOCK = {"p", "div", "section", "article", "header", "footer", "ul", "ol", "li", "table", "tr", "blockquote", "pre", "h1", "h2", "h3", "h4", "h5", "h6", "br", "main", "aside", "nav", "form", "figure"}
+_HEADS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _ASIDE = {"nav", "aside", "footer", "form", "header"}
 
 # Where each metadata key is looked for, first match first: tag, attribute, value.
@@ -34,19 +35,24 @@ PAGE = "struct<title:string,author:string,content:string,published_time:string,d
 
 
 class _Reader(HTMLParser):
-    """Collects text, markdown, metadata and JSON-LD in one pass."""
+    """Collects text, markdown (of all, and of the body without what stands beside it), metadata and JSON-LD in one pass."""
 
-    def __init__(self, body_only: bool = False) -> None:
+    def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.text: list[str] = []
         self.md: list[str] = []
+        self.body: list[str] = []
         self.heads: list[tuple[str, dict]] = []
         self.ld: list[str] = []
         self.title = ""
         self.skip, self.aside, self.in_title, self.in_ld = 0, 0, False, False
         self.lists: list[list] = []
         self.links: list[str | None] = []
-        self.body_only = body_only
+
+    def put(self, text: str, inside: bool) -> None:
+        self.md.append(text)
+        if inside:
+            self.body.append(text)
 
     def handle_starttag(self, tag, attrs):
         own = {k: v or "" for k, v in attrs}
@@ -60,38 +66,39 @@ class _Reader(HTMLParser):
             self.skip += 1
         if tag in _ASIDE:
             self.aside += 1
-        if self.skip or (self.body_only and self.aside):
+        if self.skip:
             return
+        inside = not self.aside
         if tag in _BLOCK:
             self.text.append(" ")
-        if re.fullmatch("h[1-6]", tag):
-            self.md.append("\n\n" + "#" * int(tag[1]) + " ")
+        if tag in _HEADS:
+            self.put("\n\n" + "#" * int(tag[1]) + " ", inside)
         elif tag in ("ul", "ol"):
             self.lists.append([tag, 0])
-            self.md.append("\n")
+            self.put("\n", inside)
         elif tag == "li":
             if self.lists:
                 self.lists[-1][1] += 1
             mark = f"{self.lists[-1][1]}. " if self.lists and self.lists[-1][0] == "ol" else "- "
-            self.md.append("\n" + "  " * max(0, len(self.lists) - 1) + mark)
+            self.put("\n" + "  " * max(0, len(self.lists) - 1) + mark, inside)
         elif tag == "br":
-            self.md.append("\n")
+            self.put("\n", inside)
         elif tag in ("strong", "b"):
-            self.md.append("**")
+            self.put("**", inside)
         elif tag in ("em", "i"):
-            self.md.append("*")
+            self.put("*", inside)
         elif tag == "code":
-            self.md.append("`")
+            self.put("`", inside)
         elif tag == "a":
             self.links.append(own.get("href"))
             if own.get("href"):
-                self.md.append("[")
+                self.put("[", inside)
         elif tag == "img" and own.get("src"):
-            self.md.append(f"![{own.get('alt', '')}]({own['src']})")
+            self.put(f"![{own.get('alt', '')}]({own['src']})", inside)
         elif tag == "blockquote":
-            self.md.append("\n\n> ")
+            self.put("\n\n> ", inside)
         elif tag in _BLOCK:
-            self.md.append("\n\n")
+            self.put("\n\n", inside)
 
     def handle_endtag(self, tag):
         if tag == "title":
@@ -102,38 +109,39 @@ class _Reader(HTMLParser):
             self.skip = max(0, self.skip - 1)
         if tag in _ASIDE:
             self.aside = max(0, self.aside - 1)
-        if self.skip or (self.body_only and (self.aside or tag in _ASIDE)):
+        if self.skip:
             return
+        inside = not self.aside and tag not in _ASIDE
         if tag in _BLOCK:
             self.text.append(" ")
         if tag in ("strong", "b"):
-            self.md.append("**")
+            self.put("**", inside)
         elif tag in ("em", "i"):
-            self.md.append("*")
+            self.put("*", inside)
         elif tag == "code":
-            self.md.append("`")
+            self.put("`", inside)
         elif tag in ("ul", "ol") and self.lists:
             self.lists.pop()
-            self.md.append("\n")
+            self.put("\n", inside)
         elif tag == "a" and self.links:
             href = self.links.pop()
             if href:
-                self.md.append(f"]({href})")
+                self.put(f"]({href})", inside)
         elif tag in _BLOCK and tag != "li":
-            self.md.append("\n\n")
+            self.put("\n\n", inside)
 
     def handle_data(self, data):
         if self.in_title:
             self.title += data
         if self.in_ld and self.ld:
             self.ld[-1] += data
-        if not self.skip and not (self.body_only and self.aside):
+        if not self.skip:
             self.text.append(data)
-            self.md.append(re.sub(r"\s+", " ", data))
+            self.put(re.sub(r"\s+", " ", data), not self.aside)
 
 
-def _read(html: str, body_only: bool = False) -> _Reader:
-    r = _Reader(body_only)
+def _read(html: str) -> _Reader:
+    r = _Reader()
     r.feed(html)
     r.close()
     return r
@@ -148,7 +156,12 @@ def to_text(html: str | None) -> str | None:
 def to_markdown(html: str | None, body_only: bool = False) -> str | None:
     if not html:
         return None
-    raw = "".join(_read(html, body_only).md)
+    r = _read(html)
+    return _markdown(r.body if body_only else r.md)
+
+
+def _markdown(parts: list[str]) -> str | None:
+    raw = "".join(parts)
     lines = [re.sub(r"[ \t]+", " ", x).rstrip() if not x.lstrip().startswith(("- ", "1.")) else x.rstrip() for x in raw.split("\n")]
     return re.sub(r"\n{3,}", "\n\n", "\n".join(x if x.startswith("  ") else x.lstrip() for x in lines)).strip() or None
 
@@ -158,24 +171,28 @@ def _value(tag: str, own: dict) -> str | None:
 
 
 def to_metadata(html: str | None) -> dict:
+    return _metadata(_read(html)) if html else dict.fromkeys(META)
+
+
+def _metadata(r: _Reader) -> dict:
     out = dict.fromkeys(META)
-    if html:
-        r = _read(html)
-        for key, places in META.items():
-            for tag, attr, value in places:
-                hit = next((v for t, own in r.heads if t == tag and (value is None or own.get(attr, "").lower() == value) and (v := _value(t, own))), None)
-                if hit:
-                    out[key] = hit.strip()
-                    break
-        out["title"] = out["title"] or " ".join(r.title.split()) or None
+    for key, places in META.items():
+        for tag, attr, value in places:
+            hit = next((v for t, own in r.heads if t == tag and (value is None or own.get(attr, "").lower() == value) and (v := _value(t, own))), None)
+            if hit:
+                out[key] = hit.strip()
+                break
+    out["title"] = out["title"] or " ".join(r.title.split()) or None
     return out
 
 
 def to_json_ld(html: str | None) -> dict:
     """title, author, content, published_time of the first Article or NewsArticle."""
+    return _json_ld(_read(html)) if html else dict.fromkeys(("title", "author", "content", "published_time"))
+
+
+def _json_ld(r: _Reader) -> dict:
     out = dict.fromkeys(("title", "author", "content", "published_time"))
-    if not html:
-        return out
 
     def nodes(x):
         if isinstance(x, list):
@@ -185,7 +202,7 @@ def to_json_ld(html: str | None) -> dict:
             yield x
             yield from nodes(x.get("@graph", []))
 
-    for raw in _read(html).ld:
+    for raw in r.ld:
         try:
             found = json.loads(raw)
         except ValueError:
@@ -201,10 +218,13 @@ def to_json_ld(html: str | None) -> dict:
 
 def to_page(html: str | None, min_chars: int = 300) -> dict:
     """Readable body, else the JSON-LD article where the body is short; metadata wins where it has a value."""
-    meta = to_metadata(html)
-    body = {"title": None, "author": None, "content": to_markdown(html, True) if html else None, "published_time": None}
+    if not html:
+        return dict.fromkeys(("title", "author", "content", "published_time"))
+    r = _read(html)
+    meta = _metadata(r)
+    body = {"title": None, "author": None, "content": _markdown(r.body), "published_time": None}
     if len(body["content"] or "") < min_chars:
-        ld = to_json_ld(html)
+        ld = _json_ld(r)
         body = {k: ld[k] or body[k] for k in body}
     return body | {k: v for k, v in meta.items() if v}
 

@@ -17,6 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Chunks that a model gets at a time.
+EMBED_BATCH = 128
+
+
 class Embedder(Protocol):
     size: int
     context: int
@@ -35,18 +39,35 @@ class Analyst(Protocol):
 class HashEmbedder:
     """Signed feature hashing of words and word pairs, unit length; an empty text is a zero vector."""
 
+    #: Hashes of words that came before; emptied when it has so many.
+    MEMO = 200_000
+
     def __init__(self, size: int = 320, context: int = 512) -> None:
         self.size, self.context = size, context
+        self.known: dict[str, int] = {}
+
+    def _hashes(self, words: list[str]) -> np.ndarray:
+        known = self.known
+        for w in set(words).difference(known):
+            known[w] = int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little")
+        out = np.fromiter((known[w] for w in words), np.uint64, len(words))
+        if len(known) > self.MEMO:
+            known.clear()
+        return out
 
     def embed(self, texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), self.size), np.float32)
-        for k, t in enumerate(texts):
-            w = re.findall(r"\w+", t.lower())
-            for x in [*w, *(f"{a} {b}" for a, b in zip(w, w[1:], strict=False))]:
-                h = int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little")
-                out[k, h % self.size] += 1 if h >> 63 else -1
+        own = [re.findall(r"\w+", t.lower()) for t in texts]
+        h = self._hashes([w for ws in own for w in ws])
+        row = np.repeat(np.arange(len(texts)), [len(ws) for ws in own])
+        pair = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]
+        pair ^= pair >> np.uint64(29)
+        pair *= np.uint64(0xBF58476D1CE4E5B9)
+        same = row[:-1] == row[1:]
+        every, at = np.concatenate([h, pair[same]]), np.concatenate([row, row[:-1][same]])
+        slot = at * self.size + (every % np.uint64(self.size)).astype(np.int64)
+        out = np.bincount(slot, np.where(every >> np.uint64(63), 1.0, -1.0), minlength=len(texts) * self.size).reshape(len(texts), self.size)
         n = np.linalg.norm(out, axis=1, keepdims=True)
-        return out / np.where(n > 0, n, 1)
+        return (out / np.where(n > 0, n, 1)).astype(np.float32)
 
 
 # Entity labels and the field each goes to.
@@ -126,15 +147,22 @@ def _map(df: DataFrame, text_col: str, out: str, kind: str, build: Callable, wor
 
 
 def embed(df: DataFrame, build: Callable[[], Embedder] = HashEmbedder, *, text_col: str = "content", out: str = "embedding", max_chars: int | None = None, prefix: str = "") -> DataFrame:
-    """Embeddings of whole texts: chunks of the model's context, embedded and averaged within the same batch."""
+    """Embeddings of whole texts: chunks of the model's context, sent to it in batches of ``EMBED_BATCH`` whatever text they are of, and averaged by text."""
 
     def work(model, texts):
-        made = []
-        for t in texts:
-            parts = split_words((prefix + t)[:max_chars] if max_chars else prefix + t, model.context)
-            vecs = [v for v in bisected(model.embed, parts) if v is not None] if parts else []
-            made.append(np.mean(vecs, axis=0).astype(np.float32).tolist() if vecs else None)
-        return pa.array(made, pa.list_(pa.float32()))
+        parts, of = [], []
+        for k, t in enumerate(texts):
+            own = split_words((prefix + t)[:max_chars] if max_chars else prefix + t, model.context)
+            parts += own
+            of += [k] * len(own)
+        vecs: list = []
+        for lo in range(0, len(parts), EMBED_BATCH):
+            vecs += bisected(model.embed, parts[lo : lo + EMBED_BATCH])
+        per: dict[int, list] = {}
+        for k, v in zip(of, vecs, strict=True):
+            if v is not None:
+                per.setdefault(k, []).append(v)
+        return pa.array([np.mean(per[k], axis=0).astype(np.float32) if k in per else None for k in range(len(texts))], pa.list_(pa.float32()))
 
     return _map(df, text_col, out, "array<float>", build, work)
 
