@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import dates, html, texts, urls
-from .operators import cluster, graph, ingest, port, query, search, state, store, trend
+from .operators import cluster, graph, ingest, port, query, search, state, store, trend, vectorindex
 from .operators.durable import shared_folder
 from .plans import workers
 from .sources import adapters as a
@@ -489,3 +489,20 @@ def sources_counted(spark, d):
 p AS (SELECT chatter_url, max(likes) AS likes, max(comments) AS comments FROM c GROUP BY 1) SELECT c.chatter_url, min(ts) AS collected FROM c JOIN p USING (chatter_url, likes, comments) GROUP BY 1""")
 def chatter_peaks(spark, d):
     return trend.peak_snapshots(a.chatters(spark, d)).groupBy("chatter_url").agg(F.min("collected").alias("collected"))
+
+
+@_query(f"WITH {_VECTORS} SELECT query, id, rank, round(distance, 5) AS distance FROM (SELECT x.id AS query, y.id, list_distance(x.v, y.v) AS distance, row_number() OVER (PARTITION BY x.id ORDER BY list_distance(x.v, y.v), y.id) AS rank FROM vectors x, vectors y WHERE x.id % 20 = 0) WHERE rank <= 5")
+def vec_index_exact(spark, d):
+    """The five nearest of every twentieth vector, through the inverted-file index and its exact search."""
+    v, path = a.vectors(spark, d), _folder(spark, "cells")
+    vectorindex.build(v, path, cells=32)
+    near = vectorindex.topk(spark, path, v.where("id % 20 = 0").select(F.col("id").alias("query"), "embedding"), k=5, probe=4, exact=True)
+    return near.select("query", "id", F.round("distance", 5).alias("distance"), F.col("rank").cast("long").alias("rank"))
+
+
+@_query("SELECT vec_id AS id, len(embedding) AS n FROM embeddings")
+def label_index(spark, d):
+    """A label index as it is read: its own first column is the id."""
+    path = _folder(spark, "labels")
+    tables.write(a.table(spark, d, "embeddings").select(F.col("vec_id").alias("label"), "embedding"), "parquet", path)
+    return tables.labels(spark, path).select("id", F.size("embedding").cast("long").alias("n"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from brindle import providers
 from brindle.config import Settings
 from brindle.functions import urls
-from brindle.operators import cluster, graph, ingest, port, query, search, state, store, trend
+from brindle.operators import cluster, graph, ingest, port, query, search, state, store, trend, vectorindex
 from brindle.plans import workers
 from brindle.schemas import STATE
 from brindle.sources import feeds, tables
@@ -353,6 +353,28 @@ def test_table_swap(spark, tmp_path, monkeypatch):
     assert spark.read.parquet(path).count() == 2 and [p.name for p in tmp_path.iterdir()] == ["t"]
 
 
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+def test_vector_index(spark, tmp_path, monkeypatch, metric):
+    """Every row is in it; the exact search is the brute one; a few cells reach a recall of 0.9; a hot cell is cut into blocks."""
+    monkeypatch.setattr(vectorindex, "BLOCK", 100)
+    monkeypatch.setattr(vectorindex, "QUERIES", 30)
+    rng = np.random.default_rng(4)
+    middles = rng.normal(size=(12, 16)) * 3
+    rows = [(k, (middles[k % 12 if k % 3 else 0] + rng.normal(size=16)).astype(np.float32).tolist()) for k in range(900)] + [(900, None), (901, [1.0]), (902, [0.0] * 16), (903, middles[0].tolist()), (904, middles[0].tolist())]
+    v = spark.createDataFrame(rows, "id long, embedding array<float>").repartition(5)
+    path = str(tmp_path / "index")
+    said = vectorindex.build(v, path, cells=16, metric=metric)
+    assert said["rows"] + said["skipped"] == 905 and said["skipped"] == (2 if metric == "l2" else 3)
+    q = v.where("id % 20 = 0 or id >= 900").select(F.col("id").alias("query"), "embedding")
+    tell = lambda d: {(r.query, r.rank): (r.id, round(r.distance, 4)) for r in d.collect()}
+    want = tell(search.batch_topk(v.where("id <> 902" if metric == "cosine" else "true"), q.where("size(embedding) = 16" + (" and query <> 902" if metric == "cosine" else "")), k=5, metric=metric))
+    assert tell(vectorindex.topk(spark, path, q, k=5, probe=2, exact=True)) == want
+    some = tell(vectorindex.topk(spark, path, q, k=5, probe=4))
+    assert len({(a, i) for (a, _), (i, _) in some.items()} & {(a, i) for (a, _), (i, _) in want.items()}) >= 0.9 * len(want)
+    empty = str(tmp_path / "empty")
+    assert vectorindex.build(v.limit(0), empty)["rows"] == 0 and vectorindex.topk(spark, empty, q).count() == 0
+
+
 def test_first_match_and_delete_count(spark):
     rows = spark.createDataFrame([(1,), (2,)], "k long")
     found = spark.createDataFrame([(1, "b"), (1, "a"), (None, "z")], "k long, v string")
