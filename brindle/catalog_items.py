@@ -8,10 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .config import Settings
 from .functions import dates, html, texts, urls
 from .operators import cluster, graph, ingest, port, query, search, state, store, trend, vectorindex
 from .operators.durable import shared_folder
 from .plans import workers
+from .schemas import STATE
 from .sources import adapters as a
 from .sources import feeds, tables
 from .streaming import queues
@@ -107,7 +109,7 @@ def _items(spark, d):
     return e.select(
         F.concat(F.lit(" HTTPS://Site"), (F.col("user_id") % 50).cast("string"), F.lit(".Example.com/a/"), n, F.lit(" ")).alias("url"),
         F.when(F.col("event_id") % 11 == 0, F.lit(" ")).when(F.col("event_id") % 13 == 0, F.lit("Wordle today: hints")).otherwise(F.concat(F.lit("  Title "), n)).alias("title"),
-        F.repeat(F.lit("word "), F.col("value").cast("int") * 5).alias("content"), F.when(F.col("event_id") % 7 == 0, F.lit("NoReply")).otherwise(F.concat(F.lit(" Author "), F.col("event_type"))).alias("author"),
+        F.repeat(F.lit("word "), F.col("value").cast("int") % 40).alias("content"), F.when(F.col("event_id") % 7 == 0, F.lit("NoReply")).otherwise(F.concat(F.lit(" Author "), F.col("event_type"))).alias("author"),
         F.when(F.col("event_id") % 17 != 0, F.concat(F.lit("site"), (F.col("user_id") % 50).cast("string"))).alias("source"), F.when(F.col("event_type") == "click", "post").otherwise("news").alias("kind"),
         F.when(F.col("event_id") % 5 != 0, F.when(F.col("event_id") % 19 == 0, F.lit("2001-01-01").cast("timestamp")).otherwise(F.col("ts"))).alias("created"), F.lit(None).cast("timestamp").alias("collected"),
         F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("HTTP://talk.example.org/"), n)).alias("chatter_url"), F.lit("hub").alias("platform"), F.lit("r/x").alias("forum"), (F.col("event_id") % 3).alias("likes"), F.lit(0).cast("long").alias("comments"), F.lit(0).cast("long").alias("subscribers"),
@@ -116,7 +118,7 @@ def _items(spark, d):
 
 
 _ITEMS = f"""raw AS (SELECT event_id, event_type, user_id, value, ts FROM events), items AS (SELECT 'https://site' || (user_id % 50) || '.example.com/a/' || event_id AS url, 'Site' || (user_id % 50) || '.Example.com' AS net,
-  CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 13 = 0 THEN 'Wordle today: hints' ELSE 'Title ' || event_id END AS title, CAST(trunc(value) AS INTEGER) * 5 AS words, CASE WHEN event_id % 7 <> 0 THEN 'Author ' || event_type END AS author,
+  CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 13 = 0 THEN 'Wordle today: hints' ELSE 'Title ' || event_id END AS title, CAST(trunc(value) AS INTEGER) % 40 AS words, CASE WHEN event_id % 7 <> 0 THEN 'Author ' || event_type END AS author,
   CASE WHEN event_id % 17 <> 0 THEN 'site' || (user_id % 50) END AS source, CASE WHEN event_type = 'click' THEN 'post' ELSE 'news' END AS kind, CASE WHEN event_id % 5 = 0 OR event_id % 19 = 0 THEN {_AS_OF} ELSE ts END AS created,
   CASE WHEN event_id % 2 = 0 THEN 'http://talk.example.org/' || event_id END AS chatter_url, event_id % 3 AS likes, user_id FROM raw)"""
 
@@ -126,10 +128,10 @@ def items_cleaned(spark, d):
     return ingest.cleanup_items(_items(spark, d), a.as_of()).select("url", "base_url", "title", "content_length", "author", "source", "kind", "created", "collected", "chatter_url")
 
 
-@_query(f"WITH {_ITEMS} SELECT url, title, kind, CASE WHEN words >= 160 AND NOT contains(lower(title), 'wordle today') THEN 'store' WHEN kind <> 'post' AND words < 160 AND NOT contains(lower(title), 'wordle today') THEN 'scrape' ELSE 'drop' END AS triage FROM items WHERE title IS NOT NULL AND source IS NOT NULL")
+@_query(f"WITH {_ITEMS} SELECT url, title, kind, CASE WHEN words >= 32 AND NOT contains(lower(title), 'wordle today') THEN 'store' WHEN kind <> 'post' AND words < 32 AND NOT contains(lower(title), 'wordle today') THEN 'scrape' ELSE 'drop' END AS triage FROM items WHERE title IS NOT NULL AND source IS NOT NULL")
 def items_beans(spark, d):
     beans, _, _ = ingest.split_items(ingest.cleanup_items(_items(spark, d), a.as_of()))
-    return ingest.triage(ingest.valid_beans(beans)).select("url", "title", "kind", "triage")
+    return ingest.triage(ingest.valid_beans(beans), 32).select("url", "title", "kind", "triage")
 
 
 @_query(f"WITH {_ITEMS} SELECT chatter_url, url, 'hub' AS source, 'r/x' AS forum, {_AS_OF} AS collected, likes FROM items WHERE chatter_url IS NOT NULL AND likes <> 0")
@@ -145,21 +147,20 @@ def items_publishers(spark, d):
     return ingest.valid_publishers(publishers).select("base_url", ingest.described().alias("described"))
 
 
-@_query(f"""WITH {_ITEMS}, s AS (SELECT url, 300 AS n, TIMESTAMP '2024-01-03' AS p FROM items WHERE words % 2 = 0), j AS (SELECT i.*, s.n, s.p, s.n * 6 - 1 > greatest(words * 5 - 1, 0) AS longer FROM items i LEFT JOIN s USING (url))
-SELECT url, CASE WHEN longer THEN 300 ELSE words END AS content_length, CASE WHEN longer THEN TRUE END AS restricted_content, coalesce(title, CASE WHEN n IS NOT NULL THEN 'Scraped' END) AS title, CASE WHEN p IS NOT NULL THEN least(created, p) ELSE created END AS created, kind FROM j""")
+@_query(f"""WITH {_ITEMS}, s AS (SELECT url, 60 AS n, TIMESTAMP '2024-01-03' AS p FROM items WHERE words % 2 = 0), j AS (SELECT i.*, s.n, s.p, s.n * 6 - 1 > greatest(words * 5 - 1, 0) AS longer FROM items i LEFT JOIN s USING (url))
+SELECT url, CASE WHEN longer THEN 60 ELSE words END AS content_length, CASE WHEN longer THEN TRUE END AS restricted_content, coalesce(title, CASE WHEN n IS NOT NULL THEN 'Scraped' END) AS title, CASE WHEN p IS NOT NULL THEN least(created, p) ELSE created END AS created, kind FROM j""")
 def items_scraped(spark, d):
     clean = ingest.cleanup_items(_items(spark, d), a.as_of())
-    found = clean.where("content_length % 2 = 0").select("url", F.trim(F.repeat(F.lit("pages "), 300)).alias("content"), F.lit("Scraped").alias("title"), F.lit("2024-01-03").alias("published_time"))
+    found = clean.where("content_length % 2 = 0").select("url", F.trim(F.repeat(F.lit("pages "), 60)).alias("content"), F.lit("Scraped").alias("title"), F.lit("2024-01-03").alias("published_time"))
     beans, _, _ = ingest.split_items(clean)
     return ingest.merge_scraped(beans, found, a.as_of()).select("url", "content_length", "restricted_content", "title", "created", "kind")
 
 
-@_query(f"WITH {_ITEMS}, v AS (SELECT *, words >= 160 AND NOT contains(lower(title), 'wordle today') AS keep FROM items WHERE title IS NOT NULL AND source IS NOT NULL) SELECT 'stored' AS way, count(*) AS n FROM v WHERE keep UNION ALL SELECT 'scrape', count(*) FROM v WHERE NOT keep AND kind <> 'post' AND words < 160 AND NOT contains(lower(title), 'wordle today') UNION ALL SELECT 'chatters', count(*) FROM items WHERE chatter_url IS NOT NULL AND likes <> 0 UNION ALL SELECT 'publishers', count(DISTINCT net) FROM items")
+@_query(f"WITH {_ITEMS}, v AS (SELECT *, words >= 32 AND NOT contains(lower(title), 'wordle today') AS keep FROM items WHERE title IS NOT NULL AND source IS NOT NULL) SELECT 'stored' AS way, count(*) AS n FROM v WHERE keep UNION ALL SELECT 'scrape', count(*) FROM v WHERE NOT keep AND kind <> 'post' AND words < 32 AND NOT contains(lower(title), 'wordle today') UNION ALL SELECT 'chatters', count(*) FROM items WHERE chatter_url IS NOT NULL AND likes <> 0 UNION ALL SELECT 'publishers', count(DISTINCT net) FROM items")
 def worker_collect(spark, d):
     """The collector's ways for all items over an empty state table."""
-    from .schemas import STATE
 
-    out = workers.collect(spark.createDataFrame([], STATE), _items(spark, d).withColumn("source", F.col("source")), a.as_of())
+    out = workers.collect(spark.createDataFrame([], STATE), _items(spark, d), a.as_of(), Settings(words_for_storing=32))
     sizes = [out[k].agg(F.lit(name).alias("way"), F.count(F.lit(1)).alias("n")) for k, name in (("beans", "stored"), ("scrape", "scrape"), ("chatters", "chatters"))]
     every = ingest.valid_publishers(ingest.split_items(ingest.cleanup_items(_items(spark, d).withColumn("source", F.lit("s")), a.as_of()))[2])
     return sizes[0].union(sizes[1]).union(sizes[2]).union(every.agg(F.lit("publishers").alias("way"), F.count(F.lit(1)).alias("n")))
@@ -303,8 +304,6 @@ _STATE = "state AS (SELECT CAST(user_id AS VARCHAR) || '@' || CAST(CAST(ts AS DA
 @_query("SELECT c_custkey || '' AS id, 'known' AS state, TIMESTAMP '2024-02-01' AS ts, '{' || concat_ws(',', '\"name\":\"' || c_name || '\"', CASE WHEN c_nationkey <> 0 THEN '\"nation\":' || c_nationkey END, CASE WHEN c_custkey % 2 = 0 THEN '\"tags\":[\"t\"]' END) || '}' AS data FROM customer")
 def state_payloads(spark, d):
     """Payloads of a put: null, empty and zero fields stay out."""
-    from .schemas import STATE
-
     c = a.table(spark, d, "customer")
     items = c.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"), F.when(F.col("c_custkey") % 2 == 0, F.array(F.lit("t"))).otherwise(F.array().cast("array<string>")).alias("tags"), F.lit("").alias("empty"), F.lit(None).cast("string").alias("nothing"))
     return state.put(spark.createDataFrame([], STATE), items, "known", as_of=a.as_of()).select("id", "state", "ts", "data")
@@ -388,8 +387,6 @@ def stream_window_counts(spark, d):
 @_query("SELECT DISTINCT CAST(user_id AS VARCHAR) AS id, 'done' AS state FROM events WHERE event_type = 'view'")
 def stream_worker(spark, d):
     """The queue as a stream: ids that reach a state are handled once, a second run changes nothing."""
-    from .schemas import STATE
-
     path, mark = _folder(spark, "queue"), _folder(spark, "marks")
     rows = a.table(spark, d, "events").select(F.lit("beans").alias("object_type"), F.col("user_id").cast("string").alias("id"), F.col("event_type").alias("state"), "ts", F.lit("{}").alias("data"))
     rows.write.parquet(path)
@@ -446,8 +443,6 @@ def embeddings_updated(spark, d):
     v = a.vectors(spark, d)
     first = v.groupBy("label").agg(F.min_by("embedding", "id").alias("embedding")).select(F.concat(F.lit("label "), F.col("label").cast("string")).alias("id"), "embedding")
     beans = v.select(F.col("id").alias("url"), "embedding", F.array(F.lit("old")).alias("categories"), F.array(F.lit("old")).alias("sentiments"))
-    from .config import Settings
-
     n = len(v.select("embedding").first()[0])
     return workers.update_embeddings(beans, v.where("label = 4").select(F.col("id").alias("url"), "embedding"), first, first, Settings(vector_len=n)).select("url", "categories")
 
