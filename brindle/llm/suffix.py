@@ -216,7 +216,7 @@ _OTHER = vec.series(77, 256)
 
 def _packets(batch: int, bucket: np.ndarray, *keys: np.ndarray) -> list[tuple[int, int, bytes]]:
     begin, _ = _spread(bucket)
-    ends = np.r_[begin[1:], len(bucket)]
+    ends = np.r_[begin[1:], len(bucket)][: len(begin)]  # none where nothing is sent
     return [(batch, int(bucket[a]), b"".join(k[a:b].tobytes() for k in keys)) for a, b in zip(begin, ends, strict=True)]
 
 
@@ -224,7 +224,7 @@ def _flags(rows, bucket: np.ndarray, n: int = 1) -> list[np.ndarray]:
     """The n series of bits that came back, in the order in which keys were sent (by range)."""
     out = [np.zeros(len(bucket), bool) for _ in range(n)]
     begin, _ = _spread(bucket)
-    ends = dict(zip(bucket[begin].tolist(), zip(begin.tolist(), np.r_[begin[1:], len(bucket)].tolist(), strict=True), strict=True))
+    ends = dict(zip(bucket[begin].tolist(), zip(begin.tolist(), np.r_[begin[1:], len(bucket)][: len(begin)].tolist(), strict=True), strict=True))
     for to, bits in rows:
         a, b = ends[to]
         size = -(-(b - a) // 8)
