@@ -160,7 +160,7 @@ p AS (SELECT page_id, coalesce(translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abc
   translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM src),
 rules(name, h, pre, verdict) AS (VALUES ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'), ('example.org/en/1', 'example.org', '/en/1', 'block'), ('com/fr/', 'com', '/fr/', 'allow'), ('com/de/', 'com', '/de/', 'block')),
 best AS (SELECT page_id, arg_max(name, length(name)) AS rule, arg_max(verdict, length(name)) AS v FROM p JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, pre) GROUP BY page_id)
-SELECT page_id, host, path, rule, coalesce(v, CASE WHEN regexp_matches(low, '^[a-z][a-z0-9+.-]*://([^/?#]*[.-])?(adult|bets|betting|casino|malware|phishing|pills|poker|porn|sex|slots|spam|viagra|warez|xxx)[.-]') THEN 'block' ELSE 'allow' END) AS verdict
+SELECT page_id, host, path, rule, coalesce(v, CASE WHEN regexp_matches(low, '^[a-z][a-z0-9+.-]*://([^/?#]*[.-])?(betting|casino|malware|phishing|poker|porn|sex|slots|spam|viagra|warez|xxx)[.-]') THEN 'block' ELSE 'allow' END) AS verdict
 FROM p LEFT JOIN best USING (page_id)""",
     "op7_chat_format": """
 WITH rows AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

@@ -85,7 +85,7 @@ def filters(lines) -> list[Rule]:
 
 
 #: Fixed words of hosts that the method itself rejects where no site rule fits.
-HOST_WORDS = ("adult", "bets", "betting", "casino", "malware", "phishing", "pills", "poker", "porn", "sex", "slots", "spam", "viagra", "warez", "xxx")
+HOST_WORDS = ("betting", "casino", "malware", "phishing", "poker", "porn", "sex", "slots", "spam", "viagra", "warez", "xxx")
 PATTERNS = tuple(host_word(w) for w in HOST_WORDS)
 
 
