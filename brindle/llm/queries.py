@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, ngramjoin, pieces, shards, sketch, suffix, toxicity, urlfilter, warc
+from . import centroids, chat, decontam, fim, ngramjoin, pieces, shards, sketch, suffix, tokencounts, toxicity, urlfilter, warc
 from .shared import shared_folder
 
 
@@ -103,6 +103,26 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.fetch_all(found, folder, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document cut at two places between words or other characters, its middle moved to the end, and put together again."""
+    made = fim.transform(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    chars = lambda c: F.char_length(c).cast("long").alias(f"{c}_chars")
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    restored = fim.restore(F.col("output"), F.col("form"))
+    return made.select("doc_id", F.col("units").alias("n"), "form", chars("prefix"), chars("middle"), sha(F.col("output")).alias("output_sha256"), sha(restored).alias("restored_sha256"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str, model_file: str = PIECES) -> DataFrame:
+    """Each document's tokens, and whether they are more than 4096."""
+    return tokencounts.count(_table(spark, sf_dir, "documents").select("doc_id", "text"), pieces.load(model_file)).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each vector's cluster after three exact rounds over 16 centroids."""
+    made = centroids.cluster(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return made.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -114,11 +134,38 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_ngram_join": op9_ngram_join,
     "op10_warc": op10_warc,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_token_counts": op12_token_counts,
+    "op13_centroids": op13_centroids,
 }
 
+# rounds of the clustering: from the centroids of one to those of the next
+_NEAREST = """a{k} AS MATERIALIZED (SELECT id, r, x, arg_min(c, (d, c)) AS c, min(d) AS d FROM (SELECT kept.id, kept.r, kept.x, c, list_sum(list_transform(list_zip(kept.x, c{k}.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d FROM kept, c{k}) GROUP BY id, r, x)"""
+_MOVED = """s{k} AS (SELECT c, j, sum(x[j]) AS s, count(*) AS n FROM a{k}, unnest(range(1, 65)) AS t(j) GROUP BY c, j),
+c{n} AS MATERIALIZED (SELECT c, coalesce(m.x, c{k}.x) AS x FROM c{k} LEFT JOIN (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS HUGEINT) ORDER BY j) AS x FROM s{k} GROUP BY c) AS m USING (c))"""
+
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLES: dict[str, str] = {
+    "op11_fill_in_middle": """
+WITH u AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS ws, sha256(concat('1:', doc_id)) AS s FROM documents),
+h AS (SELECT *, len(ws) AS n, CAST('0x' || s[1:8] AS BIGINT) AS h1, CAST('0x' || s[9:16] AS BIGINT) AS h2, CAST('0x' || s[17:24] AS BIGINT) AS h3, CAST('0x' || s[25:32] AS BIGINT) AS h4 FROM u),
+f AS (SELECT doc_id, t, n, ws, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+c AS (SELECT doc_id, t, n, form, array_to_string(ws[1:a], '') AS p, array_to_string(ws[a + 1:b], '') AS m, array_to_string(ws[b + 1:n], '') AS s FROM f)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE t END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM c""",
+    "op13_centroids": f"""
+WITH kept AS MATERIALIZED (SELECT vec_id AS id, row_number() OVER () AS r, list_transform(embedding, lambda v: CAST(floor(64 * CAST(v AS DOUBLE)) AS HUGEINT)) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda v: v IS NOT NULL AND isfinite(v))) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256(concat('1:', id)), x) - 1 AS c, x FROM kept QUALIFY c < 16),
+{", ".join(f"{_NEAREST.format(k=k)}, {_MOVED.format(k=k, n=k + 1)}" for k in range(3))}, {_NEAREST.format(k=3)},
+i AS (SELECT c, sum(d) AS ci FROM a3 GROUP BY c)
+SELECT id AS vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(ci AS BIGINT) AS cluster_inertia, CAST((SELECT sum(d) FROM a3) AS BIGINT) AS inertia,
+  sha256(array_to_string(c3.x, ',')) AS centroid_sha256
+FROM a3 JOIN i USING (c) JOIN c3 USING (c)""",
     "op1_decontamination": f"""
 WITH items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS ws FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
 wins AS (
