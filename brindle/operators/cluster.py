@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import search
+from . import search, vectorindex
 from .durable import cut
 from .graph import connected_components
 
@@ -14,20 +14,25 @@ def dbscan(df: DataFrame, eps: float, min_samples: int, *, id_col: str = "id", v
     """id, cluster (least core id of it; the own id for noise), core.  Whole-number ids.
 
     A core has min_samples neighbours, itself included; cores within eps are one cluster; a border point takes the cluster of least id among its cores.
+    Rows with equal vectors are one point of that weight, so copies are never paired; rows with a null vector or a non-finite component are noise.
     """
-    pairs = cut(search.radius_pairs(df, eps, id_col=id_col, vec_col=vec_col).select("a", "b"))
+    fine = F.coalesce(~F.exists(vec_col, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x) == float("inf"))), F.lit(False))
+    rows = df.select(F.col(id_col).alias("_id"), F.when(fine, F.col(vec_col)).alias("_v"))
+    points = cut(rows.where("_v is not null").groupBy("_v").agg(F.min("_id").alias("point"), F.count(F.lit(1)).alias("n")))
+    pairs = cut(search.radius_pairs(points, eps, id_col="point", vec_col="_v").select("a", "b"))
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    cores = both.groupBy("a").agg((F.count(F.lit(1)) + 1).alias("degree")).where(F.col("degree") >= min_samples).select(F.col("a").alias("core"))
-    if min_samples <= 1:
-        cores = df.select(F.col(id_col).alias("core"))
+    around = both.join(points.select(F.col("point").alias("b"), "n"), "b").groupBy("a").agg(F.sum("n").alias("more"))
+    cores = points.join(around, F.col("point") == F.col("a"), "left").where(F.col("n") + F.coalesce("more", F.lit(0)) >= min_samples).select(F.col("point").alias("core"))
     cores = cut(cores)
     inner = pairs.join(cores.select(F.col("core").alias("a")), "a", "left_semi").join(cores.select(F.col("core").alias("b")), "b", "left_semi")
     roots = connected_components(inner.select(F.col("a").cast("long").alias("src"), F.col("b").cast("long").alias("dst")))
     least = roots.groupBy("root").agg(F.min("node").alias("cluster"))
     labels = cores.join(roots.join(least, "root"), cores["core"] == F.col("node"), "left").select("core", F.coalesce("cluster", "core").alias("cluster"))
     border = both.join(cores.select(F.col("core").alias("a")), "a", "left_anti").join(labels, F.col("b") == F.col("core")).groupBy("a").agg(F.min("cluster").alias("cluster"))
-    known = labels.select(F.col("core").alias("_id"), "cluster", F.lit(True).alias("core")).unionByName(border.select(F.col("a").alias("_id"), "cluster", F.lit(False).alias("core")))
-    return df.select(F.col(id_col)).join(known, F.col(id_col) == F.col("_id"), "left").select(id_col, F.coalesce("cluster", F.col(id_col)).alias("cluster"), F.coalesce("core", F.lit(False)).alias("core"))
+    known = labels.select(F.col("core").alias("point"), "cluster", F.lit(True).alias("core")).unionByName(border.select(F.col("a").alias("point"), "cluster", F.lit(False).alias("core")))
+    told = points.join(known, "point").select(F.col("_v").alias("_of"), "cluster", "core")
+    made = rows.join(told, F.col("_v") == F.col("_of"), "left")
+    return made.select(F.col("_id").alias(id_col), F.coalesce("cluster", "_id").alias("cluster"), F.coalesce("core", F.lit(False)).alias("core"))
 
 
 def related(df: DataFrame, eps: float, *, limit: int = 500, id_col: str = "id", vec_col: str = "embedding", itself: bool = True) -> DataFrame:
@@ -41,10 +46,24 @@ def related(df: DataFrame, eps: float, *, limit: int = 500, id_col: str = "id",
 
 
 def related_to(stored: DataFrame, batch: DataFrame, eps: float, *, limit: int = 500, id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
-    """For a new batch: ids of all stored and new items within eps of each."""
-    pool = stored.select(id_col, vec_col).unionByName(batch.select(id_col, vec_col)).dropDuplicates([id_col])
-    hits = search.batch_topk(pool, batch.select(F.col(id_col).alias("query"), vec_col), k=limit, distance=eps, metric="l2", id_col=id_col, vec_col=vec_col)
-    return hits.groupBy("query").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", id_col))), lambda s: s[id_col]).alias("related")).withColumnRenamed("query", id_col)
+    """For a new batch: ids of all stored and new items within eps of each.  An id in both counts with the batch's vector; only the batch's ids move."""
+    old = stored.select(id_col, vec_col).join(F.broadcast(batch.select(id_col)) if batch.count() <= search.MAX_QUERIES else batch.select(id_col), id_col, "left_anti")
+    pool = old.unionByName(batch.select(id_col, vec_col))
+    return _lists(search.batch_topk(pool, batch.select(F.col(id_col).alias("query"), vec_col), k=limit, distance=eps, metric="l2", id_col=id_col, vec_col=vec_col), id_col, id_col)
+
+
+def related_through(path: str, batch: DataFrame, eps: float, *, limit: int = 500, id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
+    """The same through a vector index that is kept: the batch is added to it, and then searched for among all that it holds; just the cells within eps of a new vector are read.
+
+    Exact.  An id that the index already holds keeps both of its vectors.
+    """
+    vectorindex.add(batch.sparkSession, path, batch, id_col=id_col, vec_col=vec_col)
+    hits = vectorindex.topk(batch.sparkSession, path, batch.select(F.col(id_col).alias("query"), vec_col), k=limit, distance=eps, exact=True, vec_col=vec_col)
+    return _lists(hits, "id", id_col)
+
+
+def _lists(hits: DataFrame, hit: str, id_col: str) -> DataFrame:
+    return hits.groupBy("query").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", hit))), lambda s: s[hit]).alias("related")).withColumnRenamed("query", id_col)
 
 
 def chunk_groups(members: DataFrame, *, group_col: str = "cluster", id_col: str = "id", most: int = 64, least: int = 4) -> DataFrame:

@@ -36,9 +36,10 @@ def distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
     if metric == "l2":
         sq = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * (a @ b.T)
         out = np.sqrt(np.maximum(sq, 0))
-        near = np.argwhere(sq < 1e-6 * ((a * a).sum(1)[:, None] + 1e-300))
-        for i, j in near:  # where the difference has lost its digits
-            out[i, j] = np.sqrt(((a[i] - b[j]) ** 2).sum())
+        i, j = np.nonzero(sq < 1e-6 * ((a * a).sum(1)[:, None] + 1e-300))
+        for lo in range(0, len(i), 1 << 15):  # where the difference has lost its digits
+            x, y = i[lo : lo + (1 << 15)], j[lo : lo + (1 << 15)]
+            out[x, y] = np.sqrt(((a[x] - b[y]) ** 2).sum(1))
         return out
     if metric == "ip":
         return -(a @ b.T)
@@ -46,6 +47,22 @@ def distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
         return 1 - (a @ b.T) / (np.sqrt((a * a).sum(1))[:, None] * np.sqrt((b * b).sum(1))[None, :])
 
 
+def keep_best(held: pa.Table | None, who: np.ndarray, ids, d: np.ndarray, k: int) -> pa.Table:
+    """The k nearest rows of each query so far: what was held and a matrix of distances (the queries of these numbers by rows); ties go by id."""
+    d = np.where(np.isnan(d), np.inf, d)
+    most = min(k, d.shape[1])
+    edge = np.partition(d, most - 1, axis=1)[:, most - 1] if most else np.zeros(len(d))
+    at, row = np.nonzero((d <= edge[:, None]) & np.isfinite(d))
+    new = pa.table({"_q": pa.array(who[at], pa.int32()), "id": ids.take(pa.array(row)), "distance": pa.array(d[at, row])})
+    if held is not None:
+        new = pa.concat_tables([held, new])
+    new = new.sort_by([("_q", "ascending"), ("distance", "ascending"), ("id", "ascending")])
+    own = new.column("_q").to_numpy()
+    begin = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else np.zeros(0, int)
+    rank = np.arange(len(own)) - np.repeat(begin, np.diff(np.r_[begin, len(own)]))
+    return new.filter(pa.array(rank < k))
+
+
 def batch_topk(df: DataFrame, queries: DataFrame, *, k: int = 10, distance: float | None = None, metric: str = "cosine", id_col: str = "id", vec_col: str = "embedding", query_col: str = "query") -> DataFrame:
     """The k nearest rows to each query (columns query and the vector's): query, id, distance, rank."""
     n = queries.count()
@@ -137,71 +154,52 @@ def nearest_labels(df: DataFrame, labels: DataFrame, *, k: int = 2, id_col: str
     return made.select(F.col("id").alias(id_col), (F.transform("labels", texts.snake) if as_tags else F.col("labels")).alias("labels"))
 
 
-def radius_pairs(df: DataFrame, eps: float, *, id_col: str = "id", vec_col: str = "embedding", pivots: int = 32, block: int = 2048) -> DataFrame:
-    """All pairs (a < b) at an L2 distance of at most eps, exactly.
+def radius_pairs(df: DataFrame, eps: float, *, id_col: str = "id", vec_col: str = "embedding", sample_rows: int = 4096, block: int = 2048) -> DataFrame:
+    """All pairs (a < b) at an L2 distance of at most eps, exactly: see ``metricjoin``."""
+    from . import metricjoin
 
-    Each vector goes to its nearest of a few pivots, and as a guest to each later pivot that a neighbour within eps may be nearest to (its distance is at most 2 eps more).
-    A pivot's members are cut into blocks and each pair of blocks is a task of its own, so a dense region spreads.  Pivots are a bounded sample by hash; they decide speed only.
-    """
-    plain = df.where(F.col(vec_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"))
-    sizes = [r["n"] for r in plain.groupBy(F.size("v").alias("n")).count().orderBy("n").collect()]  # a row a length
-    if len(sizes) > 1:
-        found = None
-        for n in sizes:  # vectors of different lengths have no distance
-            own = radius_pairs(plain.where(F.size("v") == n), eps, id_col="id", vec_col="v", pivots=pivots, block=block)
-            found = own if found is None else found.unionByName(own)
-        return found
-    kind = dict(plain.dtypes)["id"]
-    centres = np.array([r["v"] for r in plain.orderBy(F.xxhash64("id"), "id").limit(pivots).collect()], np.float64)
-    if len(centres) and 2 * eps >= distances(centres, centres, "l2").max():
-        centres = centres[:1]  # pivots so near to each other tell nothing apart: blocks alone, without guests
-    if not len(centres):
-        return df.sparkSession.createDataFrame([], f"a {kind}, b {kind}, distance double")
-
-    def assign(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
-            d = distances(_matrix(b.column(1)), centres, "l2")
-            home = d.argmin(1)
-            visit = d <= d.min(1)[:, None] + 2 * eps + 1e-9
-            visit &= np.arange(d.shape[1])[None, :] >= home[:, None]
-            row, cell = np.nonzero(visit)
-            yield pa.RecordBatch.from_arrays([*(c.take(pa.array(row)) for c in b.columns), pa.array(cell, pa.int32()), pa.array(home[row] == cell)], ["id", "v", "cell", "home"])
-
-    members = plain.mapInArrow(assign, f"id {kind}, v {dict(plain.dtypes)['v']}, cell int, home boolean")
-    sizes = {r["cell"]: -(-r["n"] // block) for r in members.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a pivot
-    blocks = F.element_at(F.create_map(*[x for c, n in sizes.items() for x in (F.lit(c), F.lit(n))]), F.col("cell")) if sizes else F.lit(1)
-    own = members.withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    cells = own.select("id", "v", "home", "cell", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
-
-    def pairs(table: pa.Table) -> pa.Table:
-        m, home = _matrix(table.column("v")) if table.num_rows else np.zeros((0, 1)), np.array(table.column("home").to_pylist(), bool)
-        mine, other = table.column("mine").to_numpy(), table.column("with").to_numpy()
-        d = distances(m, m, "l2")
-        ok = (d <= eps) & (home[:, None] | home[None, :])
-        ok &= (mine == other)[:, None] | (mine[:, None] != mine[None, :])  # inside a block only where it meets itself
-        i, j = np.nonzero(np.triu(ok, 1))
-        ids = table.column("id").combine_chunks()
-        ids = ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids
-        a, b = ids.take(pa.array(i)).to_pylist(), ids.take(pa.array(j)).to_pylist()
-        flip = [(x, y) if x < y else (y, x) for x, y in zip(a, b, strict=True)]
-        return pa.table({"a": pa.array([x for x, _ in flip], ids.type), "b": pa.array([y for _, y in flip], ids.type), "distance": pa.array(d[i, j])})
-
-    grouped = cells.groupBy("cell", F.least("mine", "with").alias("lo"), F.greatest("mine", "with").alias("hi"))
-    return grouped.applyInArrow(pairs, f"a {kind}, b {kind}, distance double").where("a <> b")
+    found = None
+    for own in metricjoin.joins(df, eps, id_col=id_col, vec_col=vec_col, sample_rows=sample_rows, block=block):
+        found = own.pairs() if found is None else found.unionByName(own.pairs())
+    kind = dict(df.dtypes)[id_col]
+    return df.sparkSession.createDataFrame([], f"a {kind}, b {kind}, distance double") if found is None else found
 
 
 def median_vector(df: DataFrame, by: str, vec_col: str = "embedding") -> DataFrame:
-    """Per-dimension exact median of each group's vectors."""
-    each = df.select(by, F.posexplode(vec_col).alias("pos", "x"))
-    return each.groupBy(by, "pos").agg(F.median(F.col("x").cast("double")).alias("m")).groupBy(by).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "m"))), lambda s: s["m"]).alias(vec_col))
+    """Per-dimension exact median of each (bounded) group's vectors; shorter vectors have no part in the dimensions that they lack."""
+    kind = dict(df.dtypes)[by]
+
+    def run(table: pa.Table) -> pa.Table:
+        flat = table.column("v").combine_chunks()
+        flat = pa.concat_arrays(flat.chunks) if isinstance(flat, pa.ChunkedArray) else flat
+        size = flat.value_lengths().to_numpy()
+        m = np.full((len(size), size.max(initial=0)), np.nan)
+        m[np.arange(m.shape[1])[None, :] < size[:, None]] = flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        whole = m if np.isfinite(m).all() else None
+        out = np.median(whole, 0) if whole is not None else [_median(m[:, j]) for j in range(m.shape[1])]
+        return pa.table({by: table.column(by).slice(0, 1), vec_col: pa.array([list(out)], pa.list_(pa.float64()))})
+
+    rows = df.where(F.size(vec_col) > 0).select(by, F.col(vec_col).alias("v"))
+    return rows.groupBy(by).applyInArrow(run, f"`{by}` {kind}, `{vec_col}` array<double>")
+
+
+def _median(x: np.ndarray) -> float | None:
+    x = x[~np.isnan(x)]
+    return float(np.median(x)) if len(x) else None
 
 
 def mean_vector(df: DataFrame, by: str, vec_col: str = "embedding") -> DataFrame:
-    """Per-dimension mean of each group's vectors, as for the chunks of a document."""
-    each = df.select(by, F.posexplode(vec_col).alias("pos", "x"))
-    return each.groupBy(by, "pos").agg(F.avg(F.col("x").cast("double")).alias("m")).groupBy(by).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "m"))), lambda s: s["m"]).alias(vec_col))
+    """Per-dimension mean of each group's vectors, as for the chunks of a document: tasks sum what they hold, so a group of any size moves one sum from each."""
+    kind = dict(df.dtypes)[by]
+    dims = F.size(vec_col)
+    # one sum and count a dimension: a wide aggregate that combines before the shuffle
+    sizes = [r["n"] for r in df.where(dims > 0).select(dims.alias("n")).distinct().collect()]  # a row a length
+    most = max(sizes, default=0)
+    if not most:
+        return df.sparkSession.createDataFrame([], f"`{by}` {kind}, `{vec_col}` array<double>")
+    rows = df.where(dims > 0).select(by, dims.alias("n"), *[F.try_element_at(vec_col, F.lit(j + 1)).cast("double").alias(f"x{j}") for j in range(most)])
+    means = rows.groupBy(by).agg(*[F.avg(f"x{j}").alias(f"x{j}") for j in range(most)], F.max("n").alias("n"))
+    return means.select(by, F.slice(F.array(*[F.col(f"x{j}") for j in range(most)]), F.lit(1), F.col("n")).alias(vec_col))
 
 
 def valid(embedding: Column, n: int) -> Column:

@@ -1,41 +1,49 @@
-"""An inverted-file index over vectors: cells around centres, searched in a few cells or exactly.
+"""A growing inverted-file index over vectors: cells around centres, searched in a few cells by short codes, or exactly.
 
-``build`` fits the centres on a bounded sample (``sample_rows`` vectors by hash of the id; the bound decides speed, never results), gives each vector to its nearest
-centre and writes the vectors by cell, with each cell's centre, radius (the largest distance of a member) and size.  Every row is in the index.
+``build`` fits the centres and the code books on a bounded sample (``sample_rows`` vectors by hash of the id; the bound decides speed, never exact results) and adds the table.  ``add`` appends a
+batch: each vector goes to the folder of its nearest cell, with a code (the nearest of 256 entries in each of some stretches of the vector).  A cell of more than ``split_rows`` rows is split among
+centres of its own, so only such cells are ever rewritten; one whose sample is a single point stays whole, since no centre tells its rows apart.  Every row is in the index.
 
-``topk`` sends each query to its ``probe`` nearest cells.  Exactly, it goes on from there: by the triangle inequality no member of a cell is nearer than the centre's distance
-less the radius, so just the cells that this does not rule out against the k-th distance found so far are searched too.  A cell is cut into blocks of ``BLOCK`` rows, each a task's own,
-so a cell that holds a third of all rows spreads; a block keeps k rows a query.  Queries are collected in blocks of ``QUERIES``, as many as one broadcast holds.
+What counts is the newest finished version of a small table of cells (centre, radius, rows, batches); a batch that failed leaves folders that nothing reads, and ``vacuum`` removes those.
 
-Defined cases: null vectors and those of another length than most of the sample are not in the index (``build`` says how many: ``skipped``); null and such queries have no hits; ties go by id; an empty
-table makes an index without cells, which finds nothing.  For cosine, vectors are scaled to length one, and one of length zero has no distance.
+``topk`` sends each query to its ``probe`` nearest cells.  There one scan of the codes keeps ``rerank`` candidates a query, and a second one reads the vectors of just the cells that hold some, and measures
+the candidates exactly.  With ``exact`` the vectors of the probed cells are measured right away, and by the triangle inequality (no member is nearer than the centre's distance less the radius) just
+the cells that the k-th distance so far does not rule out are searched too.  Stored vectors are never shuffled: queries go to them, a task keeps a running best of each query, and at most k rows a
+query and task move.  Queries are collected in blocks of ``QUERIES``.
+
+Defined cases: null vectors and those of another length than most of the first sample are not in the index (``build`` and ``add`` say how many: ``skipped``); null and such queries have no hits; ties go
+by id; repeated ids are rows of their own; an empty table makes an index without cells, which finds nothing and refuses to grow.  For cosine, vectors are scaled to length one, and one of length zero has no distance.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .durable import Tables
-from .search import _matrix, distances
+from .durable import Tables, remove
+from .search import _matrix, distances, keep_best
 
-BLOCK = 50_000
-QUERIES = 20_000
+QUERIES = 2_000
+BLOCK_VALUES = 1 << 21  # of a matrix of distances
+WIDTH = 4  # components to a stretch of the code
+CELL = "cell int, centre array<double>, radius double, n long, batches array<string>, whole boolean"
 
 
 def _centres(sample: np.ndarray, cells: int, rounds: int) -> np.ndarray:
     """Lloyd's rounds from evenly chosen members of the sample; a cell that loses all members keeps its centre."""
     centres = sample[np.linspace(0, len(sample) - 1, min(cells, len(sample))).astype(int)].copy()
     for _ in range(rounds):
-        home = distances(sample, centres, "l2").argmin(1)
-        for k in range(len(centres)):
-            own = sample[home == k]
-            if len(own):
-                centres[k] = own.mean(0)
+        home = ((centres * centres).sum(1)[None, :] - 2 * (sample @ centres.T)).argmin(1)
+        n = np.bincount(home, minlength=len(centres))
+        sums = np.zeros_like(centres)
+        np.add.at(sums, home, sample)
+        centres[n > 0] = sums[n > 0] / n[n > 0][:, None]
     return centres
 
 
@@ -47,104 +55,325 @@ def _scaled(v: np.ndarray, metric: str) -> np.ndarray:
         return v / n
 
 
-def build(df: DataFrame, path: str, *, cells: int = 64, metric: str = "l2", sample_rows: int = 20_000, rounds: int = 8, id_col: str = "id", vec_col: str = "embedding") -> dict:
+def _stretches(size: int) -> list[tuple[int, int]]:
+    return [(lo, min(size, lo + WIDTH)) for lo in range(0, size, WIDTH)]
+
+
+class _Books:
+    """Code books: for each stretch its entries."""
+
+    def __init__(self, books: list[np.ndarray], size: int) -> None:
+        self.books, self.size = books, size
+
+    def codes(self, m: np.ndarray) -> np.ndarray:
+        out = np.empty((len(m), len(self.books)), np.uint8)
+        for j, ((lo, hi), book) in enumerate(zip(_stretches(self.size), self.books, strict=True)):
+            out[:, j] = ((book * book).sum(1)[None, :] - 2 * (m[:, lo:hi] @ book.T)).argmin(1)
+        return out
+
+    def vectors(self, codes: np.ndarray) -> np.ndarray:
+        """What the codes stand for."""
+        return np.concatenate([book[codes[:, j]] for j, book in enumerate(self.books)], axis=1) if len(codes) else np.zeros((0, self.size))
+
+
+class _State:
+    """The newest finished version of the table of cells."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+        about = spark.read.parquet(f"{self.path}/about").first()
+        self.size, self.metric, self.kind = about["size"], about["metric"], about["kind"]
+        self.books = _Books([np.array(b, np.float64).reshape(-1, hi - lo) for b, (lo, hi) in zip(about["books"], _stretches(self.size), strict=True)], self.size)
+        jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+        place = jvm.Path(f"{self.path}/cells")
+        fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        found = [int(f.getPath().getName()[2:]) for f in (fs.listStatus(place) if fs.exists(place) else ()) if fs.exists(jvm.Path(f"{f.getPath().toString()}/_SUCCESS"))]
+        self.version = max(found, default=-1)
+        rows = spark.read.schema(CELL).parquet(f"{self.path}/cells/v={self.version}").collect() if found else []  # a row a cell
+        self.cells = {r["cell"]: r.asDict() for r in rows}
+
+    def write(self) -> None:
+        self.version += 1
+        rows = [(c, x["centre"], x["radius"], x["n"], x["batches"], x["whole"]) for c, x in sorted(self.cells.items())]
+        self.spark.createDataFrame(rows, CELL).coalesce(1).write.parquet(f"{self.path}/cells/v={self.version}")
+
+    def order(self) -> list[int]:
+        return sorted(self.cells)
+
+    def centres(self) -> np.ndarray:
+        return np.array([self.cells[c]["centre"] for c in self.order()], np.float64).reshape(len(self.cells), self.size)
+
+    def rows(self, cells: list[int], *columns: str) -> DataFrame:
+        """Stored rows of these cells: only their folders in the batches that count are read."""
+        batches = sorted({b for c in cells for b in self.cells[c]["batches"]})
+        schema = f"id {self.kind}, code binary, v array<double>, distance double, batch string, cell int"
+        table = self.spark.read.schema(schema).option("basePath", f"{self.path}/rows").parquet(*[f"{self.path}/rows/batch={b}" for b in batches])
+        return table.where(F.col("cell").isin(cells)).select("cell", *columns)
+
+
+def _sample(plain: DataFrame, rows: int) -> list:
+    return plain.where("size(v) > 0").orderBy(F.xxhash64("id"), "id").limit(rows).collect()  # bounded
+
+
+def build(df: DataFrame, path: str, *, cells: int = 64, metric: str = "l2", sample_rows: int = 20_000, rounds: int = 8, split_rows: int = 1_000_000, id_col: str = "id", vec_col: str = "embedding") -> dict:
     """Write the index below path; what comes back says how many rows are in it and how many were skipped."""
     if metric not in ("l2", "cosine"):
         raise ValueError("the index knows l2 and cosine")
     spark = df.sparkSession
     plain = df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"))
-    kind = dict(plain.dtypes)["id"]
-    drawn = plain.where("size(v) > 0").orderBy(F.xxhash64("id"), "id").limit(sample_rows).collect()  # bounded
+    drawn = _sample(plain, sample_rows)
     size = Counter(len(r["v"]) for r in drawn).most_common(1)[0][0] if drawn else 0
-    sample = np.array([r["v"] for r in drawn if len(r["v"]) == size], np.float64) if drawn else np.zeros((0, 0))
+    sample = np.array([r["v"] for r in drawn if len(r["v"]) == size and None not in r["v"]], np.float64).reshape(-1, size) if drawn else np.zeros((0, 0))
     sample = _scaled(sample, metric)
     sample = sample[np.isfinite(sample).all(1)]
-    centres = _centres(sample, cells, rounds) if len(sample) else np.zeros((0, size))
-    sent = spark.sparkContext.broadcast(centres)
+    books = [_centres(sample[:8192, lo:hi], 256, 4) for lo, hi in _stretches(size)] if len(sample) else [np.zeros((1, hi - lo)) for lo, hi in _stretches(size)]
+    about = [(size, metric, dict(plain.dtypes)["id"], [b.reshape(-1).tolist() for b in books])]
+    spark.createDataFrame(about, "size int, metric string, kind string, books array<array<double>>").coalesce(1).write.parquet(f"{path.rstrip('/')}/about")
+    state = _State(spark, path)
+    if not len(sample):
+        return {"rows": 0, "skipped": df.count(), "cells": 0}
+    state.cells = {k: {"centre": c.tolist(), "radius": 0.0, "n": 0, "batches": [], "whole": False} for k, c in enumerate(_centres(sample, cells, rounds))}
+    return _added(state, plain, split_rows)
+
+
+def add(spark: SparkSession, path: str, df: DataFrame, *, split_rows: int = 1_000_000, id_col: str = "id", vec_col: str = "embedding") -> dict:
+    """Append a batch; what comes back says how many rows are in the index and how many of the batch were skipped."""
+    state = _State(spark, path)
+    if not state.cells:
+        raise ValueError("an index that was built from no vectors cannot grow: build it anew")
+    return _added(state, df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v")), split_rows)
+
+
+def _place(state: _State, rows: DataFrame, targets: dict[int | None, list[int]], centres: dict[int, list[float]], scale: bool) -> str:
+    """Write rows (cell, id, v) under the nearest of their cell's targets, as a batch of its own, and give its name."""
+    metric, books, size = state.metric, state.books, state.size
+    own = {c: (np.array(t, np.int32), np.array([centres[x] for x in t], np.float64)) for c, t in targets.items()}
+    sent = state.spark.sparkContext.broadcast((own, books))
 
     def assign(batches):
+        own, books = sent.value
+        for b in batches:
+            for lo in range(0, b.num_rows, 4096):
+                part = b.slice(lo, 4096)
+                m = _matrix(part.column("v")).reshape(-1, size)
+                m = _scaled(m, metric) if scale else m
+                ok = np.isfinite(m).all(1)
+                m = np.where(ok[:, None], m, 0.0)
+                home, away = np.zeros(len(m), np.int32), np.zeros(len(m))
+                cell = part.column("cell").to_numpy(zero_copy_only=False)
+                for c, (names, middle) in own.items():
+                    mine = np.isnan(cell) if c is None else cell == c
+                    if mine.any():
+                        d = distances(m[mine], middle, "l2")
+                        home[mine], away[mine] = names[d.argmin(1)], d.min(1)
+                codes = pa.array([x.tobytes() for x in books.codes(m)], pa.binary())
+                v = pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1) * size, pa.int32()), pa.array(m.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([part.column("id"), codes, v, pa.array(away), pa.array(home)], ["id", "code", "v", "distance", "cell"]).filter(pa.array(ok))
+
+    batch = uuid.uuid4().hex
+    placed = rows.mapInArrow(assign, f"id {state.kind}, code binary, v array<double>, distance double, cell int")
+    # few files a cell, and a cell of many rows over many tasks
+    placed.hint("rebalance", "cell").write.partitionBy("cell").parquet(f"{state.path}/rows/batch={batch}")
+    return batch
+
+
+def _measured(state: _State, batch: str) -> list:
+    rows = state.spark.read.schema(f"id {state.kind}, distance double, cell int").parquet(f"{state.path}/rows/batch={batch}")
+    return rows.groupBy("cell").agg(F.max("distance").alias("radius"), F.count(F.lit(1)).alias("n")).collect()  # a row a cell
+
+
+def _added(state: _State, plain: DataFrame, split_rows: int) -> dict:
+    fits = plain.where((F.size("v") == state.size) & ~F.exists("v", lambda x: x.isNull()))
+    centres = {c: x["centre"] for c, x in state.cells.items()}
+    batch = _place(state, fits.select(F.lit(None).cast("double").alias("cell"), "id", F.col("v").cast("array<double>").alias("v")), {None: state.order()}, centres, True)
+    new = 0
+    for r in _measured(state, batch):
+        cell = state.cells[r["cell"]]
+        cell["radius"], cell["n"], cell["batches"] = max(cell["radius"], r["radius"]), cell["n"] + r["n"], [*cell["batches"], batch]
+        new += r["n"]
+    while big := [c for c, x in state.cells.items() if x["n"] > split_rows and not x["whole"]]:
+        _split(state, big, split_rows)
+    state.write()
+    return {"rows": sum(x["n"] for x in state.cells.values()), "skipped": plain.count() - new, "cells": len(state.cells)}
+
+
+def _split(state: _State, big: list[int], split_rows: int) -> None:
+    """Deal the rows of these cells among new centres of their own, fitted on some 2,000 rows of each."""
+    share = F.element_at(F.create_map(*[F.lit(x) for c in big for x in (c, max(1, 2000 * (1 << 20) // state.cells[c]["n"]))]), F.col("cell"))
+    drawn = state.rows(big, "id", "v").where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share).limit(4000 * len(big)).collect()
+    targets: dict[int | None, list[int]] = {}
+    centres: dict[int, list[float]] = {}
+    at = max(state.cells) + 1
+    for c in big:
+        sample = np.array([r["v"] for r in drawn if r["cell"] == c], np.float64)
+        parts = np.unique(_centres(sample, min(16, 2 * -(-state.cells[c]["n"] // split_rows)), 6), axis=0) if len(sample) else sample
+        if len(parts) < 2:
+            state.cells[c]["whole"] = True
+            continue
+        targets[c] = list(range(at, at + len(parts)))
+        centres |= dict(zip(targets[c], parts.tolist(), strict=True))
+        at += len(parts)
+    if not targets:
+        return
+    moved = state.rows(list(targets), "id", "v").select(F.col("cell").cast("double").alias("cell"), "id", "v")
+    batch = _place(state, moved, targets, centres, False)
+    before = {new: state.cells[old]["n"] for old, own in targets.items() for new in own}
+    for r in _measured(state, batch):
+        # where all rows went one way, no centre tells them apart
+        state.cells[r["cell"]] = {"centre": centres[r["cell"]], "radius": r["radius"], "n": r["n"], "batches": [batch], "whole": r["n"] >= before[r["cell"]]}
+    for c in targets:
+        del state.cells[c]
+
+
+def _scan(state: _State, cells: list[int], q: np.ndarray, wanted: dict[int, np.ndarray], k: int, coded: bool) -> DataFrame:
+    """The k nearest of each query among the cells' rows that it wants: _q, id, cell, distance; by codes or by vectors.  A task keeps k rows a query."""
+    out = f"_q int, id {state.kind}, cell int, distance double"
+    cells = [c for c in cells if state.cells[c]["n"]]
+    if not cells:
+        return state.spark.createDataFrame([], out)
+    sent = state.spark.sparkContext.broadcast((q, wanted, state.books))
+
+    def near(batches):
+        q, wanted, books = sent.value
+        held = None
+        for b in batches:
+            cell = b.column("cell").to_numpy()
+            for c in np.unique(cell).tolist():
+                mine = b.filter(pa.array(cell == c))
+                own = wanted[c]
+                step = max(1, BLOCK_VALUES // max(1, len(own)))
+                for lo in range(0, mine.num_rows, step):
+                    part = mine.slice(lo, step)
+                    if coded:
+                        flat = np.frombuffer(b"".join(part.column("x").to_pylist()), np.uint8).reshape(part.num_rows, -1)
+                        m = books.vectors(flat)
+                    else:
+                        m = _matrix(part.column("x"))
+                    for at in range(0, len(own), max(1, BLOCK_VALUES // part.num_rows)):
+                        some = own[at : at + max(1, BLOCK_VALUES // part.num_rows)]
+                        held = keep_best(held, some, part.column("id"), distances(q[some], m, "l2"), k)
+        if held is not None:
+            yield from held.to_batches()
+
+    rows = state.rows(cells, "id", F.col("code" if coded else "v").alias("x"))
+    found = rows.mapInArrow(near, f"_q int, id {state.kind}, distance double")
+    return found.withColumn("cell", F.lit(None).cast("int")).select("_q", "id", "cell", "distance")
+
+
+def _measure(state: _State, near: DataFrame, cells: list[int], q: np.ndarray) -> DataFrame:
+    """Exact distances of candidates (_q, id), at most a block of queries times ``rerank``; only their cells' vectors are read."""
+    rows = near.select("_q", "id").collect()
+    sent = state.spark.sparkContext.broadcast((q, np.array([r["_q"] for r in rows], np.int32), [r["id"] for r in rows]))
+    kind = state.kind
+
+    def exact(batches):
+        q, who, names = sent.value
+        order = None
         for b in batches:
-            if not b.num_rows or not len(sent.value):
+            if not b.num_rows:
+                continue
+            if order is None:
+                ids = pa.array(names, b.column("id").type)
+                values = pc.unique(ids)
+                at = pc.index_in(ids, values).to_numpy(zero_copy_only=False)
+                order = np.argsort(at, kind="stable")
+                begin = np.searchsorted(at[order], np.arange(len(values) + 1))
+            hit = pc.index_in(b.column("id"), values)
+            some = np.flatnonzero(hit.is_valid().to_numpy(zero_copy_only=False))
+            if not len(some):
                 continue
-            m = _scaled(_matrix(b.column(1)), metric)
-            d = distances(np.nan_to_num(m), sent.value, "l2")
-            home, ok = d.argmin(1), np.isfinite(m).all(1)
-            made = pa.RecordBatch.from_arrays([b.column(0), pa.array(m.tolist(), pa.list_(pa.float64())), pa.array(home, pa.int32()), pa.array(d.min(1))], ["id", "v", "cell", "distance"])
-            yield made.filter(pa.array(ok))
-
-    placed = plain.where(F.size("v") == size).mapInArrow(assign, f"id {kind}, v array<double>, cell int, distance double")
-    placed.write.partitionBy("cell").parquet(f"{path}/rows")
-    rows = spark.read.schema(f"id {kind}, v array<double>, distance double, cell int").parquet(f"{path}/rows")
-    about = rows.groupBy("cell").agg(F.max("distance").alias("radius"), F.count(F.lit(1)).alias("n")).collect()  # a row a cell
-    table = [(r["cell"], centres[r["cell"]].tolist(), r["radius"], r["n"], metric) for r in about]
-    spark.createDataFrame(table, "cell int, centre array<double>, radius double, n long, metric string").coalesce(1).write.parquet(f"{path}/cells")
-    there = sum(r["n"] for r in about)
-    return {"rows": there, "skipped": df.count() - there, "cells": len(about)}
-
-
-def _in_cells(spark: SparkSession, path: str, kind: str, cells: dict, q: np.ndarray, wanted: np.ndarray, k: int) -> DataFrame:
-    """The k nearest of each query in each block of the cells that it wants (a matrix of queries and cells)."""
-    ids = [c for n, c in enumerate(sorted(cells)) if wanted[:, n].any()]
-    rows = spark.read.schema(f"id {kind}, v array<double>, distance double, cell int").parquet(f"{path}/rows")
-    if not ids:
-        return spark.createDataFrame([], f"_q int, id {kind}, distance double")
-    sent = spark.sparkContext.broadcast((q, {c: np.flatnonzero(wanted[:, n]) for n, c in enumerate(sorted(cells)) if wanted[:, n].any()}))
-    blocks = F.create_map(*[x for c in ids for x in (F.lit(c), F.lit(-(-cells[c]["n"] // BLOCK)))])
-    rows = rows.where(F.col("cell").isin(ids)).select("cell", F.pmod(F.xxhash64("id"), F.element_at(blocks, F.col("cell"))).alias("block"), "id", "v")
-
-    def near(table: pa.Table) -> pa.Table:
-        q, who = sent.value
-        if not table.num_rows:
-            return pa.table({"_q": pa.array([], pa.int32()), "id": table.column("id"), "distance": pa.array([], pa.float64())})
-        own = who[table.column("cell")[0].as_py()]
-        table = table.sort_by([("id", "ascending")])
-        d = distances(q[own], _matrix(table.column("v")), "l2")
-        best = np.argsort(d, axis=1, kind="stable")[:, :k]
-        at = np.repeat(np.arange(len(own)), best.shape[1])
-        return pa.table({"_q": pa.array(own[at], pa.int32()), "id": table.column("id").take(pa.array(best.reshape(-1))), "distance": pa.array(np.take_along_axis(d, best, 1).reshape(-1))})
-
-    return rows.groupBy("cell", "block").applyInArrow(near, f"_q int, id {kind}, distance double")
-
-
-def topk(spark: SparkSession, path: str, queries: DataFrame, *, k: int = 10, probe: int = 8, exact: bool = False, id_kind: str = "long", vec_col: str = "embedding", query_col: str = "query") -> DataFrame:
-    """query, id, distance, rank: of each query the k nearest rows of its ``probe`` nearest cells, or of all with ``exact``."""
-    cells = {r["cell"]: r for r in spark.read.parquet(f"{path}/cells").collect()}  # a row a cell
+            part = b.take(pa.array(some))
+            place = hit.take(pa.array(some)).to_numpy(zero_copy_only=False)
+            n = begin[place + 1] - begin[place]
+            row = np.repeat(np.arange(len(some)), n)
+            asked = who[order[np.repeat(begin[place], n) + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)]]
+            m = _matrix(part.column("v"))
+            d = np.sqrt(((m[row] - q[asked]) ** 2).sum(1))
+            yield pa.RecordBatch.from_arrays([pa.array(asked, pa.int32()), part.column("id").take(pa.array(row)), pa.array(d)], ["_q", "id", "distance"])
+
+    return state.rows(cells, "id", "v").select("id", "v").mapInArrow(exact, f"_q int, id {kind}, distance double")
+
+
+def topk(
+    spark: SparkSession,
+    path: str,
+    queries: DataFrame,
+    *,
+    k: int = 10,
+    probe: int = 8,
+    exact: bool = False,
+    distance: float | None = None,
+    rerank: int = 0,
+    id_kind: str | None = None,
+    vec_col: str = "embedding",
+    query_col: str = "query",
+) -> DataFrame:
+    """query, id, distance, rank: of each query the k nearest rows (within the distance, if there is one) of its ``probe`` nearest cells, or of all with ``exact``.
+
+    ``rerank`` candidates a query (10 k, at least 100, if 0) are measured exactly.
+    """
+    state = _State(spark, path)
     kind = dict(queries.dtypes)[query_col]
-    out = f"{query_col} {kind}, id {id_kind}, distance double, rank int"
-    size = len(next(iter(cells.values()))["centre"]) if cells else 0
-    asked = queries.where(F.size(vec_col) == size)
-    n = asked.count() if cells else 0
-    found = spark.createDataFrame([], out)
+    found = spark.createDataFrame([], f"{query_col} {kind}, id {id_kind or state.kind}, distance double, rank int")
+    asked = queries.where((F.size(vec_col) == state.size) & ~F.exists(vec_col, lambda x: x.isNull()))
+    n = asked.count() if state.cells else 0
     parts = max(1, 2 * -(-n // QUERIES)) if n > QUERIES else 1
     for p in range(parts if n else 0):
         own = (asked if parts == 1 else asked.where(F.pmod(F.xxhash64(query_col, vec_col), F.lit(parts)) == p)).select(query_col, vec_col).collect()
         if own:
-            found = found.unionByName(_searched(spark, path, cells, own, kind, k, probe, exact, id_kind, query_col))
+            found = found.unionByName(_searched(state, own, kind, k, probe, exact, distance, rerank or max(100, 10 * k), query_col))
     return found
 
 
-def _searched(spark, path, cells, asked, kind, k, probe, exact, id_kind, query_col) -> DataFrame:
-    metric = next(iter(cells.values()))["metric"]
-    q = _scaled(np.array([r[1] for r in asked], np.float64), metric)
-    asked = [r for r, ok in zip(asked, np.isfinite(q).all(1), strict=True) if ok]
-    q = q[np.isfinite(q).all(1)]
-    order = sorted(cells)
-    away = distances(q, np.array([cells[c]["centre"] for c in order]), "l2")
+def _searched(state: _State, asked: list, kind: str, k: int, probe: int, exact: bool, within: float | None, rerank: int, query_col: str) -> DataFrame:
+    q = _scaled(np.array([r[1] for r in asked], np.float64), state.metric)
+    ok = np.isfinite(q).all(1)
+    asked, q = [r for r, fine in zip(asked, ok, strict=True) if fine], q[ok]
+    order = state.order()
+    # stored distances are those of scaled vectors
+    limit = np.inf if within is None else np.sqrt(2 * within) if state.metric == "cosine" else within
+    away = distances(q, state.centres(), "l2")
+    radius = np.array([state.cells[c]["radius"] for c in order])
     wanted = np.zeros(away.shape, bool)
-    np.put_along_axis(wanted, np.argsort(away, axis=1, kind="stable")[:, :probe], True, 1)
-    near = _in_cells(spark, path, id_kind, cells, q, wanted, k)
+    if len(q):
+        np.put_along_axis(wanted, np.argsort(away, axis=1, kind="stable")[:, :probe], True, 1)
+    wanted &= away - radius[None, :] <= limit + 1e-9
+    of = lambda m: {c: np.flatnonzero(m[:, j]) for j, c in enumerate(order) if m[:, j].any()}
     w = Window.partitionBy("_q").orderBy("distance", "id")
+    best = lambda d, n: d.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    near = _scan(state, list(of(wanted)), q, of(wanted), k if exact else rerank, not exact)
     if exact:
-        tables = Tables(spark, "vector-index")
-        near = tables.cut(near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
-        limit = np.full(len(q), np.inf)
+        tables = Tables(state.spark, "vector-index")
+        near = tables.cut(best(near.where(F.col("distance") <= limit) if within is not None else near, k))
+        bound = np.full(len(q), limit)
         for r in near.where(F.col("rank") == k).select("_q", "distance").collect():  # a row a query of this block
-            limit[r["_q"]] = r["distance"]
-        more = (away - np.array([cells[c]["radius"] for c in order]) <= limit[:, None] + 1e-9) & ~wanted
-        near = near.drop("rank").unionByName(_in_cells(spark, path, id_kind, cells, q, more, k))
-        near = tables.cut(near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
+            bound[r["_q"]] = min(bound[r["_q"]], r["distance"])
+        more = (away - radius[None, :] <= bound[:, None] + 1e-9) & ~wanted
+        near = near.drop("rank").unionByName(_scan(state, list(of(more)), q, of(more), k, False))
     else:
-        near = near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    names = spark.createDataFrame([(i, r[0]) for i, r in enumerate(asked)], f"_q int, {query_col} {kind}")
-    value = F.col("distance") * F.col("distance") / 2 if metric == "cosine" else F.col("distance")
+        near = _measure(state, best(near, rerank), list(of(wanted)), q)
+    near = best(near.where(F.col("distance") <= limit) if within is not None else near, k)
+    names = state.spark.createDataFrame([(i, r[0]) for i, r in enumerate(asked)], f"_q int, {query_col} {kind}")
+    value = F.col("distance") * F.col("distance") / 2 if state.metric == "cosine" else F.col("distance")
     return near.join(names, "_q").select(query_col, "id", value.alias("distance"), F.col("rank").cast("int").alias("rank"))
+
+
+def vacuum(spark: SparkSession, path: str) -> None:
+    """Remove folders that the newest version does not read: rows of cells since split, batches that failed, older versions."""
+    state = _State(spark, path)
+    live = {(b, c) for c, x in state.cells.items() for b in x["batches"]}
+    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+    place = jvm.Path(f"{state.path}/rows")
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for f in fs.listStatus(place) if fs.exists(place) else ():
+        batch = f.getPath().getName()[6:]
+        if batch not in {b for b, _ in live}:
+            remove(spark, f.getPath().toString())
+            continue
+        for g in fs.listStatus(f.getPath()):
+            name = g.getPath().getName()
+            if name.startswith("cell=") and (batch, int(name[5:])) not in live:
+                remove(spark, g.getPath().toString())
+    for f in fs.listStatus(jvm.Path(f"{state.path}/cells")):
+        if f.getPath().getName() != f"v={state.version}":
+            remove(spark, f.getPath().toString())

@@ -126,7 +126,7 @@ def test_dbscan_and_radius_pairs(spark, block):
     rng = np.random.default_rng(0)
     v = np.concatenate([rng.normal(c, 0.25, (25, 3)) for c in (0, 2, 4)] + [rng.uniform(-3, 7, (15, 3)), np.zeros((4, 3))]).astype(np.float32)
     df = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(v)], "id long, embedding array<float>")
-    pairs = search.radius_pairs(df, 0.5, pivots=5, block=block).collect()
+    pairs = search.radius_pairs(df, 0.5, sample_rows=40, block=block).collect()
     d = np.sqrt(((v[:, None].astype(float) - v[None]) ** 2).sum(-1))
     assert sorted((r.a, r.b) for r in pairs) == sorted((i, j) for i in range(len(v)) for j in range(i + 1, len(v)) if d[i, j] <= 0.5)
     want, core = naive_dbscan(v.astype(float), 0.5, 4)
@@ -356,7 +356,7 @@ def test_table_swap(spark, tmp_path, monkeypatch):
 @pytest.mark.parametrize("metric", ["l2", "cosine"])
 def test_vector_index(spark, tmp_path, monkeypatch, metric):
     """Every row is in it; the exact search is the brute one; a few cells reach a recall of 0.9; a hot cell is cut into blocks."""
-    monkeypatch.setattr(vectorindex, "BLOCK", 100)
+    monkeypatch.setattr(vectorindex, "BLOCK_VALUES", 3000)
     monkeypatch.setattr(vectorindex, "QUERIES", 30)
     rng = np.random.default_rng(4)
     middles = rng.normal(size=(12, 16)) * 3
