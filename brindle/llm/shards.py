@@ -84,10 +84,10 @@ def assign(docs: DataFrame, shards: int = 8, *, id_col: str = "doc_id", text_col
     rows = cut(rows.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "group"), F.lit(1 << 40)) + F.monotonically_increasing_id() % 9973))
     tables = Tables(docs.sparkSession, "shards")
     groups = tables.cut(rows.groupBy("group").agg(F.sum("size").alias("bytes")).withColumn("_hash", F.xxhash64("group")))
-    n = groups.count()
+    n, n_rows = groups.count(), rows.count()
     plan = tables.cut(_plan(groups.groupBy("bytes").agg(F.count(F.lit(1)).alias("n")), shards))
     ranked = _numbered(groups, "bytes", ["group"], "_hash", max(1, -(-n // PART_ROWS)), "rank").join(plan, "bytes")
     placed = ranked.select("group", F.size(F.filter("ends", lambda e: e <= F.col("rank"))).cast("int").alias("shard"))
     placed = cut(rows.join(placed, "group"))
     tables.close()
-    return _numbered(placed, "shard", ["doc_id", "group"], "_salt", max(1, -(-n // PART_ROWS)) * 2, "slot").drop("_salt")
+    return _numbered(placed, "shard", ["doc_id", "group"], "_salt", max(1, -(-n_rows // PART_ROWS)) * 2, "slot").drop("_salt")

@@ -6,7 +6,7 @@ those run; rules without a token are tried on all.  Everything is built from Dat
 
 With up to ``INLINE`` rules the index is a constant map inside the plan, so urls are judged row by row, without a shuffle.
 With more, it is a table: the tokens of the distinct urls join it, the best rule of each url is kept by a
-combining aggregate, and the urls' rows join that.  Spark decides from the table's size whether to broadcast it.
+combining aggregate, and the urls' rows join that.  Spark decides from the table's size whether to broadcast it.  Both ways give the same results.
 
 Defined cases: a null url, and one without ``://``, has an empty host and path and gets the default verdict unless a pattern fits it; a very long url is judged
 whole; repeated rows get equal results; an empty table gives no rows;
@@ -118,29 +118,33 @@ def _fits(rule: Column, url: Column, site: Column) -> Column:
     return F.rlike(F.when(rule["site"], site).otherwise(url), rule["regex"])
 
 
+RESULTS = ("host", "path", "rule", "pattern", "verdict")
+
+
 def judge(pages: DataFrame, rules, *, url_col: str = "url", default: str = "allow", inline: int = INLINE) -> DataFrame:
-    """The pages with host, path, the rule that decides (null if none) and its verdict."""
+    """The pages with host, path, the rule that decides (null if none), the pattern that does (likewise) and the verdict."""
     rules = list(rules)
     index, always = _indexed(rules)
     host, path = parts(F.col(url_col))
-    pages = pages.drop("host", "path", "rule", "verdict", "_best", "_low", "_site")
-    pages = pages.withColumns({"host": host, "path": path})
-    low, site = F.translate(F.coalesce(F.col(url_col), F.lit("")), _UPPER, _LOWER), F.concat("host", "path")
+    names = [c for c in pages.columns if c not in RESULTS]
+    low, site = F.translate(F.coalesce(F.col(url_col), F.lit("")), _UPPER, _LOWER), F.concat(host, path)
+    # a page's own columns stay in one, so none can clash
+    work = pages.select(F.struct(*names).alias("page"), F.col(url_col).alias("url"), host.alias("host"), path.alias("path"), low.alias("low"), site.alias("site"))
     fixed = F.from_json(F.lit(json.dumps(always)), f"array<{_RULE}>")
+    fits = lambda r: _fits(r, F.col("low"), F.col("site"))
     if len(rules) <= inline:
         table = F.from_json(F.lit(json.dumps(index)), f"map<string,array<{_RULE}>>")
-        fetched = F.flatten(F.transform(F.filter(_tokens(F.col(url_col)), lambda t: F.map_contains_key(table, t)), lambda t: F.element_at(table, t)))
-        found = F.array_max(F.filter(F.concat(fetched, fixed), lambda r: _fits(r, F.col("_low"), F.col("_site"))))
-        judged = pages.withColumns({"_low": low, "_site": site}).withColumn("_best", found)
+        fetched = F.flatten(F.transform(F.filter(_tokens(F.col("url")), lambda t: F.map_contains_key(table, t)), lambda t: F.element_at(table, t)))
+        judged = work.withColumn("best", F.array_max(F.filter(F.concat(fetched, fixed), fits)))
     else:
         spark = pages.sparkSession
         keyed = spark.createDataFrame([(t, json.dumps(r)) for t, own in index.items() for r in own], "token string, rule string").select("token", F.from_json("rule", _RULE).alias("rule"))
-        urls = pages.select(F.col(url_col).alias("_url"), low.alias("_low"), site.alias("_site")).distinct()
-        some = urls.select("_url", "_low", "_site", F.explode(_tokens(F.col("_url"))).alias("token")).join(keyed, "token").where(_fits(F.col("rule"), F.col("_low"), F.col("_site")))
-        some = some.select("_url", "rule")
+        urls = work.select("url", "low", "site").distinct()
+        some = urls.select("url", "low", "site", F.explode(_tokens(F.col("url"))).alias("token")).join(keyed, "token").where(fits(F.col("rule"))).select("url", "rule")
         if always:
-            some = some.unionByName(urls.select("_url", F.explode(F.filter(fixed, lambda r: _fits(r, F.col("_low"), F.col("_site")))).alias("rule")))
-        best = some.groupBy("_url").agg(F.max("rule").alias("_best"))
-        judged = pages.join(best, F.col(url_col) == F.col("_url"), "left").drop("_url")
-    best = F.col("_best")
-    return judged.withColumns({"rule": F.when(best["site"], best["name"]), "pattern": F.when(~best["site"], best["name"]), "verdict": F.coalesce(best["verdict"], F.lit(default))}).drop("_best", "_low", "_site")
+            some = some.unionByName(urls.select("url", F.explode(F.filter(fixed, fits)).alias("rule")))
+        best = some.groupBy(F.col("url").alias("of")).agg(F.max("rule").alias("best"))
+        judged = work.join(best, F.col("url").eqNullSafe(F.col("of")), "left")  # a pattern may fit a null url
+    best = F.col("best")
+    decided = [F.when(best["site"], best["name"]).alias("rule"), F.when(~best["site"], best["name"]).alias("pattern"), F.coalesce(best["verdict"], F.lit(default)).alias("verdict")]
+    return judged.select(*[F.col("page")[c].alias(c) for c in names], "host", "path", *decided)
