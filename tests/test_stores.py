@@ -168,3 +168,56 @@ def test_means_and_medians(spark):
     assert {r.g: r.embedding for r in search.mean_vector(df, "g").collect()} == {1: [4.0, 3.0], 2: [2.0], None: [4.0]}
     assert {r.g: r.embedding for r in search.median_vector(df, "g").collect()} == {1: [3.0, 3.0], 2: [2.0], None: [4.0]}
     assert search.mean_vector(df.where("g = 3"), "g").count() == 0
+
+
+def test_parts_change_together_or_not_at_all(spark, tmp_path):
+    from brindle.operators.parted import Change, Parted
+
+    tables = {"a": ("k", "k long, v string"), "b": ("k", "k long")}
+    path = str(tmp_path / "p")
+    store = Parted(spark, path, tables, parts=4)
+    rows = spark.range(20).select(F.col("id").alias("k"), F.lit("one").alias("v"))
+    store.commit({"a": Change(rows), "b": Change(rows)})
+    part = store.touched(rows.where("k = 3").select("k"))
+    kept = {p: f for (n, p), f in store.folders.items() if n == "a" and p not in part}
+    store.commit({"a": Change(store.read("a", part).where("k <> 3").withColumn("v", F.lit("two")), part)})  # reads what it replaces
+    assert {r.k: r.v for r in Parted(spark, path, tables).read("a").collect()} == {k: "two" if [p] == part else "one" for k in range(20) if k != 3 for p in store.touched(spark.createDataFrame([(k,)], "k long"))}
+    assert {p: f for (n, p), f in store.folders.items() if n == "a" and p not in part} == kept
+    with pytest.raises(ValueError):
+        store.commit({"b": Change(rows), "a": Change(rows, part)})  # rows outside the replaced part: nothing of it counts
+    again = Parted(spark, path, tables)
+    assert again.read("b").count() == 20 and again.read("a").count() == 19
+    store.commit({"a": Change(rows.limit(0), part)})
+    store.vacuum()
+    assert Parted(spark, path, tables).read("a", part).count() == 0 and Parted(spark, path, tables).read("a").where("v = 'one'").count() == store.read("a").count() > 0
+
+
+def test_refreshed_trends_equal_the_rebuild(spark, tmp_path):
+    """Three batches of snapshots, edges and items: the table is the full rebuild after each, and only parts of touched items are written."""
+    from brindle.operators import trend
+    from brindle.operators.trendstore import TrendStore
+
+    draw = random.Random(11)
+    at = lambda k: f"2024-01-{1 + k % 28:02d} 0{k % 10}:00:00"
+    beans = spark.createDataFrame([(f"u{k}", at(k)) for k in range(60)], "url string, created string").withColumn("created", F.col("created").cast("timestamp"))
+    talk = [(f"c{draw.randint(0, 40)}", f"u{draw.randint(0, 70)}", at(draw.randint(0, 27)), draw.randint(0, 5), draw.randint(0, 3), draw.randint(0, 9), draw.randint(0, 2)) for _ in range(400)]
+    talk += [("c1", "u1", at(3), None, 2, 1, 1), (None, "u2", at(1), 9, 9, 9, 9), ("c2", None, at(2), 5, 5, 5, 5), talk[0]]
+    chatters = spark.createDataFrame(talk, "chatter_url string, url string, collected string, likes long, comments long, subscribers long, shares long").withColumn("collected", F.col("collected").cast("timestamp")).withColumn("n", F.monotonically_increasing_id())
+    chatters = spark.createDataFrame(chatters.collect(), chatters.schema)
+    edges = spark.createDataFrame([(f"u{draw.randint(0, 59)}", f"u{draw.randint(0, 59)}") for _ in range(90)], "url string, related_url string")
+    as_of = F.lit("2024-02-01").cast("timestamp")
+    store = TrendStore(spark, str(tmp_path / "t"), parts=16)
+    seen_c, seen_e, seen_b = chatters.limit(0), edges.limit(0), beans.limit(0)
+    for c, e, b in ((chatters.where("n % 3 = 0"), edges.where("url < 'u3'"), beans.where("url < 'u4'")), (chatters.where("n % 3 = 1"), edges.where("url >= 'u3'"), beans.where("url >= 'u4'")), (chatters.where("n % 3 = 2 and chatter_url in ('c1', 'c2')"), None, None)):
+        before = {k: v for k, v in store.store.folders.items() if k[0] == "trends"}
+        parts = store.refresh(c, e, b)
+        seen_c = seen_c.unionByName(c)
+        seen_e, seen_b = (seen_e.unionByName(e), seen_b.unionByName(b)) if e is not None else (seen_e, seen_b)
+        want = trend.trend_aggregates(seen_b, seen_c.where("chatter_url is not null"), seen_e, as_of)
+        columns = want.columns
+        assert sorted(map(tuple, store.trends(as_of).select(*columns).collect())) == sorted(map(tuple, want.collect()))
+        after = {k: v for k, v in store.store.folders.items() if k[0] == "trends"}
+        assert {k[1] for k in before.keys() | after.keys() if before.get(k) != after.get(k)} <= set(parts)
+    assert 0 < len(parts) < 16 and store.refresh() == []
+    reopened = TrendStore(spark, str(tmp_path / "t"))
+    assert reopened.trends(as_of).count() == want.count()
