@@ -22,15 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .durable import remove
+from .durable import Tables, remove
 
 BLOCKS = "bucket int, token string, chunk long, n int, low long, gaps binary"
 DICTIONARY = "batch string, token string, bucket int, n long, first long, last long"
 PUSHED = 1000  # so many tokens are written into the scan's filter; more are joined
 
 
-def coded(gaps: np.ndarray) -> bytes:
-    """Whole numbers from 0, in bytes of seven bits, low ones first; the eighth bit says that more follow."""
+def _coded(gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whole numbers from 0, in bytes of seven bits, low ones first; the eighth bit says that more follow.  The bytes, and how many each number takes."""
     gaps = gaps.astype(np.uint64)
     size = np.ones(len(gaps), np.int64)
     for k in range(1, 10):
@@ -41,7 +41,11 @@ def coded(gaps: np.ndarray) -> bytes:
         own = size > k
         low = (gaps[own] >> np.uint64(7 * k) & np.uint64(127)).astype(np.uint8)
         out[at[own] + k] = low | np.where(size[own] > k + 1, 128, 0).astype(np.uint8)
-    return out.tobytes()
+    return out, size
+
+
+def coded(gaps: np.ndarray) -> bytes:
+    return _coded(gaps)[0].tobytes()
 
 
 def decoded(raw: bytes) -> np.ndarray:
@@ -54,38 +58,41 @@ def decoded(raw: bytes) -> np.ndarray:
     return np.add.reduceat((b & 127).astype(np.uint64) << (7 * place).astype(np.uint64), begin).astype(np.int64)
 
 
-def _encode(batches):
-    """(bucket, token, chunk, id) in this order -> blocks.  The last block of a batch is held back, as the next may go on with it."""
-    held: tuple | None = None
-
-    def made(rows):
-        cols = list(zip(*rows, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.binary()), strict=True)], ["bucket", "token", "chunk", "n", "low", "gaps"])
+def _blocks(rows: pa.Table, upto: int, begin: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+    """The blocks of the first ``upto`` rows; begin says where each block begins."""
+    new = np.zeros(upto, bool)
+    new[begin] = True
+    keep = new | (np.r_[True, ids[1:upto] != ids[: upto - 1]])
+    block = np.cumsum(new) - 1
+    gap = np.diff(ids[:upto], prepend=0)[keep & ~new]
+    raw, size = _coded(gap)
+    ends = np.r_[0, np.cumsum(np.bincount(block[keep & ~new], size, len(begin)).astype(np.int64))]
+    gaps = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(raw)])
+    first = rows.take(pa.array(begin)).combine_chunks()
+    columns = [first.column(c).combine_chunks() for c in ("bucket", "token", "chunk")]
+    columns = [pa.concat_arrays(c.chunks) if isinstance(c, pa.ChunkedArray) else c for c in columns]
+    n = np.bincount(block[keep], minlength=len(begin)).astype(np.int32)
+    return pa.RecordBatch.from_arrays([*columns, pa.array(n), pa.array(ids[begin]), gaps], ["bucket", "token", "chunk", "n", "low", "gaps"])
 
-    def block(bucket, token, chunk, ids):
-        return bucket, token, chunk, len(ids), int(ids[0]), coded(np.diff(ids))
 
+def _encode(batches):
+    """(bucket, token, chunk, id) in this order -> blocks.  Rows of a batch's last block are held back, as the next may go on with it."""
+    held: pa.Table | None = None
     for b in batches:
         if not b.num_rows:
             continue
-        token, chunk, ids = b.column("token"), b.column("chunk").to_numpy(), b.column("id").to_numpy()
-        code = token.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        rows = pa.Table.from_batches([b])
+        rows = pa.concat_tables([held, rows]) if held is not None else rows
+        rows = rows.combine_chunks()
+        code = rows.column("token").combine_chunks().dictionary_encode()
+        code = (code.chunk(0) if isinstance(code, pa.ChunkedArray) else code).indices.to_numpy(zero_copy_only=False)
+        chunk, ids = rows.column("chunk").to_numpy(), rows.column("id").to_numpy()
         begin = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (chunk[1:] != chunk[:-1])])
-        out = []
-        for lo, hi in zip(begin.tolist(), [*begin[1:].tolist(), len(ids)], strict=True):
-            key = (b.column("bucket")[lo].as_py(), token[lo].as_py(), int(chunk[lo]))
-            own = ids[lo:hi]
-            own = own[np.r_[True, own[1:] != own[:-1]]]
-            if held and held[0] == key:
-                held[1].append(own[own != held[1][-1][-1]])
-                continue
-            if held:
-                out.append(block(*held[0], np.concatenate(held[1])))
-            held = (key, [own])
-        if out:
-            yield made(out)
-    if held:
-        yield made([block(*held[0], np.concatenate(held[1]))])
+        if len(begin) > 1:
+            yield _blocks(rows, int(begin[-1]), begin[:-1], ids)
+        held = rows.slice(int(begin[-1]))
+    if held is not None:
+        yield _blocks(held, held.num_rows, np.zeros(1, np.int64), held.column("id").to_numpy())
 
 
 class Postings:
@@ -159,6 +166,8 @@ class Postings:
         if mode not in ("all", "any"):
             raise ValueError("mode is all or any")
         asked = queries.select(F.col(query_col).alias("query"), F.explode(tokens_col).alias("token")).where("token is not null").distinct().withColumn("bucket", self._bucket())
+        tables = Tables(self.spark, "asked")  # read several times below
+        asked = tables.cut(asked)
         names = [r["token"] for r in asked.select("token").distinct().limit(PUSHED + 1).collect()]
         few = names if len(names) <= PUSHED else None
         kind = dict(queries.dtypes)[query_col]

@@ -90,7 +90,7 @@ def changes(rows: DataFrame, include: list[str], exclude: list[str] | None = Non
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     # rows of other states never reach the state
     some = rows.where(F.col("state").isin(sorted({*include, *(exclude or ())})) & F.col("id").isNotNull())
-    keyed = some.select(F.col("id").cast("string").alias("id"), "state", F.unix_micros("ts").alias("micros"), "data").where("micros is not null").groupBy("id")
+    keyed = some.select(F.col("id").cast("string").alias("id"), "state", F.unix_micros(F.col("ts").cast("timestamp")).alias("micros"), "data").where("micros is not null").groupBy("id")
     return keyed.transformWithStateInPandas(QueueProcessor(include, list(exclude or ()), int(window_days * DAY_MS)), CHANGES, "Update", "ProcessingTime" if window_days else "None")
 
 
