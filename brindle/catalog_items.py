@@ -143,7 +143,7 @@ def items_chatters(spark, d):
 @_query(f"WITH {_ITEMS} SELECT DISTINCT lower(net) AS base_url, user_id % 2 = 0 AS described FROM items WHERE source IS NOT NULL")
 def items_publishers(spark, d):
     """Publishers of the items, one a base_url, and whether they need no scraping."""
-    _, _, publishers = ingest.split_items(ingest.cleanup_items(_items(spark, d).where("source is not null"), a.as_of()))
+    _, _, publishers = ingest.split_items(ingest.cleanup_items(_items(spark, d), a.as_of()))
     return ingest.valid_publishers(publishers).select("base_url", ingest.described().alias("described"))
 
 
@@ -156,14 +156,13 @@ def items_scraped(spark, d):
     return ingest.merge_scraped(beans, found, a.as_of()).select("url", "content_length", "restricted_content", "title", "created", "kind")
 
 
-@_query(f"WITH {_ITEMS}, v AS (SELECT *, words >= 160 AND NOT contains(lower(title), 'wordle today') AS keep FROM items WHERE title IS NOT NULL AND source IS NOT NULL) SELECT 'stored' AS way, count(*) AS n FROM v WHERE keep UNION ALL SELECT 'scrape', count(*) FROM v WHERE NOT keep AND kind <> 'post' AND words < 160 AND NOT contains(lower(title), 'wordle today') UNION ALL SELECT 'chatters', count(*) FROM items WHERE chatter_url IS NOT NULL AND likes <> 0 UNION ALL SELECT 'publishers', count(DISTINCT net) FROM items")
+@_query(f"WITH {_ITEMS}, v AS (SELECT *, words >= 160 AND NOT contains(lower(title), 'wordle today') AS keep FROM items WHERE title IS NOT NULL AND source IS NOT NULL) SELECT 'stored' AS way, count(*) AS n FROM v WHERE keep UNION ALL SELECT 'scrape', count(*) FROM v WHERE NOT keep AND kind <> 'post' AND words < 160 AND NOT contains(lower(title), 'wordle today') UNION ALL SELECT 'chatters', count(*) FROM items WHERE chatter_url IS NOT NULL AND likes <> 0 UNION ALL SELECT 'publishers', count(DISTINCT net) FROM items WHERE source IS NOT NULL")
 def worker_collect(spark, d):
     """The collector's ways for all items over an empty state table."""
 
     out = workers.collect(spark.createDataFrame([], STATE), _items(spark, d), a.as_of())
-    sizes = [out[k].agg(F.lit(name).alias("way"), F.count(F.lit(1)).alias("n")) for k, name in (("beans", "stored"), ("scrape", "scrape"), ("chatters", "chatters"))]
-    every = ingest.valid_publishers(ingest.split_items(ingest.cleanup_items(_items(spark, d).withColumn("source", F.lit("s")), a.as_of()))[2])
-    return sizes[0].union(sizes[1]).union(sizes[2]).union(every.agg(F.lit("publishers").alias("way"), F.count(F.lit(1)).alias("n")))
+    sizes = [out[k].agg(F.lit(name).alias("way"), F.count(F.lit(1)).alias("n")) for k, name in (("beans", "stored"), ("scrape", "scrape"), ("chatters", "chatters"), ("publishers", "publishers"))]
+    return sizes[0].union(sizes[1]).union(sizes[2]).union(sizes[3])
 
 
 # --- payloads of collectors -------------------------------------------------------------------------------
@@ -200,14 +199,21 @@ def hackernews_ids(spark, d):
     return feeds.hackernews_ids(c.select(F.to_json(F.array("c_custkey", F.col("c_custkey") + 1, "c_nationkey")).alias("body")), "body")
 
 
-@_query("SELECT s_suppkey, 'https://www.govinfo.gov/' || s_suppkey || CASE WHEN s_suppkey % 2 = 0 THEN '/html/a.htm' ELSE '/pdf/a.pdf' END AS link, 'http://z.example.org/' || s_suppkey AS target FROM supplier")
+@_query("""SELECT s_suppkey, 'https://www.govinfo.gov/content/pkg/P-' || s_suppkey || CASE s_suppkey % 4 WHEN 0 THEN '/html/a.htm' WHEN 1 THEN '/text/P-' || s_suppkey || '.txt' ELSE '/pdf/a.pdf' END AS link,
+  'http://z.example.org/' || s_suppkey AS target FROM supplier WHERE s_suppkey % 4 <> 3""")
 def feed_links(spark, d):
-    """The best link of a government feed's entry, and the target of a link post's body."""
-    s, n = a.table(spark, d, "supplier"), F.col("s_suppkey").cast("string")
-    one = lambda tail: F.concat(F.lit('<a href="https://www.govinfo.gov/'), n, F.lit(f'{tail}">x</a>'))
-    text = F.concat(one("/xml/a.xml"), one("/pdf/a.pdf"), F.when(F.col("s_suppkey") % 2 == 0, one("/html/a.htm")).otherwise(F.lit("")))
+    """The link of a government feed's entry, in its description or among the candidates that are there, and the target of a link post's body."""
+    s = a.table(spark, d, "supplier")
+    n, k = F.col("s_suppkey").cast("string"), F.col("s_suppkey") % 4
+    guid = F.concat(F.lit("P-"), n)
+    one = lambda package, tail: F.concat(F.lit('<a href="https://www.govinfo.gov/content/pkg/'), package, F.lit(f'{tail}">x</a>'))
+    foreign = F.concat(F.lit('<a href="https://evil.example.org/content/pkg/'), guid, F.lit('/html/a.htm">x</a>'), one(F.lit("OTHER"), "/html/a.htm"), one(guid, "/xml/a.xml"))
+    text = F.concat(foreign, F.when(k % 2 == 0, one(guid, "/pdf/a.pdf")).otherwise(F.lit("")), F.when(k == 0, one(guid, "/html/a.htm")).otherwise(F.lit("")))
+    places = s.select("s_suppkey", F.posexplode(feeds.govinfo_candidates(guid)).alias("place", "url"))
+    answers = places.select("url", F.when(F.col("place") == 0, 404).when(F.col("s_suppkey") % 4 == 3, 500).when(F.col("place") == 2, 405).when(F.col("place") == 3, 200).otherwise(404).alias("head"), F.lit(200).alias("get"))
+    rows = feeds.govinfo_items(s.select("s_suppkey", guid.alias("guid"), text.alias("description")), answers)
     post = F.concat(F.lit('by <a href="http://u.example.org">u</a> <a href="http://z.example.org/'), n, F.lit('">[link]</a> <a href="http://r.example.org">[comments]</a>'))
-    return s.select("s_suppkey", feeds.govinfo_link(text).alias("link"), html.link_target(post, "link").alias("target"))
+    return rows.select("s_suppkey", "link", html.link_target(post, "link").alias("target"))
 
 
 @_query("SELECT s_suppkey, s_name AS title, 'Body of ' || s_suppkey AS content, '2024-01-0' || (s_suppkey % 9 + 1) AS published_time FROM supplier")
@@ -314,9 +320,9 @@ def state_conditions(spark, d):
     return state.get_one(a.state(spark, d), "view", conditions={"k": [1, 2, 3, 50]})
 
 
-@_query(f"WITH {_STATE}, q AS (SELECT id, row_number() OVER (ORDER BY ts, id) AS rn FROM state WHERE state = 'click' ORDER BY ts, id LIMIT 500) SELECT id, (rn - 1) // 64 AS batch FROM q")
+@_query(f"WITH {_STATE}, q AS (SELECT id, row_number() OVER (ORDER BY ts, id) AS rn FROM state WHERE state = 'click') SELECT id, (rn - 1) // 64 AS batch FROM q")
 def state_batches(spark, d):
-    return state.batches(state.get_one(a.state(spark, d), "click", limit=500), 64, ["ts", "id"]).select("id", "batch")
+    return state.batches(state.get_one(a.state(spark, d), "click"), 64, ["ts", "id"]).select("id", "batch")
 
 
 @_query("SELECT count_if(event_type = 'view' AND value < 50) AS n_deleted, count_if(NOT (event_type = 'view' AND value < 50)) AS n_left FROM events")
@@ -399,10 +405,10 @@ def stream_worker(spark, d):
 _VECTORS = "vectors AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings)"
 
 
-@_query(f"WITH {_VECTORS}, r AS (SELECT x.id AS q, y.id, list_distance(x.v, y.v) AS d, row_number() OVER (PARTITION BY x.id ORDER BY list_distance(x.v, y.v), y.id) AS rn FROM vectors x, vectors y WHERE x.id IN (1, 2, 3)) SELECT id, round(min(d), 5) AS distance FROM r WHERE rn <= 10 GROUP BY id")
+@_query(f"WITH {_VECTORS}, r AS (SELECT x.id AS q, y.id, list_distance(x.v, y.v) AS d, row_number() OVER (PARTITION BY x.id ORDER BY list_distance(x.v, y.v), y.id) AS rn FROM vectors x, vectors y WHERE x.id % 20 = 0) SELECT id, round(min(d), 5) AS distance FROM r WHERE rn <= 10 GROUP BY id")
 def vec_multi_query(spark, d):
     v = a.vectors(spark, d)
-    near = search.multi_vector(v, v.where("id in (1, 2, 3)").select(F.col("id").alias("query"), "embedding"), k=10, metric="l2")
+    near = search.multi_vector(v, v.where("id % 20 = 0").select(F.col("id").alias("query"), "embedding"), k=10, metric="l2")
     return near.select("id", F.round("distance", 5).alias("distance"))
 
 

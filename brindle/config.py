@@ -20,16 +20,7 @@ class Settings:
     processing_window_days: int = 0
     processing_limit: int = 200_000
     words_for_storing: int = 160
-    min_content_chars: int = 300
-    max_html_bytes: int = 16 << 20
-    max_pdf_bytes: int = 16 << 20
-    max_created_age_days: int = 5 * 365
-    tag_max_len: int = 50
-    ticker_max_len: int = 6
     max_tags: int = 50
-    entity_threshold: float = 0.31
-    top_n: int = 10
-    cleanup_window: str = "6 months"
 
 
 DEFAULTS = Settings()

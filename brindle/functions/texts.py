@@ -10,18 +10,19 @@ UNDETERMINED = ("n/a", "na", "none", "unmentioned", "not mentioned", "unspecifie
 IMPACT_LEVELS = ("low", "medium", "high", "critical", "transformative")
 EXCLUDED_AUTHORS = ("[no-author]", "noreply", "hidden", "admin", "isbpostadmin", "unknown", "anonymous")
 WORD_GAMES = ("hurdle hints", "nyt strands hints", "wordle today", "crossword today", "crossword hints", "nyt connections hints", "spelling bee hints", "wordle answers")
+#: The characters of Unicode's white space.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 MAX_WORDS = 32767
 TAG_LEN, TICKER_LEN = 50, 6
 
 
 def count_words(text: Column) -> Column:
     """Pieces between white space, at most 32767; 0 for null."""
-    n = F.size(F.filter(F.split(F.coalesce(text, F.lit("")), r"(?U)\s+"), lambda w: w != ""))
-    return F.least(n, F.lit(MAX_WORDS))
+    return F.least(F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"(?U)\S+")), F.lit(MAX_WORDS))
 
 
 def trimmed(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.btrim(text, F.lit(WHITE))
 
 
 def cleanup_text(text: Column) -> Column:

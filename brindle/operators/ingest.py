@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, texts, urls
+from . import store
 
 # Fields of an item that a bean does not keep.
 NOT_BEAN = ("article_language", "chatter_url", "comments", "description", "favicon", "forum", "likes", "platform", "rss_feed", "site_language", "site_name", "subscribers")
@@ -39,7 +40,10 @@ def split_items(items: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     beans = items.select(*[F.col(c) for c in have if c not in NOT_BEAN])
     chatters = items.select(*pick("chatter_url", "url"), *([F.coalesce("platform", "source").alias("source")] if "platform" in have else pick("source")), *pick("forum", "collected", "likes", "comments", "subscribers"))
     publishers = items.select(*pick("source", "base_url", "site_name", "description", "favicon", "rss_feed", "collected"))
-    return beans, chatters, publishers.dropDuplicates(["base_url"] if "base_url" in have else ["source"])
+    # of a site's rows one that is valid, then the one that says most, then the newest
+    says = [F.when(_some(c), 1).otherwise(0) for c in ("site_name", "description", "favicon", "rss_feed") if c in publishers.columns]
+    order = [_some("source"), sum(says, F.lit(0)), *([F.col("collected")] if "collected" in have else [])] if "source" in have else says
+    return beans, chatters, store.one_of_each(publishers, ["base_url"] if "base_url" in have else ["source"], order)
 
 
 def _some(c: str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import texts, vectors
@@ -143,9 +143,9 @@ def sips(table: DataFrame, q: QuerySpec = QuerySpec()) -> DataFrame:
 
 def reranked(df: DataFrame, by: str = "created") -> DataFrame:
     """The nearest rows in another order, with relevance scaled to 0..1 over the result."""
-    w = Window.partitionBy()
-    span = F.max("distance").over(w) - F.min("distance").over(w)
-    return df.withColumn("relevance", F.coalesce(F.try_divide(F.max("distance").over(w) - F.col("distance"), span), F.lit(1.0))).orderBy(F.col(by).desc_nulls_last(), "url")
+    low, high = df.agg(F.min("distance"), F.max("distance")).first()
+    relevance = F.try_divide(F.lit(high) - F.col("distance"), F.lit(high) - F.lit(low)) if low is not None else F.lit(None).cast("double")
+    return df.withColumn("relevance", F.coalesce(relevance, F.lit(1.0))).orderBy(F.col(by).desc_nulls_last(), "url")
 
 
 def keyset_page(df: DataFrame, key: str, after, size: int = 16384) -> DataFrame:

@@ -1,6 +1,6 @@
 """Exact vector search and joins.
 
-Queries and labels are collected behind a count (more than ``MAX_QUERIES`` queries are split by hash) and worked off in blocks: each batch of vectors meets a block in one matrix product; a task
+Queries and labels are collected behind a count (more than ``MAX_QUERIES`` queries or ``MAX_LABELS`` labels in parts) and worked off in blocks: each batch of vectors meets a block in one matrix product; a task
 keeps the best so far of each query, so what is shuffled is at most k rows a query and task.  Distances are double.  Queries and vectors of different lengths never meet: each length is a search of its own.
 """
 
@@ -12,9 +12,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import texts, vectors
+from .durable import cut
 
 BLOCK_VALUES = 4 << 20
 MAX_QUERIES = 100_000
+MAX_LABELS = 10_000
 
 
 def topk(df: DataFrame, vector, *, k: int | None = 10, distance: float | None = None, metric: str = "cosine", id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
@@ -67,14 +69,12 @@ def batch_topk(df: DataFrame, queries: DataFrame, *, k: int = 10, distance: floa
     """The k nearest rows to each query (columns query and the vector's): query, id, distance, rank."""
     n = queries.count()
     if n > MAX_QUERIES:
-        parts = 2 * -(-n // MAX_QUERIES)
-        part = F.pmod(F.xxhash64(query_col, vec_col, F.lit(n)), F.lit(parts))
+        parts = -(-n // MAX_QUERIES) + 1
+        # a number that Spark gives each row, written with it, deals even equal queries out
+        dealt = cut(queries.select(query_col, vec_col).withColumn("_part", F.pmod(F.monotonically_increasing_id(), F.lit(parts))))
         found = None
         for p in range(parts):
-            own = queries.where(part == p)
-            if own.count() == n:
-                raise ValueError(f"more than {MAX_QUERIES} equal queries")
-            near = batch_topk(df, own, k=k, distance=distance, metric=metric, id_col=id_col, vec_col=vec_col, query_col=query_col)
+            near = batch_topk(df, dealt.where(F.col("_part") == p).drop("_part"), k=k, distance=distance, metric=metric, id_col=id_col, vec_col=vec_col, query_col=query_col)
             found = near if found is None else found.unionByName(near)
         return found
     rows = queries.where(F.col(vec_col).isNotNull()).select(query_col, vec_col).collect()
@@ -134,24 +134,45 @@ def multi_vector(df: DataFrame, queries: DataFrame, *, k: int = 10, distance: fl
 
 
 def nearest_labels(df: DataFrame, labels: DataFrame, *, k: int = 2, id_col: str = "id", vec_col: str = "embedding", label_col: str = "id", metric: str = "cosine", as_tags: bool = True) -> DataFrame:
-    """id and its k nearest labels, nearest first.  The label index is small and is broadcast behind a count."""
-    n = labels.limit(10_001).count()
-    if n > 10_000:
-        raise ValueError("a label index has at most 10,000 rows")
-    rows = labels.select(label_col, vec_col).orderBy(label_col).collect()
-    names = np.array([r[0] for r in rows], object)
-    sent = df.sparkSession.sparkContext.broadcast(np.array([r[1] for r in rows], np.float32))
+    """id and its k nearest labels of its vector's length, nearest first; ties go by label.  Labels without a vector, or with a null component, are left out.
+
+    Labels are broadcast in blocks of ``MAX_LABELS``: one block needs no shuffle, of several a row's k best of each are merged.
+    """
+    good = labels.where(F.coalesce(F.size(vec_col) > 0, F.lit(False)) & F.coalesce(~F.exists(vec_col, lambda x: x.isNull()), F.lit(False))).select(F.col(label_col).cast("string").alias("_label"), F.col(vec_col).alias("_v"))
+    parts = max(1, -(-good.count() // MAX_LABELS))
+    kind = dict(df.dtypes)[id_col]
+    near = None
+    for p in range(parts):
+        own = good if parts == 1 else good.where(F.pmod(F.xxhash64("_label", "_v"), F.lit(parts)) == p)
+        some = _labels_of_block(df, own.orderBy("_label", "_v").collect(), k, metric, id_col, vec_col, kind)  # a block
+        near = some if near is None else near.unionByName(some)
+    if parts > 1:
+        merged = near.groupBy("id").agg(F.array_sort(F.flatten(F.collect_list("near"))).alias("near"))
+        near = merged.select("id", F.slice("near", 1, k).alias("near"))
+    names = F.col("near.label")
+    return near.select(F.col("id").alias(id_col), (F.transform(names, texts.snake) if as_tags else names).alias("labels"))
+
+
+def _labels_of_block(df: DataFrame, rows: list, k: int, metric: str, id_col: str, vec_col: str, kind: str) -> DataFrame:
+    by: dict[int, list] = {}
+    for r in rows:
+        by.setdefault(len(r["_v"]), []).append(r)
+    sent = df.sparkSession.sparkContext.broadcast({n: ([r["_label"] for r in own], np.array([r["_v"] for r in own], np.float64)) for n, own in by.items()})
 
     def run(batches):
-        q = sent.value.astype(np.float64)
         for b in batches:
-            d = distances(_matrix(b.column(1)), q, metric) if b.num_rows else np.zeros((0, len(q)))
-            best = np.argsort(np.where(np.isnan(d), np.inf, d), axis=1, kind="stable")[:, :k]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([names[x].tolist() for x in best], pa.list_(pa.string()))], ["id", "labels"])
-
-    size = len(rows[0][1]) if rows else 0
-    made = df.where(F.size(vec_col) == size).select(F.col(id_col).alias("id"), vec_col).mapInArrow(run, f"id {dict(df.dtypes)[id_col]}, labels array<string>")
-    return made.select(F.col("id").alias(id_col), (F.transform("labels", texts.snake) if as_tags else F.col("labels")).alias("labels"))
+            sizes = b.column("v").value_lengths().to_numpy(zero_copy_only=False)
+            for n, (names, q) in sent.value.items():
+                part = b.filter(pa.array(sizes == n))
+                for lo in range(0, part.num_rows, max(1, BLOCK_VALUES // len(q))):
+                    some = part.slice(lo, max(1, BLOCK_VALUES // len(q)))
+                    d = distances(_matrix(some.column("v")), q, metric)
+                    best = np.argsort(np.where(np.isnan(d), np.inf, d), axis=1, kind="stable")[:, :k]
+                    made = [[{"far": float(d[i, j]), "label": names[j]} for j in own] for i, own in enumerate(best)]
+                    yield pa.RecordBatch.from_arrays([some.column("id"), pa.array(made, pa.list_(pa.struct([("far", pa.float64()), ("label", pa.string())])))], ["id", "near"])
+
+    vectors_ = df.where(F.col(vec_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"))
+    return vectors_.mapInArrow(run, f"id {kind}, near array<struct<far:double,label:string>>")
 
 
 def radius_pairs(df: DataFrame, eps: float, *, id_col: str = "id", vec_col: str = "embedding", sample_rows: int = 4096, block: int = 2048) -> DataFrame:

@@ -5,10 +5,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import store
+from .durable import cut
 
 
 def _scope(state: DataFrame, object_type: str | None, ids, window_days: int, as_of: Column | None) -> DataFrame:
@@ -112,5 +113,13 @@ def field(name: str, kind: str) -> Column:
 
 
 def batches(rows: DataFrame, size: int, order: list[str]) -> DataFrame:
-    """Number the rows' batches of a fixed size.  For a bounded result: it needs one order over all rows."""
-    return rows.withColumn("batch", F.floor((F.row_number().over(Window.orderBy(*order)) - 1) / size))
+    """Number the rows' batches of a fixed size in this order.  Rows are sorted by ranges and written; a range numbers its own rows, and the ranges' sizes (a row each) give where each begins."""
+    at = F.monotonically_increasing_id()  # the range in the high bits, the place in it in the low 33
+    placed = cut(rows.orderBy(*order).withColumn("_at", at))
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    begin, starts = 0, []
+    for r in placed.groupBy(part.alias("p")).count().orderBy("p").collect():
+        starts += [F.lit(r["p"]), F.lit(begin)]
+        begin += r["count"]
+    first = F.element_at(F.create_map(*starts), part) if starts else F.lit(0)
+    return placed.withColumn("batch", F.floor((first + place) / size)).drop("_at")

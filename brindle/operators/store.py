@@ -7,16 +7,26 @@ loses nothing (the old table lies beside under ``...-old``).  On object stores,
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def one_of_each(rows: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
+    """One row a key by one combining aggregate: of the greatest order, or of those the greatest in all columns that have an order, so that every run takes the same."""
+    names = rows.columns
+    fixed = [F.col(f.name) for f in rows.schema.fields if f.name not in keys and not re.search("map<|variant|calendar", f.dataType.simpleString())]
+    by = F.struct(*(order or []), *fixed) if order or fixed else F.lit(0)
+    best = rows.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c).alias(f"c{k}") for k, c in enumerate(names)]), by).alias("_best"))
+    return best.select(*[F.col(f"_best.c{k}").alias(c) for k, c in enumerate(names)])
+
+
 def first_of_batch(rows: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
-    """One row a key: the first in this order, or any."""
+    """One row a key: the first in this order, or the same one in every run."""
     if not order:
-        return rows.dropDuplicates(keys)
+        return one_of_each(rows, keys)
     return rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_rn = 1").drop("_rn")
 
 
@@ -28,7 +38,8 @@ def insert_ignore(target: DataFrame, rows: DataFrame, keys: list[str], order: li
 def merge_partial(target: DataFrame, updates: DataFrame, keys: list[str], columns: list[str] | None = None) -> DataFrame:
     """The target with the updates' non-null values; updates without a match are ignored."""
     columns = columns or [c for c in updates.columns if c not in keys and c in target.columns]
-    new = updates.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in columns]).dropDuplicates(keys)
+    new = updates.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in columns])
+    new = one_of_each(new, keys)
     joined = target.join(new, keys, "left")
     return joined.select(*[F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c) if c in columns else F.col(c) for c in target.columns])
 

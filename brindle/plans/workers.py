@@ -47,7 +47,7 @@ def _queue(state_table: DataFrame, done: str, fields: dict[str, str], settings:
 def embed(state_table: DataFrame, categories: DataFrame, sentiments: DataFrame, as_of: Column, *, build: Callable = providers.HashEmbedder, settings: Settings = DEFAULTS) -> DataFrame:
     """Vectors of collected items and their nearest labels."""
     queue = _queue(state_table, EMBEDDED, {"content": "string"}, settings, as_of)
-    made = providers.embed(queue, build, max_chars=settings.max_document_len << 2).where(search.valid(F.col("embedding"), settings.vector_len)).select("id", "embedding")
+    made = providers.embed(queue, build, max_chars=settings.max_document_len << 1).where(search.valid(F.col("embedding"), settings.vector_len)).select("id", "embedding")
     for name, labels in (("categories", categories), ("sentiments", sentiments)):
         found = search.nearest_labels(made.select("id", "embedding"), labels, k=settings.classification_limit).withColumnRenamed("labels", name)
         made = made.join(found, "id", "left")
@@ -199,7 +199,8 @@ def hydrate_vectors(collection: DataFrame, beans: DataFrame, as_of: Column, *, d
 
 def update_embeddings(beans: DataFrame, updates: DataFrame, categories: DataFrame, sentiments: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """The beans with new vectors (url, embedding) and the labels nearest to them."""
-    new = updates.where(search.valid(F.col("embedding"), settings.vector_len)).dropDuplicates(["url"])
+    new = updates.where(search.valid(F.col("embedding"), settings.vector_len))
+    new = store.one_of_each(new, ["url"])
     for name, labels in (("categories", categories), ("sentiments", sentiments)):
         found = search.nearest_labels(new.select("url", "embedding"), labels, k=settings.classification_limit, id_col="url", label_col="id").withColumnRenamed("labels", name)
         new = new.join(found, "url", "left")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, html, texts, urls
+from ..operators import store
 
 ENTRY = "struct<url:string,title:string,summary:string,content:string,author:string,published:string,tags:array<string>,image_url:string,comments_url:string>"
 FEED = f"struct<title:string,link:string,description:string,entries:array<{ENTRY}>>"
@@ -80,11 +81,42 @@ def feed_items(raw: DataFrame, *, feed_col: str = "feed", body_col: str = "body"
     return e.select("url", urls.source(F.col("url")).alias("source"), "title", html.text_native(F.col("summary")).alias("summary"), html.markdown(F.col("content")).alias("content"), "author", created.alias("created"), as_of.alias("collected"), "tags", "image_url", F.col("feed").alias("rss_feed"), "site_name", "description", urls.base_url(F.col("url")).alias("base_url"), F.col("comments_url").alias("chatter_url"))
 
 
-def govinfo_link(description: Column) -> Column:
-    """The best document link of an entry's description: html before pdf."""
-    links = F.regexp_extract_all(description, F.lit(r'href="([^"]+)"'), 1)
-    rank = lambda u: F.when(F.rlike(F.lower(u), F.lit(r"\.html?$|/html/")), 0).when(F.rlike(F.lower(u), F.lit(r"\.pdf$|/pdf/")), 1).otherwise(2)
-    return F.array_min(F.transform(links, lambda u: F.struct(rank(u).alias("r"), u.alias("u"))))["u"]
+# Where a government package's documents lie, and which of them come first.
+GOVINFO = "https://www.govinfo.gov/content/pkg/"
+_PACKAGE = r"(?i)^https://www\.govinfo\.gov/content/pkg/([^/]+)/(?:html|text|pdf)/[^/?#]+\.(htm|html|txt|pdf)(?:[?#].*)?$"
+
+
+def govinfo_link(description: Column, guid: Column) -> Column:
+    """The best document link of an entry's description: one over https, of the site itself and of the entry's own package, text before pdf; null if there is none."""
+    plain = description
+    for entity, mark in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+        plain = F.replace(plain, F.lit(entity), F.lit(mark))
+    links = F.transform(F.regexp_extract_all(plain, F.lit(r"""(?i)<a\s[^>]*?href\s*=\s*["']\s*([^"']+?)\s*["']"""), 1), lambda u: F.replace(u, F.lit("&amp;"), F.lit("&")))
+    kind = lambda u: F.lower(F.regexp_extract(u, _PACKAGE, 2))
+    own = F.filter(links, lambda u: (kind(u) != "") & (F.regexp_extract(u, _PACKAGE, 1) == F.trim(guid)))
+    return F.array_min(F.transform(own, lambda u: F.struct(F.when(kind(u) == "pdf", 1).otherwise(0).alias("r"), u.alias("u"))))["u"]
+
+
+def govinfo_candidates(guid: Column) -> Column:
+    """Where a package's document may be if its entry names none, best first."""
+    name = F.trim(guid)
+    at = lambda folder, tail: F.concat(F.lit(GOVINFO), name, F.lit(f"/{folder}/"), name, F.lit(tail))
+    return F.when(F.length(name) > 0, F.array(at("html", ".htm"), at("html", ".html"), at("text", ".txt"), at("pdf", ".pdf")))
+
+
+def govinfo_items(entries: DataFrame, answers: DataFrame) -> DataFrame:
+    """(guid, description, ...) with the entry's link, else its first candidate that is there; entries without either go.
+
+    answers: (url, head, get), the status that asking for a url's head gave, and the one that getting it gave; a candidate is there by a head of 2xx, or by a get of 2xx where the site does not answer
+    heads (405, 501).  A url without an answer is not there.
+    """
+    rows = entries.withColumn("link", govinfo_link(F.col("description"), F.col("guid")))
+    good = lambda c: F.col(c).between(200, 299)
+    there = answers.where(good("head") | (F.col("head").isin(405, 501) & good("get"))).select("url").distinct()
+    open_ = rows.where("link is null").select("guid").distinct()
+    asked = open_.select("guid", F.posexplode(govinfo_candidates(F.col("guid"))).alias("place", "url"))
+    found = asked.join(there, "url", "left_semi").groupBy("guid").agg(F.min_by("url", "place").alias("_found"))
+    return rows.join(found, "guid", "left").withColumn("link", F.coalesce("link", "_found")).drop("_found").where("link is not null")
 
 
 REDDIT = "created_utc double, permalink string, is_self boolean, url string, title string, selftext string, author string, score long, num_comments long, subreddit string, subreddit_subscribers long"
@@ -160,4 +192,5 @@ def site_items(pages: DataFrame, *, url_col: str = "url", html_col: str = "html"
     """Publishers of pages, one a base_url."""
     rows = pages.select(urls.base_url(F.col(url_col)).alias("base_url"), urls.source(F.col(url_col)).alias("source"), html.metadata(F.col(html_col)).alias("m"))
     found = rows.select("base_url", "source", F.coalesce("m.site_name", "m.title").alias("site_name"), F.col("m.description").alias("description"), F.col("m.favicon").alias("favicon"), F.col("m.rss_feed").alias("rss_feed"))
-    return found.dropDuplicates(["base_url"])
+    says = sum((F.when(F.col(c) != "", 1).otherwise(0) for c in ("site_name", "description", "favicon", "rss_feed")), F.lit(0))
+    return store.one_of_each(found, ["base_url"], [says])

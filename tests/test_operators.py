@@ -224,8 +224,19 @@ def test_feeds(spark):
     assert set(rows) == {"https://s.com/1", "https://t.com/2"}
     assert (rows["https://s.com/1"].summary, rows["https://s.com/1"].tags, rows["https://s.com/1"].created) == ("Sum", ["a", "b"], dt.datetime(2024, 1, 5, 10))
     assert rows["https://t.com/2"].author == "N"
-    gov = spark.createDataFrame([('<a href="https://g/x.pdf">p</a> <a href="https://g/x.htm">h</a>',)], "d string")
-    assert gov.select(feeds.govinfo_link(F.col("d"))).first()[0] == "https://g/x.htm"
+    pkg = "https://www.govinfo.gov/content/pkg/"
+    bodies = [
+        ("A", f'<a href="{pkg}A/pdf/A.pdf">p</a> <a class="x" href="{pkg}A/html/A.htm">h</a>', f"{pkg}A/html/A.htm"),
+        ("B", f"&lt;a href=&quot;{pkg}B/pdf/B.pdf&quot;&gt;p&lt;/a&gt;", f"{pkg}B/pdf/B.pdf"),
+        ("C", f'<a href="https://evil.example.org/x.html">x</a><a href="{pkg}OTHER/html/OTHER.htm">o</a><a href="{pkg}C/xml/C.xml">x</a><a href="{pkg}C.zip">z</a><a href="http://www.govinfo.gov/content/pkg/C/html/C.htm">plain</a>', None),
+        ("D", None, None), (None, f'<a href="{pkg}A/html/A.htm">h</a>', None),
+    ]
+    gov = spark.createDataFrame([x[:2] for x in bodies], "guid string, description string")
+    assert {r.guid: r.link for r in gov.select("guid", feeds.govinfo_link(F.col("description"), F.col("guid")).alias("link")).collect()} == {g: link for g, _, link in bodies}
+    places = gov.select(feeds.govinfo_candidates(F.lit(" C ")).alias("c")).first().c
+    assert places == [f"{pkg}C/html/C.htm", f"{pkg}C/html/C.html", f"{pkg}C/text/C.txt", f"{pkg}C/pdf/C.pdf"]
+    answers = spark.createDataFrame([(places[0], 404, 200), (places[1], 405, 500), (places[2], 501, 204), (places[3], 200, None), (f"{pkg}A/html/A.html", 200, None)], "url string, head int, get int")
+    assert {r.guid: r.link for r in feeds.govinfo_items(gov, answers).collect()} == {"A": bodies[0][2], "B": bodies[1][2], "C": places[2]}
     reddit = spark.createDataFrame([(json.dumps({"created_utc": 1.7e9, "permalink": "/r/x/1", "is_self": True, "url": "u", "title": "t", "selftext": "s", "score": 5, "num_comments": 2, "subreddit": "x"}),)], "b string")
     r = feeds.reddit_items(reddit, "b", AS_OF).first()
     assert (r.kind, r.url, r.platform, r.likes, r.forum) == ("post", "https://www.reddit.com/r/x/1", "reddit", 5, "r/x")
@@ -397,3 +408,46 @@ def test_stream_worker_is_idempotent(spark, tmp_path):
     q = queues.first_writes(queues.read_state(spark, path)).writeStream.format("memory").queryName("firsts").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.table("firsts").count() == 10
+
+
+def test_publishers_keep_their_valid_rows(spark):
+    """Of a site's rows one that is valid, whatever comes first; the rest in a fixed order."""
+    rows = [("http://a.org/1", None, None, "d"), ("http://a.org/2", "a", None, None), ("http://a.org/3", "a", "A", "d"), ("http://b.org/1", "", "B", "d")]
+    for own in (rows, rows[::-1]):
+        items = spark.createDataFrame(own, "url string, source string, site_name string, description string").coalesce(1)
+        _, _, found = ingest.split_items(ingest.cleanup_items(items, AS_OF))
+        assert [(r.base_url, r.source, r.site_name) for r in ingest.valid_publishers(found).collect()] == [("a.org", "a", "A")]
+
+
+def test_one_row_of_each_key_is_the_same_in_every_order(spark):
+    rows = [(1, "a", None, {"x": 1}), (1, "b", 2.0, {"x": 2}), (1, "b", 1.0, None), (None, "c", None, None), (None, "d", None, None)]
+    for own in (rows, rows[::-1]):
+        df = spark.createDataFrame(own, "k int, v string, d double, m map<string,int>").coalesce(1)
+        assert sorted(((r.k, r.v, r.d) for r in store.first_of_batch(df, ["k"]).collect()), key=repr) == [(1, "b", 2.0), (None, "d", None)]
+    target, updates = spark.createDataFrame([(1, "x")], "k int, v string"), spark.createDataFrame([(1, "p"), (1, "q"), (1, None)], "k int, v string")
+    assert [tuple(r) for r in store.merge_partial(target, updates, ["k"]).collect()] == [(1, "q")]
+
+
+@pytest.mark.parametrize("most", [10_000, 2])
+def test_labels_of_any_number_and_length(spark, monkeypatch, most):
+    monkeypatch.setattr(search, "MAX_LABELS", most)
+    labels = spark.createDataFrame([("b", [1.0, 0.0]), ("a", [1.0, 0.0]), ("c", [0.0, 1.0]), ("none", None), ("gap", [None, 1.0]), ("short", [1.0]), ("nought", [])], "id string, embedding array<double>")
+    rows = spark.createDataFrame([(1, [2.0, 0.1]), (2, [0.0, 3.0]), (3, [5.0]), (4, None), (5, [1.0, 1.0, 1.0])], "id long, embedding array<double>")
+    got = {r.id: r.labels for r in search.nearest_labels(rows, labels, as_tags=False).collect()}
+    assert got == {1: ["a", "b"], 2: ["c", "a"], 3: ["short"]}
+
+
+def test_many_equal_queries(spark, monkeypatch):
+    monkeypatch.setattr(search, "MAX_QUERIES", 3)
+    v = spark.createDataFrame([(k, [float(k)]) for k in range(5)], "id long, embedding array<double>")
+    q = spark.createDataFrame([("same", [2.2])] * 20, "query string, embedding array<double>")
+    got = search.batch_topk(v, q, k=2, metric="l2").collect()
+    assert sorted((r.id, r["rank"]) for r in got) == sorted([(2, 1), (3, 2)] * 20)
+
+
+def test_batches_over_ranges(spark):
+    rows = spark.createDataFrame([(f"x{k:03d}", k % 5) for k in range(230)], "id string, ts int").repartition(7)
+    got = {r.id: r.batch for r in state.batches(rows, 32, ["ts", "id"]).collect()}
+    order = sorted((k % 5, f"x{k:03d}") for k in range(230))
+    assert got == {i: n // 32 for n, (_, i) in enumerate(order)}
+    assert state.batches(rows.limit(0), 32, ["ts", "id"]).count() == 0
