@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import texts
+from .functions import dates, html, suffixes, texts
 from .operators import metricjoin, vectorindex
 from .operators.durable import shared_folder
 from .operators.postings import Postings
@@ -158,3 +158,47 @@ def trends_refreshed(spark, d):
     for k in range(3):
         store.refresh(talk.where(day == k), edges.where(F.col("vec_id") % 3 == k), beans.where(F.col("doc_id") % 3 == k))
     return store.trends(a.as_of()).select("url", "likes", "comments", "related", "updated", F.round("trend_score", 6).alias("trend_score"))
+
+
+# --- names, dates and bodies of pages -----------------------------------------------------------------------
+_RULES = ("com", "org", "net", "example.com", "*.example.net", "!m.ththth.example.net", "!www.example.net", "example.org", "*.therin.example.net")
+_LIST = ", ".join(f"('{r}')" for r in _RULES)
+
+
+@_query(f"""
+WITH rules AS (SELECT r, r[1:1] = '!' AS exception, string_split(ltrim(r, '!'), '.') AS own FROM (VALUES {_LIST}) AS v(r)),
+hosts AS (SELECT page_id, string_split(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1)), '.') AS labels FROM pages WHERE url LIKE '%://%'),
+hits AS (SELECT page_id, exception, len(own) AS n FROM hosts, rules
+  WHERE len(own) <= len(labels) AND list_bool_and(list_transform(list_zip(own, labels[len(labels) - len(own) + 1:]), lambda p: p[1] = '*' OR p[1] = p[2]))),
+size AS (SELECT page_id, coalesce(min(n) FILTER (WHERE exception) - 1, max(n)) AS n FROM hits GROUP BY page_id)
+SELECT page_id, array_to_string(labels[len(labels) - n + 1:], '.') AS suffix, CASE WHEN n < len(labels) THEN labels[len(labels) - n] END AS domain,
+  CASE WHEN n < len(labels) THEN array_to_string(labels[len(labels) - n:], '.') END AS registered FROM hosts JOIN size USING (page_id)""")
+def pages_registered(spark, d):
+    """The suffix and the registered name of each page's host by rules in a file, with wildcards and exceptions."""
+    path = _folder(spark, "suffixes")
+    spark.createDataFrame([("// rules",), *((r,) for r in _RULES)], "value string").coalesce(1).write.text(path)
+    pages = a.table(spark, d, "pages").where(F.contains("url", F.lit("://")))
+    return pages.select("page_id", suffixes.parts(spark, F.col("url"), suffixes.read(spark, path)).alias("p")).select("page_id", "p.*")
+
+
+@_query("""SELECT o_orderkey, o_orderdate + CASE o_orderkey % 10 WHEN 0 THEN INTERVAL 570 MINUTES WHEN 1 THEN INTERVAL 1265 MINUTES WHEN 4 THEN INTERVAL 0 MINUTES WHEN 6 THEN INTERVAL 905 MINUTES
+  WHEN 7 THEN INTERVAL 5 MINUTES WHEN 8 THEN INTERVAL 1020 MINUTES ELSE INTERVAL 0 MINUTES END AS made FROM orders""")
+def dates_free_form(spark, d):
+    """Order dates in ten layouts, with names of months, halves of a day, zones and text around them."""
+    o, t = a.table(spark, d, "orders"), F.col("o_orderdate")
+    f = lambda layout: F.date_format(t, layout)
+    forms = [
+        F.concat(f("yyyy-MM-dd"), F.lit("T11:30:00+02:00")), F.concat(f("EEE, dd MMM yyyy"), F.lit(" 21:05:00 GMT")), f("MMMM d, yyyy"), f("d MMM yyyy"), f("yyyyMMdd"),
+        F.concat(F.lit("Posted on "), f("d MMMM yyyy"), F.lit(" by Ann, 7 replies")), F.concat(f("MM/dd/yyyy"), F.lit(", 3:05 PM")), F.concat(f("d. MMM. yyyy"), F.lit(" 12:05 a.m.")),
+        F.concat(F.lit("5 pm on "), f("MMM dd yyyy")), f("yyyy/M/d"),
+    ]
+    form = F.element_at(F.array(*forms), (F.col("o_orderkey") % 10 + 1).cast("int"))
+    return o.select("o_orderkey", dates.free_form(form, a.as_of()).cast("timestamp_ntz").alias("made"))
+
+
+@_query(r"""SELECT page_id, regexp_replace(regexp_replace(replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<br>', ' '), '<[^>]*>|&[a-z]+;', ' ', 'g'), '[^\p{L}]+', '', 'g') AS letters
+FROM pages WHERE regexp_matches(html, '(?s)<article>.*<p>(<b>)?[^<]{60,}.*</article>')""")
+def page_bodies(spark, d):
+    """The letters of each page's readable body: those of its article, and none of the menus, advertisements and lines around it."""
+    pages = a.table(spark, d, "pages").where(F.rlike("html", F.lit(r"(?s)<article>.*<p>(<b>)?[^<]{60,}.*</article>")))
+    return pages.select("page_id", F.regexp_replace(F.coalesce(html.page(F.col("html"), 1)["content"], F.lit("")), r"[^\p{L}]+", "").alias("letters"))

@@ -15,6 +15,13 @@ _BLOCK = {"p", "div", "section", "article", "header", "footer", "ul", "ol", "li"
 _HEADS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _ASIDE = {"nav", "aside", "footer", "form", "header"}
 
+# Elements that make the tree of blocks, those whose text is scored as a paragraph, and words of a class or id that speak for or against a block.
+_TREE = {"body", "main", "article", "section", "div", "p", "pre", "blockquote", "td", "th", "table", "tr", "ul", "ol", "li", "dl", "figure", "header", "footer", "nav", "aside", "form"}
+_PARAGRAPH = {"p", "pre", "blockquote", "td"}
+_FOR = re.compile(r"article|body|content|entry|main|post|story|text", re.IGNORECASE)
+_AGAINST = re.compile(r"\bads?\b|banner|breadcrumb|comment|cookie|footer|menu|nav|popup|promo|related|share|sidebar|social|sponsor|subscri|widget", re.IGNORECASE)
+_TAGS = {"article": 20, "main": 20, "section": 5, "div": 5, "blockquote": 3, "td": 3, "pre": 3, "ul": -3, "ol": -3, "li": -3, "form": -25, "th": -5, "aside": -25, "nav": -25, "footer": -25, "header": -10}
+
 # Where each metadata key is looked for, first match first: tag, attribute, value.
 META = {
     "title": (("meta", "property", "og:title"), ("meta", "name", "twitter:title")),
@@ -34,8 +41,30 @@ METADATA = "struct<" + ",".join(f"{k}:string" for k in META) + ">"
 PAGE = "struct<title:string,author:string,content:string,published_time:string,description:string,image_url:string,kind:string,site_name:string,url:string,favicon:string,rss_feed:string,tags:string,language:string>"
 
 
+class _Block:
+    """An open element of the tree: where its markdown begins, its text and the part of it in links, and the score that its paragraphs handed up."""
+
+    __slots__ = ("tag", "begin", "end", "chars", "linked", "commas", "score", "hint")
+
+    def __init__(self, tag: str, begin: int, names: str) -> None:
+        self.tag, self.begin, self.end = tag, begin, begin
+        self.chars = self.linked = self.commas = 0
+        self.score = 0.0
+        self.hint = 25 * bool(_FOR.search(names)) - 25 * bool(_AGAINST.search(names)) + _TAGS.get(tag, 0)
+
+    def density(self) -> float:
+        return self.linked / self.chars if self.chars else 0.0
+
+    def worth(self) -> float:
+        return (self.score + self.hint) * (1 - self.density()) if self.score > 0 else 0.0
+
+
 class _Reader(HTMLParser):
-    """Collects text, markdown (of all, and of the body without what stands beside it), metadata and JSON-LD in one pass."""
+    """Collects text, markdown (of all, and of the body without what stands beside it), blocks, metadata and JSON-LD in one pass.
+
+    A paragraph of 25 characters or more that is not mostly links scores by its length and commas; the score goes whole to its parent and half to the one above.  A block's worth is its score and
+    what its tag and names say, less the share of its text in links.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -48,9 +77,52 @@ class _Reader(HTMLParser):
         self.skip, self.aside, self.in_title, self.in_ld = 0, 0, False, False
         self.lists: list[list] = []
         self.links: list[str | None] = []
+        self.open: list[_Block] = []
+        self.best: _Block | None = None
+        self.bad: list[tuple[int, int]] = []  # stretches of markdown of blocks that are mostly links, or named for what they are
+        self.kept: list[bool] = []
+
+    def begin(self, tag: str, own: dict) -> None:
+        if tag in _PARAGRAPH | {"div", "ul", "ol", "table"} and self.open and self.open[-1].tag == "p":
+            self.finish("p")  # a paragraph that nothing closes ends at the next block
+        self.open.append(_Block(tag, len(self.md), f"{own.get('class', '')} {own.get('id', '')}"))
+
+    def finish(self, tag: str) -> None:
+        if not any(b.tag == tag for b in self.open):
+            return
+        while True:
+            b = self.open.pop()
+            b.end = len(self.md)
+            if b.tag in _PARAGRAPH and b.chars >= 25 and b.density() < 0.5:
+                s = 1 + b.commas + min(b.chars / 100, 3)
+                for up, share in zip(reversed(self.open), (1.0, 0.5), strict=False):
+                    up.score += s * share
+            if (b.chars > 20 and b.density() > 0.5 and b.tag not in ("p", "body")) or (b.hint <= -15 and b.tag not in ("body", "article", "main")):
+                self.bad.append((b.begin, b.end))
+            elif b.worth() > (self.best.worth() if self.best else 0):
+                self.best = b
+            if self.open:
+                up = self.open[-1]
+                up.chars, up.linked, up.commas = up.chars + b.chars, up.linked + b.linked, up.commas + b.commas
+            if b.tag == tag:
+                return
+
+    def readable(self) -> list[str]:
+        """The markdown of the best block, without bad ones in it; of everything beside no aside where no block has a score."""
+        while self.open:
+            self.finish(self.open[-1].tag)
+        if self.best is None:
+            return self.body
+        lo, hi = self.best.begin, self.best.end
+        keep = self.kept[lo:hi]
+        for a, b in self.bad:
+            if lo <= a and b <= hi:
+                keep[a - lo : b - lo] = [False] * (b - a)
+        return [x for x, k in zip(self.md[lo:hi], keep, strict=True) if k]
 
     def put(self, text: str, inside: bool) -> None:
         self.md.append(text)
+        self.kept.append(inside)
         if inside:
             self.body.append(text)
 
@@ -69,6 +141,8 @@ class _Reader(HTMLParser):
         if self.skip:
             return
         inside = not self.aside
+        if tag in _TREE:
+            self.begin(tag, own)
         if tag in _BLOCK:
             self.text.append(" ")
         if tag in _HEADS:
@@ -129,6 +203,8 @@ class _Reader(HTMLParser):
                 self.put(f"]({href})", inside)
         elif tag in _BLOCK and tag != "li":
             self.put("\n\n", inside)
+        if tag in _TREE:
+            self.finish(tag)
 
     def handle_data(self, data):
         if self.in_title:
@@ -137,7 +213,13 @@ class _Reader(HTMLParser):
             self.ld[-1] += data
         if not self.skip:
             self.text.append(data)
-            self.put(re.sub(r"\s+", " ", data), not self.aside)
+            plain = re.sub(r"\s+", " ", data)
+            self.put(plain, not self.aside)
+            if self.open:
+                b, n = self.open[-1], len(plain.strip())
+                b.chars, b.commas = b.chars + n, b.commas + plain.count(",")
+                if any(self.links):
+                    b.linked += n
 
 
 def _read(html: str) -> _Reader:
@@ -217,12 +299,12 @@ def _json_ld(r: _Reader) -> dict:
 
 
 def to_page(html: str | None, min_chars: int = 300) -> dict:
-    """Readable body, else the JSON-LD article where the body is short; metadata wins where it has a value."""
+    """Readable body (the best block of the page), else the JSON-LD article where the body is short; metadata wins where it has a value."""
     if not html:
         return dict.fromkeys(("title", "author", "content", "published_time"))
     r = _read(html)
     meta = _metadata(r)
-    body = {"title": None, "author": None, "content": _markdown(r.body), "published_time": None}
+    body = {"title": None, "author": None, "content": _markdown(r.readable()), "published_time": None}
     if len(body["content"] or "") < min_chars:
         ld = _json_ld(r)
         body = {k: ld[k] or body[k] for k in body}

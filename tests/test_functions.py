@@ -131,3 +131,78 @@ def test_vectors(spark):
     rows = [([1.0, 0.0], [0.0, 1.0]), ([3.0, 4.0], [3.0, 4.0]), ([0.0, 0.0], [1.0, 1.0]), ([1.0], [1.0, 2.0])]
     got = one(spark, rows, "a array<float>, b array<float>", vectors.cosine_distance(F.col("a"), F.col("b")), vectors.l2(F.col("a"), F.col("b")), vectors.dot(F.col("a"), F.col("b")))
     assert got[0] == (1.0, pytest.approx(2**0.5), 0.0) and got[1] == (pytest.approx(0), 0.0, 25.0) and got[2][0] is None and got[3] == (None, None, None)
+
+
+def plain_suffix(rules, host):
+    """All rules tried one by one."""
+    labels = host.split(".")
+    hits = []
+    for rule in rules:
+        own = rule.removeprefix("!").split(".")
+        if len(own) <= len(labels) and all(a in ("*", b) for a, b in zip(own, labels[-len(own) :], strict=True)):
+            hits.append((rule.startswith("!"), len(own)))
+    if any(e for e, _ in hits):
+        return min(n for e, n in hits if e) - 1
+    return max((n for _, n in hits), default=0)
+
+
+def test_suffixes_are_the_longest_rule(spark):
+    import random
+
+    from brindle.functions import suffixes
+
+    rules = ["com", "uk", "co.uk", "*.uk", "ck", "*.ck", "!www.ck", "*.kobe.jp", "!city.kobe.jp", "jp", "b.c.d", "*.c.d", "x.*.d", "d", "a.a", "münchen.de", "de"]
+    trie = suffixes.Suffixes(["// comment", "", *rules[:8], "co.uk  // twice", *rules[8:]])
+    draw = random.Random(4)
+    for _ in range(3000):
+        host = ".".join(draw.choice("a b c d uk co ck www kobe jp city com x de".split()) for _ in range(draw.randint(1, 5)))
+        n = plain_suffix(rules, host)
+        suffix, domain, registered = trie.parts(host)
+        labels = host.split(".")
+        assert suffix == ".".join(labels[len(labels) - n :]) and domain == (labels[len(labels) - n - 1] if n < len(labels) else None), host
+        assert registered == (".".join(labels[len(labels) - n - 1 :]) if 0 < n < len(labels) else None)
+    urls_ = ["https://News.BBC.co.uk:8080/x?y", "http://127.0.0.1/a", "http://u:p@www.example.com.", "http://co.uk/", "http://unknown.zone/", None, "nothing", "http://a.xn--mnchen-3ya.de", "http://b.münchen.de"]
+    rows = spark.createDataFrame([(k, u) for k, u in enumerate(urls_)], "k int, u string")
+    got = {r.k: (r.p.suffix, r.p.domain, r.p.registered) for r in rows.select("k", suffixes.parts(spark, F.col("u"), trie).alias("p")).collect()}
+    assert got == {0: ("co.uk", "bbc", "bbc.co.uk"), 1: ("", "127.0.0.1", None), 2: ("com", "example", "example.com"), 3: ("co.uk", None, None), 4: ("", "zone", None), 5: (None, None, None), 6: (None, None, None), 7: ("xn--mnchen-3ya.de", "a", "a.xn--mnchen-3ya.de"), 8: ("münchen.de", "b", "b.münchen.de")}
+    private = ["com", "// ===BEGIN PRIVATE DOMAINS===", "blog.com", "// ===END PRIVATE DOMAINS==="]
+    assert suffixes.Suffixes(private, private=False).parts("x.blog.com")[1] == "blog" and suffixes.Suffixes(private).parts("x.blog.com")[1] == "x"
+    names = [r.s for r in rows.orderBy("k").select(suffixes.source(spark, F.col("u"), trie).alias("s")).collect()]
+    assert names[0] == "bbc" and names[3] == "co.uk"
+
+
+DATES = [
+    ("2024-01-05T10:00:00Z", "2024-01-05 10:00:00"), ("2024-01-05T10:00:00.123456+02:00", "2024-01-05 08:00:00.123456"), ("2024-01-05 10:11:12", "2024-01-05 10:11:12"), ("Fri, 05 Jan 2024 10:00:00 GMT", "2024-01-05 10:00:00"),
+    ("Fri, 05 Jan 2024 10:00:00 -0530", "2024-01-05 15:30:00"), ("January 5, 2024", "2024-01-05 00:00:00"), ("Jan. 5th, 2024 at 3:04 pm", "2024-01-05 15:04:00"), ("5th of January 2024", "2024-01-05 00:00:00"),
+    ("5 January, 2024, 12:30 a.m.", "2024-01-05 00:30:00"), ("2024/01/05", "2024-01-05 00:00:00"), ("01/05/2024", "2024-01-05 00:00:00"), ("25/12/2023", "2023-12-25 00:00:00"), ("05.01.24", "2024-05-01 00:00:00"),
+    ("Sat Jan 06 10:00:00 UTC 2024", "2024-01-06 10:00:00"), ("20240105", "2024-01-05 00:00:00"), ("20240105T101112Z", "2024-01-05 10:11:12"), ("20240105 10:11", "2024-01-05 10:11:00"), ("2024-Jan-05", "2024-01-05 00:00:00"),
+    ("Published on March 3, 2023 by Ann, 5 comments", "2023-03-03 00:00:00"), ("January 2024", "2024-01-01 00:00:00"), ("2024-02-30", None), ("hello", None), ("", None), (None, None), ("12:30", None), ("99/99/9999", None),
+    ("5pm 3 Feb 2023", "2023-02-03 17:00:00"), ("12 pm Jan 3 2024", "2024-01-03 12:00:00"), ("Dec 31 99", "1999-12-31 00:00:00"), ("2024-01-05T10:00", "2024-01-05 10:00:00"), ("2024-01-05 10:00:00 EST", "2024-01-05 10:00:00"),
+    ("Sept 4 2023", "2023-09-04 00:00:00"), ("MAY 4, 2023", "2023-05-04 00:00:00"),
+]
+
+
+def test_free_form_dates(spark):
+    as_of = F.lit("2024-02-01").cast("timestamp")
+    rows = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(DATES)], "k int, t string").select("k", dates.free_form(F.col("t"), as_of).cast("string").alias("r")).collect()
+    assert {DATES[r.k][0]: r.r for r in rows} == dict(DATES)
+
+
+def test_readable_body():
+    """The article's paragraphs, wherever the page puts them, without the menus, lists of links and advertisements around and in it."""
+    text = "A sentence of the article, which is long enough to count, and goes on for a while. "
+    paragraphs = "".join(f"<p>{k} {text * 3}" for k in range(4))  # unclosed
+    links = "".join(f'<li><a href="/{k}">Another headline of the site {k}</a></li>' for k in range(9))
+    pages = [
+        f'<body><nav>{links}</nav><div class="sidebar"><p>{text}</p></div><article><h1>Title</h1>{paragraphs}</article><footer>about {text}</footer></body>',
+        f'<div id="top"><div class="ad">Buy, buy, buy: a long advertisement text that has commas, too.</div><div class="story"><div class="related"><ul>{links}</ul></div>{paragraphs}<div class="share">tweet this page, and like it</div></div></div>',
+        f'<table><tr><td class="menu">{links}</td><td>{paragraphs}</td></tr></table>',
+        f"<div><div>{paragraphs}</div><div><ul>{links}</ul></div><div class=comments><p>first, {text}</p></div></div>",
+    ]
+    for page in pages:
+        content = html.to_page(page)["content"]
+        assert all(f"{k} A sentence" in content for k in range(4)), page
+        assert not any(x in content for x in ("headline", "Buy", "about A", "first,", "tweet")), content
+        assert content.count("A sentence of the article") == 12
+    assert html.to_page("<p>short</p>")["content"] == "short" and html.to_page("")["content"] is None
+    assert "[x](/x)" in html.to_page(f'<div><p>{text}<a href="/x">x</a></p><p>{text}</p></div>')["content"]
