@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import dates, html, suffixes, texts
-from .operators import metricjoin, vectorindex
+from .functions import dates, gazetteer, html, suffixes, texts
+from .operators import bucketed, metricjoin, state, vectorindex
 from .operators.durable import shared_folder
 from .operators.postings import Postings
 from .operators.trendstore import TrendStore
@@ -202,3 +202,55 @@ def page_bodies(spark, d):
     """The letters of each page's readable body: those of its article, and none of the menus, advertisements and lines around it."""
     pages = a.table(spark, d, "pages").where(F.rlike("html", F.lit(r"(?s)<article>.*<p>(<b>)?[^<]{60,}.*</article>")))
     return pages.select("page_id", F.regexp_replace(F.coalesce(html.page(F.col("html"), 1)["content"], F.lit("")), r"[^\p{L}]+", "").alias("letters"))
+
+
+# --- payloads, targets and names ----------------------------------------------------------------------------
+def _variant_state(spark: SparkSession, d: str) -> DataFrame:
+    """The state table with payloads parsed and stored once."""
+    path = _folder(spark, "variant")
+    state.as_variant(a.state(spark, d)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@_query(f"""WITH {_STATE} SELECT id, max(ts) AS ts, arg_max(CAST(json_extract_string(data, '$.k') AS BIGINT), (ts, state)) FILTER (WHERE CAST(json_extract_string(data, '$.k') AS BIGINT) <> 0) AS k
+  FROM state WHERE state IN ('view', 'click') AND id NOT IN (SELECT id FROM state WHERE state = 'purchase') GROUP BY id HAVING count(*) >= 2""")
+def state_queue_variant(spark, d):
+    """The queue of several states over stored VARIANT payloads."""
+    return state.get_many(_variant_state(spark, d), ["view", "click"], "purchase", fields={"k": "long"})
+
+
+@_query(f"WITH {_STATE} SELECT id, ts, CAST(json_extract_string(data, '$.k') AS BIGINT) AS k FROM state WHERE state = 'view' AND json_extract_string(data, '$.k') IN ('1', '2', '3', '50')")
+def state_conditions_variant(spark, d):
+    """Conditions on a field of stored VARIANT payloads."""
+    found = state.get_one(_variant_state(spark, d), "view", conditions={"k": [1, 2, 3, 50]})
+    return found.select("id", "ts", F.try_variant_get("data", "$.k", "long").alias("k"))
+
+
+@_query("SELECT CAST(user_id AS VARCHAR) AS id, event_type AS state, count(*) AS n FROM events GROUP BY 1, 2")
+def bucketed_insert(spark, d):
+    """Batches into a target in buckets: the first row of each key stays, whatever comes again."""
+    table, path = f"bucketed_{uuid.uuid4().hex}", _folder(spark, "bucketed")
+    bucketed.create(spark, table, path, "id string, state string, n long", ["id", "state"], buckets=16)
+    rows = a.table(spark, d, "events").groupBy(F.col("user_id").cast("string").alias("id"), F.col("event_type").alias("state")).agg(F.count(F.lit(1)).alias("n"))
+    for batch in (rows.where("state = 'view'"), rows.where("state <> 'purchase'"), rows.withColumn("n", F.when(F.col("state") == "purchase", F.col("n")).otherwise(-1))):
+        bucketed.insert_ignore(spark, table, batch)
+    return spark.table(table)
+
+
+_TOKENS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
+
+
+@_query(f"""
+WITH docs AS MATERIALIZED (SELECT doc_id, {_TOKENS} AS ws FROM documents),
+pairs AS MATERIALIZED (SELECT doc_id, k - 1 AS start, ws[k] || ' ' || ws[k + 1] AS name FROM docs, unnest(range(1, len(ws))) AS t(k)),
+names AS (SELECT DISTINCT name FROM pairs WHERE doc_id % 20 = 0)
+SELECT doc_id, count(*) AS n, count(DISTINCT name) AS n_names, CAST(sum(start) AS BIGINT) AS places FROM pairs JOIN names USING (name) GROUP BY doc_id""")
+def names_found(spark, d):
+    """How often the pairs of words of every twentieth document come in each document, by a trie of them all."""
+    docs = a.table(spark, d, "documents").select("doc_id", "text")
+    words = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    own = docs.where("doc_id % 20 = 0").select(words.alias("w")).where(F.size("w") > 1)
+    pairs = F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1), lambda x, y: F.concat(x, F.lit(" "), y))
+    names = own.select(F.explode(F.array_distinct(pairs)).alias("alias")).distinct().select("alias", F.col("alias").alias("name"), F.lit("pair").alias("field"))
+    found = gazetteer.find(docs, names, overlapping=True).select("doc_id", F.explode("entities").alias("e"))
+    return found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("e.name").alias("n_names"), F.sum("e.start").alias("places"))

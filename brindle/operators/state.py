@@ -1,6 +1,7 @@
 """The state table (object_type, id, state, ts, data): work queues, merges, and time to live.
 
-``data`` is a JSON object.  A state of an id is written once; later writes of it are ignored.  ``window_days`` of 0 is no window.
+``data`` is a JSON object, as text or as VARIANT (``as_variant`` makes one of the other).  A VARIANT is parsed when it is written, and queries take their fields from it by path without parsing the payload again;
+a field of another type than is asked for is converted where that is possible, else null.  A state of an id is written once; later writes of it are ignored.  ``window_days`` of 0 is no window.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ def get_one(state: DataFrame, include: str, exclude=None, *, object_type: str |
     everything = state if object_type is None else _scope(state, object_type, None, 0, None)
     rows = _scope(everything, None, ids, window_days, as_of).where((F.col("state") == include) & F.col("data").isNotNull())
     for name, value in (conditions or {}).items():
-        found = field(name, "string")
+        found = field(name, "string", is_variant(state))
         rows = rows.where(found.isin([str(v) for v in value]) if isinstance(value, (list, tuple, set)) else found == str(value))
     return _paged(_not_done(rows, everything, exclude), limit, offset).select("id", "ts", "data")
 
@@ -54,7 +55,10 @@ def get_many(state: DataFrame, include: list[str], exclude=None, *, fields: dict
     everything = state if object_type is None else _scope(state, object_type, None, 0, None)
     rows = _scope(everything, None, ids, window_days, as_of).where(F.col("state").isin(include) & F.col("data").isNotNull())
     rows = _not_done(rows, everything, exclude)
-    made = rows.withColumn("_d", F.from_json("data", ", ".join(f"`{k}` {v}" for k, v in fields.items())))
+    if is_variant(state):
+        made = rows.withColumn("_d", F.struct(*[F.try_variant_get("data", f"$['{k}']", v).alias(k) for k, v in fields.items()]))
+    else:
+        made = rows.withColumn("_d", F.from_json("data", ", ".join(f"`{k}` {v}" for k, v in fields.items())))
     at = F.struct("ts", "state")
     best = [F.max_by(F.when(truthy(F.col("_d")[k], v), F.col("_d")[k]), F.when(truthy(F.col("_d")[k], v), at)).alias(k) for k, v in fields.items()]
     merged = made.groupBy("id").agg(F.max("ts").alias("ts"), F.count(F.lit(1)).alias("_n"), *best).where(F.col("_n") >= len(include)).drop("_n")
@@ -81,6 +85,8 @@ def put(state: DataFrame, items: DataFrame, state_name: str, *, object_type: str
     kinds = dict(items.dtypes)
     payload = F.to_json(F.struct(*[F.when(truthy(F.col(c), kinds[c]), F.col(c)).alias(c) for c in others])) if others else F.lit("{}")
     made = items.select(F.col(id_col).cast("string").alias("id"), F.lit(state_name).alias("state"), (as_of if as_of is not None else F.current_timestamp()).alias("ts"), payload.alias("data"))
+    if is_variant(state):
+        made = made.withColumn("data", F.try_parse_json("data"))
     target = state
     if object_type is not None:
         made, target = made.withColumn("object_type", F.lit(object_type)), state.where(F.col("object_type") == object_type)
@@ -107,11 +113,22 @@ def mark_done(state: DataFrame, ids: DataFrame, states: list[str], as_of: Column
     return store.insert_ignore(state, rows, ["id", "state"])
 
 
-def field(name: str, kind: str) -> Column:
-    """A payload field by path, for conditions."""
+def field(name: str, kind: str, variant: bool = False) -> Column:
+    """A payload field by path (``a.b`` is b inside a), for conditions."""
+    if variant:
+        return F.try_variant_get("data", "$" + "".join(f"['{p}']" for p in name.split(".")), kind)
     return F.get_json_object("data", f"$.{name}").cast(kind)
 
 
+def is_variant(state: DataFrame) -> bool:
+    return dict(state.dtypes).get("data") == "variant"
+
+
+def as_variant(state: DataFrame) -> DataFrame:
+    """The table with payloads parsed once; text that is no JSON is null."""
+    return state if is_variant(state) else state.withColumn("data", F.try_parse_json("data"))
+
+
 def batches(rows: DataFrame, size: int, order: list[str]) -> DataFrame:
     """Number the rows' batches of a fixed size in this order.  Rows are sorted by ranges and written; a range numbers its own rows, and the ranges' sizes (a row each) give where each begins."""
     at = F.monotonically_increasing_id()  # the range in the high bits, the place in it in the low 33

@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-#: Chunks that a model gets at a time.
-EMBED_BATCH = 128
+#: Chunks that a model gets at a time at most, and words, each chunk counted as long as the longest beside it.
+EMBED_BATCH, EMBED_WORDS = 128, 16_384
 
 
 class Embedder(Protocol):
@@ -132,6 +132,23 @@ def bisected(work: Callable, items: list, tooBig: tuple = (MemoryError,)) -> lis
         return bisected(work, items[:half], tooBig) + bisected(work, items[half:], tooBig)
 
 
+def by_length(sizes: list[int], most: int, budget: int) -> list[list[int]]:
+    """Batches of items of like length, longest first: of at most ``most`` items, and of at most ``budget`` in all where each counts as the longest (or of one item)."""
+    out: list[list[int]] = []
+    for k in sorted(range(len(sizes)), key=lambda k: (-sizes[k], k)):
+        if out and len(out[-1]) < most and (len(out[-1]) + 1) * sizes[out[-1][0]] <= budget:
+            out[-1].append(k)
+        else:
+            out.append([k])
+    return out
+
+
+def padded_share(sizes: list[int], batches: list[list[int]]) -> float:
+    """How much of what the model works on is padding."""
+    whole = sum(len(b) * max(sizes[k] for k in b) for b in batches)
+    return 1 - sum(sizes) / whole if whole else 0.0
+
+
 def _map(df: DataFrame, text_col: str, out: str, kind: str, build: Callable, work: Callable) -> DataFrame:
     names = [c for c in df.columns if c != out]
     plain = df.select(*[F.col(c).alias(f"_c{k}") for k, c in enumerate(names)], F.col(text_col).alias("_t"))
@@ -147,22 +164,22 @@ def _map(df: DataFrame, text_col: str, out: str, kind: str, build: Callable, wor
 
 
 def embed(df: DataFrame, build: Callable[[], Embedder] = HashEmbedder, *, text_col: str = "content", out: str = "embedding", max_chars: int | None = None, prefix: str = "") -> DataFrame:
-    """Embeddings of whole texts: chunks of the model's context, sent to it in batches of ``EMBED_BATCH`` whatever text they are of, and averaged by text."""
+    """Embeddings of whole texts: chunks of the model's context, sent to it in batches of like length whatever text they are of, put back in order, and averaged by text.
+
+    A batch that does not fit is halved until it does; a chunk that does not fit alone has no vector.
+    """
 
     def work(model, texts):
-        parts, of = [], []
-        for k, t in enumerate(texts):
-            own = split_words((prefix + t)[:max_chars] if max_chars else prefix + t, model.context)
-            parts += own
-            of += [k] * len(own)
-        vecs: list = []
-        for lo in range(0, len(parts), EMBED_BATCH):
-            vecs += bisected(model.embed, parts[lo : lo + EMBED_BATCH])
-        per: dict[int, list] = {}
-        for k, v in zip(of, vecs, strict=True):
-            if v is not None:
-                per.setdefault(k, []).append(v)
-        return pa.array([np.mean(per[k], axis=0).astype(np.float32) if k in per else None for k in range(len(texts))], pa.list_(pa.float32()))
+        parts, ends = [], [0]
+        for t in texts:
+            parts += split_words((prefix + t)[:max_chars] if max_chars else prefix + t, model.context)
+            ends.append(len(parts))
+        vecs: list = [None] * len(parts)
+        for batch in by_length([len(p.split()) for p in parts], EMBED_BATCH, EMBED_WORDS):
+            for k, v in zip(batch, bisected(model.embed, [parts[k] for k in batch]), strict=True):
+                vecs[k] = v
+        own = [[v for v in vecs[a:b] if v is not None] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        return pa.array([np.mean(x, axis=0).astype(np.float32) if x else None for x in own], pa.list_(pa.float32()))
 
     return _map(df, text_col, out, "array<float>", build, work)
 
