@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import catalog_items, catalog_stores, providers
+from . import catalog_items, catalog_stores, catalog_workers, providers
 from .functions import dates, html, kinds, texts, urls, vectors
 from .operators import cluster, graph, ingest, port, query, search, state, store, trend
 from .sources import adapters as a
@@ -460,8 +460,8 @@ def filter_created_range(spark, d):
     return query.latest(a.beans(spark, d, content=False), query.QuerySpec(created=("2024-01-04 00:00:00", "2024-01-07 00:00:00"), equals={"kind": "blog"}, columns=["url", "created", "kind"]))
 
 
-QUERIES |= catalog_items.QUERIES | catalog_stores.QUERIES
-ORACLES |= catalog_items.ORACLES | catalog_stores.ORACLES
+QUERIES |= catalog_items.QUERIES | catalog_stores.QUERIES | catalog_workers.QUERIES
+ORACLES |= catalog_items.ORACLES | catalog_stores.ORACLES | catalog_workers.ORACLES
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
