@@ -311,11 +311,11 @@ def edges_symmetric(spark, d):
     return graph.symmetric(search.radius_pairs(a.vectors(spark, d), a.NEAR).select(F.col("a").alias("url"), F.col("b").alias("related_url")))
 
 
-@_query("SELECT DISTINCT s_suppkey AS from_id, c_custkey AS to_id, 'PUBLISHED' AS relationship, DATE '2024-02-01' AS ts FROM supplier JOIN customer ON s_nationkey = c_nationkey")
+@_query("SELECT DISTINCT o_custkey AS from_id, o_orderkey AS to_id, 'PUBLISHED' AS relationship, DATE '2024-02-01' AS ts FROM orders JOIN customer ON c_custkey = o_custkey")
 def edges_published(spark, d):
-    s = a.table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("base_url"))
-    c = a.table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("base_url"))
-    return graph.published(s, c, a.as_of())
+    c = a.table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_custkey").alias("base_url"))
+    o = a.table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("base_url"))
+    return graph.published(c, o, a.as_of())
 
 
 # --- scalars ----------------------------------------------------------------------------------------------------
