@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import dates, gazetteer, html, suffixes, texts
-from .operators import bucketed, metricjoin, state, vectorindex
+from .operators import backup, bucketed, metricjoin, state, store, vectorindex
 from .operators.durable import shared_folder
 from .operators.postings import Postings
 from .operators.trendstore import TrendStore
 from .sources import adapters as a
+from .sources import feeds
 from .streaming import stateful
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -254,3 +255,43 @@ def names_found(spark, d):
     names = own.select(F.explode(F.array_distinct(pairs)).alias("alias")).distinct().select("alias", F.col("alias").alias("name"), F.lit("pair").alias("field"))
     found = gazetteer.find(docs, names, overlapping=True).select("doc_id", F.explode("entities").alias("e"))
     return found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("e.name").alias("n_names"), F.sum("e.start").alias("places"))
+
+
+# --- pages as text and metadata -----------------------------------------------------------------------------
+_VISIBLE = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<head>.*?</head>|<script.*?</script>|<style.*?</style>|<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'), '&[a-z]+;', ' ', 'g'), '[^\\p{L}]+', '', 'g')"""
+_PLAIN = "regexp_matches(html, '^<!DOCTYPE html><html lang=\"[a-z]+\"><head>') AND regexp_matches(html, '</body></html>$')"
+
+
+@_query(f"SELECT page_id, {_VISIBLE} AS text, {_VISIBLE} AS markdown FROM pages WHERE {_PLAIN}")
+def page_letters(spark, d):
+    """The letters of each page's visible text, as plain text and as markdown."""
+    pages = a.table(spark, d, "pages").where(F.rlike("html", F.lit('^<!DOCTYPE html><html lang="[a-z]+"><head>')) & F.rlike("html", F.lit("</body></html>$")))
+    letters = lambda c: F.regexp_replace(F.regexp_replace(c, r"\]\([^)]*\)", ""), r"[^\p{L}]+", "")  # noqa: E731  without the targets of links
+    return pages.select("page_id", F.regexp_replace(html.strip_tags(F.col("html")), r"[^\p{L}]+", "").alias("text"), letters(html.markdown(F.col("html"))).alias("markdown"))
+
+
+@_query(f"""SELECT page_id, regexp_extract(html, '<html lang="([a-z]+)"', 1) AS language, regexp_replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '&amp;|[^\\p{{L}}]', '', 'g') AS title FROM pages WHERE {_PLAIN}""")
+def page_metadata(spark, d):
+    """Language and title of each page by the table of metadata places."""
+    pages = a.table(spark, d, "pages").where(F.rlike("html", F.lit('^<!DOCTYPE html><html lang="[a-z]+"><head>')) & F.rlike("html", F.lit("</body></html>$")))
+    m = pages.select("page_id", html.metadata(F.col("html")).alias("m"))
+    return m.select("page_id", F.col("m.language").alias("language"), F.regexp_replace("m.title", r"[^\p{L}]", "").alias("title"))
+
+
+@_query("SELECT DISTINCT regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1) AS base_url, TRUE AS named FROM pages WHERE url LIKE '%://%' AND html LIKE '%<title>%'")
+def sites_named(spark, d):
+    """The sites of all pages, each once, with a name from one of its pages."""
+    pages = a.table(spark, d, "pages").where(F.contains("url", F.lit("://")) & F.contains("html", F.lit("<title>")))
+    return feeds.site_items(pages).select("base_url", (F.length("site_name") > 0).alias("named"))
+
+
+@_query("SELECT c_custkey, c_name, c_acctbal, c_nationkey FROM customer")
+def tables_restored(spark, d):
+    """A table that was backed up, spoilt, and restored after a check."""
+    path, kept = _folder(spark, "customers"), _folder(spark, "backups")
+    rows = a.table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal", "c_nationkey")
+    rows.write.parquet(path)
+    at = backup.take(spark, {"customers": path}, kept, "2024-02-01")
+    store.write_table(rows.where("c_nationkey < 3"), path)
+    backup.restore(spark, at, {"customers": path})
+    return spark.read.parquet(path)

@@ -221,3 +221,29 @@ def test_refreshed_trends_equal_the_rebuild(spark, tmp_path):
     assert 0 < len(parts) < 16 and store.refresh() == []
     reopened = TrendStore(spark, str(tmp_path / "t"))
     assert reopened.trends(as_of).count() == want.count()
+
+
+def test_backups_are_checked_before_they_replace_anything(spark, tmp_path):
+    from brindle.operators import backup
+
+    one, two, folder = str(tmp_path / "one"), str(tmp_path / "two"), str(tmp_path / "kept")
+    rows = spark.range(50).select("id", F.array(F.col("id"), F.lit(None)).alias("v"), F.create_map(F.lit("k"), F.col("id")).alias("m"), F.when(F.col("id") % 2 == 0, "x").alias("s"))
+    rows.repartition(3).write.parquet(one)
+    rows.limit(0).write.parquet(two)
+    assert backup.stamps(spark, folder) == []
+    for stamp in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        backup.take(spark, {"one": one, "two": two}, folder, stamp)
+    (tmp_path / "kept" / "2024-01-04" / "one").mkdir(parents=True)  # without a note it is none
+    assert backup.stamps(spark, folder) == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    assert backup.prune(spark, folder, 2) == ["2024-01-01"] and backup.prune(spark, folder, 2) == []
+    rows.where("id < 5").write.mode("overwrite").parquet(one)
+    spark.catalog.clearCache()
+    with pytest.raises(backup.Damaged):
+        backup.restore(spark, f"{folder}/2024-01-03", {"one": one, "three": str(tmp_path / "three")})
+    rows.where("id <> 7").union(rows.where("id = 8")).write.mode("overwrite").parquet(f"{folder}/2024-01-02/one")
+    with pytest.raises(backup.Damaged):
+        backup.restore(spark, f"{folder}/2024-01-02", {"one": one})
+    assert spark.read.parquet(one).count() == 5
+    backup.restore(spark, f"{folder}/2024-01-03", {"one": one, "two": two})
+    assert backup.fingerprint(spark.read.parquet(one)) == backup.fingerprint(rows) and spark.read.parquet(two).count() == 0
+    assert spark.read.parquet(one).dtypes == rows.dtypes
