@@ -258,7 +258,7 @@ def names_found(spark, d):
 
 
 # --- pages as text and metadata -----------------------------------------------------------------------------
-_VISIBLE = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<head>.*?</head>|<script.*?</script>|<style.*?</style>|<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'), '&[a-z]+;', ' ', 'g'), '[^\\p{L}]+', '', 'g')"""
+_VISIBLE = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<head>.*?</head>|<script.*?</script>|<style.*?</style>|<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'), '&[a-z]+;', ' ', 'g'), '[^\p{L}]+', '', 'g')"""
 _PLAIN = "regexp_matches(html, '^<!DOCTYPE html><html lang=\"[a-z]+\"><head>') AND regexp_matches(html, '</body></html>$')"
 
 
