@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 
 from . import providers
 from .config import Settings
-from .operators.durable import cut
+from .operators import vectorindex
+from .operators.durable import cut, shared_folder
 from .plans import workers
 from .sources import adapters as a
 
@@ -119,6 +121,19 @@ def worker_cluster(spark, d):
     return made.select("id", F.sort_array(F.from_json("data", "related array<string>")["related"]).alias("related"))
 
 
+@_query("""WITH v AS (SELECT CAST(vec_id AS VARCHAR) AS id, CAST(embedding AS DOUBLE[]) AS e, vec_id FROM embeddings),
+near AS (SELECT x.id, y.id AS other, row_number() OVER (PARTITION BY x.id ORDER BY list_distance(x.e, y.e), y.id) AS rank FROM v x JOIN v y ON list_distance(x.e, y.e) <= 1.15 WHERE x.vec_id % 4 <> 0)
+SELECT id, list_sort(list(other)) AS related FROM near WHERE rank <= 500 GROUP BY id""")
+def worker_cluster_indexed(spark, d):
+    """The same through a vector index that held those clustered before and takes the others in."""
+    v = a.table(spark, d, "embeddings").withColumn("id", F.col("vec_id").cast("string"))
+    table = _union(_rows(v, "embedded", embedding=F.col("embedding")), _rows(v.where("vec_id % 4 = 0"), "clustered", related=F.array("id")))
+    path = f"{shared_folder(spark)}/cells-{uuid.uuid4().hex}"
+    vectorindex.build(v.where("vec_id % 4 = 0"), path, cells=16)
+    made = workers.cluster_related(table, a.as_of(), settings=Settings(vector_len=64, cluster_eps=1.15), index=path)
+    return made.select("id", F.sort_array(F.from_json("data", "related array<string>")["related"]).alias("related"))
+
+
 def _served(spark: SparkSession, d: str) -> DataFrame:
     """Customers collected, embedded (every third with a vector of a wrong length), extracted (but every seventh) and digested."""
     rows = _customers(spark, d)

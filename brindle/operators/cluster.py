@@ -53,11 +53,15 @@ def related_to(stored: DataFrame, batch: DataFrame, eps: float, *, limit: int =
 
 
 def related_through(path: str, batch: DataFrame, eps: float, *, limit: int = 500, id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
-    """The same through a vector index that is kept: the batch is added to it, and then searched for among all that it holds; just the cells within eps of a new vector are read.
+    """The same through a vector index that is kept: what it lacks of the batch is added to it, and the batch then searched for among all that it holds; just the cells within eps of a new vector are read.
 
-    Exact.  An id that the index already holds keeps both of its vectors.
+    Exact, and a batch that comes again changes nothing.  An id that the index already holds keeps its vector there.
     """
-    vectorindex.add(batch.sparkSession, path, batch, id_col=id_col, vec_col=vec_col)
+    spark = batch.sparkSession
+    have = vectorindex.known(spark, path, batch.select(F.col(id_col).alias("id"))).select(F.col("id").alias("_have"))
+    new = cut(batch.select(id_col, vec_col).join(have, F.col(id_col) == F.col("_have"), "left_anti"))
+    if not new.isEmpty():
+        vectorindex.add(spark, path, new, id_col=id_col, vec_col=vec_col)
     hits = vectorindex.topk(batch.sparkSession, path, batch.select(F.col(id_col).alias("query"), vec_col), k=limit, distance=eps, exact=True, vec_col=vec_col)
     return _lists(hits, "id", id_col)
 

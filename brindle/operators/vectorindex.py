@@ -144,6 +144,16 @@ def add(spark: SparkSession, path: str, df: DataFrame, *, split_rows: int = 1_00
     return _added(state, df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v")), split_rows)
 
 
+def known(spark: SparkSession, path: str, ids: DataFrame) -> DataFrame:
+    """Which of these ids (a column ``id``) the index holds; of the stored rows only ids are read, and those of a batch of up to ``QUERIES`` ids go to them."""
+    state = _State(spark, path)
+    cells = [c for c, x in state.cells.items() if x["n"]]
+    if not cells:
+        return spark.createDataFrame([], f"id {state.kind}")
+    asked = ids.select("id").distinct()
+    return state.rows(cells, "id").select("id").join(F.broadcast(asked) if asked.limit(QUERIES + 1).count() <= QUERIES else asked, "id", "left_semi").distinct()
+
+
 def _place(state: _State, rows: DataFrame, targets: dict[int | None, list[int]], centres: dict[int, list[float]], scale: bool) -> str:
     """Write rows (cell, id, v) under the nearest of their cell's targets, as a batch of its own, and give its name."""
     metric, books, size = state.metric, state.books, state.size

@@ -69,9 +69,16 @@ def digest(state_table: DataFrame, as_of: Column, *, build: Callable = providers
     return state.put(state_table, texts.normalize_fields(made), DIGESTED, object_type="beans", as_of=as_of)
 
 
-def cluster_related(state_table: DataFrame, as_of: Column, *, settings: Settings = DEFAULTS) -> DataFrame:
-    """Related items of those newly embedded, among all that are embedded: a search for the new ones, not all pairs again."""
+def cluster_related(state_table: DataFrame, as_of: Column, *, settings: Settings = DEFAULTS, index: str | None = None) -> DataFrame:
+    """Related items of those newly embedded, among all that are embedded: a search for the new ones, not all pairs again.
+
+    With ``index`` (a vector index that ``vectorindex.build`` began) the search goes through it, and it takes the new ones in; without, it reads all stored vectors.
+    """
     fields = {"embedding": "array<float>"}
+    if index:
+        queue = cut(_queue(state_table, CLUSTERED, fields, settings, as_of, EMBEDDED).where("embedding is not null"))
+        found = cluster.related_through(index, queue, settings.cluster_eps, limit=settings.cluster_limit)
+        return state.put(state_table, found, CLUSTERED, object_type="beans", as_of=as_of)
     everything = state_table.where((F.col("state") == EMBEDDED) & F.col("data").isNotNull()).select("id", F.from_json("data", "embedding array<float>").alias("d")).select("id", "d.embedding").where("embedding is not null")
     queue = _queue(state_table, CLUSTERED, fields, settings, as_of, EMBEDDED).where("embedding is not null")
     found = cluster.related_to(everything, queue, settings.cluster_eps, limit=settings.cluster_limit)
