@@ -17,6 +17,7 @@ different labels is labelled toxic; labels other than 0 and 1, and null ones, ar
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -136,7 +137,12 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
             at += b.column("_at").to_pylist()
             y += b.column("_y").to_pylist()
             f += [x.as_buffer() for x in b.column("_f")]  # views, so the sample is held once
-        order = sorted(range(len(at)), key=lambda k: (at[k], y[k], f[k].to_pybytes()))
+        key = lambda k: (at[k], y[k])
+        order = []
+        for _, same in groupby(sorted(range(len(at)), key=key), key=key):
+            own = list(same)
+            # rows of one id go by their features, of which only theirs are copied
+            order += own if len(own) == 1 else sorted(own, key=lambda k: f[k].to_pybytes())
         slots, w = fit([f[k] for k in order], np.array([y[k] for k in order], float), s)
         yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int32()), pa.array(w, pa.float64())], ["slot", "weight"])
 
