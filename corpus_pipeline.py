@@ -39,7 +39,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 50 bytes or more that an earlier document has are cut out; a document of which nothing is left goes."""
-    return _sized(suffix.remove_repeats(docs, batch_mb=6))  # beside the heap that earlier stages have filled
+    return _sized(suffix.remove_repeats(docs, batch_mb=4))  # beside the heap that earlier stages have filled
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
