@@ -8,7 +8,8 @@ and its end marker.  Only the reply itself, without the marker, is trainable: ``
 conversation without one, make one more example with an empty target, so that the examples hold all turns.
 Examples are made row by row from the turns of one conversation, so a conversation is held once, not once an example.
 
-Defined cases: a null text or role is empty; turns with equal numbers go by role, then text; repeated rows stay repeated; null turn numbers come first; a null conversation id is a conversation.
+Defined cases: a null text or role is empty; turns with equal numbers go by role, then text; repeated rows stay repeated; null turn numbers come first; a null conversation id is a conversation;
+a very long text is formatted whole, once for each later example of its conversation; an empty table gives no rows; only the four named columns are read, so others may have any name.
 """
 
 from __future__ import annotations

@@ -54,3 +54,14 @@ def test_many_equal_rows_are_numbered_in_parts(spark, monkeypatch):
     for s in range(4):
         assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
     assert len({r.shard for r in got if r["size"] == 1}) == 1  # one group
+
+
+def test_a_very_long_turn_beside_columns_of_any_name(spark):
+    from brindle.llm import chat
+
+    text = "é<|im_end|>\n&amp; " * 60_000
+    df = spark.createDataFrame([(1, 0, "user", text), (1, 1, "assistant", text), (1, 2, "assistant", "short")], "conv_id long, turn long, role string, text string")
+    df = df.withColumns({c: F.lit("own") for c in ("t", "ts", "at", "k", "targets", "context", "example", "n_examples", "raw")})
+    got = {r.example: r for r in chat.expand(df).select("example", chat.loss_text(F.concat("context", "target"), F.col("loss_start"), F.col("loss_end")).alias("loss"), F.size(chat.parse(F.concat("context", "target"))).alias("n")).collect()}
+    assert got[1].loss == text and got[2].loss == "short" and [got[k].n for k in (1, 2)] == [2, 3]
+    assert chat.expand(df.limit(0)).count() == 0
