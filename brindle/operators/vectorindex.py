@@ -30,6 +30,7 @@ from .durable import Tables, remove
 from .search import _matrix, distances, keep_best
 
 QUERIES = 2_000
+SAMPLED, SPARE = 200, 0.03  # queries on which a recall is measured, and what a sample may err
 BLOCK_VALUES = 1 << 21  # of a matrix of distances
 WIDTH = 4  # components to a stretch of the code
 CELL = "cell int, centre array<double>, radius double, n long, batches array<string>, whole boolean"
@@ -314,13 +315,15 @@ def topk(
     exact: bool = False,
     distance: float | None = None,
     rerank: int = 0,
+    recall: float = 0.0,
     id_kind: str | None = None,
     vec_col: str = "embedding",
     query_col: str = "query",
 ) -> DataFrame:
     """query, id, distance, rank: of each query the k nearest rows (within the distance, if there is one) of its ``probe`` nearest cells, or of all with ``exact``.
 
-    ``rerank`` candidates a query (10 k, at least 100, if 0) are measured exactly.
+    ``rerank`` candidates a query (10 k, at least 100, if 0) are measured exactly.  With ``recall`` both are where the search begins: they grow until a sample of the queries finds that share of its
+    exact result, as more cells are needed the more there are.
     """
     state = _State(spark, path)
     kind = dict(queries.dtypes)[query_col]
@@ -328,13 +331,31 @@ def topk(
     asked = queries.where((F.size(vec_col) == state.size) & ~F.exists(vec_col, lambda x: x.isNull()))
     n = asked.count() if state.cells else 0
     parts = max(1, 2 * -(-n // QUERIES)) if n > QUERIES else 1
+    rerank = rerank or max(100, 10 * k)
+    if n and recall and not exact:
+        probe, rerank = _enough(state, asked.select(query_col, vec_col).orderBy(F.xxhash64(query_col, vec_col), query_col).limit(SAMPLED).collect(), kind, k, probe, rerank, distance, recall, query_col)
     for p in range(parts if n else 0):
         own = (asked if parts == 1 else asked.where(F.pmod(F.xxhash64(query_col, vec_col), F.lit(parts)) == p)).select(query_col, vec_col).collect()
         if own:
-            found = found.unionByName(_searched(state, own, kind, k, probe, exact, distance, rerank or max(100, 10 * k), query_col))
+            found = found.unionByName(_searched(state, own, kind, k, probe, exact, distance, rerank, query_col))
     return found
 
 
+def _enough(state: _State, asked: list, kind: str, k: int, probe: int, rerank: int, within: float | None, recall: float, query_col: str) -> tuple[int, int]:
+    """How many cells and candidates give the recall, and ``SPARE`` over it, on these (at most ``SAMPLED``) queries: first the cells double, and where all are searched the candidates."""
+    pairs = lambda probe, exact: Counter((r[0], r[1]) for r in _searched(state, asked, kind, k, probe, exact, within, rerank, query_col).select(query_col, "id").collect())
+    whole = pairs(4, True)
+    rows = sum(x["n"] for x in state.cells.values())
+    while (whole & pairs(probe, False)).total() < min(1.0, recall + SPARE) * whole.total():
+        if probe < len(state.cells):
+            probe = min(2 * probe, len(state.cells))
+        elif rerank < rows:
+            rerank = min(2 * rerank, rows)
+        else:
+            break
+    return probe, rerank
+
+
 def _searched(state: _State, asked: list, kind: str, k: int, probe: int, exact: bool, within: float | None, rerank: int, query_col: str) -> DataFrame:
     q = _scaled(np.array([r[1] for r in asked], np.float64), state.metric)
     ok = np.isfinite(q).all(1)
