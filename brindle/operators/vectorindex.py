@@ -113,7 +113,7 @@ class _State:
 
 
 def _sample(plain: DataFrame, rows: int) -> list:
-    return plain.where("size(v) > 0").orderBy(F.xxhash64("id"), "id").limit(rows).collect()  # bounded
+    return plain.where("size(v) > 0").orderBy(F.xxhash64("id"), "id").limit(rows).coalesce(1).collect()  # bounded, and merged in a task: plain collect brings as many from every partition
 
 
 def build(df: DataFrame, path: str, *, cells: int = 64, metric: str = "l2", sample_rows: int = 20_000, rounds: int = 8, split_rows: int = 1_000_000, id_col: str = "id", vec_col: str = "embedding") -> dict:
@@ -209,20 +209,29 @@ def _added(state: _State, plain: DataFrame, split_rows: int) -> dict:
 
 
 def _split(state: _State, big: list[int], split_rows: int) -> None:
-    """Deal the rows of these cells among new centres of their own, fitted on some 2,000 rows of each."""
-    share = F.element_at(F.create_map(*[F.lit(x) for c in big for x in (c, max(1, 2000 * (1 << 20) // state.cells[c]["n"]))]), F.col("cell"))
-    drawn = state.rows(big, "id", "v").where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share).limit(4000 * len(big)).collect()
+    """Deal the rows of these cells among new centres of their own, fitted on some 2,000 rows of each: a group is a cell's sample, and only its centres come back."""
+    plan = [(c, max(1, 2000 * (1 << 20) // state.cells[c]["n"]), min(16, 2 * -(-state.cells[c]["n"] // split_rows))) for c in big]
+    share = F.broadcast(state.spark.createDataFrame(plan, "cell int, share long, parts int"))
+    drawn = state.rows(big, "id", "v").join(share, "cell").where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < F.col("share"))
+
+    def fit(g):
+        sample = np.array(sorted(map(tuple, g["v"])), np.float64)
+        parts = np.unique(_centres(sample, int(g["parts"].iloc[0]), 6), axis=0)
+        return g[["cell"]].head(1).assign(centres=[parts.tolist()])
+
+    # equal rows count once, so a sample is bounded whatever is repeated
+    fitted = drawn.select("cell", "parts", "v").distinct().groupBy("cell").applyInPandas(fit, "cell int, centres array<array<double>>")
+    found = {r["cell"]: r["centres"] for r in fitted.collect()}
     targets: dict[int | None, list[int]] = {}
     centres: dict[int, list[float]] = {}
     at = max(state.cells) + 1
     for c in big:
-        sample = np.array([r["v"] for r in drawn if r["cell"] == c], np.float64)
-        parts = np.unique(_centres(sample, min(16, 2 * -(-state.cells[c]["n"] // split_rows)), 6), axis=0) if len(sample) else sample
+        parts = found.get(c, [])
         if len(parts) < 2:
             state.cells[c]["whole"] = True
             continue
         targets[c] = list(range(at, at + len(parts)))
-        centres |= dict(zip(targets[c], parts.tolist(), strict=True))
+        centres |= dict(zip(targets[c], parts, strict=True))
         at += len(parts)
     if not targets:
         return
