@@ -3,8 +3,9 @@
 Tokens are runs of letters and digits, in lower case.  A name, and each of its aliases, is a path of tokens; every node has a failure link to the longest proper suffix that is a path too, and knows the names that end there or
 at a node its links lead to.  One pass over a text's tokens finds every name; ``resolved`` keeps those that no name to the left, or longer at the same place, covers.
 
-The table is broadcast in parts of ``MOST`` names behind a count.  A larger one is worked off part after part, each adding its finds to the rows, before overlaps are resolved over all of them, so the parts do
-not show in the result; nothing is shuffled.
+A table of up to ``MOST`` names is broadcast as a trie, and nothing is shuffled.  A larger one is joined: its paths, and the runs of tokens of the texts that are as long as some path (a run once for a stretch of
+``PIECE`` characters, with its places), meet by a shuffle, and the finds go back to their rows by another, so no task holds the table; overlaps are resolved a row.  Which way is taken does not show in the
+finds; with ``overlapping`` they come in order of place there.
 
 Defined cases: null and empty texts have no finds; names without a token, and null ones, are left out; of aliases that stand for several names the least (name, field) counts; repeated rows get equal results; an empty table
 finds nothing; an input column named like the result is replaced, all others come back.
@@ -15,11 +16,16 @@ from __future__ import annotations
 import re
 from collections import deque
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.durable import cut
+
 MOST = 500_000
+PIECE = 1 << 19
 FOUND = "array<struct<name:string,field:string,start:int,tokens:int>>"
 _KIND = pa.list_(pa.struct([("name", pa.string()), ("field", pa.string()), ("start", pa.int32()), ("tokens", pa.int32())]))
 _TOKEN = re.compile(r"[^\W_]+")
@@ -100,24 +106,77 @@ def resolved(finds: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str
 def find(df: DataFrame, names: DataFrame, *, text_col: str = "text", out: str = "entities", overlapping: bool = False) -> DataFrame:
     """The rows with the names found in their text, or with ``overlapping`` all of them.  names: alias, name, field (one row an alias; the name itself is one too)."""
     table = names.where("alias is not null and name is not null").select("alias", "name", F.coalesce("field", F.lit("")).alias("field")).distinct()
-    parts = max(1, -(-table.count() // MOST))
     cols = [c for c in df.columns if c != out]
     rows = df.select(*[F.col(c).alias(f"c{k}") for k, c in enumerate(cols)], F.col(text_col).cast("string").alias("text"), F.array().cast(FOUND).alias("found"))
-    for p in range(parts):
-        own = table if parts == 1 else table.where(F.pmod(F.xxhash64("alias"), F.lit(parts)) == p)
-        # a part: at most about MOST names
-        sent = df.sparkSession.sparkContext.broadcast([tuple(r) for r in own.toLocalIterator()])
-        rows = rows.mapInArrow(_adding(sent, p == parts - 1 and not overlapping), rows.schema)
+    if table.limit(MOST + 1).count() > MOST:
+        rows = _joined(rows, table)
+        rows = rows if overlapping else rows.mapInArrow(_resolving, rows.schema)
+    else:
+        sent = df.sparkSession.sparkContext.broadcast([tuple(r) for r in table.toLocalIterator()])  # at most MOST names
+        rows = rows.mapInArrow(_adding(sent, not overlapping), rows.schema)
     return rows.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(cols)], F.col("found").alias(out))
 
 
+def _joined(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """The rows with all their finds, by place and the longest first."""
+    rows = cut(rows.drop("found").withColumn("row", F.monotonically_increasing_id()))  # written once: numbers stay
+    paths = table.mapInArrow(_paths, "path string, tokens int, name string, field string").groupBy("path", "tokens").agg(F.min(F.struct("name", "field")).alias("best"))
+    lengths = sorted(r["tokens"] for r in paths.select("tokens").distinct().collect())  # not more than the longest name has tokens
+    runs = rows.select("row", "text").mapInArrow(_runs(lengths), "path string, places array<struct<row:long,start:int>>")
+    hits = runs.join(paths, "path").select(F.explode("places").alias("p"), "tokens", "best")
+    one = F.struct(F.col("p.start").alias("start"), (-F.col("tokens")).alias("less"), F.col("best.name").alias("name"), F.col("best.field").alias("field"))
+    found = hits.select(F.col("p.row").alias("row"), one.alias("one")).groupBy("row").agg(F.sort_array(F.collect_list("one")).alias("found"))
+    made = F.transform("found", lambda x: F.struct(x["name"].alias("name"), x["field"].alias("field"), x["start"].alias("start"), (-x["less"]).alias("tokens")))
+    return rows.join(found, "row", "left").withColumn("found", F.coalesce(made, F.array()).cast(FOUND)).drop("row")
+
+
+def _paths(batches):
+    for b in batches:
+        own = [tokens(x) for x in b.column("alias").to_pylist()]
+        n = pa.array([len(x) for x in own], pa.int32())
+        made = pa.RecordBatch.from_arrays([pa.array([" ".join(x) for x in own], pa.string()), n, b.column("name"), b.column("field")], ["path", "tokens", "name", "field"])
+        yield made.filter(pc.greater(n, 0))
+
+
+def _runs(lengths: list[int]):
+    def told(held):
+        at = np.cumsum([0, *map(len, held.values())], dtype=np.int32)
+        flat = np.fromiter((x for places in held.values() for p in places for x in p), np.int64, 2 * int(at[-1])).reshape(-1, 2)
+        places = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1].astype(np.int32))], ["row", "start"])
+        return pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.string()), pa.ListArray.from_arrays(pa.array(at), places)], ["path", "places"])
+
+    def run(batches):
+        for b in batches:
+            held, chars = {}, 0
+            for row, text in zip(b.column("row"), b.column("text"), strict=True):
+                row, text = row.as_py(), text.as_py()
+                own = tokens(text)
+                for n in lengths:
+                    for at, path in enumerate(map(" ".join, zip(*(own[j:] for j in range(n)), strict=False))):
+                        held.setdefault(path, []).append((row, at))
+                chars += len(text or "")
+                if chars > PIECE:
+                    yield told(held)
+                    held, chars = {}, 0
+            if held:
+                yield told(held)
+
+    return run
+
+
+def _resolving(batches):
+    for b in batches:
+        made = [[{"name": n, "field": f, "start": s, "tokens": k} for s, k, n, f in resolved([(x["start"], x["tokens"], x["name"], x["field"]) for x in found])] for found in b.column("found").to_pylist()]
+        yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(made, _KIND)], b.schema.names)
+
+
 def _adding(sent, resolve: bool):
     def run(batches):
         trie = Trie(sent.value)
         for b in batches:
             made = []
-            for text, before in zip(b.column("text").to_pylist(), b.column("found").to_pylist(), strict=True):
-                finds = [(f["start"], f["tokens"], f["name"], f["field"]) for f in before or ()] + trie.find(text)
+            for text in b.column("text").to_pylist():
+                finds = trie.find(text)
                 made.append([{"name": n, "field": f, "start": s, "tokens": k} for s, k, n, f in (resolved(finds) if resolve else finds)])
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(made, _KIND)], b.schema.names)
 
