@@ -6,7 +6,9 @@ direction still prunes along others, and where nothing prunes no copies are made
 
 Each copy carries the levels at which it is a guest.  A pair counts where no level has both as guests: at each node it goes left if both are at home there, and right otherwise, so it counts in one leaf.
 
-A leaf of more than ``block`` rows is cut into blocks by hash, and each pair of blocks is a task's own, so a dense region spreads; a task compares a slice of rows at a time.
+A leaf of more than ``block`` rows is cut into blocks by hash, and each pair of blocks is a task's own, so a dense region spreads.  There are at most ``SPREAD`` blocks to a leaf, as each row is sent once for each, until they would be
+of more than ``MOST`` rows; so what is shuffled grows with the rows and only the comparisons with their square.  A task compares a tile of rows at a time by one product of single floats, whose error is bounded (of doubles where that
+bound is too wide), measures what this cannot rule out from the differences in double, and hands its pairs on tile by tile.
 ``report`` tells for each leaf its rows at home, its guests, blocks, and how many pairs its tasks compare.
 
 Defined cases: null vectors and those with a null or non-finite component have no pairs; vectors of different lengths never meet; repeated ids are rows of their own, but pair only with other ids; equal vectors
@@ -15,6 +17,7 @@ pair at distance 0 (``cluster.dbscan`` puts them together first); an empty table
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -22,9 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .search import _matrix, distances
+from .search import _matrix
 
-SLICE = 512
+SLICE, TILE = 512, 4096  # rows of one side and the other that are compared at a time
+SPREAD, MOST = 16, 65_536
+MEASURED = 1 << 14  # pairs whose differences are held at a time
 LEVELS = 62
 GAIN = 0.85  # a split must leave at most this share of a node's comparisons
 
@@ -107,6 +112,45 @@ def place(root: Node, m: np.ndarray, eps: float) -> tuple[np.ndarray, np.ndarray
     return np.concatenate([z, *rows]), np.concatenate([z.astype(np.int32), *leaf]), np.concatenate([z, *guest])
 
 
+def _sides(m: np.ndarray, other: np.ndarray, eps: float) -> tuple[np.ndarray, np.ndarray, float]:
+    """Two matrices whose product is minus half the squared distance, and what it is at least for a pair within eps, whatever rounding did."""
+    middle = other.mean(0)
+    m, other = m - middle, other - middle
+    a, b = (m * m).sum(1) / 2, (other * other).sum(1) / 2
+    for kind in (np.float32, np.float64):
+        slack = float((m.shape[1] + 8) * np.finfo(kind).eps * 4 * max(a.max(initial=0), b.max(initial=0)))
+        if slack <= 0.025 * eps * eps:
+            break
+    left, right = np.c_[m, -a, np.ones(len(m))], np.c_[other, np.ones(len(other)), -b]
+    return left.astype(kind), np.ascontiguousarray(right.astype(kind).T), -eps * eps / 2 - slack
+
+
+def compare(m: np.ndarray, other: np.ndarray | None, eps: float):
+    """Pairs of rows within eps, a slice at a time: row, row of the other side (of the same, and later, without one), distance."""
+    own = other is None
+    other = m if own else other
+    if not len(m) or not len(other):
+        return
+    with np.errstate(over="ignore", invalid="ignore"):
+        left, right, least = _sides(m, other, eps)
+        for lo in range(0, len(m), SLICE):
+            found = []
+            for at in range(lo if own else 0, len(other), TILE):
+                part = left[lo : lo + SLICE] @ right[:, at : at + TILE]
+                hit = np.flatnonzero(~(part < least))  # what has no number stays in
+                i, j = hit // part.shape[1] + lo, hit % part.shape[1] + at
+                if own:
+                    i, j = i[j > i], j[j > i]
+                for k in range(0, len(i), MEASURED):
+                    x, y = i[k : k + MEASURED], j[k : k + MEASURED]
+                    gap = m[x] - other[y]
+                    d = np.sqrt(np.einsum("ij,ij->i", gap, gap))
+                    near = d <= eps
+                    found.append((x[near], y[near], d[near]))
+            if found:
+                yield tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
 class RadiusJoin:
     """The join of one table of vectors of one length with itself."""
 
@@ -116,7 +160,7 @@ class RadiusJoin:
         finite = ~F.exists("v", lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x) == float("inf")))
         self.plain = plain.where((F.size("v") == size) & finite)
         rows = self.plain.count()
-        drawn = self.plain.orderBy(F.xxhash64("id"), "id").limit(sample_rows).collect()  # bounded; decides speed only
+        drawn = self.plain.orderBy(F.xxhash64("id"), "id").limit(sample_rows).coalesce(1).collect()  # bounded, and merged in a task; decides speed only
         self.tree = grow(np.array([r["v"] for r in drawn], np.float64).reshape(len(drawn), -1), eps, rows, block)
         root = self.tree.root
 
@@ -131,44 +175,43 @@ class RadiusJoin:
 
     def _sizes(self) -> DataFrame:
         n = F.count(F.lit(1))
-        return self.members.groupBy("leaf").agg(F.count_if(F.col("guest") == 0).alias("home"), n.alias("n"), F.ceil(n / self.block).cast("int").alias("blocks"))
+        return self.members.groupBy("leaf").agg(F.count_if(F.col("guest") == 0).alias("home"), n.alias("n"), F.least(F.ceil(n / self.block), F.greatest(F.lit(SPREAD), F.ceil(n / MOST))).cast("int").alias("blocks"))
 
     def report(self) -> DataFrame:
         """leaf, home (rows that are guests nowhere on the way), guests, blocks, compared (pairs of rows that tasks look at)."""
         s = self._sizes()
         return s.select("leaf", "home", (F.col("n") - F.col("home")).alias("guests"), "blocks", F.expr("n * (n - 1) div 2").alias("compared"))
 
+    def _copies(self, blocks: dict[int, int]) -> DataFrame:
+        """Each copy once for each block that its own meets."""
+        own = self.members.withColumn("blocks", F.element_at(F.create_map(*[F.lit(x) for pair in blocks.items() for x in pair]), F.col("leaf")))
+        own = own.withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        copies = own.select("id", "v", "guest", "leaf", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
+        return copies.select("id", "v", "guest", "leaf", "mine", F.least("mine", "with").alias("lo"), F.greatest("mine", "with").alias("hi"))
+
     def pairs(self) -> DataFrame:
         """a < b, distance."""
         eps, kind = self.eps, self.kind
         blocks = {r["leaf"]: r["blocks"] for r in self._sizes().collect()}  # a row a leaf
         if not blocks:
             return self.plain.sparkSession.createDataFrame([], f"a {kind}, b {kind}, distance double")
-        own = self.members.withColumn("blocks", F.element_at(F.create_map(*[F.lit(x) for pair in blocks.items() for x in pair]), F.col("leaf")))
-        own = own.withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-        copies = own.select("id", "v", "guest", "leaf", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
 
-        def near(table: pa.Table) -> pa.Table:
-            if not table.num_rows:
-                return pa.table({"a": table.column("id"), "b": table.column("id"), "distance": pa.array([], pa.float64())})
-            m, guest = _matrix(table.column("v")), table.column("guest").to_numpy()
-            mine, other = table.column("mine").to_numpy(), table.column("with").to_numpy()
-            left, right, far = [], [], []
-            for lo in range(0, len(m), SLICE):
-                hi = min(len(m), lo + SLICE)
-                d = distances(m[lo:hi], m[lo:], "l2")
-                ok = (d <= eps) & ((guest[lo:hi, None] & guest[None, lo:]) == 0)
-                ok &= (mine[lo:hi] == other[lo:hi])[:, None] | (mine[lo:hi, None] != mine[None, lo:])  # inside a block only where it meets itself
-                i, j = np.nonzero(np.triu(ok, 1))
-                left.append(i + lo)
-                right.append(j + lo)
-                far.append(d[i, j])
-            ids = table.column("id").combine_chunks()
-            ids = pa.concat_arrays(ids.chunks) if isinstance(ids, pa.ChunkedArray) else ids
-            return pa.table({"a": ids.take(pa.array(np.concatenate(left))), "b": ids.take(pa.array(np.concatenate(right))), "distance": pa.array(np.concatenate(far))})
-
-        grouped = copies.groupBy("leaf", F.least("mine", "with").alias("lo"), F.greatest("mine", "with").alias("hi"))
-        found = grouped.applyInArrow(near, f"a {kind}, b {kind}, distance double").where("a <> b")
+        def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(list(batches)).combine_chunks()
+            lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
+            mine = table.column("mine").to_numpy()
+            sides = [table] if lo == hi else [table.filter(pa.array(mine == x)) for x in (lo, hi)]  # inside a block only where it meets itself
+            m, guest, ids = ([f(t) for t in sides] for f in (lambda t: _matrix(t.column("v")), lambda t: t.column("guest").to_numpy(), lambda t: pa.concat_arrays(t.column("id").chunks)))
+            for i, j, d in compare(m[0], m[1] if len(m) > 1 else None, eps):
+                ok = np.flatnonzero((guest[0][i] & guest[-1][j]) == 0)
+                yield pa.RecordBatch.from_arrays([ids[0].take(pa.array(i[ok])), ids[-1].take(pa.array(j[ok])), pa.array(d[ok])], ["a", "b", "distance"])
+
+        # as many partitions as groups: those of a large leaf are few and each is much work, so none are put together
+        groups = sum(n * (n + 1) // 2 for n in blocks.values())
+        copies = self._copies(blocks)
+        if max(blocks.values()) > 1:
+            copies = copies.repartition(min(groups, 1024), "leaf", "lo", "hi")
+        found = copies.groupBy("leaf", "lo", "hi").applyInArrow(near, f"a {kind}, b {kind}, distance double").where("a <> b")
         return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "distance")
 
 
