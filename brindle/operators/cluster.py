@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import search, vectorindex
 from .durable import cut
-from .graph import connected_components
+from .graph import both_ways, connected_components
 
 
 def dbscan(df: DataFrame, eps: float, min_samples: int, *, id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
@@ -38,7 +38,7 @@ def dbscan(df: DataFrame, eps: float, min_samples: int, *, id_col: str = "id", v
 def related(df: DataFrame, eps: float, *, limit: int = 500, id_col: str = "id", vec_col: str = "embedding", itself: bool = True) -> DataFrame:
     """id, related (ids within eps, nearest first, at most limit, itself included): the same for any order of arrival."""
     pairs = search.radius_pairs(df, eps, id_col=id_col, vec_col=vec_col)
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "distance"))
+    both = both_ways(pairs, "a", "b")
     if itself:
         both = both.unionByName(df.where(F.col(vec_col).isNotNull()).select(F.col(id_col).alias("a"), F.col(id_col).alias("b"), F.lit(0.0).alias("distance")))
     near = both.withColumn("_rn", F.row_number().over(Window.partitionBy("a").orderBy("distance", "b"))).where(F.col("_rn") <= limit)

@@ -97,8 +97,16 @@ def connected_components(edges: DataFrame, *, rounds: int = 60) -> DataFrame:
 
 def symmetric(edges: DataFrame, a: str = "url", b: str = "related_url") -> DataFrame:
     """Every edge in both directions, each once, without loops."""
-    both = edges.select(a, b).unionByName(edges.select(F.col(b).alias(a), F.col(a).alias(b)))
-    return both.where(F.col(a) != F.col(b)).distinct()
+    # an edge moves once, and is turned round where it has come to
+    some = edges.where(F.col(a) != F.col(b)).select(F.least(a, b).alias(a), F.greatest(a, b).alias(b)).distinct()
+    return both_ways(some, a, b)
+
+
+def both_ways(edges: DataFrame, a: str, b: str) -> DataFrame:
+    """Each row, and the same with its ends changed over, from one reading of the edges."""
+    ends = F.explode(F.array(F.struct(F.col(a).alias("a"), F.col(b).alias("b")), F.struct(F.col(b).alias("a"), F.col(a).alias("b"))))
+    rest = [c for c in edges.columns if c not in (a, b)]
+    return edges.select(ends.alias("_ends"), *rest).select(F.col("_ends.a").alias(a), F.col("_ends.b").alias(b), *rest)
 
 
 def explode_edges(rows: DataFrame, from_col: str, to_col: str, *, from_name: str = "url", to_name: str = "related_url") -> DataFrame:
