@@ -73,7 +73,7 @@ def trending_topk(spark, d):
 @_query(f"""WITH {_RELATED}, degree AS (SELECT related_url AS c, count(*) AS freq FROM related GROUP BY 1), sides AS (SELECT url, related_url AS c FROM related UNION SELECT url, url FROM related),
 ranked AS (SELECT url, c, coalesce(freq, 0) AS freq, row_number() OVER (PARTITION BY url ORDER BY coalesce(freq, 0) DESC, c) AS rn FROM sides LEFT JOIN degree USING (c)) SELECT url, c AS cluster_id, freq FROM ranked WHERE rn = 1""")
 def trend_cluster_rep(spark, d):
-    return trend.representatives(a.related(spark, d))
+    return trend.representatives(a.related(spark, d, kept=True))
 
 
 @_query(f"WITH {_ALL} SELECT url, CASE WHEN trend_score >= 0 THEN floor(trend_score) ELSE ceil(trend_score) END AS trend_score FROM trends")
@@ -89,7 +89,8 @@ def trend_mentions(spark, d):
 @_query(f"""WITH {_ALL}, {_PUBS}, groups AS (SELECT url, list_sort(list(related_url)) AS related_urls FROM related GROUP BY 1)
 SELECT url, b.source, related, updated, related_urls, site_name FROM beans b LEFT JOIN trends USING (url) LEFT JOIN groups USING (url) LEFT JOIN pubs p ON b.source = p.source""")
 def aggregated_view(spark, d):
-    view = trend.aggregated_view(a.beans(spark, d, content=False), _trends(spark, d), a.related(spark, d), a.publishers(spark, d))
+    beans, related = a.beans(spark, d, content=False), a.related(spark, d, kept=True)
+    view = trend.aggregated_view(beans, trend.trend_aggregates(beans, a.chatters(spark, d), related, a.as_of()), related, a.publishers(spark, d))
     return view.select("url", "source", "related", "updated", "related_urls", "site_name")
 
 

@@ -45,9 +45,11 @@ def trend_aggregates(beans: DataFrame, chatters: DataFrame, related: DataFrame,
 def representatives(related: DataFrame, *, key: str = "url", other: str = "related_url") -> DataFrame:
     """Of each item and those it points to, the one that most items point to; ties by name."""
     degree = related.groupBy(F.col(other).alias("candidate")).agg(F.count(F.lit(1)).alias("freq"))
-    sides = related.select(F.col(key), F.col(other).alias("candidate")).unionByName(related.select(F.col(key), F.col(key).alias("candidate"))).distinct()
+    # the least of a set, so that repeated edges need no distinct
+    sides = related.select(F.col(key), F.col(other).alias("candidate")).unionByName(related.select(F.col(key), F.col(key).alias("candidate")).distinct())
     best = F.min(F.struct((-F.coalesce("freq", F.lit(0))).alias("f"), F.col("candidate").alias("c")))
-    return sides.join(degree, "candidate", "left").groupBy(key).agg(best.alias("b")).select(key, F.col("b.c").alias("cluster_id"), (-F.col("b.f")).alias("freq"))
+    # a hash of the few degrees in each task: edges need not be sorted
+    return sides.join(degree.hint("shuffle_hash"), "candidate", "left").groupBy(key).agg(best.alias("b")).select(key, F.col("b.c").alias("cluster_id"), (-F.col("b.f")).alias("freq"))
 
 
 def trending_view(beans: DataFrame, trends: DataFrame, key: str = "url") -> DataFrame:
@@ -60,7 +62,7 @@ def sources_view(beans: DataFrame, publishers: DataFrame) -> DataFrame:
 
 
 def aggregated_view(beans: DataFrame, trends: DataFrame, related: DataFrame, publishers: DataFrame) -> DataFrame:
-    groups = related.groupBy("url").agg(F.array_sort(F.collect_list("related_url")).alias("related_urls"))
+    groups = related.groupBy("url").agg(F.sort_array(F.collect_list("related_url")).alias("related_urls"))
     return sources_view(beans.join(trends, "url", "left").join(groups, "url", "left"), publishers)
 
 
