@@ -2,22 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.batches import small_batches
 from ..operators.durable import cut, shared_folder
 
 __all__ = ["bitmap", "cut", "maybe_in", "shared_folder", "size_cuts", "small_batches"]
 
 BITS = 1 << 25
-ARROW_BYTES = 4 << 20
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Have Spark send texts to Python in batches of 4 MB rather than of 10,000 rows; a smaller setting of the session stays."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(str(spark.conf.get(key, "67108864")).rstrip("b") or 0) > ARROW_BYTES:
-        spark.conf.set(key, str(ARROW_BYTES))
 
 
 def bit_of(column: str) -> F.Column:
