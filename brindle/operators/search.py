@@ -15,6 +15,7 @@ from ..functions import texts, vectors
 from .durable import cut
 
 BLOCK_VALUES = 4 << 20
+ROWS = 2_048  # of vectors that meet a block of queries at a time
 MAX_QUERIES = 100_000
 MAX_LABELS = 10_000
 
@@ -87,6 +88,13 @@ def batch_topk(df: DataFrame, queries: DataFrame, *, k: int = 10, distance: floa
     return found
 
 
+def _few(batches):
+    """Some rows of a batch at a time, so that a matrix of distances is as small for batches of 10,000."""
+    for b in batches:
+        for at in range(0, b.num_rows, ROWS):
+            yield b.slice(at, ROWS)
+
+
 def _batch_topk(df, rows, size, k, distance, metric, id_col, vec_col, query_col, kinds, query_kind) -> DataFrame:
     """The search for queries of one length."""
     names = [r[0] for r in rows]
@@ -96,9 +104,7 @@ def _batch_topk(df, rows, size, k, distance, metric, id_col, vec_col, query_col,
     def run(batches):
         q = sent.value
         held: list[pa.Table] = [None] * -(-len(q) // step)
-        for b in batches:
-            if not b.num_rows or not len(q):
-                continue
+        for b in _few(batches if len(q) else ()):
             m = _matrix(b.column(1))
             for lo in range(0, len(q), step):
                 d = distances(q[lo : lo + step].astype(np.float64), m, metric)
