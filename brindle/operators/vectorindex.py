@@ -9,7 +9,8 @@ What counts is the newest finished version of a small table of cells (centre, ra
 ``topk`` sends each query to its ``probe`` nearest cells.  There one scan of the codes keeps ``rerank`` candidates a query, and a second one reads the vectors of just the cells that hold some, and measures
 the candidates exactly.  With ``exact`` the vectors of the probed cells are measured right away, and by the triangle inequality (no member is nearer than the centre's distance less the radius) just
 the cells that the k-th distance so far does not rule out are searched too.  Stored vectors are never shuffled: queries go to them, a task keeps a running best of each query, and at most k rows a
-query and task move.  Queries are collected in blocks of ``QUERIES``.
+query and task move.  Queries are collected in blocks of ``QUERIES``.  More queries than one block that ask exactly for what is within a distance are never collected: each goes to the cells that its distance
+reaches, a cell's rows go to each of its (at most ``SPREAD``, until they would be of more than ``MOST``) blocks of queries, and what a block and a cell find together is at most k rows a query.
 
 Defined cases: null vectors and those of another length than most of the first sample are not in the index (``build`` and ``add`` say how many: ``skipped``); null and such queries have no hits; ties go
 by id; repeated ids are rows of their own; an empty table makes an index without cells, which finds nothing and refuses to grow.  For cosine, vectors are scaled to length one, and one of length zero has no distance.
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import uuid
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +29,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .durable import Tables, remove
+from .metricjoin import MOST, SPREAD, compare
 from .search import _matrix, distances, keep_best
 
 QUERIES = 2_000
 SAMPLED, SPARE = 200, 0.03  # queries on which a recall is measured, and what a sample may err
 BLOCK_VALUES = 1 << 21  # of a matrix of distances
+BLOCK = 16_384  # queries that meet a cell in one task, where that makes at most SPREAD blocks
 WIDTH = 4  # components to a stretch of the code
 CELL = "cell int, centre array<double>, radius double, n long, batches array<string>, whole boolean"
 
@@ -341,6 +345,8 @@ def topk(
     n = asked.count() if state.cells else 0
     parts = max(1, 2 * -(-n // QUERIES)) if n > QUERIES else 1
     rerank = rerank or max(100, 10 * k)
+    if n > QUERIES and exact and distance is not None:
+        return _within(state, asked.select(F.col(query_col).alias("query"), F.col(vec_col).cast("array<double>").alias("v")), n, k, distance).withColumnRenamed("query", query_col)
     if n and recall and not exact:
         probe, rerank = _enough(state, asked.select(query_col, vec_col).orderBy(F.xxhash64(query_col, vec_col), query_col).limit(SAMPLED).collect(), kind, k, probe, rerank, distance, recall, query_col)
     for p in range(parts if n else 0):
@@ -350,6 +356,59 @@ def topk(
     return found
 
 
+def _within(state: _State, asked: DataFrame, n: int, k: int, within: float) -> DataFrame:
+    """The k nearest within the distance of each of n queries (query, v), as a join: query, id, distance, rank."""
+    metric, kind, out = state.metric, state.kind, f"_q long, id {state.kind}, distance double"
+    limit = float(np.sqrt(2 * within)) if metric == "cosine" else within
+    asked = Tables(state.spark, "vector-index").cut(asked.withColumn("_q", F.monotonically_increasing_id()))  # written, so that numbers stay
+    order = [c for c in state.order() if state.cells[c]["n"]]
+    # a cell's rows in parts, and the queries in blocks; every part meets every block that has queries for the cell
+    blocks = min(-(-n // BLOCK), max(SPREAD, -(-n // MOST)))
+    parts = {c: -(-state.cells[c]["n"] // MOST) for c in order}
+    sent = state.spark.sparkContext.broadcast((np.array(order, np.int32), *(np.array([state.cells[c][x] for c in order], np.float64) for x in ("centre", "radius"))))
+
+    def reach(batches):
+        names, centres, radius = sent.value
+        for b in batches:
+            for lo in range(0, b.num_rows, 4096):
+                part = b.slice(lo, 4096)
+                m = _scaled(_matrix(part.column("v")), metric)
+                fine = np.isfinite(m).all(1)
+                row, cell = np.nonzero((distances(np.where(fine[:, None], m, 0.0), centres, "l2") - radius[None, :] <= limit + 1e-9) & fine[:, None])
+                v = pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1) * m.shape[1], pa.int32()), pa.array(m.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([pa.array(names[cell]), part.column("_q").take(pa.array(row)), v.take(pa.array(row))], ["cell", "_q", "v"])
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches)).combine_chunks()
+        own = pc.is_valid(table.column("_q"))
+        queries, rows = table.filter(own), table.filter(pc.invert(own))
+        if not queries.num_rows or not rows.num_rows:
+            return
+        who, ids = queries.column("_q").to_numpy(), pa.concat_arrays(rows.column("id").chunks)
+        for i, j, d in compare(_matrix(queries.column("v")), _matrix(rows.column("v")), limit):
+            if len(i) and np.bincount(i - i.min()).max() > k:
+                at = np.lexsort((d, i))
+                i, j, d = i[at], j[at], d[at]
+                begin = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
+                size = np.diff(np.r_[begin, len(i)])
+                edge = np.where(size > k, d[np.minimum(begin + k, begin + size) - 1], np.inf)
+                keep = d <= np.repeat(edge, size)  # those as far as the k-th stay, as ties go by id
+                i, j, d = i[keep], j[keep], d[keep]
+            yield pa.RecordBatch.from_arrays([pa.array(who[i]), ids.take(pa.array(j)), pa.array(d)], ["_q", "id", "distance"])
+
+    queries = asked.select("_q", "v").mapInArrow(reach, "cell int, _q long, v array<double>")
+    many = F.element_at(F.create_map(*[F.lit(int(x)) for c in order for x in (c, parts[c])]), F.col("cell"))
+    queries = queries.select("cell", F.explode(F.sequence(F.lit(0), many - 1)).alias("part"), F.pmod(F.xxhash64("_q"), F.lit(blocks)).cast("int").alias("block"), "_q", F.lit(None).cast(kind).alias("id"), "v")
+    rows = state.rows(order, "id", "v").select("cell", F.pmod(F.xxhash64("id"), many).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(None).cast("long").alias("_q"), "id", "v")
+    # as many partitions as groups and more: each is much work, so none are put together
+    both = queries.unionByName(rows).repartition(min(2 * blocks * sum(parts.values()), 1024), "cell", "part", "block")
+    found = both.groupBy("cell", "part", "block").applyInArrow(near, out)
+    # dealt by query before it is ranked, so that it is sorted once
+    best = found.repartition("_q").withColumn("rank", F.row_number().over(Window.partitionBy("_q").orderBy("distance", "id"))).where(F.col("rank") <= k)
+    value = F.col("distance") * F.col("distance") / 2 if metric == "cosine" else F.col("distance")
+    return best.join(asked.select("_q", "query"), "_q").select("query", "id", value.alias("distance"), F.col("rank").cast("int").alias("rank"))
+
+
 def _enough(state: _State, asked: list, kind: str, k: int, probe: int, rerank: int, within: float | None, recall: float, query_col: str) -> tuple[int, int]:
     """How many cells and candidates give the recall, and ``SPARE`` over it, on these (at most ``SAMPLED``) queries: first the cells double, and where all are searched the candidates."""
     pairs = lambda probe, exact: Counter((r[0], r[1]) for r in _searched(state, asked, kind, k, probe, exact, within, rerank, query_col).select(query_col, "id").collect())
