@@ -8,18 +8,18 @@ With ``window_days`` a row counts while it is younger than the window by the clo
 an id that was ready is told to be so no longer.
 
 State lies in RocksDB beside the checkpoint (``start`` sets the provider), so it is bounded by disk, not by memory, and a restart goes on where the last finished batch ended.  A hot id is a single key: its rows of
-a batch are handled by one task in Arrow batches, of which nothing but one value is kept.
+a batch are handled by one task one by one, and nothing but one value is kept.  Most ids have few rows, so they come as rows: a frame for each id would cost many times the work on it.
 
 Defined cases: rows without an id or a state are left out; a first write with null data does not count, nor do later ones then; rows of other states change nothing; an excluded state counts whatever its age and data.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
@@ -28,6 +28,7 @@ from ..operators.state import truthy
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 CHANGES = "id string, version long, ready boolean, ts timestamp, rows string"
 DAY_MS = 86_400_000
+EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.UTC)
 
 
 class QueueProcessor(StatefulProcessor):
@@ -40,18 +41,18 @@ class QueueProcessor(StatefulProcessor):
         self.handle = handle
         self.value = handle.getValueState("queue", "rows string, excluded boolean, told string, version long")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         first, excluded, told, version = self._load()
-        for part in rows:
-            for state, ts, data in zip(part["state"], part["micros"], part["data"], strict=True):
-                if state in self.exclude:
-                    excluded = True
-                if state in self.include and (state not in first or (int(ts), data or "") < (first[state][0], first[state][1] or "")):
-                    first[state] = (int(ts), data)
-        yield self._settled(key, first, excluded, told, version, timerValues)
+        for r in rows:
+            state, ts, data = r["state"], r["micros"], r["data"]
+            if state in self.exclude:
+                excluded = True
+            if state in self.include and (state not in first or (ts, data or "") < (first[state][0], first[state][1] or "")):
+                first[state] = (ts, data)
+        yield from self._settled(key, first, excluded, told, version, timerValues)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield self._settled(key, *self._load(), timerValues)
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        yield from self._settled(key, *self._load(), timerValues)
 
     def close(self) -> None:
         pass
@@ -63,7 +64,7 @@ class QueueProcessor(StatefulProcessor):
         rows, excluded, told, version = self.held
         return {s: (ts, data) for s, ts, data in json.loads(rows)}, excluded, told, version
 
-    def _settled(self, key, first: dict, excluded: bool, told: str, version: int, timers) -> pd.DataFrame:
+    def _settled(self, key, first: dict, excluded: bool, told: str, version: int, timers) -> list[Row]:
         """Drop what is too old, set the timer of the oldest that is left, keep the value, and say what has changed."""
         if self.window_ms:
             now = timers.getCurrentProcessingTimeInMs()
@@ -79,11 +80,12 @@ class QueueProcessor(StatefulProcessor):
         out = []
         if say != told:
             version += 1
-            out.append((key[0], version, ready, pd.Timestamp(max((ts for _, ts, _ in alive), default=0), unit="us"), say or "[]"))
+            at = EPOCH + dt.timedelta(microseconds=max((ts for _, ts, _ in alive), default=0))
+            out.append(Row(id=key[0], version=version, ready=ready, ts=at, rows=say or "[]"))
         new = (json.dumps([(s, ts, data) for s, (ts, data) in sorted(first.items())]), excluded, say, version)
         if self.held is None or new != tuple(self.held):  # each call goes to the store
             self.value.update(new)
-        return pd.DataFrame(out, columns=["id", "version", "ready", "ts", "rows"])
+        return out
 
 
 def changes(rows: DataFrame, include: list[str], exclude: list[str] | None = None, *, window_days: float = 0) -> DataFrame:
@@ -94,7 +96,7 @@ def changes(rows: DataFrame, include: list[str], exclude: list[str] | None = Non
     # rows of other states never reach the state
     some = rows.where(F.col("state").isin(sorted({*include, *(exclude or ())})) & F.col("id").isNotNull())
     keyed = some.select(F.col("id").cast("string").alias("id"), "state", F.unix_micros(F.col("ts").cast("timestamp")).alias("micros"), "data").where("micros is not null").groupBy("id")
-    return keyed.transformWithStateInPandas(QueueProcessor(include, list(exclude or ()), int(window_days * DAY_MS)), CHANGES, "Update", "ProcessingTime" if window_days else "None")
+    return keyed.transformWithState(QueueProcessor(include, list(exclude or ()), int(window_days * DAY_MS)), CHANGES, "Update", "ProcessingTime" if window_days else "None")
 
 
 def start(rows: DataFrame, path: str, checkpoint: str, include: list[str], exclude: list[str] | None = None, *, window_days: float = 0, every: str | None = None) -> StreamingQuery:
