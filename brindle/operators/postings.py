@@ -4,8 +4,8 @@ Ids are whole numbers.  A chunk is a stretch of ids (``2^shift`` of them); the i
 folders by a hash of their token (``bucket``), sorted by token and chunk, so a search reads the folders of its tokens, and of those the row groups that can hold them.  A dictionary keeps for each
 token its number of rows and its first and last chunk.
 
-``search`` intersects rarest first: the chunks of each query's rarest token decide which blocks of its other tokens are fetched, blocks meet by query and chunk, and within a chunk the
-shortest list is looked up in the next.  What moves are coded blocks, never rows of the indexed table.
+``search`` deals the queries out to at most ``SPREAD`` deals.  A task has the queries of a deal and, of one chunk, the blocks of their tokens, each once however many queries ask for it; there the shortest list
+of a query is looked up in the next.  So what moves are coded blocks (of each token asked for, at most ``SPREAD`` times) and a row for each query and chunk, never rows of the indexed table.
 
 ``add`` takes batch after batch.  Its blocks are appended below a folder of their own and count once the batch's dictionary has been written; a batch that failed leaves nothing behind that a search reads.
 
@@ -16,9 +16,11 @@ spread over tasks by id; a query without tokens finds nothing; a token that no r
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,8 @@ from .durable import Tables, remove
 
 BLOCKS = "bucket int, token string, chunk long, n int, low long, gaps binary"
 DICTIONARY = "batch string, token string, bucket int, n long, first long, last long"
+SPREAD, QUERIES = 16, 1024  # deals of queries at most, and queries to a deal where that makes fewer
+TOLD = 1 << 18  # hits that a task hands on at a time
 PUSHED = 1000  # so many tokens are written into the scan's filter; more are joined
 
 
@@ -171,41 +175,52 @@ class Postings:
         names = [r["token"] for r in asked.select("token").distinct().limit(PUSHED + 1).collect()]
         few = names if len(names) <= PUSHED else None
         kind = dict(queries.dtypes)[query_col]
-        blocks = self._of_tokens(self._read("blocks", f"batch string, {BLOCKS}"), asked, few)
-        if mode == "any":
-            found = blocks.join(asked, ["bucket", "token"]).select("query", F.lit(1).alias("need"), "chunk", "token", "n", "low", "gaps")
-        else:
-            known = asked.join(self._of_tokens(self.dictionary(), asked, few), ["bucket", "token"], "left")
-            # only chunks within all tokens' stretches, and of those such as the rarest token has, are fetched
-            per = known.groupBy("query").agg(F.count(F.lit(1)).cast("int").alias("need"), F.count("n").alias("have"), F.max("first").alias("from"), F.min("last").alias("to"), F.min(F.struct("n", "token"))["token"].alias("rarest")).where("have = need")
-            wide = asked.join(per, "query").join(blocks, ["bucket", "token"]).where("chunk between from and to")
-            if few is not None and (edge := per.agg(F.min("from"), F.max("to")).first())[0] is not None:
-                wide = asked.join(per, "query").join(blocks.where(F.col("chunk").between(edge[0], edge[1])), ["bucket", "token"]).where("chunk between from and to")
-            rare = wide.where("token = rarest").select("query", "chunk").distinct()
-            found = wide.join(rare, ["query", "chunk"], "left_semi").select("query", "need", "chunk", "token", "n", "low", "gaps")
-        # of one query and chunk at most a block for each token and batch
-        lists = found.groupBy("query", "chunk", "need").agg(F.collect_list(F.struct("token", "n", "low", "gaps")).alias("lists"))
-        lists = lists.where(F.size(F.array_distinct("lists.token")) >= F.col("need")) if mode == "all" else lists
-
-        def meet(batches):
-            for b in batches:
-                out = []
-                for lists in b.column("lists").to_pylist():
-                    by: dict[str, list[np.ndarray]] = {}
-                    for x in lists:
-                        by.setdefault(x["token"], []).append(x["low"] + np.r_[0, np.cumsum(decoded(x["gaps"]))])
-                    each = sorted((p[0] if len(p) == 1 else np.unique(np.concatenate(p)) for p in by.values()), key=len)
-                    ids = each[0]
-                    if mode == "any":
-                        ids = np.unique(np.concatenate(each))
-                    for other in each[1:] if mode == "all" else ():
-                        at = np.searchsorted(other, ids)
-                        ids = ids[other[np.minimum(at, len(other) - 1)] == ids]
-                    out.append(ids)
-                size = np.array([len(x) for x in out], np.int64)
-                yield pa.RecordBatch.from_arrays([b.column("query").take(pa.array(np.repeat(np.arange(len(out)), size))), pa.array(np.concatenate([np.zeros(0, np.int64), *out]))], ["query", "id"])
-
-        return lists.select("query", "lists").mapInArrow(meet, f"query {kind}, id long").select(F.col("query").alias(query_col), F.col("id").alias(id_col))
+        stored = self._of_tokens(self._read("blocks", f"batch string, {BLOCKS}"), asked, few) if few is not None else self._read("blocks", f"batch string, {BLOCKS}")
+        known = asked.join(self._of_tokens(self.dictionary(), asked, few), ["bucket", "token"], "left")
+        per = known.groupBy("query").agg(F.count(F.lit(1)).alias("need"), F.count("n").alias("have"), F.max("first").alias("from"), F.min("last").alias("to"), F.min("first").alias("low"), F.max("last").alias("high"), F.array_agg("token").alias("tokens"))
+        # all: every token is known, and only chunks within all tokens' stretches count
+        per = per.where("have = need and query is not null") if mode == "all" else per.where("have > 0").withColumns({"from": F.col("low"), "to": F.col("high")})
+        deals = max(1, min(SPREAD, -(-asked.select("query").distinct().count() // QUERIES)))
+        per = tables.cut(per.select("query", "tokens", "from", "to", F.pmod(F.xxhash64("query"), F.lit(deals)).cast("int").alias("deal")))
+        need = per.select("deal", F.explode("tokens").alias("token")).distinct().withColumn("bucket", self._bucket())
+        chunks = tables.cut(stored.select("chunk").distinct())  # a row for some 65,536 rows of the table
+        lists = stored.join(need, ["bucket", "token"]).select("chunk", "deal", F.lit(None).cast(kind).alias("query"), F.lit(None).cast("array<string>").alias("tokens"), "token", "low", "gaps")
+        who = per.join(chunks, F.col("chunk").between(F.col("from"), F.col("to"))).select("chunk", "deal", "query", "tokens", F.lit(None).cast("string").alias("token"), F.lit(None).cast("long").alias("low"), F.lit(None).cast("binary").alias("gaps"))
+
+        def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(list(batches)).combine_chunks()
+            own = pc.is_valid(table.column("tokens"))
+            queries, rest = table.filter(own), table.filter(pc.invert(own))
+            by: dict[str, list[np.ndarray]] = {}
+            for token, low, gaps in zip(*(rest.column(c).to_pylist() for c in ("token", "low", "gaps")), strict=True):
+                by.setdefault(token, []).append(low + np.r_[0, np.cumsum(decoded(gaps))])
+            ids_of = {t: p[0] if len(p) == 1 else np.unique(np.concatenate(p)) for t, p in by.items()}
+            rows, out, held = [], [], 0
+
+            def told() -> pa.RecordBatch:
+                at = pa.array(np.repeat(np.array(rows, np.int64), [len(x) for x in out]))
+                return pa.RecordBatch.from_arrays([pa.concat_arrays(queries.column("query").chunks).take(at), pa.array(np.concatenate(out))], ["query", "id"])
+
+            for row, tokens in enumerate(queries.column("tokens").to_pylist()):
+                each = sorted((ids_of[t] for t in tokens if t in ids_of), key=len)
+                if not each or (mode == "all" and len(each) < len(tokens)):
+                    continue
+                ids = each[0] if mode == "all" or len(each) == 1 else np.unique(np.concatenate(each))
+                for other in each[1:] if mode == "all" else ():
+                    at = np.searchsorted(other, ids)
+                    ids = ids[other[np.minimum(at, len(other) - 1)] == ids]
+                if len(ids):
+                    rows, out, held = [*rows, row], [*out, ids], held + len(ids)
+                if held >= TOLD:
+                    yield told()
+                    rows, out, held = [], [], 0
+            if out:
+                yield told()
+
+        # as many partitions as groups: each is more work than its coded size says, so none are put together
+        both = who.unionByName(lists).repartition(max(1, min(1024, deals * chunks.count())), "chunk", "deal")
+        found = both.groupBy("chunk", "deal").applyInArrow(meet, f"query {kind}, id long")
+        return found.select(F.col("query").alias(query_col), F.col("id").alias(id_col))
 
     def rows(self, df: DataFrame, tokens: list[str], *, mode: str = "all", id_col: str) -> DataFrame:
         """The rows of the indexed table that one list of tokens finds."""
