@@ -5,7 +5,8 @@ that ends at a position relaxes the best score there (longest first, and a tie k
 of scores is read off the back pointers.  A character that no piece covers costs the least score minus 10 and becomes its bytes' pieces.
 
 Where no piece crosses from another character to the space mark, or holds a newline, the best segmentation falls apart
-at those places; the parts repeat much, and each worker keeps the ids of those it met last, at most twice ``MEMO`` of them.
+at those places; the parts repeat much, and each worker keeps the ids of those it met last, some twice ``MEMO`` of them.  The parts of a megabyte of text that it does not have go
+through the automaton together, a character of each at a time; those with a character that is no piece, and those of more than ``SHORT`` characters, one by one.
 
 A model of kind BPE is scored in the same way, by the greatest sum of its scores; the order of merges that the library's
 own BPE takes may give other ids, with a sum that is never greater.
@@ -32,6 +33,7 @@ from .shared import small_batches
 
 MEMO = 150_000
 ROWS = 512
+SHORT = 64
 SLICE = 1 << 20
 WINDOW = 1 << 16
 MARK = "▁"
@@ -39,23 +41,173 @@ _EDGE = re.compile(f"(?<=[^{MARK}]){MARK}")
 _built: dict[tuple, PieceModel] = {}
 
 
-class _Memo(dict):
+class _Arrays:
+    """The automaton as arrays, for many short texts at once.  State 0 is the root, and the states of a level follow those of the one above."""
+
+    def __init__(self, pieces: list[tuple[str, int, float]]) -> None:
+        pieces = [p for p in pieces if p[0]]
+        self.size = np.array([len(t) for t, _, _ in pieces], np.int64)
+        self.id = np.array([k for _, k, _ in pieces], np.int32)
+        self.score = np.array([s for _, _, s in pieces], np.float64)
+        points = _points("".join(t for t, _, _ in pieces))
+        self.classes = np.zeros(int(points.max(initial=0)) + 2, np.int64)  # 0: in no piece
+        known = np.unique(points)
+        self.classes[known] = np.arange(1, len(known) + 1)
+        self.width = len(known) + 1
+        first = np.cumsum(self.size) - self.size
+        self.single = np.zeros(self.width, bool)
+        self.single[self.classes[points[first[self.size == 1]]]] = True
+        self.keys = np.zeros(0, np.int64)  # state before * width + class, ascending; the state after is the place in it and 1
+        self.fail = np.zeros(1, np.int64)
+        self._file()
+        at, own = np.zeros(len(pieces), np.int64), np.full(1, -1, np.int64)
+        for depth in range(int(self.size.max(initial=0))):
+            alive = np.flatnonzero(self.size > depth)
+            keys, place = np.unique(at[alive] * self.width + self.classes[points[first[alive] + depth]], return_inverse=True)
+            fail = self.step(self.fail[keys // self.width], keys % self.width) if depth else np.zeros(len(keys), np.int64)
+            at[alive] = len(own) + place
+            mine = np.full(len(keys), -1, np.int64)
+            ends = alive[self.size[alive] == depth + 1]
+            mine[at[ends] - len(own)] = ends
+            self.fail, self.keys, own = np.r_[self.fail, fail], np.r_[self.keys, keys], np.r_[own, mine]
+            self._file()
+        # out: the state itself or the next along its failures that ends a piece; link: the same from its failure on; 0: none
+        self.out, self.link = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64)
+        depth = np.array(self._depths(), np.int64)
+        for d in range(1, int(depth.max(initial=0)) + 1):
+            level = np.flatnonzero(depth == d)
+            self.link[level] = self.out[self.fail[level]]
+            self.out[level] = np.where(own[level] >= 0, level, self.link[level])
+        # of the piece that ends with a state; the root stands for a character of none
+        ends = np.flatnonzero(own >= 0)
+        which, self.steps, self.gains, self.ids = own[ends], np.ones(len(own), np.int64), np.zeros(len(own)), np.zeros(len(own), np.int32)
+        self.steps[ends], self.gains[ends], self.ids[ends] = self.size[which], self.score[which], self.id[which]
+
+    def _depths(self) -> list[int]:
+        depth = [0]
+        for parent in (self.keys // self.width).tolist():
+            depth.append(depth[parent] + 1)
+        return depth
+
+    def _file(self) -> None:
+        """Keys by hash, each in the first free place from its own on."""
+        bits = max(4, (4 * len(self.keys)).bit_length())
+        self.shift, self.slots, self.after = np.uint64(64 - bits), np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int64)
+        todo, at = np.arange(len(self.keys)), self._slot(self.keys)
+        while len(todo):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = self.keys[todo[free]]  # the last of several stays
+            here = self.slots[at] == self.keys[todo]
+            self.after[at[here]] = todo[here] + 1
+            todo, at = todo[~here], (at[~here] + 1) & (len(self.slots) - 1)
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
+
+    def _child(self, key: np.ndarray) -> np.ndarray:
+        """The state that a key leads to, 0 if there is none."""
+        at = self._slot(key)
+        seen = self.slots[at]
+        found = np.where(seen == key, self.after[at], 0)
+        on = np.flatnonzero((seen != key) & (seen >= 0))
+        while len(on):
+            at[on] = (at[on] + 1) & (len(self.slots) - 1)
+            seen = self.slots[at[on]]
+            hit = seen == key[on]
+            found[on[hit]] = self.after[at[on[hit]]]
+            on = on[~hit & (seen >= 0)]
+        return found
+
+    def step(self, state: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """The states after a character of these classes."""
+        after = self._child(state * self.width + kind)
+        todo = np.flatnonzero((after == 0) & (state > 0))
+        state = state[todo]
+        while len(todo):
+            state = self.fail[state]
+            found = self._child(state * self.width + kind[todo])
+            after[todo] = found
+            on = (found == 0) & (state > 0)
+            todo, state = todo[on], state[on]
+        return after
+
+    def segment(self, texts: list[str]) -> list[bytes | None]:
+        """Ids of the best segmentation of each, as the bytes of whole numbers of 32 bits; none for those with a character that is no piece.  No text is empty; the longest come first."""
+        size = np.array([len(t) for t in texts], np.int64)
+        points = _points("".join(texts))
+        kinds = self.classes[np.minimum(points, len(self.classes) - 1)]
+        first = np.cumsum(size) - size
+        place = first + np.arange(len(size))  # of a text's start, one place more than it has characters
+        best = np.zeros(len(points) + len(size))
+        ended, state = np.zeros(len(best), np.int64), np.zeros(len(size), np.int64)
+        fine = np.logical_and.reduceat(self.single[kinds], first) if len(size) else np.zeros(0, bool)
+        for k in range(int(size.max(initial=0))):
+            n = int(np.searchsorted(-size, -k))  # those that go on
+            state = self.step(state[:n], kinds[first[:n] + k])
+            ends, out = place[:n] + k + 1, self.out[state]
+            best[ends], ended[ends] = best[ends - self.steps[out]] + self.gains[out], out
+            while True:  # the longest first, and a tie keeps the first
+                out = self.link[out]
+                some = np.flatnonzero(out)
+                if not len(some):
+                    break
+                ends, out = ends[some], out[some]
+                sums = best[ends - self.steps[out]] + self.gains[out]
+                better = np.flatnonzero(sums > best[ends])
+                at = ends[better]
+                best[at], ended[at] = sums[better], out[better]
+        found, count = [], np.zeros(len(size), np.int64)
+        rows = np.flatnonzero(fine)
+        at = place[rows] + size[rows]
+        while len(rows):
+            out = ended[at]
+            found.append((rows, self.ids[out]))
+            count[rows] += 1
+            at = at - self.steps[out]
+            on = at > place[rows]
+            rows, at = rows[on], at[on]
+        ends = np.cumsum(count)
+        ids, left = np.zeros(int(count.sum()), np.int32), ends.copy()
+        for rows, which in found:  # from a text's end to its start
+            left[rows] -= 1
+            ids[left[rows]] = which
+        raw = ids.tobytes()
+        return [raw[4 * a : 4 * b] if b > a else None for a, b in zip((ends - count).tolist(), ends.tolist(), strict=True)]
+
+
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+
+
+class _Memo:
     """Ids of parts that came before, in two generations: what is still used moves on when the younger one is full."""
 
     def __init__(self, model: PieceModel) -> None:
         self.model = model
+        self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def __missing__(self, part: str) -> bytes:
-        ids = self.old.get(part)
-        if ids is None:
-            ids = array("i", self.model.segment(part)).tobytes()
-        if len(part) <= 64:
-            if len(self) >= MEMO:
-                self.old = dict(self)
-                self.clear()
-            self[part] = ids
-        return ids
+    def ids(self, texts: list[list[str]]) -> list[bytes]:
+        """Ids of texts that are cut into parts."""
+        young, old, model = self.young, self.old, self.model
+        new, long = [], []
+        for part in set().union(*texts).difference(young):
+            if part in old:
+                young[part] = old[part]
+            elif len(part) <= SHORT:
+                new.append(part)
+            else:
+                long.append(part)
+        new.sort(key=len, reverse=True)
+        young.update(zip(new, model.arrays.segment(new), strict=True))
+        for part in [p for p in new if young[p] is None] + long:
+            young[part] = array("i", model.segment(part)).tobytes()
+        made = [b"".join([young[p] for p in parts]) for parts in texts]
+        for part in long:
+            del young[part]
+        if len(young) >= MEMO:
+            self.young, self.old = {}, young
+        return made
 
 
 class PieceModel:
@@ -96,6 +248,10 @@ class PieceModel:
         machine.make_automaton()
         return machine
 
+    @cached_property
+    def arrays(self) -> _Arrays:
+        return _Arrays(self.normal)
+
     def segment(self, text: str) -> list[int]:
         """Ids of the best segmentation of a text whose spaces are marks.
 
@@ -169,19 +325,36 @@ class PieceModel:
         rest(len(text))
 
     def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.int32)
-        text = MARK + text.replace(" ", MARK)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str | None]) -> list[np.ndarray | None]:
+        """Ids of each text; none of a null one."""
         if self.parts is None:
-            return np.array(self.segment(text), np.int32)
-        out, lo, memo = [], 0, self.memo
-        while lo < len(text):
-            hi = min(len(text), lo + SLICE)
-            edge = _EDGE.search(text, hi) if hi < len(text) else None
-            hi = edge.start() if edge else len(text)  # the next place where the text falls apart
-            out += [memo[part] for part in self.parts.findall(text[lo:hi])]
-            lo = hi
-        return np.frombuffer(b"".join(out), np.int32)
+            return [None if t is None else np.array(self.segment(MARK + t.replace(" ", MARK)) if t else [], np.int32) for t in texts]
+        made: list[list[bytes]] = [[] for _ in texts]
+        held, size = [], 0
+
+        def settle() -> None:
+            for (k, _), ids in zip(held, self.memo.ids([parts for _, parts in held]), strict=True):
+                made[k].append(ids)
+            held.clear()
+
+        for k, text in enumerate(texts):
+            if not text:
+                continue
+            text, lo = MARK + text.replace(" ", MARK), 0
+            while lo < len(text):
+                hi = min(len(text), lo + SLICE)
+                edge = _EDGE.search(text, hi) if hi < len(text) else None
+                hi = edge.start() if edge else len(text)  # the next place where the text falls apart
+                held.append((k, self.parts.findall(text[lo:hi])))
+                size += hi - lo
+                if size >= SLICE:
+                    settle()
+                    size = 0
+                lo = hi
+        settle()
+        return [None if t is None else np.frombuffer(b"".join(m), np.int32) for t, m in zip(texts, made, strict=True)]
 
     def decode(self, ids: np.ndarray) -> str:
         raw = self.raw
@@ -276,7 +449,7 @@ def encode(docs: DataFrame, pieces, *, text_col: str = "text", ids_col: str = "i
     """The documents with their ids as array<int>; a column of that name is replaced."""
 
     def work(model: PieceModel, column) -> pa.Array:
-        made = [None if t is None else model.encode(t) for t in column.to_pylist()]
+        made = model.encode_all(column.to_pylist())
         ends = np.cumsum([0] + [0 if m is None else len(m) for m in made])
         flat = np.concatenate([np.zeros(0, np.int32), *(m for m in made if m is not None)])
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat), mask=pa.array([m is None for m in made]))
