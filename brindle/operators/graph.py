@@ -19,14 +19,16 @@ from .durable import Tables, cut
 TASK_BYTES = 4 << 20
 
 
-def _settled(a, b):
-    """Nodes of these edges, and the least node of each one's part."""
+def unite(root, x, y) -> None:
+    """Join up pairs of places.  root leads from each place to the least one of its part, before and after."""
     import numpy as np
 
-    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
-    x, y = ends[: len(a)], ends[len(a) :]
-    root = np.arange(len(nodes))
-    while len(x):
+    x, y = root[x], root[y]
+    while True:
+        apart = x != y
+        x, y = x[apart], y[apart]
+        if not len(x):
+            return
         low = np.minimum(x, y)
         np.minimum.at(root, x, low)
         np.minimum.at(root, y, low)
@@ -34,10 +36,17 @@ def _settled(a, b):
             up = root[root]
             if (up == root).all():
                 break
-            root = up
+            root[:] = up
         x, y = root[x], root[y]
-        apart = x != y
-        x, y = x[apart], y[apart]
+
+
+def _settled(a, b):
+    """Nodes of these edges, and the least node of each one's part."""
+    import numpy as np
+
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    root = np.arange(len(nodes))
+    unite(root, ends[: len(a)], ends[len(a) :])
     return nodes, nodes[root]
 
 
