@@ -7,6 +7,9 @@ A table of up to ``MOST`` names is broadcast as a trie, and nothing is shuffled.
 ``PIECE`` characters, with its places), meet by a shuffle, and the finds go back to their rows by another, so no task holds the table; overlaps are resolved a row.  Which way is taken does not show in the
 finds; with ``overlapping`` they come in order of place there.
 
+``tallies`` only counts: how often phrases come in the texts of a key.  Of more than ``MOST`` phrases a bitmap (of at most 2**``BITS`` bits) is broadcast, and of the runs of tokens just those that it lets through move: a
+run once for a stretch of ``STRETCH`` characters, with a count and a sum of places for each key.  No text and no find goes back to its row.
+
 Defined cases: null and empty texts have no finds; names without a token, and null ones, are left out; of aliases that stand for several names the least (name, field) counts; repeated rows get equal results; an empty table
 finds nothing; an input column named like the result is replaced, all others come back.
 """
@@ -14,7 +17,9 @@ finds nothing; an input column named like the result is replaced, all others com
 from __future__ import annotations
 
 import re
-from collections import deque
+from array import array
+from collections import defaultdict, deque
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +27,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.durable import cut
+from ..operators.durable import Tables, cut
+from .batches import small_batches
 
 MOST = 500_000
 PIECE = 1 << 19
+STRETCH = 1 << 23
+BITS = 29
+MIX = np.uint64(0x9E3779B97F4A7C15)
 FOUND = "array<struct<name:string,field:string,start:int,tokens:int>>"
 _KIND = pa.list_(pa.struct([("name", pa.string()), ("field", pa.string()), ("start", pa.int32()), ("tokens", pa.int32())]))
 _TOKEN = re.compile(r"[^\W_]+")
@@ -181,3 +190,111 @@ def _adding(sent, resolve: bool):
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(made, _KIND)], b.schema.names)
 
     return run
+
+
+def tallies(df: DataFrame, phrases: DataFrame, *, key_col: str = "id", text_col: str = "text") -> DataFrame:
+    """Of each key whose texts have some phrase: key, n (how often phrases come, overlapping ones too), n_names (how many different ones) and places (the sum of their first tokens' places).  phrases: alias."""
+    spark, kind = df.sparkSession, dict(df.dtypes)[key_col]
+    small_batches(spark)
+    tables = Tables(spark, "gazetteer")
+    made = phrases.where("alias is not null").select("alias", F.lit("").alias("name"), F.lit("").alias("field")).mapInArrow(_paths, "path string, tokens int, name string, field string")
+    paths = tables.cut(made.select("path", "tokens").distinct())
+    n = paths.count()
+    if n <= MOST:
+        names = paths.select(F.col("path").alias("alias"), F.col("path").alias("name"), F.lit("").alias("field"))
+        found = find(df.select(key_col, text_col), names, text_col=text_col, overlapping=True).select(key_col, F.explode("entities").alias("e"))
+        return found.groupBy(key_col).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("e.name").alias("n_names"), F.sum("e.start").alias("places"))
+    lengths = {r["tokens"] for r in paths.select("tokens").distinct().collect()}  # not more than the longest phrase has tokens
+    bits = min(BITS, max(16, (16 * n).bit_length()))
+    place = paths.mapInArrow(_places(bits), "b long")
+    rows = place.groupBy(F.bitmap_bucket_number("b").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("m"))
+    mask = bytearray(max(1 << bits >> 3, 4096))
+    for r in rows.toLocalIterator():
+        mask[(r["k"] - 1) * 4096 : r["k"] * 4096] = r["m"]
+    sent = spark.sparkContext.broadcast(bytes(mask))
+    del mask
+    texts = df.select(F.col(key_col).alias("key"), F.col(text_col).cast("string").alias("text"))
+    runs = texts.mapInArrow(_tallied(lengths, sent, bits), f"path string, keys array<{kind}>, counts array<int>, sums array<long>")
+    one = runs.join(paths.select("path"), "path").select("path", F.explode(F.arrays_zip("keys", "counts", "sums")).alias("e")).select("path", F.col("e.keys").alias(key_col), F.col("e.counts").alias("n"), F.col("e.sums").alias("places"))
+    if texts.groupBy("key").count().where("count > 1").limit(1).count():  # texts of one key may lie in several stretches
+        one = one.groupBy("path", key_col).agg(F.sum("n").alias("n"), F.sum("places").alias("places"))
+    return one.groupBy(key_col).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_names"), F.sum("places").alias("places"))
+
+
+def _hashes(words: list[str]) -> np.ndarray:
+    return np.frombuffer(b"".join(blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest() for w in words), np.uint64)
+
+
+def _places(bits: int):
+    """The bits of paths, numbered from 1 as Spark does."""
+
+    def run(batches):
+        for b in batches:
+            number: defaultdict[str, int] = defaultdict()
+            number.default_factory = number.__len__
+            own = [[number[w] for w in path.split(" ")] for path in b.column("path").to_pylist()]
+            h = _hashes(list(number))
+            n = np.array([len(x) for x in own])
+            flat = np.fromiter((c for x in own for c in x), np.int64, int(n.sum()))
+            begin = np.cumsum(n) - n
+            sums = h[flat[begin]] if len(own) else np.zeros(0, np.uint64)
+            for k in range(1, int(n.max(initial=0))):
+                more = n > k
+                sums[more] = sums[more] * MIX + h[flat[begin[more] + k]]
+            yield pa.RecordBatch.from_arrays([pa.array((sums >> np.uint64(64 - bits)).astype(np.int64) + 1)], ["b"])
+
+    return run
+
+
+def _tallied(lengths: set[int], sent, bits: int):
+    def told(keys: pa.Array, sizes: list[int], words: list[str], code: np.ndarray, mask: np.ndarray):
+        h, names, n = _hashes(words), pa.array(words, pa.string()), np.array(sizes, np.int64)
+        doc = np.repeat(np.arange(len(n)), n)
+        start = np.arange(len(code)) - np.repeat(np.cumsum(n) - n, n)
+        left = n[doc] - start
+        run, sums = code, h[code]
+        for k in range(1, max(lengths) + 1):
+            if k > 1:
+                run = np.unique(run[:-1], return_inverse=True)[1] if k > 2 else run[:-1]
+                run, sums = run * len(words) + code[k - 1 :], sums[:-1] * MIX + h[code[k - 1 :]]
+            if k not in lengths:
+                continue
+            bit = sums >> np.uint64(64 - bits)
+            at = np.flatnonzero((left[: len(run)] >= k) & ((mask[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1).astype(bool))
+            if not len(at):
+                continue
+            at = at[np.argsort(run[at], kind="stable")]
+            own, of = run[at], doc[at]
+            first = np.r_[True, own[1:] != own[:-1]]
+            begin = np.flatnonzero(first | np.r_[True, of[1:] != of[:-1]])
+            heads = at[first]
+            path = pc.binary_join_element_wise(*(names.take(pa.array(code[heads + j])) for j in range(k)), " ") if k > 1 else names.take(pa.array(code[heads]))
+            ends = pa.array(np.r_[np.flatnonzero(first[begin]), len(begin)].astype(np.int32))
+            lists = (keys.take(pa.array(of[begin])), pa.array(np.diff(np.r_[begin, len(at)]).astype(np.int32)), pa.array(np.add.reduceat(start[at], begin)))
+            yield pa.RecordBatch.from_arrays([path, *(pa.ListArray.from_arrays(ends, x) for x in lists)], ["path", "keys", "counts", "sums"])
+
+    def run(batches):
+        mask = np.frombuffer(sent.value, np.uint8)
+        empty = lambda: ([], [], defaultdict(), array("q"), 0)
+        keys, sizes, number, code, chars = empty()
+        number.default_factory = number.__len__
+        done = lambda: told(pa.concat_arrays(keys), sizes, list(number), np.frombuffer(code, np.int64), mask) if len(code) else ()
+        for b in batches:
+            began = 0
+            for at, text in enumerate(b.column("text")):
+                text = text.as_py()
+                own = tokens(text)
+                code.extend(map(number.__getitem__, own))
+                sizes.append(len(own))
+                chars += len(text or "")
+                if chars > STRETCH:
+                    keys.append(b.column("key").slice(began, at + 1 - began))
+                    yield from done()
+                    keys, sizes, number, code, chars = empty()
+                    number.default_factory = number.__len__
+                    began = at + 1
+            if began < b.num_rows:
+                keys.append(b.column("key").slice(began))
+        yield from done()
+
+    return run
