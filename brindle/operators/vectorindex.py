@@ -30,11 +30,15 @@ from pyspark.sql import functions as F
 
 from .durable import Tables, remove
 from .metricjoin import MOST, SPREAD, compare
-from .search import _matrix, distances, keep_best
+from .search import _matrix, distances
 
 QUERIES = 2_000
 SAMPLED, SPARE = 200, 0.03  # queries on which a recall is measured, and what a sample may err
 BLOCK_VALUES = 1 << 21  # of a matrix of distances
+QUERY_VALUES = 1 << 20  # of the queries that are collected at a time, where that is more than QUERIES of them
+ROWS = 2_048  # that meet a block of queries at a time
+TASK_ROWS = 32_768
+PENDING = 1 << 18  # rows that a task holds beside the best of each query before it drops those that are not
 BLOCK = 16_384  # queries that meet a cell in one task, where that makes at most SPREAD blocks
 WIDTH = 4  # components to a stretch of the code
 CELL = "cell int, centre array<double>, radius double, n long, batches array<string>, whole boolean"
@@ -96,6 +100,7 @@ class _State:
         self.version = max(found, default=-1)
         rows = spark.read.schema(CELL).parquet(f"{self.path}/cells/v={self.version}").collect() if found else []  # a row a cell
         self.cells = {r["cell"]: r.asDict() for r in rows}
+        self.listed: tuple[set[str], DataFrame] | None = None
 
     def write(self) -> None:
         self.version += 1
@@ -109,11 +114,13 @@ class _State:
         return np.array([self.cells[c]["centre"] for c in self.order()], np.float64).reshape(len(self.cells), self.size)
 
     def rows(self, cells: list[int], *columns: str) -> DataFrame:
-        """Stored rows of these cells: only their folders in the batches that count are read."""
-        batches = sorted({b for c in cells for b in self.cells[c]["batches"]})
-        schema = f"id {self.kind}, code binary, v array<double>, distance double, batch string, cell int"
-        table = self.spark.read.schema(schema).option("basePath", f"{self.path}/rows").parquet(*[f"{self.path}/rows/batch={b}" for b in batches])
-        return table.where(F.col("cell").isin(cells)).select("cell", *columns)
+        """Stored rows of these cells: only their folders in the batches that count are read.  Those folders are listed once, however often rows are asked for."""
+        batches = {b for c in cells for b in self.cells[c]["batches"]}
+        if self.listed is None or not batches <= self.listed[0]:
+            schema = f"id {self.kind}, code binary, v array<double>, distance double, batch string, cell int"
+            self.listed = batches, self.spark.read.schema(schema).option("basePath", f"{self.path}/rows").parquet(*[f"{self.path}/rows/batch={b}" for b in sorted(batches)])
+        # one expression, as a literal a cell is a call each; folders may still have cells that were split since
+        return self.listed[1].where(F.expr(f"cell in ({', '.join(map(str, cells))})")).select("cell", *columns)
 
 
 def _sample(plain: DataFrame, rows: int) -> list:
@@ -249,39 +256,131 @@ def _split(state: _State, big: list[int], split_rows: int) -> None:
         del state.cells[c]
 
 
-def _scan(state: _State, cells: list[int], q: np.ndarray, wanted: dict[int, np.ndarray], k: int, coded: bool) -> DataFrame:
-    """The k nearest of each query among the cells' rows that it wants: _q, id, cell, distance; by codes or by vectors.  A task keeps k rows a query."""
-    out = f"_q int, id {state.kind}, cell int, distance double"
-    cells = [c for c in cells if state.cells[c]["n"]]
+def _scan(state: _State, order: list[int], q: np.ndarray, wanted: np.ndarray, k: int, coded: bool, edge: np.ndarray, measured: bool = False) -> DataFrame:
+    """The k nearest of each query among the rows of the cells that it wants, none farther than its edge: _q, id, cell, near, distance; near is by codes or by vectors, and with ``measured`` distance is by vectors.
+
+    wanted: a row of bits a cell, a bit a query.  A task keeps k rows a query.  Single floats and a bound of their error tell which rows may count, whatever their cells; only those are measured in double.
+    """
+    out = f"_q int, id {state.kind}, cell int, near double, distance double"
+    cells = [(j, c) for j, c in enumerate(order) if state.cells[c]["n"] and wanted[j].any()]
     if not cells:
         return state.spark.createDataFrame([], out)
-    sent = state.spark.sparkContext.broadcast((q, wanted, state.books))
+    spark, rows, exact = state.spark, sum(state.cells[c]["n"] for _, c in cells), measured or not coded
+    sent = spark.sparkContext.broadcast((q, np.array([c for _, c in cells]), wanted[[j for j, _ in cells]], edge, state.books))
 
     def near(batches):
-        q, wanted, books = sent.value
-        held = None
+        q, names, bits, edge, books = sent.value
+        held = _Best(len(q), k, edge)
+        square = (q * q).sum(1)
         for b in batches:
-            cell = b.column("cell").to_numpy()
-            for c in np.unique(cell).tolist():
-                mine = b.filter(pa.array(cell == c))
-                own = wanted[c]
-                step = max(1, BLOCK_VALUES // max(1, len(own)))
-                for lo in range(0, mine.num_rows, step):
-                    part = mine.slice(lo, step)
-                    if coded:
-                        flat = np.frombuffer(b"".join(part.column("x").to_pylist()), np.uint8).reshape(part.num_rows, -1)
-                        m = books.vectors(flat)
-                    else:
-                        m = _matrix(part.column("x"))
-                    for at in range(0, len(own), max(1, BLOCK_VALUES // part.num_rows)):
-                        some = own[at : at + max(1, BLOCK_VALUES // part.num_rows)]
-                        held = keep_best(held, some, part.column("id"), distances(q[some], m, "l2"), k)
-        if held is not None:
-            yield from held.to_batches()
-
-    rows = state.rows(cells, "id", F.col("code" if coded else "v").alias("x"))
-    found = rows.mapInArrow(near, f"_q int, id {state.kind}, distance double")
-    return found.withColumn("cell", F.lit(None).cast("int")).select("_q", "id", "cell", "distance")
+            for lo in range(0, b.num_rows, ROWS):
+                part = b.slice(lo, ROWS)
+                own, home = np.unique(part.column("cell").to_numpy(), return_inverse=True)
+                asks = np.unpackbits(bits[np.searchsorted(names, own)], axis=1, count=len(q)).astype(bool)
+                v = _matrix(part.column("v")) if exact else None
+                m = books.vectors(np.frombuffer(b"".join(part.column("code").to_pylist()), np.uint8).reshape(part.num_rows, -1)) if coded else v
+                size = (m * m).sum(1)
+                some = np.flatnonzero(asks.any(0))
+                # squares that single floats hold
+                kind = np.float32 if max(size.max(), square[some].max(initial=0)) < 1e30 else np.float64
+                slack = (8 + q.shape[1]) * np.finfo(kind).eps
+                t, n = m.T.astype(kind), size.astype(kind)
+                step = max(1, BLOCK_VALUES // part.num_rows)
+                for at in range(0, len(some), step):
+                    who = some[at : at + step]
+                    sq = q[who].astype(kind) @ t
+                    sq *= -2
+                    sq += n
+                    sq += square[who].astype(kind)[:, None]
+                    every = asks[:, who].all()
+                    if not every:
+                        sq[~asks[:, who].T[:, home]] = np.inf
+                    wide = slack * (square[who] + size.max()) + 1e-36
+                    top = np.nextafter((held.edge[who] ** 2 + wide).astype(kind), kind(np.inf))
+                    ok = sq <= top[:, None]
+                    if not every:
+                        ok &= sq < np.inf
+                    if k < part.num_rows and np.count_nonzero(ok) > 2 * k * len(who):  # no good edge yet
+                        top = np.minimum(top, np.partition(sq, k - 1, axis=1)[:, k - 1] + 2 * wide).astype(kind)
+                        ok &= sq <= np.nextafter(top, kind(np.inf))[:, None]
+                    i, j = np.nonzero(ok)
+                    if len(i):
+                        d = _apart(q, v, who[i], j) if exact else None
+                        held.take(who[i], part.column("id").take(pa.array(j)), part.column("cell").take(pa.array(j)), np.sqrt(np.maximum(sq[i, j], 0)).astype(np.float64) if coded else d, d)
+        held.cut()
+        if held.rows is not None:
+            yield from held.rows.to_batches()
+
+    columns = ["id", *["code"] * coded, *["v"] * exact]
+    # a task answers with k rows a query, so there are no more tasks than keep the cores busy, or than have many rows
+    return state.rows([c for _, c in cells], *columns).coalesce(max(spark.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))).mapInArrow(near, out)
+
+
+def _apart(q: np.ndarray, v: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Distances of query i and row j from their differences, so that equal rows are equally far."""
+    out = np.empty(len(i))
+    step = max(1, BLOCK_VALUES // max(1, q.shape[1]))
+    for lo in range(0, len(i), step):
+        x = q[i[lo : lo + step]]
+        x -= v[j[lo : lo + step]]
+        out[lo : lo + step] = np.sqrt(np.einsum("ij,ij->i", x, x))
+    return out
+
+
+class _Best:
+    """The k nearest rows of each of n queries so far, and how far a row may be to be one; ties go by id."""
+
+    def __init__(self, n: int, k: int, edge: np.ndarray) -> None:
+        self.n, self.k, self.edge = n, k, edge.copy()
+        self.rows: pa.Table | None = None
+        self.new: list[pa.Table] = []
+        self.pending = 0
+
+    def take(self, who, ids, cells, near, distance) -> None:
+        ok = near <= self.edge[who]
+        t = pa.table({"_q": pa.array(who, pa.int32()), "id": ids, "cell": cells, "near": pa.array(near), "distance": pa.array(near if distance is None else distance)})
+        self.new.append(t if ok.all() else t.filter(pa.array(ok)))
+        self.pending += self.new[-1].num_rows
+        if self.pending > max(PENDING, self.rows.num_rows if self.rows else 0):
+            self.cut()
+
+    def cut(self) -> None:
+        if not self.pending:
+            return
+        table = pa.concat_tables(([self.rows] if self.rows else []) + self.new).combine_chunks()
+        self.new, self.pending = [], 0
+        q, near = table.column("_q").to_numpy(), table.column("near").to_numpy()
+        order = np.lexsort((near, q))
+        who, far = q[order], near[order]
+        begin = np.flatnonzero(np.r_[True, who[1:] != who[:-1]])
+        n = np.diff(np.r_[begin, len(who)])
+        full = n >= self.k
+        self.edge[who[begin[full]]] = np.minimum(self.edge[who[begin[full]]], far[begin[full] + self.k - 1])
+        keep = far <= self.edge[who]
+        table = table.take(pa.array(order[keep]))
+        if table.num_rows > 2 * self.k * len(begin):  # many are as far as the k-th
+            table = table.sort_by([("_q", "ascending"), ("near", "ascending"), ("id", "ascending")])
+            who = table.column("_q").to_numpy()
+            begin = np.flatnonzero(np.r_[True, who[1:] != who[:-1]])
+            table = table.filter(pa.array(np.arange(len(who)) - np.repeat(begin, np.diff(np.r_[begin, len(who)])) < self.k))
+        self.rows = table
+
+
+def _wants(q: np.ndarray, state: _State, order: list[int], bound: np.ndarray, probe: int | None) -> np.ndarray:
+    """Which cells a query wants, as a row of bits a cell: of its ``probe`` nearest, or of all, those that may hold a row within its bound."""
+    centres, radius = state.centres(), np.array([state.cells[c]["radius"] for c in order])
+    out = np.zeros((len(order), -(-len(q) // 8)), np.uint8)
+    step = 8 * max(1, BLOCK_VALUES // (8 * max(1, len(order))))
+    for lo in range(0, len(q), step):
+        away = distances(q[lo : lo + step], centres, "l2")
+        fits = away - radius[None, :] <= bound[lo : lo + step, None] + 1e-9
+        if probe is not None and probe < len(order):
+            edge = np.partition(away, probe - 1, axis=1)[:, probe - 1 : probe]
+            less, same = away < edge, away == edge
+            fits &= less | (same & (same.cumsum(1) <= probe - less.sum(1, keepdims=True)))  # of cells as near the first
+        bits = np.packbits(fits.T, axis=1)
+        out[:, lo // 8 : lo // 8 + bits.shape[1]] = bits
+    return out
 
 
 def _measure(state: _State, near: DataFrame, cells: list[int], q: np.ndarray) -> DataFrame:
@@ -313,9 +412,9 @@ def _measure(state: _State, near: DataFrame, cells: list[int], q: np.ndarray) ->
             asked = who[order[np.repeat(begin[place], n) + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)]]
             m = _matrix(part.column("v"))
             d = np.sqrt(((m[row] - q[asked]) ** 2).sum(1))
-            yield pa.RecordBatch.from_arrays([pa.array(asked, pa.int32()), part.column("id").take(pa.array(row)), pa.array(d)], ["_q", "id", "distance"])
+            yield pa.RecordBatch.from_arrays([pa.array(asked, pa.int32()), part.column("id").take(pa.array(row)), part.column("cell").take(pa.array(row)), pa.array(d)], ["_q", "id", "cell", "distance"])
 
-    return state.rows(cells, "id", "v").select("id", "v").mapInArrow(exact, f"_q int, id {kind}, distance double")
+    return state.rows(cells, "id", "v").mapInArrow(exact, f"_q int, id {kind}, cell int, distance double")
 
 
 def topk(
@@ -343,7 +442,8 @@ def topk(
     found = spark.createDataFrame([], f"{query_col} {kind}, id {id_kind or state.kind}, distance double, rank int")
     asked = queries.where((F.size(vec_col) == state.size) & ~F.exists(vec_col, lambda x: x.isNull()))
     n = asked.count() if state.cells else 0
-    parts = max(1, 2 * -(-n // QUERIES)) if n > QUERIES else 1
+    block = max(QUERIES, QUERY_VALUES // max(1, state.size))
+    parts = -(-5 * n // (4 * block)) if n > block else 1  # dealt by hash, so with some room
     rerank = rerank or max(100, 10 * k)
     if n > QUERIES and exact and distance is not None:
         return _within(state, asked.select(F.col(query_col).alias("query"), F.col(vec_col).cast("array<double>").alias("v")), n, k, distance).withColumnRenamed("query", query_col)
@@ -410,11 +510,22 @@ def _within(state: _State, asked: DataFrame, n: int, k: int, within: float) -> D
 
 
 def _enough(state: _State, asked: list, kind: str, k: int, probe: int, rerank: int, within: float | None, recall: float, query_col: str) -> tuple[int, int]:
-    """How many cells and candidates give the recall, and ``SPARE`` over it, on these (at most ``SAMPLED``) queries: first the cells double, and where all are searched the candidates."""
-    pairs = lambda probe, exact: Counter((r[0], r[1]) for r in _searched(state, asked, kind, k, probe, exact, within, rerank, query_col).select(query_col, "id").collect())
-    whole = pairs(4, True)
-    rows = sum(x["n"] for x in state.cells.values())
-    while (whole & pairs(probe, False)).total() < min(1.0, recall + SPARE) * whole.total():
+    """How many cells and candidates give the recall, and ``SPARE`` over it, on these (at most ``SAMPLED``) queries: first the cells double, and where all are searched the candidates.
+
+    Where the exact result lies tells how much of it so many cells can find at most; numbers of cells that cannot be enough are not tried."""
+    q = _scaled(np.array([r[1] for r in asked], np.float64).reshape(len(asked), state.size), state.metric)
+    asked, q = [r for r, fine in zip(asked, np.isfinite(q).all(1), strict=True) if fine], q[np.isfinite(q).all(1)]
+    search = lambda probe, exact: _found(state, asked, kind, k, probe, exact, within, rerank, query_col).select(query_col, "id", "_q", "cell").collect()
+    pairs = lambda rows: Counter((r[0], r[1]) for r in rows)
+    best = search(4, True)
+    whole, rows = pairs(best), sum(x["n"] for x in state.cells.values())
+    place = {c: j for j, c in enumerate(state.order())}
+    nearer = distances(q, state.centres(), "l2").argsort(1, kind="stable").argsort(1)
+    cell = np.array([nearer[r["_q"], place[r["cell"]]] for r in best], int)  # how many cells are nearer than that of a row
+    enough = min(1.0, recall + SPARE) * whole.total()
+    while probe < len(state.cells) and (cell < probe).sum() < enough:
+        probe = min(2 * probe, len(state.cells))
+    while (whole & pairs(search(probe, False))).total() < enough:
         if probe < len(state.cells):
             probe = min(2 * probe, len(state.cells))
         elif rerank < rows:
@@ -425,36 +536,34 @@ def _enough(state: _State, asked: list, kind: str, k: int, probe: int, rerank: i
 
 
 def _searched(state: _State, asked: list, kind: str, k: int, probe: int, exact: bool, within: float | None, rerank: int, query_col: str) -> DataFrame:
-    q = _scaled(np.array([r[1] for r in asked], np.float64), state.metric)
+    found = _found(state, asked, kind, k, probe, exact, within, rerank, query_col)
+    return found.select(query_col, "id", "distance", "rank")
+
+
+def _found(state: _State, asked: list, kind: str, k: int, probe: int, exact: bool, within: float | None, rerank: int, query_col: str) -> DataFrame:
+    q = _scaled(np.array([r[1] for r in asked], np.float64).reshape(len(asked), state.size), state.metric)
     ok = np.isfinite(q).all(1)
     asked, q = [r for r, fine in zip(asked, ok, strict=True) if fine], q[ok]
     order = state.order()
     # stored distances are those of scaled vectors
     limit = np.inf if within is None else np.sqrt(2 * within) if state.metric == "cosine" else within
-    away = distances(q, state.centres(), "l2")
-    radius = np.array([state.cells[c]["radius"] for c in order])
-    wanted = np.zeros(away.shape, bool)
-    if len(q):
-        np.put_along_axis(wanted, np.argsort(away, axis=1, kind="stable")[:, :probe], True, 1)
-    wanted &= away - radius[None, :] <= limit + 1e-9
-    of = lambda m: {c: np.flatnonzero(m[:, j]) for j, c in enumerate(order) if m[:, j].any()}
-    w = Window.partitionBy("_q").orderBy("distance", "id")
-    best = lambda d, n: d.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
-    near = _scan(state, list(of(wanted)), q, of(wanted), k if exact else rerank, not exact)
+    bound = np.full(len(q), limit)
+    wanted = _wants(q, state, order, bound, probe)
+    ranked = lambda d, by, n: d.withColumn("rank", F.row_number().over(Window.partitionBy("_q").orderBy(by, "id"))).where(F.col("rank") <= n)
     if exact:
-        tables = Tables(state.spark, "vector-index")
-        near = tables.cut(best(near.where(F.col("distance") <= limit) if within is not None else near, k))
-        bound = np.full(len(q), limit)
+        near = Tables(state.spark, "vector-index").cut(ranked(_scan(state, order, q, wanted, k, False, bound), "distance", k))
         for r in near.where(F.col("rank") == k).select("_q", "distance").collect():  # a row a query of this block
             bound[r["_q"]] = min(bound[r["_q"]], r["distance"])
-        more = (away - radius[None, :] <= bound[:, None] + 1e-9) & ~wanted
-        near = near.drop("rank").unionByName(_scan(state, list(of(more)), q, of(more), k, False))
+        more = _wants(q, state, order, bound, None) & ~wanted
+        near = near.drop("rank").unionByName(_scan(state, order, q, more, k, False, bound))
+    elif len(q) > QUERIES:  # more candidates than should come to the driver
+        near = ranked(_scan(state, order, q, wanted, rerank, True, np.full(len(q), np.inf), measured=True), "near", rerank)
     else:
-        near = _measure(state, best(near, rerank), list(of(wanted)), q)
-    near = best(near.where(F.col("distance") <= limit) if within is not None else near, k)
+        near = _measure(state, ranked(_scan(state, order, q, wanted, rerank, True, np.full(len(q), np.inf)), "near", rerank), [c for j, c in enumerate(order) if wanted[j].any()], q)
+    near = ranked(near.where(F.col("distance") <= limit) if within is not None else near, "distance", k)
     names = state.spark.createDataFrame([(i, r[0]) for i, r in enumerate(asked)], f"_q int, {query_col} {kind}")
     value = F.col("distance") * F.col("distance") / 2 if state.metric == "cosine" else F.col("distance")
-    return near.join(names, "_q").select(query_col, "id", value.alias("distance"), F.col("rank").cast("int").alias("rank"))
+    return near.join(names, "_q").withColumn("distance", value).withColumn("rank", F.col("rank").cast("int"))
 
 
 def vacuum(spark: SparkSession, path: str) -> None:
