@@ -9,7 +9,8 @@ What counts is the newest finished version of a small table of cells (centre, ra
 ``topk`` sends each query to its ``probe`` nearest cells.  There one scan of the codes keeps ``rerank`` candidates a query, and a second one reads the vectors of just the cells that hold some, and measures
 the candidates exactly.  With ``exact`` the vectors of the probed cells are measured right away, and by the triangle inequality (no member is nearer than the centre's distance less the radius) just
 the cells that the k-th distance so far does not rule out are searched too.  Stored vectors are never shuffled: queries go to them, a task keeps a running best of each query, and at most k rows a
-query and task move.  Queries are collected in blocks of ``QUERIES``.  More queries than one block that ask exactly for what is within a distance are never collected: each goes to the cells that its distance
+query and task move.  Queries are collected in blocks of ``QUERIES``, or of ``QUERY_VALUES`` components if that is more; of a block of more than ``QUERIES`` the
+candidates are measured where they are found, by one scan, and never collected.  More than ``QUERIES`` queries that ask exactly for what is within a distance are never collected: each goes to the cells that its distance
 reaches, a cell's rows go to each of its (at most ``SPREAD``, until they would be of more than ``MOST``) blocks of queries, and what a block and a cell find together is at most k rows a query.
 
 Defined cases: null vectors and those of another length than most of the first sample are not in the index (``build`` and ``add`` say how many: ``skipped``); null and such queries have no hits; ties go
